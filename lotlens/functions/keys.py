@@ -41,7 +41,8 @@ def key_or_null(c: Column | str) -> Column:
 
 
 def key_pieces(c: Column | str, separators: str = SEPARATORS) -> Column:
-    return F.transform(F.split(F.coalesce(as_col(c), F.lit("")), separators), F.trim)
+    pieces = F.split(F.coalesce(as_col(c), F.lit("")), separators)
+    return F.transform(pieces, lambda piece: F.trim(piece))
 
 
 def lot_keys(c: Column | str) -> Column:

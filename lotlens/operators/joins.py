@@ -9,8 +9,8 @@ from pyspark.sql import functions as F
 
 
 def one_row(df: DataFrame, other: DataFrame) -> DataFrame:
-    """Attach a global aggregate (always exactly one row) to every row."""
-    return df.crossJoin(F.broadcast(other))
+    """Attach the columns of a one-row frame (a global aggregate) as scalar subqueries."""
+    return df.withColumns({c: other.select(c).scalar() for c in other.columns})
 
 
 def keep_zeros(

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..session import broadcast_if_small
+from ..session import materialize
 
 
 def first_per(df: DataFrame, keys: Sequence[Column | str], order: Sequence[Column], n: int = 1) -> DataFrame:
@@ -33,10 +33,10 @@ def top_per(df: DataFrame, keys: Sequence[str], measure: str, tie: str) -> DataF
 def latest_load(df: DataFrame, file: str = "source_file", loaded: str = "loaded_at") -> DataFrame:
     """Rows of the newest load of each file, ties kept.
 
-    One row per file is computed first with map-side aggregation; the raw rows
-    are then only filtered against it and are not shuffled unless there are
-    more files than a broadcast may hold.
+    One row per file is computed first with map-side aggregation and written;
+    the raw rows are then only filtered against it, without a shuffle unless
+    that list of files is too large to broadcast.
     """
     newest = df.groupBy(F.col(file).alias("_file")).agg(F.max(loaded).alias("_newest"))
     on = (F.col(file) == F.col("_file")) & (F.col(loaded) == F.col("_newest"))
-    return df.join(broadcast_if_small(newest), on, "left_semi")
+    return df.join(materialize(newest, "newest-loads"), on, "left_semi")

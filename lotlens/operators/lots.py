@@ -24,7 +24,9 @@ def explode_keys(df: DataFrame, raw: str, out: str = "bbl", count: str | None =
     listed = df.withColumn("_keys", lot_keys(raw))
     if count:
         listed = listed.withColumn(count, F.size("_keys").cast("long"))
-    return listed.withColumn(out, F.explode("_keys")).drop("_keys")
+    # the outer form: a plain explode makes Catalyst evaluate the array a second time as a filter
+    exploded = listed.withColumn(out, F.explode_outer("_keys")).drop("_keys")
+    return exploded.filter(F.col(out).isNotNull())
 
 
 def even_split(

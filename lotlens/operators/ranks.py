@@ -14,7 +14,7 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..session import broadcast_if_small, materialize
+from ..session import materialize
 
 Position = Callable[[Column], Column]
 
@@ -45,9 +45,9 @@ def _ranges(weighted: DataFrame, by: Sequence[str], order: Sequence[str]) -> tup
         "_range",
         F.coalesce(F.sum("_len").over(earlier), F.lit(0)).alias("_before_range"),
         "_len",
-        F.sum("_len").over(group).alias("n"),
+        F.sum("_len").over(group).alias("group_rows"),
     )
-    return placed, totals
+    return placed, materialize(totals, "range-totals")
 
 
 def _inside(by: Sequence[str], order: Sequence[str]) -> Column:
@@ -58,14 +58,14 @@ def _inside(by: Sequence[str], order: Sequence[str]) -> Column:
 
 
 def cumulative(weighted: DataFrame, by: Sequence[str], order: Sequence[str]) -> DataFrame:
-    """Each weighted row with ``below`` (weight strictly before it) and the group total ``n``."""
+    """Each weighted row with ``below`` (weight strictly before it) and the group size ``group_rows``."""
     placed, totals = _ranges(weighted, by, order)
     keys = [*by, "_range"]
     joined = placed.withColumn("_inside", _inside(by, order)).join(
-        broadcast_if_small(totals.select(*keys, "_before_range", "n")), keys
+        totals.select(*keys, "_before_range", "group_rows"), keys
     )
     return joined.select(
-        *by, *order, "weight", (F.col("_before_range") + F.col("_inside")).alias("below"), "n"
+        *by, *order, "weight", (F.col("_before_range") + F.col("_inside")).alias("below"), "group_rows"
     )
 
 
@@ -75,13 +75,15 @@ def pick(
     """The values at 0-based positions of each group's sorted rows.
 
     ``positions`` maps an output name to a function of the group size. Returns
-    one row per group: keys, ``n`` and one struct of the order columns per name.
+    one row per group: keys, ``group_rows`` and one struct of the order columns per name.
     """
     placed, totals = _ranges(weighted, by, order)
     wanted = F.explode(
         F.array(
             *[
-                F.struct(F.lit(name).alias("name"), at(F.col("n")).cast("long").alias("at"))
+                F.struct(
+                    F.lit(name).alias("_name"), at(F.col("group_rows")).cast("long").alias("_at")
+                )
                 for name, at in positions.items()
             ]
         )
@@ -89,22 +91,21 @@ def pick(
     targets = (
         totals.withColumn("_want", wanted)
         .filter(
-            (F.col("_want.at") >= F.col("_before_range"))
-            & (F.col("_want.at") < F.col("_before_range") + F.col("_len"))
+            (F.col("_want._at") >= F.col("_before_range"))
+            & (F.col("_want._at") < F.col("_before_range") + F.col("_len"))
         )
-        .select(*by, "_range", "n", "_before_range", "_want.name", "_want.at")
+        .select(*by, "_range", "group_rows", "_before_range", "_want._name", "_want._at")
     )
     keys = [*by, "_range"]
-    looked_into = broadcast_if_small(targets.select(*keys).distinct())
-    rows = placed.join(looked_into, keys, "left_semi").withColumn("_inside", _inside(by, order))
+    rows = placed.join(targets, keys, "left_semi").withColumn("_inside", _inside(by, order))
     start = F.col("_before_range") + F.col("_inside")
-    hits = rows.join(broadcast_if_small(targets), keys).filter(
-        (F.col("at") >= start) & (F.col("at") < start + F.col("weight"))
+    hits = rows.join(targets, keys).filter(
+        (F.col("_at") >= start) & (F.col("_at") < start + F.col("weight"))
     )
     values = [
-        F.max(F.when(F.col("name") == name, F.struct(*order))).alias(name) for name in positions
+        F.max(F.when(F.col("_name") == name, F.struct(*order))).alias(name) for name in positions
     ]
-    return hits.groupBy(*by).agg(F.max("n").alias("n"), *values)
+    return materialize(hits.groupBy(*by).agg(F.max("group_rows").alias("group_rows"), *values), "picked")
 
 
 def order_statistics(
@@ -114,7 +115,7 @@ def order_statistics(
     known = df.filter(F.col(value).isNotNull())
     picked = pick(weigh(known, by, [value]), by, [value], positions)
     return picked.select(
-        *by, "n", *[F.col(name).getField(value).alias(name) for name in positions]
+        *by, "group_rows", *[F.col(name).getField(value).alias(name) for name in positions]
     )
 
 
@@ -148,10 +149,10 @@ def quantile_cuts(df: DataFrame, by: Sequence[str], value: str, probs: Sequence[
     found = order_statistics(df, by, value, spots)
     cuts = []
     for i, p in enumerate(probs):
-        at = F.lit(p) * (F.col("n") - 1)
+        at = F.lit(p) * (F.col("group_rows") - 1)
         lo, hi = F.col(f"_lo{i}"), F.col(f"_hi{i}")
         cuts.append((lo + (hi - lo) * (at - F.floor(at))).alias(f"q{i}"))
-    return found.select(*by, "n", *cuts)
+    return found.select(*by, "group_rows", *cuts)
 
 
 def ntile_by(
@@ -172,7 +173,7 @@ def ntile_by(
         by,
         [order, tie],
         {name: last_of(i) for i, name in enumerate(names, 1)},
-    ).drop("n")
+    ).drop("group_rows")
     bucket = F.lit(1)
     for name in names:
         border = F.col(name)
@@ -180,7 +181,7 @@ def ntile_by(
             (F.col(order) == border.getField(order)) & (F.col(tie) > border.getField(tie))
         )
         bucket = bucket + F.when(after, 1).otherwise(0)
-    joined = df.join(broadcast_if_small(borders), list(by), "left")
+    joined = df.join(borders, list(by), "left")
     return joined.withColumn(out, bucket).drop(*names)
 
 
@@ -199,7 +200,7 @@ def qcut(
     k = len(labels)
     cuts = quantile_cuts(df, by, value, [i / k for i in range(1, k)])
     names = [f"q{i}" for i in range(k - 1)]
-    joined = df.join(broadcast_if_small(cuts.drop("n")), list(by), "left")
+    joined = df.join(cuts.drop("group_rows"), list(by), "left")
     return joined.withColumn(
         out, cut_at(F.col(value), [F.col(c) for c in names], labels)
     ).drop(*names)

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 FIRST_LOAD = "2001-09-01"
 SECOND_LOAD = "2001-09-03"
+FIRST_YEAR, LAST_YEAR = 1993, 1997
 DAILY_FILE = "dt=2001-09-03"
 
 
@@ -104,7 +105,6 @@ def raw_properties(spark: SparkSession, sf_dir: str) -> DataFrame:
     Adds repeated properties in the early years (older report, must lose) and
     a stale first load of the 1996 file (newer report date, must lose too).
     """
-    years = read(spark, sf_dir, "region").select((F.col("r_regionkey") + 1993).alias("year"))
     k = F.col("p_partkey")
     region, block, lot = _lot(k)
     clean, nxt = _clean(k), _clean(k + 1)
@@ -122,7 +122,7 @@ def raw_properties(spark: SparkSession, sf_dir: str) -> DataFrame:
     built = (1900 + k % 125).cast("string")
     base = (
         read(spark, sf_dir, "part")
-        .crossJoin(F.broadcast(years))  # five regions, one report year each
+        .withColumn("year", F.explode(F.sequence(F.lit(FIRST_YEAR), F.lit(LAST_YEAR))))
         .select(
             F.col("year").cast("string").alias("report_year"),
             k.cast("string").alias("property_id"),

@@ -27,7 +27,7 @@ from ..operators.joins import keep_zeros, one_row
 from ..operators.latest import latest_by, latest_load
 from ..operators.lots import explode_keys, scored_weight, weighted_score
 from ..operators.ranks import ntile_by
-from ..session import materialize
+from ..session import materialize_all
 
 UPDATED = ":updated_at"
 
@@ -221,10 +221,10 @@ SEASON = ["heat_season", "heating_year_start", "ll84_report_year"]
 def season_facts(fact: DataFrame) -> DataFrame:
     """All the mart needs of the fact, one row per season and lot (NULL lot included).
 
-    Written out: the seasons, their date range and the lot counts all come from
-    it, so the fact is read and aggregated only once.
+    The seasons, their date range and the lot counts all come from it, so the
+    fact is read and aggregated only once.
     """
-    per_lot = (
+    return (
         fact.filter(F.col("heat_season").isNotNull())
         .groupBy(*SEASON, "bbl")
         .agg(
@@ -234,7 +234,6 @@ def season_facts(fact: DataFrame) -> DataFrame:
             F.max("created_date").alias("last_date"),
         )
     )
-    return materialize(per_lot, "season-facts")
 
 
 def season_coverage(per_lot: DataFrame) -> DataFrame:
@@ -268,8 +267,8 @@ def build_lot_season_mart(fact: DataFrame, dim: DataFrame) -> DataFrame:
     Size quartiles are a property of the dimension snapshot (a season has
     exactly one), so they are ranked once per snapshot, not once per season.
     """
-    per_lot = season_facts(fact)
-    dim = materialize(dim, "lot-dimension")
+    stored = materialize_all(season_facts=season_facts(fact), lot_dimension=dim)
+    per_lot, dim = stored["season_facts"], stored["lot_dimension"]
     scored = ntile_by(
         dim.filter("has_energy_star_score"), ["report_year"], "total_gfa_sqft", "bbl", 4, "size_quartile"
     )

@@ -4,12 +4,9 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
-
-# A lookup is broadcast only after counting at most this many (narrow) rows.
-BROADCAST_ROWS = 500_000
 
 _local_dirs: dict[str, str] = {}
 
@@ -46,8 +43,10 @@ def work_dir(spark: SparkSession) -> str:
 def materialize(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` as Parquet into the shared folder and read it back.
 
-    Used where several consumers need one result, or where a result must not
-    change between two reads (row positions after a range partitioning).
+    Used where several consumers need one result, where a result must not
+    change between two reads (ranges cut by a sampled partitioning), and for
+    lookups: the written size is known, so Catalyst broadcasts a small lookup by
+    itself and plans a shuffle join, with AQE splitting hot keys, for a large one.
     """
     spark = df.sparkSession
     path = f"{work_dir(spark)}/{name}-{uuid.uuid4().hex}"
@@ -55,11 +54,8 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
-    """Hint a broadcast when ``df`` has at most ``max_rows`` rows, else leave the join to AQE.
-
-    Beyond the bound the join is an ordinary shuffle join, where AQE splits hot keys.
-    """
-    if df.limit(max_rows + 1).count() <= max_rows:
-        return F.broadcast(df)
-    return df
+def materialize_all(**frames: DataFrame) -> dict[str, DataFrame]:
+    """Write independent frames at the same time, so that they share the cluster."""
+    with ThreadPoolExecutor(len(frames)) as pool:
+        jobs = {name: pool.submit(materialize, df, name) for name, df in frames.items()}
+        return {name: job.result() for name, job in jobs.items()}
