@@ -208,6 +208,13 @@ _VIEWS: dict[str, str] = {
                {_region('bbl', 'borough')} AS boro, count(*) AS n
         FROM fct WHERE is_no_heat AND heat_season IS NOT NULL AND latitude BETWEEN 40.4::DOUBLE AND 41.0::DOUBLE
              AND longitude BETWEEN -74.3::DOUBLE AND -73.6::DOUBLE GROUP BY ALL""",
+    "sized": """
+        SELECT heat_season, bbl, rate,
+               CASE WHEN gfa <= s[cast(floor(0.25 * (len(s) - 1)) AS bigint) + 1] THEN 1
+                    WHEN gfa <= s[cast(floor(0.5 * (len(s) - 1)) AS bigint) + 1] THEN 2
+                    WHEN gfa <= s[cast(floor(0.75 * (len(s) - 1)) AS bigint) + 1] THEN 3 ELSE 4 END AS g
+        FROM rlots JOIN (SELECT heat_season, list(gfa ORDER BY gfa) AS s FROM rlots WHERE gfa > 0 GROUP BY 1)
+        USING (heat_season) WHERE gfa > 0""",
     "spans": """
         SELECT s.heat_season AS season, s.heating_year_start AS y, make_date(s.heating_year_start, 10, 1) AS start,
                least(make_date(s.heating_year_start + 1, 5, 31), (SELECT max(d) FROM daily)) AS upto,
@@ -458,17 +465,13 @@ _QUERIES: dict[str, str] = {
         JOIN (SELECT report_year, {_CUTS.format(v='total_gfa_sqft')} FROM dim WHERE has_energy_star_score GROUP BY 1) c
         USING (report_year) WHERE d.has_energy_star_score""",
     "peer_comparison": """
-        SELECT heat_season, bbl, cast(g AS integer) AS size_group, count(*) OVER w AS peers,
-               round(list(rate) OVER (w ORDER BY rate ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING)
-                     [cast(floor(count(*) OVER w / 2) AS bigint) + 1], 4) AS peer_median,
-               cast(round((rank() OVER (w ORDER BY rate) - 1) / count(*) OVER w * 100) AS bigint) AS pct_below
-        FROM (SELECT heat_season, bbl, rate,
-                     CASE WHEN gfa <= s[cast(floor(0.25 * (len(s) - 1)) AS bigint) + 1] THEN 1
-                          WHEN gfa <= s[cast(floor(0.5 * (len(s) - 1)) AS bigint) + 1] THEN 2
-                          WHEN gfa <= s[cast(floor(0.75 * (len(s) - 1)) AS bigint) + 1] THEN 3 ELSE 4 END AS g
-              FROM rlots JOIN (SELECT heat_season, list(gfa ORDER BY gfa) AS s FROM rlots WHERE gfa > 0 GROUP BY 1)
-              USING (heat_season) WHERE gfa > 0)
-        WINDOW w AS (PARTITION BY heat_season, g)""",
+        SELECT p.heat_season, p.bbl, cast(p.g AS integer) AS size_group, p.peers,
+               round(m.rates[cast(floor(p.peers / 2) AS bigint) + 1], 4) AS peer_median,
+               cast(round((p.rk - 1) / p.peers * 100) AS bigint) AS pct_below
+        FROM (SELECT *, count(*) OVER (PARTITION BY heat_season, g) AS peers,
+                     rank() OVER (PARTITION BY heat_season, g ORDER BY rate) AS rk FROM sized) p
+        JOIN (SELECT heat_season, g, list(rate ORDER BY rate) AS rates FROM sized GROUP BY 1, 2) m
+        USING (heat_season, g)""",
     "grid_hotspots": "SELECT * FROM cells",
     "hotspot_classes": """
         SELECT season, lat, lon, boro, n,

@@ -46,7 +46,7 @@ def prev_season(label: Column | str) -> Column:
 
 
 def month_label(c: Column | str) -> Column:
-    return F.date_format(as_col(c), "yyyy-MM")
+    return F.substring(as_col(c).cast("date").cast("string"), 1, 7)
 
 
 def boundary_minutes(start: Column | str, end: Column | str) -> Column:

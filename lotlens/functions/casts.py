@@ -30,7 +30,13 @@ def try_ts(c: Column | str, zoned: bool = False) -> Column:
 
 def utc_wall_clock(c: Column | str) -> Column:
     """A zoned instant as the naive UTC time, whatever the session zone is."""
-    return F.convert_timezone(F.current_timezone(), F.lit("UTC"), as_col(c).cast("timestamp_ntz"))
+    micros = F.unix_micros(as_col(c)) * F.expr("interval '0.000001' second")
+    return F.lit("1970-01-01").cast("timestamp_ntz") + micros
+
+
+def iso_text(c: Column | str) -> Column:
+    """A naive timestamp as ISO text. A plain cast involves no session time zone."""
+    return F.replace(as_col(c).cast("string"), F.lit(" "), F.lit("T"))
 
 
 def null_if_any(c: Column | str, *sentinels: str) -> Column:

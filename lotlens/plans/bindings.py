@@ -10,6 +10,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.calendar import month_label
+from ..functions.casts import iso_text
+
 FIRST_LOAD = "2001-09-01"
 SECOND_LOAD = "2001-09-03"
 FIRST_YEAR, LAST_YEAR = 1993, 1997
@@ -20,12 +23,8 @@ def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
-def _text_time(c: Column) -> Column:
-    return F.date_format(c, "yyyy-MM-dd'T'HH:mm:ss")
-
-
 def _shift(c: Column, seconds: Column) -> Column:
-    return c + F.make_dt_interval(secs=seconds.cast("decimal(18,6)"))
+    return c + seconds * F.expr("interval '1' second")
 
 
 def _lot(n: Column) -> tuple[Column, Column, Column]:
@@ -60,8 +59,8 @@ def raw_complaints(spark: SparkSession, sf_dir: str) -> DataFrame:
     status = F.col("o_orderstatus")
     base = orders.join(shipped, "o_orderkey", "left").select(
         k.cast("string").alias("unique_key"),
-        _text_time(_shift(F.col("o_orderdate"), k * 7919 % 86400)).alias("created_date"),
-        _text_time(_shift(F.col("shipped"), k * 104729 % 86400)).alias("closed_date"),
+        iso_text(_shift(F.col("o_orderdate"), k * 7919 % 86400)).alias("created_date"),
+        iso_text(_shift(F.col("shipped"), k * 104729 % 86400)).alias("closed_date"),
         F.when(status == "F", "Closed").when(status == "O", "Open").otherwise("Pending").alias("status"),
         F.when(F.col("o_totalprice") < 20000, "PLUMBING").otherwise("HEAT/HOT WATER").alias("complaint_type"),
         detail.alias("descriptor_2"),
@@ -72,7 +71,7 @@ def raw_complaints(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(cust % 53 == 0, "Unspecified").otherwise(_clean(cust)).alias("bbl"),
         (F.lit(40.3) + (cust % 800) * 0.001).cast("string").alias("latitude"),
         (F.lit(-74.4) + (k % 900) * 0.001).cast("string").alias("longitude"),
-        F.date_format("o_orderdate", "yyyy-MM").alias("_month"),
+        month_label("o_orderdate").alias("_month"),
         status.alias("_code"),
     )
     # one pass over the joined rows: each row yields its one or two versions

@@ -17,6 +17,7 @@ from ..operators import joins, latest, lots, profile, quality, ranks, stats
 from ..session import materialize, materialize_all, work_dir
 from ..sources import export, extract, raw
 from . import bindings, models, reports
+from .pipeline import TABLES, model_checks
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -781,34 +782,23 @@ def dq_no_invented(t: Tables) -> DataFrame:
     return quality.check_no_fan_out(joins.union_all(t.mart, t.mart, t.mart), t.fact)
 
 
-def model_checks(t: Tables) -> dict[str, DataFrame]:
-    stg, props, dim, fact, mart = t.stg, t.props, t.dim, t.fact, t.mart
+def checked_tables(t: Tables) -> dict[str, DataFrame]:
     return {
-        "stg_complaints.complaint_id unique": quality.check_unique(stg, "complaint_id"),
-        "stg_complaints.complaint_id not null": quality.check_not_null(stg, "complaint_id"),
-        "stg_properties.property_year_id unique": quality.check_unique(props, "property_year_id"),
-        "stg_properties.property_year_id not null": quality.check_not_null(props, "property_year_id"),
-        "stg_properties.report_year not null": quality.check_not_null(props, "report_year"),
-        "property_lots.bbl not null": quality.check_not_null(t.lots, "bbl"),
-        "complaint_fact.complaint_id unique": quality.check_unique(fact, "complaint_id"),
-        "complaint_fact.complaint_id not null": quality.check_not_null(fact, "complaint_id"),
-        "lot_dimension.lot_year_id unique": quality.check_unique(dim, "lot_year_id"),
-        "lot_dimension.lot_year_id not null": quality.check_not_null(dim, "lot_year_id"),
-        "lot_dimension.band accepted": quality.check_accepted(dim, "energy_star_band", lb.SCORE_BANDS),
-        "lot_dimension.era accepted": quality.check_accepted(dim, "era", lb.ERAS),
-        "lot_dimension.score in range": quality.check_range(dim, "lot_year_id", "energy_star_score", 1, 100),
-        "lot_season_mart.lot_season_id unique": quality.check_unique(mart, "lot_season_id"),
-        "lot_season_mart.lot_season_id not null": quality.check_not_null(mart, "lot_season_id"),
-        "lot_season_mart invents nothing": quality.check_no_fan_out(mart, fact),
+        "stg_complaints": t.stg,
+        "stg_properties": t.props,
+        "property_lots": t.lots,
+        "lot_dimension": t.dim,
+        "complaint_fact": t.fact,
+        "lot_season_mart": t.mart,
     }
 
 
 @query
 def dq_summary(t: Tables) -> DataFrame:
-    return quality.run_checks(model_checks(t))
+    return quality.run_checks(model_checks(checked_tables(t)))
 
 
 @query
 def dq_run_summary(t: Tables) -> DataFrame:
-    results = quality.run_checks(model_checks(t))
-    return quality.run_summary(results, models_built=6, built_at=TODAY)
+    results = quality.run_checks(model_checks(checked_tables(t)))
+    return quality.run_summary(results, models_built=len(TABLES), built_at=TODAY)

@@ -1,0 +1,132 @@
+"""The daily run: load raw files, build the models, check them, publish, export.
+
+A build goes to its own folder. It becomes the published one only when every
+check passed, by moving a bookmark; otherwise readers keep the previous build.
+"""
+
+from __future__ import annotations
+
+from typing import NamedTuple
+
+from pyspark.sql import DataFrame, SparkSession
+
+from ..functions import labels as lb
+from ..operators import quality
+from ..sources import export
+from ..sources.raw import RawTable
+from ..sources.state import Bookmark
+from . import models, reports
+
+TABLES = ("stg_complaints", "stg_properties", "property_lots", "lot_dimension", "complaint_fact", "lot_season_mart")
+
+
+class Run(NamedTuple):
+    build: int
+    published: bool
+    checks: DataFrame
+
+
+class Pipeline:
+    def __init__(self, spark: SparkSession, root: str):
+        self.spark, self.root = spark, root
+        self.complaints = RawTable(spark, f"{root}/raw/complaints")
+        self.properties = RawTable(spark, f"{root}/raw/properties")
+        self.pointer = Bookmark(spark, f"{root}/published")
+        self.attempts = Bookmark(spark, f"{root}/attempts")
+
+    def load(self, complaint_stage: str, property_stage: str, loaded_at: str) -> dict[str, int]:
+        """Load new files of both stages; safe to run any number of times."""
+        return {
+            "complaints": self.complaints.load(complaint_stage, loaded_at),
+            "properties": self.properties.load(property_stage, loaded_at),
+        }
+
+    def _path(self, build: int, name: str) -> str:
+        return f"{self.root}/builds/{build}/{name}"
+
+    def _write(self, build: int, name: str, df: DataFrame) -> DataFrame:
+        path = self._path(build, name)
+        df.write.mode("overwrite").parquet(path)
+        return self.spark.read.schema(df.schema).parquet(path)
+
+    def build(self, build: int) -> dict[str, DataFrame]:
+        """Write every model once; later models read the written earlier ones."""
+        done: dict[str, DataFrame] = {}
+
+        def keep(name: str, df: DataFrame) -> None:
+            done[name] = self._write(build, name, df)
+
+        keep("stg_properties", models.build_stg_properties(self.properties.rows()))
+        keep("property_lots", models.build_property_lots(done["stg_properties"], ["address"]))
+        keep("lot_dimension", models.build_lot_dimension(done["property_lots"]))
+        keep("stg_complaints", models.build_stg_complaints(self.complaints.rows()))
+        fact = models.build_complaint_fact(
+            done["stg_complaints"], done["stg_properties"], ["latitude", "longitude"]
+        )
+        keep("complaint_fact", fact)
+        keep(
+            "lot_season_mart",
+            models.build_lot_season_mart(done["complaint_fact"], done["lot_dimension"]),
+        )
+        return done
+
+    def run(self, publish_anyway: bool = False) -> Run:
+        """Build, check, and move the pointer only if the checks pass."""
+        build = self.attempts.next_batch()
+        self.attempts.set(str(build))
+        tables = self.build(build)
+        checks = self._write(build, "checks", quality.run_checks(model_checks(tables)))
+        published = publish_anyway or quality.may_publish(checks)
+        if published:
+            self.pointer.set(str(build))
+        return Run(build, published, checks)
+
+    def published(self) -> dict[str, DataFrame]:
+        """Tables of the published build; empty before the first."""
+        build = self.pointer.get()
+        if build is None:
+            return {}
+        names = (*TABLES, "checks")
+        return {n: self.spark.read.parquet(self._path(int(build), n)) for n in names}
+
+    def export(self, out: str, built_at: str) -> None:
+        """Publish the dashboard's files from the published build."""
+        tables = self.published()
+        fact, mart = tables["complaint_fact"], tables["lot_season_mart"]
+        export.write_columnar(reports.daily_counts(fact), ["d", "boro"], f"{out}/daily")
+        export.write_columnar(
+            reports.season_region_rollup(fact), ["season", "boro"], f"{out}/season_region"
+        )
+        reports.grid_counts(fact).write.mode("overwrite").partitionBy("season").json(f"{out}/map")
+        labels = reports.lot_labels(tables["property_lots"])
+        export.write_per_season(reports.export_lots(mart, labels), f"{out}/lots")
+        reports.export_meta(fact, mart).write.mode("overwrite").json(f"{out}/meta")
+        summary = quality.run_summary(tables["checks"], len(TABLES), built_at)
+        summary.write.mode("overwrite").json(f"{out}/run")
+
+
+def model_checks(tables: dict[str, DataFrame]) -> dict[str, DataFrame]:
+    """The checks every build must pass."""
+    stg, props = tables["stg_complaints"], tables["stg_properties"]
+    lots, dim = tables["property_lots"], tables["lot_dimension"]
+    fact, mart = tables["complaint_fact"], tables["lot_season_mart"]
+    keys = {
+        "stg_complaints": (stg, "complaint_id"),
+        "stg_properties": (props, "property_year_id"),
+        "lot_dimension": (dim, "lot_year_id"),
+        "complaint_fact": (fact, "complaint_id"),
+        "lot_season_mart": (mart, "lot_season_id"),
+    }
+    checks = {}
+    for name, (df, key) in keys.items():
+        checks[f"{name}.{key} unique"] = quality.check_unique(df, key)
+        checks[f"{name}.{key} not null"] = quality.check_not_null(df, key)
+    checks["stg_properties.report_year not null"] = quality.check_not_null(props, "report_year")
+    checks["property_lots.bbl not null"] = quality.check_not_null(lots, "bbl")
+    checks["lot_dimension.band accepted"] = quality.check_accepted(dim, "energy_star_band", lb.SCORE_BANDS)
+    checks["lot_dimension.era accepted"] = quality.check_accepted(dim, "era", lb.ERAS)
+    checks["lot_dimension.score in range"] = quality.check_range(
+        dim, "lot_year_id", "energy_star_score", 1, 100
+    )
+    checks["lot_season_mart invents nothing"] = quality.check_no_fan_out(mart, fact)
+    return checks

@@ -461,7 +461,7 @@ def peer_comparison(lots: DataFrame) -> DataFrame:
     medians = ranked.filter(
         (F.col("below") <= middle) & (middle < F.col("below") + F.col("weight"))
     ).select(*by, F.col("rate").alias("peer_median"))
-    compared = sized.join(ranked, [*by, "rate"]).join(medians, by)
+    compared = sized.join(ranked, [*by, "rate"]).join(materialize(medians, "medians"), by)
     return compared.select(
         "heat_season",
         "bbl",

@@ -8,6 +8,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..functions.casts import iso_text
+
 
 def plain(field: T.StructField) -> Column:
     """A value as JSON holds it: whole decimals as long, others as double, dates as ISO text."""
@@ -17,7 +19,7 @@ def plain(field: T.StructField) -> Column:
     if isinstance(field.dataType, T.DateType):
         return c.cast("string").alias(field.name)
     if isinstance(field.dataType, (T.TimestampNTZType, T.TimestampType)):
-        return F.date_format(c, "yyyy-MM-dd'T'HH:mm:ss").alias(field.name)
+        return iso_text(c).alias(field.name)
     return c.alias(field.name)
 
 

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..functions.calendar import month_label
 from ..operators.profile import counts_by
 from .extract import between_half_open, checked_load, extract_since, reconcile
 from .state import Bookmark, read_or_empty
@@ -30,9 +31,14 @@ def nested_to_json(df: DataFrame) -> DataFrame:
     )
 
 
-def overwrite_partitions(df: DataFrame, path: str, *keys: str) -> None:
-    """Replace only the partitions that occur in ``df``."""
-    writer = df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+def overwrite_partitions(df: DataFrame, path: str, *keys: str, rebalance: bool = True) -> None:
+    """Replace only the partitions that occur in ``df``.
+
+    Rebalancing gathers a partition's rows into few files; AQE splits one that
+    holds much more than the others over several tasks.
+    """
+    spread = df.hint("rebalance", *keys) if rebalance else df
+    writer = spread.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
     writer.partitionBy(*keys).parquet(path)
 
 
@@ -46,7 +52,7 @@ def write_raw(df: DataFrame, path: str, upper: str, run_date: str | None = None)
         return None
     run_date = run_date or datetime.now(timezone.utc).strftime("%Y-%m-%d")
     stamped = nested_to_json(df).withColumns({"dt": F.lit(run_date), "upper": F.lit(upper)})
-    overwrite_partitions(stamped, path, "dt", "upper")
+    overwrite_partitions(stamped, path, "dt", "upper", rebalance=False)
     return f"{path}/dt={run_date}"
 
 
@@ -76,7 +82,7 @@ def backfill(source: DataFrame, created: str, raw_path: str, start: str, end: st
         source, created, F.lit(start).cast("timestamp_ntz"), F.lit(end).cast("timestamp_ntz")
     )
     landed = reconcile(nested_to_json(window), window.count())
-    by_month = landed.withColumn("created_month", F.date_format(created, "yyyy-MM"))
+    by_month = landed.withColumn("created_month", month_label(created))
     overwrite_partitions(by_month, raw_path, "created_month")
     return counts_by(by_month, ["created_month"])
 
@@ -158,7 +164,7 @@ class RawTable:
             F.lit(loaded_at).cast("timestamp_ntz").alias("loaded_at"),
             F.lit(batch).cast("long").alias("batch"),
         )
-        overwrite_partitions(rows, self.rows_path, "batch")
+        overwrite_partitions(rows, self.rows_path, "batch", rebalance=False)
         found.write.mode("append").parquet(self.ledger_path)
         return len(paths)
 

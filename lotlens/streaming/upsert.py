@@ -11,6 +11,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -59,18 +60,21 @@ class LatestState:
 
     def upsert(self, batch: DataFrame, batch_id: int) -> None:
         """Merge one micro-batch. A batch that was already committed is skipped."""
-        if batch_id <= self.last_batch() or batch.isEmpty():
+        if batch_id <= self.last_batch():
             return
         bucket = F.pmod(F.xxhash64(*self.keys), F.lit(self.buckets)).cast("int")
         incoming = batch.select(*self.schema.fieldNames()).withColumn("bucket", bucket)
-        manifest = self._manifest()
-        touched = incoming.select("bucket").distinct()
-        old = self._stored(manifest.join(touched, "bucket", "left_semi")).drop("version")
-        merged = latest_by(old.unionByName(incoming), self.keys, self.newest)
-        overwrite_partitions(
-            merged.withColumn("version", F.lit(batch_id).cast("long")), self.table, "version", "bucket"
-        )
-        self._commit(manifest, touched, batch_id)
+        incoming = incoming.persist(StorageLevel.MEMORY_AND_DISK)  # read three times below
+        try:
+            manifest = self._manifest()
+            touched = incoming.select("bucket").distinct()
+            old = self._stored(manifest.join(touched, "bucket", "left_semi")).drop("version")
+            merged = latest_by(old.unionByName(incoming), self.keys, self.newest)
+            versioned = merged.withColumn("version", F.lit(batch_id).cast("long"))
+            overwrite_partitions(versioned, self.table, "version", "bucket")
+            self._commit(manifest, touched, batch_id)
+        finally:
+            incoming.unpersist()
 
     def _commit(self, manifest: DataFrame, touched: DataFrame, batch_id: int) -> None:
         kept = manifest.join(touched, "bucket", "left_anti").select("bucket", "version")
