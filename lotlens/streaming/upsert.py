@@ -21,7 +21,7 @@ from ..operators.latest import latest_by
 from ..sources.raw import overwrite_partitions
 from ..sources.state import read_or_empty
 
-MANIFEST_SCHEMA = "bucket int, version long, batch long"
+MANIFEST_SCHEMA = "state_bucket int, state_version long, batch long"
 
 
 class LatestState:
@@ -51,34 +51,34 @@ class LatestState:
 
     def _stored(self, manifest: DataFrame) -> DataFrame:
         columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in self.schema)
-        stored = read_or_empty(self.spark, self.table, f"{columns}, version long, bucket int")
+        stored = read_or_empty(self.spark, self.table, f"{columns}, state_version long, state_bucket int")
         # both are partition columns: the scan is pruned to the current files
-        return stored.join(F.broadcast(manifest), ["version", "bucket"], "left_semi")
+        return stored.join(F.broadcast(manifest), ["state_version", "state_bucket"], "left_semi")
 
     def current(self) -> DataFrame:
-        return self._stored(self._manifest()).drop("version", "bucket")
+        return self._stored(self._manifest()).drop("state_version", "state_bucket")
 
     def upsert(self, batch: DataFrame, batch_id: int) -> None:
         """Merge one micro-batch. A batch that was already committed is skipped."""
         if batch_id <= self.last_batch():
             return
         bucket = F.pmod(F.xxhash64(*self.keys), F.lit(self.buckets)).cast("int")
-        incoming = batch.select(*self.schema.fieldNames()).withColumn("bucket", bucket)
+        incoming = batch.select(*self.schema.fieldNames()).withColumn("state_bucket", bucket)
         incoming = incoming.persist(StorageLevel.MEMORY_AND_DISK)  # read three times below
         try:
             manifest = self._manifest()
-            touched = incoming.select("bucket").distinct()
-            old = self._stored(manifest.join(touched, "bucket", "left_semi")).drop("version")
+            touched = incoming.select("state_bucket").distinct()
+            old = self._stored(manifest.join(touched, "state_bucket", "left_semi")).drop("state_version")
             merged = latest_by(old.unionByName(incoming), self.keys, self.newest)
-            versioned = merged.withColumn("version", F.lit(batch_id).cast("long"))
-            overwrite_partitions(versioned, self.table, "version", "bucket")
+            versioned = merged.withColumn("state_version", F.lit(batch_id).cast("long"))
+            overwrite_partitions(versioned, self.table, "state_version", "state_bucket")
             self._commit(manifest, touched, batch_id)
         finally:
             incoming.unpersist()
 
     def _commit(self, manifest: DataFrame, touched: DataFrame, batch_id: int) -> None:
-        kept = manifest.join(touched, "bucket", "left_anti").select("bucket", "version")
-        moved = touched.select("bucket", F.lit(batch_id).cast("long").alias("version"))
+        kept = manifest.join(touched, "state_bucket", "left_anti").select("state_bucket", "state_version")
+        moved = touched.select("state_bucket", F.lit(batch_id).cast("long").alias("state_version"))
         rows = kept.unionByName(moved).withColumn("batch", F.lit(batch_id).cast("long"))
         rows.coalesce(1).write.mode("append").parquet(self.manifests)
 
