@@ -31,7 +31,7 @@ class Tables:
     """Lazy models of one data folder, and the stored tables that reports read.
 
     Model queries build from the raw tables every time. Reports share the stored
-    fact, dimension and mart of a folder, as a dashboard shares the warehouse's.
+    fact, lots, dimension and mart of a folder, as dashboards share a warehouse's.
     """
 
     _known: dict[tuple[str, str], Tables] = {}
@@ -75,8 +75,7 @@ class Tables:
     def props(self) -> DataFrame:
         return models.newest_per_property(self.typed_properties)
 
-    @property
-    def lots(self) -> DataFrame:
+    def build_lots(self) -> DataFrame:
         return models.build_property_lots(self.props, ["address"])
 
     def build_fact(self) -> DataFrame:
@@ -85,27 +84,31 @@ class Tables:
         )
 
     def build_dim(self) -> DataFrame:
-        return models.build_lot_dimension(self.lots)
+        return models.build_lot_dimension(self.build_lots())
 
     @cached_property
     def _stored(self) -> dict[str, DataFrame]:
-        return materialize_all(fact=self.build_fact(), dim=self.build_dim())
+        return materialize_all(fact=self.build_fact(), lots=self.build_lots())
 
     @property
     def fact(self) -> DataFrame:
         return self._stored["fact"]
 
     @property
+    def lots(self) -> DataFrame:
+        return self._stored["lots"]
+
+    @cached_property
     def dim(self) -> DataFrame:
-        return self._stored["dim"]
+        return materialize(models.build_lot_dimension(self.lots), "dim")
 
     @cached_property
     def mart(self) -> DataFrame:
         return materialize(models.build_lot_season_mart(self.fact, self.dim), "mart")
 
-    @property
+    @cached_property
     def daily(self) -> DataFrame:
-        return reports.daily_counts(self.fact)
+        return materialize(reports.daily_counts(self.fact), "daily")
 
     @property
     def seasons(self) -> DataFrame:
@@ -591,7 +594,7 @@ def hotspot_classes(t: Tables) -> DataFrame:
 
 @query
 def daily_region_counts(t: Tables) -> DataFrame:
-    return t.daily
+    return reports.daily_counts(t.fact)
 
 
 @query
