@@ -1,9 +1,9 @@
 """Headline queries, timed; prints one JSON line.
 
 Every query runs once on the smallest tables first, so that class loading and
-code generation are not measured. Model queries build from the raw tables.
-Reports read the stored fact, dimension and mart, whose build is timed as
-``stored_tables``.
+code generation are not measured. ``raw_landing`` derives and stores the raw
+records; model queries build from those. ``stored_tables`` builds the fact,
+lots, dimension and mart that the reports read.
 """
 
 from __future__ import annotations
@@ -48,6 +48,10 @@ def stored_tables(spark, sf_dir):
     return Tables.of(spark, sf_dir).mart
 
 
+def raw_landing(spark, sf_dir):
+    return Tables.of(spark, sf_dir).landed["complaints"]
+
+
 def timed(run, spark, sf_dir) -> float:
     start = time.perf_counter()
     drain(run(spark, sf_dir))
@@ -65,7 +69,8 @@ def main() -> None:
         },
     )
     spark.sparkContext.setLogLevel("ERROR")
-    runs = {name: REGISTRY[name] for name in MODELS}
+    runs = {"raw_landing": raw_landing}
+    runs.update({name: REGISTRY[name] for name in MODELS})
     runs["stored_tables"] = stored_tables
     runs.update({name: REGISTRY[name] for name in REPORTS})
     if os.path.isdir(WARM_DIR) and os.path.realpath(WARM_DIR) != os.path.realpath(SF_DIR):

@@ -209,12 +209,12 @@ _VIEWS: dict[str, str] = {
         FROM fct WHERE is_no_heat AND heat_season IS NOT NULL AND latitude BETWEEN 40.4::DOUBLE AND 41.0::DOUBLE
              AND longitude BETWEEN -74.3::DOUBLE AND -73.6::DOUBLE GROUP BY ALL""",
     "sized": """
-        SELECT heat_season, bbl, rate,
-               CASE WHEN gfa <= s[cast(floor(0.25 * (len(s) - 1)) AS bigint) + 1] THEN 1
-                    WHEN gfa <= s[cast(floor(0.5 * (len(s) - 1)) AS bigint) + 1] THEN 2
-                    WHEN gfa <= s[cast(floor(0.75 * (len(s) - 1)) AS bigint) + 1] THEN 3 ELSE 4 END AS g
-        FROM rlots JOIN (SELECT heat_season, list(gfa ORDER BY gfa) AS s FROM rlots WHERE gfa > 0 GROUP BY 1)
-        USING (heat_season) WHERE gfa > 0""",
+        SELECT heat_season, bbl, rate, CASE WHEN gfa <= a THEN 1 WHEN gfa <= b THEN 2 WHEN gfa <= c THEN 3 ELSE 4 END AS g
+        FROM rlots JOIN (
+            SELECT heat_season, s[cast(floor(0.25 * (len(s) - 1)) AS bigint) + 1] AS a,
+                   s[cast(floor(0.5 * (len(s) - 1)) AS bigint) + 1] AS b, s[cast(floor(0.75 * (len(s) - 1)) AS bigint) + 1] AS c
+            FROM (SELECT heat_season, list(gfa ORDER BY gfa) AS s FROM rlots WHERE gfa > 0 GROUP BY 1)) USING (heat_season)
+        WHERE gfa > 0""",
     "spans": """
         SELECT s.heat_season AS season, s.heating_year_start AS y, make_date(s.heating_year_start, 10, 1) AS start,
                least(make_date(s.heating_year_start + 1, 5, 31), (SELECT max(d) FROM daily)) AS upto,
@@ -360,6 +360,9 @@ _QUERIES: dict[str, str] = {
                count(*) AS lots, (SELECT max(created_date) FROM fct) AS data_through,
                (SELECT count(*) FROM fct) AS complaints_total,
                (SELECT count(*) FROM fct WHERE is_no_heat) AS no_heat_total FROM mart GROUP BY 1""",
+    "incremental_ingest": "SELECT cast(cast(updated_at AS date) AS varchar) AS dt, count(*) AS n FROM rc GROUP BY 1",
+    "ledger_load": "SELECT report_year, count(*) AS n, TIMESTAMP '2001-09-03' AS loaded_at FROM rp GROUP BY 1",
+    "upsert_latest": "SELECT complaint_id AS unique_key, status, source_file FROM stg",
     "union_by_name": """
         SELECT unique_key, CASE WHEN source_file = 'dt=2001-09-03' THEN status END AS status, source_file FROM rc""",
     "deleted_keys": """
@@ -466,20 +469,21 @@ _QUERIES: dict[str, str] = {
         USING (report_year) WHERE d.has_energy_star_score""",
     "peer_comparison": """
         SELECT p.heat_season, p.bbl, cast(p.g AS integer) AS size_group, p.peers,
-               round(m.rates[cast(floor(p.peers / 2) AS bigint) + 1], 4) AS peer_median,
+               round(m.med, 4) AS peer_median,
                cast(round((p.rk - 1) / p.peers * 100) AS bigint) AS pct_below
         FROM (SELECT *, count(*) OVER (PARTITION BY heat_season, g) AS peers,
                      rank() OVER (PARTITION BY heat_season, g ORDER BY rate) AS rk FROM sized) p
-        JOIN (SELECT heat_season, g, list(rate ORDER BY rate) AS rates FROM sized GROUP BY 1, 2) m
+        JOIN (SELECT heat_season, g, r[cast(floor(len(r) / 2) AS bigint) + 1] AS med
+              FROM (SELECT heat_season, g, list(rate ORDER BY rate) AS r FROM sized GROUP BY 1, 2)) m
         USING (heat_season, g)""",
     "grid_hotspots": "SELECT * FROM cells",
     "hotspot_classes": """
-        SELECT season, lat, lon, boro, n,
-               CASE WHEN n <= s[cast(floor(0.5 * (len(s) - 1)) AS bigint) + 1] THEN 0
-                    WHEN n <= s[cast(floor(0.8 * (len(s) - 1)) AS bigint) + 1] THEN 1
-                    WHEN n <= s[cast(floor(0.95 * (len(s) - 1)) AS bigint) + 1] THEN 2 ELSE 3 END AS "class",
-               round(2 + sqrt(n / s[len(s)]) * 11, 4) AS radius
-        FROM cells JOIN (SELECT season, list(n ORDER BY n) AS s FROM cells GROUP BY 1) USING (season)""",
+        SELECT season, lat, lon, boro, n, CASE WHEN n <= a THEN 0 WHEN n <= b THEN 1 WHEN n <= c THEN 2 ELSE 3 END AS "class",
+               round(2 + sqrt(n / top) * 11, 4) AS radius
+        FROM cells JOIN (
+            SELECT season, s[cast(floor(0.5 * (len(s) - 1)) AS bigint) + 1] AS a, s[cast(floor(0.8 * (len(s) - 1)) AS bigint) + 1] AS b,
+                   s[cast(floor(0.95 * (len(s) - 1)) AS bigint) + 1] AS c, s[len(s)] AS top
+            FROM (SELECT season, list(n ORDER BY n) AS s FROM cells GROUP BY 1)) USING (season)""",
     # counts and rates
     "daily_region_counts": "SELECT * FROM daily",
     "monthly_counts": """

@@ -26,7 +26,7 @@ class Run(NamedTuple):
     checks: DataFrame
 
 
-class Pipeline:
+class DailyRun:
     def __init__(self, spark: SparkSession, root: str):
         self.spark, self.root = spark, root
         self.complaints = RawTable(spark, f"{root}/raw/complaints")

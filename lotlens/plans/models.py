@@ -96,9 +96,12 @@ def build_stg_complaints(raw: DataFrame) -> DataFrame:
 
 
 def type_properties(raw: DataFrame) -> DataFrame:
-    """Typed columns of the newest load of every property file."""
-    current = latest_load(raw)
-    return current.select(
+    """Typed columns of the newest load of every property file.
+
+    Typed right above the scan, where Spark reads only the extracted fields of
+    a stored record; the older loads are filtered out afterwards.
+    """
+    typed = raw.select(
         try_whole(field(raw, "report_year")).alias("report_year"),
         field(raw, "property_id").alias("property_id"),
         *[null_if_any(field(raw, src), lb.MISSING).alias(out) for out, src in PROPERTY_TEXT.items()],
@@ -112,6 +115,7 @@ def type_properties(raw: DataFrame) -> DataFrame:
         "source_file",
         "loaded_at",
     )
+    return latest_load(typed)
 
 
 def newest_per_property(typed: DataFrame) -> DataFrame:

@@ -6,9 +6,10 @@ import tempfile
 import uuid
 from concurrent.futures import ThreadPoolExecutor
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 
-_local_dirs: dict[str, str] = {}
+_local_dirs: dict[str, tempfile.TemporaryDirectory] = {}
 
 
 def get_session(app: str = "lotlens", master: str | None = None, **conf: str) -> SparkSession:
@@ -28,16 +29,16 @@ def get_session(app: str = "lotlens", master: str | None = None, **conf: str) ->
 
 def work_dir(spark: SparkSession) -> str:
     """Folder named by ``spark.checkpoint.dir``; a private one only for local sessions without it."""
-    base = spark.conf.get("spark.checkpoint.dir", None)
+    context = spark.sparkContext
+    base = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if base:
         return base.rstrip("/")
-    context = spark.sparkContext
     if not context.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder all executors can reach")
     app = context.applicationId
-    if app not in _local_dirs:
-        _local_dirs[app] = tempfile.mkdtemp(prefix="lotlens-")
-    return _local_dirs[app]
+    if app not in _local_dirs:  # removed when the interpreter exits
+        _local_dirs[app] = tempfile.TemporaryDirectory(prefix="lotlens-", ignore_cleanup_errors=True)
+    return _local_dirs[app].name
 
 
 def materialize(df: DataFrame, name: str) -> DataFrame:
@@ -57,5 +58,8 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
 def materialize_all(**frames: DataFrame) -> dict[str, DataFrame]:
     """Write independent frames at the same time, so that they share the cluster."""
     with ThreadPoolExecutor(len(frames)) as pool:
-        jobs = {name: pool.submit(materialize, df, name) for name, df in frames.items()}
+        jobs = {
+            name: pool.submit(inheritable_thread_target(materialize), df, name)
+            for name, df in frames.items()
+        }
         return {name: job.result() for name, job in jobs.items()}

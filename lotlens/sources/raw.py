@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from datetime import datetime, timezone
+from itertools import islice
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -98,9 +99,9 @@ def load_years(source: DataFrame, raw_path: str, years: list[str] | None = None)
     return counts_by(landed, ["report_year"])
 
 
-def scan_with_lineage(spark: SparkSession, *paths: str, merge: bool = False) -> DataFrame:
+def scan_with_lineage(spark: SparkSession, *paths: str) -> DataFrame:
     """Parquet rows with the file they came from."""
-    return spark.read.option("mergeSchema", merge).parquet(*paths).select("*", F.col("_metadata.file_path").alias("source_file"))
+    return spark.read.parquet(*paths).select("*", F.col("_metadata.file_path").alias("source_file"))
 
 
 def base_name(path: str):
@@ -145,28 +146,34 @@ class RawTable:
         )
         return listed.join(self.ledger(), FILE_KEY, "left_anti")
 
-    def load(self, stage: str, loaded_at: str) -> int:
-        """Load new files; returns how many. Running it again without new files does nothing."""
-        batch = (self.ledger().agg(F.max("batch")).first()[0] or 0) + 1
-        files = self.new_files(stage).withColumn("batch", F.lit(batch).cast("long"))
-        paths = [row["path"] for row in files.select("path").toLocalIterator()]
-        if not paths:
-            return 0
-        found = self.spark.createDataFrame(
-            [tuple(row) for row in files.toLocalIterator()], LEDGER_SCHEMA
-        )
+    def load(self, stage: str, loaded_at: str, files_per_batch: int = 10_000) -> int:
+        """Load new files; returns how many. Running it again without new files does nothing.
+
+        Only file names pass the driver, a bounded number at a time.
+        """
+        batch = self.ledger().agg(F.max("batch")).first()[0] or 0
+        listed = self.new_files(stage).toLocalIterator()
+        loaded = 0
+        while files := list(islice(listed, files_per_batch)):
+            batch += 1
+            self._load_batch([tuple(f) for f in files], loaded_at, batch)
+            loaded += len(files)
+        return loaded
+
+    def _load_batch(self, files: list[tuple], loaded_at: str, batch: int) -> None:
         # files differ in their columns; what one lacks is NULL in its records
-        read = scan_with_lineage(self.spark, *paths, merge=True)
-        payload = [F.col(f"`{c}`") for c in read.columns if c != "source_file"]
+        paths = [path for path, *_ in files]
+        read = self.spark.read.option("mergeSchema", True).parquet(*paths)
+        payload = F.struct(*[F.col(f"`{c}`") for c in read.columns])
         rows = read.select(
-            F.to_variant_object(F.struct(*payload)).alias("record"),
-            "source_file",
+            F.to_variant_object(payload).alias("record"),
+            F.col("_metadata.file_path").alias("source_file"),
             F.lit(loaded_at).cast("timestamp_ntz").alias("loaded_at"),
             F.lit(batch).cast("long").alias("batch"),
         )
         overwrite_partitions(rows, self.rows_path, "batch", rebalance=False)
-        found.write.mode("append").parquet(self.ledger_path)
-        return len(paths)
+        entries = self.spark.createDataFrame([(*f, batch) for f in files], LEDGER_SCHEMA)
+        entries.coalesce(1).write.mode("append").parquet(self.ledger_path)
 
 
 __all__ = [

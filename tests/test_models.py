@@ -1,4 +1,4 @@
-"""Models end to end on small raw inputs, and the daily pipeline with its gate."""
+"""Models end to end on small raw inputs, and the daily run with its gate."""
 
 import json
 
@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from lotlens.operators import quality
 from lotlens.plans import bindings, models, reports
-from lotlens.plans.pipeline import Pipeline
+from lotlens.plans.daily import DailyRun
 from tests.conftest import values
 from tests.test_sources import write_file
 
@@ -217,9 +217,9 @@ def test_search_rules(spark):
     assert reports.search(lots, "oak", region="Queens").count() == 0
 
 
-def test_pipeline_publishes_only_good_builds(spark, tmp_path):
+def test_daily_run_publishes_only_good_builds(spark, tmp_path):
     root, stage = str(tmp_path / "lake"), tmp_path / "stage"
-    pipe = Pipeline(spark, root)
+    pipe = DailyRun(spark, root)
     cols = lambda fields: ", ".join(f"{c} string" for c in fields)
     write_file(
         spark, f"{stage}/c/dt=1/a.parquet",

@@ -9,6 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from lotlens.sources import export, extract, raw
+from lotlens.session import work_dir
 from lotlens.sources.state import Bookmark
 from tests.conftest import values
 
@@ -167,6 +168,30 @@ def test_crash_between_rows_and_ledger_leaves_no_duplicates(spark, tmp_path, mon
     assert table.rows().count() == 2
 
 
+def test_many_files_are_loaded_in_bounded_batches(spark, tmp_path):
+    stage, table = str(tmp_path / "stage"), raw.RawTable(spark, str(tmp_path / "table"))
+    for i in range(5):
+        write_file(spark, f"{stage}/{i}.parquet", [(str(i), "1")])
+    assert table.load(stage, "2026-01-01", files_per_batch=2) == 5
+    assert table.rows().count() == 5
+    assert table.ledger().agg(F.max("batch")).first()[0] == 3
+    assert table.load(stage, "2026-01-02", files_per_batch=2) == 0
+
+
+def test_work_folder_comes_from_the_session():
+    class Fake:
+        def __init__(self, master, folder):
+            self.master, self.applicationId = master, "app"
+            self.conf, self.sparkContext = {"spark.checkpoint.dir": folder}, self
+
+        def getCheckpointDir(self):
+            return None
+
+    assert work_dir(Fake("yarn", "hdfs:///shared/")) == "hdfs:///shared"
+    with pytest.raises(RuntimeError, match=r"spark\.checkpoint\.dir"):
+        work_dir(Fake("yarn", None))
+
+
 def test_lineage_scan(spark, tmp_path):
     write_file(spark, f"{tmp_path}/s/one.parquet", [("x", "1")])
     got = raw.scan_with_lineage(spark, f"{tmp_path}/s").first()
