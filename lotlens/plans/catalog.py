@@ -111,7 +111,8 @@ class Tables:
 
     @cached_property
     def mart(self) -> DataFrame:
-        return materialize(models.build_lot_season_mart(self.fact, self.dim), "mart")
+        mart = models.build_lot_season_mart(self.fact, self.dim, dim_is_stored=True)
+        return materialize(mart, "mart")
 
     @cached_property
     def daily(self) -> DataFrame:

@@ -66,7 +66,9 @@ class DailyRun:
         keep("complaint_fact", fact)
         keep(
             "lot_season_mart",
-            models.build_lot_season_mart(done["complaint_fact"], done["lot_dimension"]),
+            models.build_lot_season_mart(
+                done["complaint_fact"], done["lot_dimension"], dim_is_stored=True
+            ),
         )
         return done
 

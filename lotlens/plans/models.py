@@ -265,14 +265,18 @@ def season_lots(seasons: DataFrame, dim: DataFrame) -> DataFrame:
     ).drop("report_year")
 
 
-def build_lot_season_mart(fact: DataFrame, dim: DataFrame) -> DataFrame:
+def build_lot_season_mart(fact: DataFrame, dim: DataFrame, dim_is_stored: bool = False) -> DataFrame:
     """One row per residential lot and season, lots without complaints kept with 0.
 
     Size quartiles are a property of the dimension snapshot (a season has
     exactly one), so they are ranked once per snapshot, not once per season.
+    The dimension is read several times: one that is not a table is written first.
     """
-    stored = materialize_all(season_facts=season_facts(fact), lot_dimension=dim)
-    per_lot, dim = stored["season_facts"], stored["lot_dimension"]
+    frames = {"season_facts": season_facts(fact)}
+    if not dim_is_stored:
+        frames["lot_dimension"] = dim
+    stored = materialize_all(**frames)
+    per_lot, dim = stored["season_facts"], stored.get("lot_dimension", dim)
     scored = ntile_by(
         dim.filter("has_energy_star_score"), ["report_year"], "total_gfa_sqft", "bbl", 4, "size_quartile"
     )

@@ -153,7 +153,8 @@ def season_region_rollup(fact: DataFrame) -> DataFrame:
     complaints, the exact median hours to close, and the number of closed ones.
 
     Lots are made distinct, and close times collapsed to counted minutes, before
-    the grouping sets expand them.
+    the grouping sets expand them. Both shrink map-side, so the stored fact is
+    rather scanned twice than shuffled as it is.
     """
     base = with_region(fact.filter(F.col("heat_season").isNotNull())).select(
         F.col("heat_season").alias("season"),
@@ -161,24 +162,19 @@ def season_region_rollup(fact: DataFrame) -> DataFrame:
         F.when(F.col("is_no_heat"), F.col("bbl")).alias("lot"),
         F.when(F.col("is_no_heat"), cal.close_minutes("created_at", "closed_at")).alias("minutes"),
     )
-    season, boro = F.col("season"), F.col("boro")
-    sets = [[season, boro], [season]]
+    season, boro, minute = F.col("season"), F.col("boro"), F.col("minutes")
     region = F.when(F.grouping("boro") == 1, ALL_REGIONS).otherwise(F.col("boro"))
-
-    collapsed = materialize(
-        base.groupBy("season", "boro", "lot", "minutes").agg(rows().alias("weight")), "season-lots"
-    )
     lots = (
-        collapsed.select("season", "boro", "lot")
+        base.select("season", "boro", "lot")
         .distinct()
-        .groupingSets(sets, season, boro)
+        .groupingSets([[season, boro], [season]], season, boro)
         .agg(region.alias("label"), F.count("lot").alias("buildings"))
     )
     minutes = (
-        collapsed.filter(F.col("minutes").isNotNull())
+        base.filter(F.col("minutes").isNotNull())
         .groupBy("season", "boro", "minutes")
-        .agg(F.sum("weight").alias("w"))
-        .groupingSets([[season, F.col("minutes"), boro], [season, F.col("minutes")]], season, F.col("minutes"), boro)
+        .agg(rows().alias("w"))
+        .groupingSets([[season, minute, boro], [season, minute]], season, minute, boro)
         .agg(region.alias("label"), F.sum("w").alias("weight"))
         .select("season", "label", "minutes", "weight")
     )

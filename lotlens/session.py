@@ -57,9 +57,8 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
 
 def materialize_all(**frames: DataFrame) -> dict[str, DataFrame]:
     """Write independent frames at the same time, so that they share the cluster."""
+    spark = next(iter(frames.values())).sparkSession
+    write = inheritable_thread_target(spark)(materialize)
     with ThreadPoolExecutor(len(frames)) as pool:
-        jobs = {
-            name: pool.submit(inheritable_thread_target(materialize), df, name)
-            for name, df in frames.items()
-        }
+        jobs = {name: pool.submit(write, df, name) for name, df in frames.items()}
         return {name: job.result() for name, job in jobs.items()}

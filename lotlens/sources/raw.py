@@ -130,10 +130,14 @@ class RawTable:
         return read_or_empty(self.spark, self.ledger_path, LEDGER_SCHEMA)
 
     def rows(self) -> DataFrame:
-        """Rows of committed batches."""
+        """Rows of committed batches; at most the one after them can be unfinished.
+
+        The batch is a partition column, so this is a partition filter and
+        leaves the scan open to reading single fields of the records.
+        """
         stored = read_or_empty(self.spark, self.rows_path, f"{RAW_SCHEMA}, batch long")
-        committed = self.ledger().select("batch").distinct()
-        return stored.join(committed, "batch", "left_semi").drop("batch")
+        newest = self.ledger().agg(F.max("batch").alias("newest"))
+        return stored.filter(F.col("batch") <= newest.scalar()).drop("batch")
 
     def new_files(self, stage: str) -> DataFrame:
         """Files of the stage that the ledger does not know; only their metadata is read."""
