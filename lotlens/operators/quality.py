@@ -78,7 +78,10 @@ def freshness(
     error_days: int = 5,
     zone: str | None = None,
 ) -> DataFrame:
-    """Age of the newest load at ``now`` (UTC); ``zone`` is the wall clock ``loaded`` is kept in."""
+    """Age of the newest load at ``now`` (UTC); ``zone`` is the wall clock ``loaded`` is kept in.
+
+    A table without any load is an error.
+    """
     newest: Column = F.max(loaded)
     if zone:
         newest = F.convert_timezone(F.lit(zone), F.lit("UTC"), newest)
@@ -89,5 +92,8 @@ def freshness(
     return aged.select(
         "max_loaded",
         F.datediff(F.to_date("_now"), F.to_date("max_loaded")).alias("age_days"),
-        F.when(late(error_days), "error").when(late(warn_days), "warn").otherwise("pass").alias("status"),
+        F.when(F.col("max_loaded").isNull() | late(error_days), "error")
+        .when(late(warn_days), "warn")
+        .otherwise("pass")
+        .alias("status"),
     )

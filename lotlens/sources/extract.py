@@ -69,10 +69,12 @@ def reconcile_report(source: DataFrame, got: DataFrame, by: str) -> DataFrame:
 
 
 def month_spans(spans: DataFrame, first: Column, last: Column) -> DataFrame:
-    """Half-open months from the month of ``first`` through that of ``last``, one row each."""
-    start = F.explode(
-        F.sequence(F.trunc(first, "month"), F.trunc(last, "month"), F.expr("interval 1 month"))
-    )
+    """Half-open months from the month of ``first`` through that of ``last``, one row each.
+
+    None when ``last`` lies before ``first``.
+    """
+    a, b = F.trunc(first, "month"), F.trunc(last, "month")
+    start = F.explode(F.when(a <= b, F.sequence(a, b, F.expr("interval 1 month"))))
     return spans.select(start.alias("first_day")).select(
         month_label("first_day").alias("label"),
         "first_day",

@@ -194,6 +194,7 @@ def test_freshness_levels(spark):
     df = spark.sql("select timestamp_ntz'2026-01-01 00:00:00' t")
     for now, want in (("2026-01-04 00:00:00", "pass"), ("2026-01-04 00:00:01", "warn"), ("2026-01-06 00:00:01", "error")):
         assert quality.freshness(df, "t", now).first()["status"] == want
+    assert quality.freshness(df.limit(0), "t", "2026-01-04 00:00:00").first()["status"] == "error"
     pacific = quality.freshness(df, "t", "2026-01-04 07:00:00", zone="America/Los_Angeles").first()
     assert str(pacific["max_loaded"]) == "2026-01-01 08:00:00" and pacific["status"] == "pass"
 

@@ -58,6 +58,7 @@ def test_months(spark):
     got = [tuple(r) for r in extract.month_windows(spark, "2025-11", "2026-02-28").collect()]
     assert [g[0] for g in got] == ["2025-11", "2025-12", "2026-01", "2026-02"]
     assert got[1][1:] == (dt.date(2025, 12, 1), dt.date(2026, 1, 1))
+    assert extract.month_windows(spark, "2026-03", "2026-02-28").count() == 0
     df = log(spark, [("a", "2025-11-30 23:59:59"), ("b", "2026-01-01"), ("c", "2026-03-01"), ("d", "2025-10-31")])
     counts = extract.counts_by_month(df, "ts", "2025-11", "2026-02-01")
     assert values(counts) == [("2025-11", 1), ("2025-12", 0), ("2026-01", 1), ("2026-02", 0)]
