@@ -108,7 +108,3 @@ def snap(c: Column | str, cell: float) -> Column:
 def fraction_of(cond: Column) -> Column:
     """Share of rows for which ``cond`` holds."""
     return F.avg(F.when(cond, 1.0).otherwise(0.0))
-
-
-def conditional(cond: Column, value: Column | str) -> Column:
-    return F.when(cond, as_col(value))

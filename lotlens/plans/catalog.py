@@ -12,7 +12,15 @@ from pyspark.sql import functions as F
 from ..functions import calendar as cal
 from ..functions import keys
 from ..functions import labels as lb
-from ..functions.casts import null_if_any, try_int_rounded, try_num, try_ts, try_whole, utc_wall_clock
+from ..functions.casts import (
+    in_or_false,
+    null_if_any,
+    try_int_rounded,
+    try_num,
+    try_ts,
+    try_whole,
+    utc_wall_clock,
+)
 from ..operators import joins, latest, lots, profile, quality, ranks, stats
 from ..session import materialize, materialize_all, work_dir
 from ..sources import export, extract, raw
@@ -423,7 +431,7 @@ def valid_lot_key(t: Tables) -> DataFrame:
 @query
 def no_heat_flag(t: Tables) -> DataFrame:
     heat = t.rc.filter(F.col("complaint_type") == lb.HEAT_TYPE)
-    flag = models.in_or_false("descriptor_2", lb.NO_HEAT)
+    flag = in_or_false("descriptor_2", lb.NO_HEAT)
     return heat.select("unique_key", flag.alias("is_no_heat"))
 
 

@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 
 from ..functions.calendar import month_label
 from ..operators.profile import counts_by
-from .extract import between_half_open, checked_load, extract_since, reconcile
+from .extract import between_half_open, extract_since, reconcile
 from .state import Bookmark, read_or_empty
 
 NESTED = (T.StructType, T.ArrayType, T.MapType)
@@ -178,18 +178,3 @@ class RawTable:
         overwrite_partitions(rows, self.rows_path, "batch", rebalance=False)
         entries = self.spark.createDataFrame([(*f, batch) for f in files], LEDGER_SCHEMA)
         entries.coalesce(1).write.mode("append").parquet(self.ledger_path)
-
-
-__all__ = [
-    "RawTable",
-    "backfill",
-    "base_name",
-    "checked_load",
-    "ingest",
-    "load_years",
-    "nested_to_json",
-    "overwrite_partitions",
-    "rows_per_file",
-    "scan_with_lineage",
-    "write_raw",
-]

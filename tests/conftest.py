@@ -24,7 +24,7 @@ def spark():
     session.stop()
 
 
-def values(df, *order):
+def values(df):
     """Rows as sorted tuples."""
     rows = [tuple(r) for r in df.collect()]
     return sorted(rows, key=lambda r: tuple((v is None, str(v)) for v in r))
