@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import contextlib
 import tempfile
 import uuid
 from concurrent.futures import ThreadPoolExecutor
@@ -10,6 +12,7 @@ from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 
 _local_dirs: dict[str, tempfile.TemporaryDirectory] = {}
+_written: dict[str, SparkSession] = {}  # stored tables that nobody has released
 
 
 def get_session(app: str = "lotlens", master: str | None = None, **conf: str) -> SparkSession:
@@ -51,8 +54,32 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     """
     spark = df.sparkSession
     path = f"{work_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    _written[path] = spark
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    stored = spark.read.schema(df.schema).parquet(path)
+    stored.stored_at = path
+    return stored
+
+
+def release(*stored: DataFrame | str) -> None:
+    """Delete tables written by ``materialize``; plans that still read them fail afterwards."""
+    for one in stored:
+        path = one if isinstance(one, str) else one.stored_at
+        spark = _written.pop(path, None)
+        if spark is not None:
+            hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
+            hadoop.getFileSystem(spark._jsc.hadoopConfiguration()).delete(hadoop, True)
+
+
+def release_all(spark: SparkSession | None = None) -> None:
+    """Delete what ``materialize`` has left, of one session or of all that still run."""
+    for path, owner in list(_written.items()):
+        if spark is None or owner is spark:
+            with contextlib.suppress(Exception):  # the session may be gone
+                release(path)
+
+
+atexit.register(release_all)
 
 
 def materialize_all(**frames: DataFrame) -> dict[str, DataFrame]:

@@ -4,6 +4,8 @@ import pytest
 
 import __spark_entry__ as entry
 from checks.compare import compare, duck
+from checks.oracle import ORACLE
+from lotlens.plans.catalog import REGISTRY
 
 SF = "/root/testdata/sf0.001"
 NO_SQL = {"random_points", "poisson_rate_model"}
@@ -15,13 +17,14 @@ def con():
 
 
 def test_only_known_queries_lack_sql():
-    assert set(entry.queries()) - set(entry.oracle_sql()) == NO_SQL
+    assert set(REGISTRY) - set(ORACLE) == NO_SQL
+    assert set(ORACLE) <= set(REGISTRY) <= set(entry.queries())
     assert set(entry.oracle_sql()) <= set(entry.queries())
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", sorted(REGISTRY))
 def test_query(spark, con, name):
-    ok, note = compare(spark, con, name, entry.queries()[name], entry.oracle_sql().get(name), SF)
+    ok, note = compare(spark, con, name, REGISTRY[name], ORACLE.get(name), SF)
     assert ok, note
 
 
