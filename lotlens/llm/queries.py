@@ -6,11 +6,26 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import materialize
-from . import fingerprint, license_scan, near_dedup, sharding, url_filter
+from . import (
+    decontamination,
+    fingerprint,
+    language,
+    license_scan,
+    near_dedup,
+    packing,
+    quality,
+    sharding,
+    toxicity,
+    url_filter,
+)
 from .common import table
+from .samples import fold
 
 SHARDS = 8
 QUERY_STEP = 100  # searches take every row whose id this number divides as a query
+KEPT_FROM = 0.3  # least score that counts as label 1
+TOXIC_FOLDS, TOXIC_HELD_OUT = 4, 2
+QUALITY_FOLDS, QUALITY_HELD_OUT = 5, 0
 
 
 def op1_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -20,10 +35,45 @@ def op1_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprint.count_near(prints, asked).drop("_f0", "_f1")
 
 
+def _judged(scored: DataFrame, folds: int, held_out: int) -> DataFrame:
+    return scored.select(
+        "doc_id",
+        (fold(F.col("doc_id"), folds) == held_out).alias("held_out"),
+        "score",
+        (F.col("score") >= KEPT_FROM).cast("int").alias("predicted"),
+    )
+
+
+def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    learn = fold(F.col("doc_id"), TOXIC_FOLDS) != TOXIC_HELD_OUT
+    model = toxicity.train(docs, labels, "doc_id", "text", "toxic", learn)
+    scored = toxicity.score(docs.select("doc_id", "text"), "text", model)
+    return _judged(scored, TOXIC_FOLDS, TOXIC_HELD_OUT)
+
+
+def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, items = table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
+    found = decontamination.with_matches(docs.select("doc_id", "text"), "text", items, "item_id", "text", "found")
+    return found.select("doc_id", F.inline("found"))
+
+
 def op4_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.near_duplicates(table(spark, sf_dir, "documents"), "doc_id", "text")
 
 
+def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(table(spark, sf_dir, "documents"), "doc_id", "text")
+
+
+def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    learn = fold(F.col("doc_id"), QUALITY_FOLDS) != QUALITY_HELD_OUT
+    model = quality.train(docs, labels, "doc_id", "text", "quality", learn)
+    scored = quality.score(docs.select("doc_id", "text"), "text", model)
+    return _judged(scored, QUALITY_FOLDS, QUALITY_HELD_OUT)
+
+
 def op7_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     text = F.coalesce("text", F.lit(""))
     rows = table(spark, sf_dir, "documents").select(
@@ -64,12 +114,22 @@ def op9_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_scan.scan(spark, table(spark, sf_dir, "documents"), "doc_id", "text").drop("spans")
 
 
+def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    model = language.train(table(spark, sf_dir, "documents"), "doc_id", "text", "lang")
+    return language.identify(table(spark, sf_dir, "pages"), "page_id", "url", "html", model)
+
+
 REGISTRY = {
     "op1_fingerprints": op1_fingerprints,
+    "op2_toxicity": op2_toxicity,
+    "op3_decontamination": op3_decontamination,
     "op4_near_dedup": op4_near_dedup,
+    "op5_packing": op5_packing,
+    "op6_quality": op6_quality,
     "op7_sharding": op7_sharding,
     "op8_url_filter": op8_url_filter,
     "op9_license_scan": op9_license_scan,
+    "op10_language": op10_language,
 }
 
 _HOST = "lower(regexp_extract(coalesce(url, ''), '(?s)^.*?://([^/?#]*)', 1))"
