@@ -34,16 +34,22 @@ SPACE = r"\x20\x09-\x0D"
 SHINGLE, RADIUS, SEGMENTS = 3, 2, 16
 
 
+def _text_hash(text: Column) -> Column:
+    return F.unhex(F.sha2(F.coalesce(text, F.lit("")), 256))
+
+
 def fingerprints(df: DataFrame, key: str, text: str, shingle: int = SHINGLE) -> DataFrame:
-    """Rows (key, fingerprint as long) from XXH64 (seed 42) of word shingles, repeats included."""
+    """Rows (key, _text_hash, fingerprint as long) from XXH64 (seed 42) of word shingles, repeats included."""
     worded = df.select(
         F.monotonically_increasing_id().alias("_row"),
         F.col(key).alias("_key"),
+        _text_hash(F.col(text)).alias("_text_hash"),
         split_words(ascii_lower(F.col(text)), SPACE).alias("_words"),
     )
-    terms = shingles(worded, ["_row", "_key"], "_words", shingle)
-    votes = vote(terms, ["_row", "_key"], [F.when(F.col("_term").isNotNull(), F.xxhash64("_term"))])
-    return votes.select(F.col("_key").alias(key), F.col("_f0").alias("fingerprint"))
+    about = ["_row", "_key", "_text_hash"]
+    terms = shingles(worded, about, "_words", shingle)
+    votes = vote(terms, about, [F.when(F.col("_term").isNotNull(), F.xxhash64("_term"))])
+    return votes.select(F.col("_key").alias(key), "_text_hash", F.col("_f0").alias("fingerprint"))
 
 
 def _counts(bits: Column, segments: int) -> list[Column]:
@@ -113,20 +119,56 @@ def links(distinct: DataFrame, radius: int = RADIUS, segments: int = SEGMENTS) -
     return pairs.filter(distance(F.col("a"), F.col("b")) <= radius)
 
 
-def near_duplicates(
-    df: DataFrame, key: str, text: str, *, shingle: int = SHINGLE, radius: int = RADIUS, segments: int = SEGMENTS
-) -> DataFrame:
-    """Rows (key, fingerprint as 16 hex digits, component_id), one per row of ``df``."""
+def _named(
+    df: DataFrame, key: str, text: str, shingle: int, radius: int, segments: int
+) -> tuple[DataFrame, DataFrame]:
+    """All rows with their fingerprints, and for each fingerprint its component (_root, component_id)."""
     marked = materialize(fingerprints(df, key, text, shingle), "fingerprints")
     distinct = materialize(
         marked.groupBy("fingerprint").agg(F.min(key).alias("least_id")), "distinct-fingerprints"
     )
-    # unsigned order is not needed: any total order of the fingerprints gives the same components
+    # any total order of the fingerprints gives the same components
     roots = components(links(distinct, radius, segments), "a", "b")
     rooted = distinct.join(roots, distinct["fingerprint"] == roots["node"], "left").select(
-        "fingerprint", "least_id", F.coalesce("root", "fingerprint").alias("root")
+        "fingerprint", "least_id", F.coalesce("root", "fingerprint").alias("_root")
     )
-    joint = rooted.groupBy("root").agg(F.min("least_id").alias("component_id"))
-    named = materialize(rooted.join(joint, "root").select("fingerprint", "component_id"), "named-fingerprints")
+    joint = rooted.groupBy("_root").agg(F.min("least_id").alias("component_id"))
+    named = materialize(rooted.join(joint, "_root").select("fingerprint", "_root", "component_id"), "named-fingerprints")
     release(distinct)
-    return marked.join(named, "fingerprint").select(key, digits(F.col("fingerprint")).alias("fingerprint"), "component_id")
+    return marked, named
+
+
+def keep_one(
+    df: DataFrame, key: str, text: str, *, shingle: int = SHINGLE, radius: int = RADIUS, segments: int = SEGMENTS
+) -> DataFrame:
+    """Of each component the row with the least id and, under one id, of the least text; columns as in ``df``.
+
+    A component whose rows all lack an id keeps one of them. Texts are shuffled once,
+    and only if rows of one id and text have to be told apart.
+    """
+    marked, named = _named(df, key, text, shingle, radius, segments)
+    # a null id sorts last
+    order = F.struct(F.col(key).isNull().alias("no_id"), F.col(key).alias("id"), F.col("_text_hash").alias("hash"))
+    kept = (
+        marked.join(named, "fingerprint")
+        .groupBy("_root")
+        .agg(F.min(order).alias("least"))
+        .select(F.col("least.id").alias("_id"), F.col("least.hash").alias("_hash"))
+    )
+    hashed = df.withColumn("_text_hash", _text_hash(F.col(text)))
+    # all rows of one id and text are alike to this operator: one of them stays
+    return (
+        hashed.join(kept, F.col(key).eqNullSafe(F.col("_id")) & (F.col("_text_hash") == F.col("_hash")), "left_semi")
+        .dropDuplicates([key, "_text_hash"])
+        .select(*df.columns)
+    )
+
+
+def near_duplicates(
+    df: DataFrame, key: str, text: str, *, shingle: int = SHINGLE, radius: int = RADIUS, segments: int = SEGMENTS
+) -> DataFrame:
+    """Rows (key, fingerprint as 16 hex digits, component_id), one per row of ``df``."""
+    marked, named = _named(df, key, text, shingle, radius, segments)
+    return marked.join(named, "fingerprint").select(
+        key, digits(F.col("fingerprint")).alias("fingerprint"), "component_id"
+    )

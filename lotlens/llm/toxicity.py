@@ -30,7 +30,7 @@ from .samples import bounded_sample
 
 BUCKETS, DIMENSIONS = 1 << 18, 8
 SHORTEST, LONGEST = 3, 5
-EPOCHS, UPDATES, BATCH, RATE, DECAY = 8, 800, 96, 0.2, 1e-6  # at least so many epochs and updates
+EPOCHS, UPDATES, BATCH, RATE, PATIENCE = 8, 100, 64, 0.4, 3  # at least so many epochs and updates
 STRETCH = 48  # words in a training stretch of a clean text, at most
 CHUNK = 2_000_000  # characters whose words are looked up together
 KNOWN_WORDS = 400_000  # words whose sums a task remembers at once
@@ -100,7 +100,7 @@ def fit(texts: list[str], labels: np.ndarray, share: float, seed: int = 7) -> Mo
     vectors = rng.normal(0, 0.05, (BUCKETS, DIMENSIONS)).astype(np.float32)
     softmax = rng.normal(0, 0.5, (DIMENSIONS, 2)).astype(np.float32)
     bias = np.zeros(2, np.float32)
-    grown, grown_softmax, grown_bias = np.full_like(vectors, 1e-8), np.full_like(softmax, 1e-8), np.full_like(bias, 1e-8)
+    grown, grown_softmax, grown_bias = None, np.full_like(softmax, 1e-8), np.full_like(bias, 1e-8)
     trainable = [i for i, ids in enumerate(bags) if len(ids)]
     batches = max(1, len(trainable) // BATCH)
     for _ in range(max(EPOCHS, -(-UPDATES // batches)) if trainable else 0):
@@ -136,13 +136,17 @@ def fit(texts: list[str], labels: np.ndarray, share: float, seed: int = 7) -> Mo
             for d in range(DIMENSIONS):
                 to_words = np.bincount(place, back[:, d], minlength=len(words))
                 slope[:, d] = np.bincount(used, np.repeat(to_words, sizes[words]), minlength=BUCKETS)
+            if grown is None:
+                # a feature has to be pushed often before it moves freely: words of one text alone stay put
+                start = (PATIENCE * np.sqrt((slope[used] ** 2).mean())) ** 2
+                grown = np.full_like(vectors, start)
             for value, total, step in (
                 (vectors, grown, slope),
                 (softmax, grown_softmax, means.T @ wrong),
                 (bias, grown_bias, wrong.sum(0)),
             ):
                 total += step * step
-                value -= RATE * (step / np.sqrt(total) + DECAY * value)
+                value -= RATE * step / np.sqrt(total)
     direction = softmax[:, 1] - softmax[:, 0]
     # the classes were weighed alike; the whole corpus has ``share`` of label 1
     share = min(max(share, 1e-4), 1 - 1e-4)
