@@ -1,0 +1,478 @@
+"""Classifiers, decontamination, packing, URL rules, licenses and languages against brute force."""
+
+import random
+import re
+import zlib
+
+import numpy as np
+import pandas as pd
+import pytest
+from pyspark.sql import functions as F
+
+from checks.compare import compare, duck
+from lotlens.llm import (
+    decontamination,
+    language,
+    license_scan,
+    packing,
+    quality,
+    samples,
+    toxicity,
+    url_filter,
+)
+from lotlens.llm import queries as q
+
+SF = "/root/testdata/sf0.001"
+DOC = "doc_id long, text string"
+ODD = [(1, None), (2, ""), (3, " \n\t "), (4, "one"), (5, "x" * 200_000), (6, "a b c " * 30_000), (6, "a b c " * 30_000), (None, "no id here")]
+
+
+def table(spark, name):
+    return spark.read.parquet(f"{SF}/{name}.parquet")
+
+
+# samples
+
+
+def test_sample_is_bounded_repeatable_and_whole(spark):
+    docs = spark.createDataFrame([(i, f"text {i} " * (1 + i % 7)) for i in range(200)] + [(3, "a"), (None, "b")], DOC)
+    marks = spark.createDataFrame([(i, i % 3) for i in range(150)] + [(3, 0), (None, 1), (7, None)], "doc_id long, y int")
+    one = samples.bounded_sample(marks, docs, "doc_id", "text", "y", rows=10)
+    assert one["label"].value_counts().to_dict() == {0: 10, 1: 10, 2: 10}
+    two = samples.bounded_sample(marks, docs.repartition(7), "doc_id", "text", "y", rows=10)
+    assert one.values.tolist() == two.values.tolist()
+    short = samples.bounded_sample(marks, docs, "doc_id", "text", "y", rows=10, chars=60)
+    assert short.groupby("label")["text"].apply(lambda t: t.str.len().sum()).max() <= 60
+    assert samples.bounded_sample(marks.limit(0), docs, "doc_id", "text", "y").empty
+
+
+def test_folds_agree_with_crc32(spark):
+    got = spark.range(50).select("id", samples.fold(F.col("id"), 4).alias("f")).collect()
+    assert all(r["f"] == zlib.crc32(str(r["id"]).encode()) % 4 for r in got)
+
+
+# toxicity
+
+
+def made_texts(n, seed, bad=("grubling", "snorfed", "wattlepate")):
+    rng = random.Random(seed)
+    syllables = "ka lo mi ren su ta vel dor pin os".split()
+    word = lambda: "".join(rng.choice(syllables) for _ in range(rng.randint(1, 3)))
+    texts, labels = [], []
+    for i in range(n):
+        words = [word() for _ in range(rng.randint(5, 60))]
+        if i % 3 == 0:
+            for _ in range(1 + len(words) // 15):
+                words.insert(rng.randrange(len(words)), rng.choice(bad))
+        texts.append(" ".join(words))
+        labels.append(int(i % 3 == 0))
+    return texts, np.array(labels)
+
+
+@pytest.fixture(scope="module")
+def toxic_model():
+    return toxicity.fit(*made_texts(900, 1), 1 / 3)
+
+
+def scores(model, texts):
+    return np.concatenate([s.to_numpy() for s in toxicity.score_batches(model, iter([pd.Series(texts)]))])
+
+
+def test_toxicity_on_held_out_texts(toxic_model):
+    texts, labels = made_texts(300, 2)
+    assert ((scores(toxic_model, texts) >= 0.3) == labels).mean() > 0.95
+
+
+def test_misspellings_share_ngrams(toxic_model):
+    clean = "kalo miren suta veldor pinos kata " * 2
+    plain, typo, other = scores(toxic_model, [clean, clean + "grublingg snorfeed watlepate", clean + "tavelre losumi doroska"])
+    assert typo > 0.5 > max(plain, other)
+
+
+def test_word_sums_equal_the_average_of_all_features(toxic_model):
+    text = "Grubling kalo, kalo miren (suta) ééé grubling"
+    words = toxicity.words_of(text)
+    features = np.concatenate([toxicity.subwords([w])[0] for w in words])
+    wanted = toxic_model.probability(np.array([toxic_model.weights[features].mean()]))
+    assert scores(toxic_model, [text]) == pytest.approx(wanted, rel=1e-5)
+
+
+def test_subwords_of_a_word():
+    numbers, sizes = toxicity.subwords(["cat", "a"])
+    assert sizes.tolist() == [1 + 3 + 2 + 1, 1 + 1]  # itself; <ca cat at>; <cat cat>; <cat>; and itself; <a>
+    assert toxicity.subwords(["cat."])[0].tolist() == toxicity.subwords(["cat"])[0].tolist()
+
+
+def test_toxicity_odd_rows_and_missing_labels(spark):
+    docs = spark.createDataFrame([(*r, 0.5, "s") for r in ODD], DOC + ", score_ double, words string")
+    none = spark.createDataFrame([], "doc_id long, toxic int")
+    model = toxicity.train(docs, none, "doc_id", "text", "toxic", F.lit(True))
+    rows = toxicity.score(docs, "text", model).collect()
+    assert len(rows) == len(ODD) and all(r["score"] < 1e-5 for r in rows)
+    labels = spark.createDataFrame([(4, 1), (4, 0), (6, 0), (2, None), (1, 1), (None, 1)], "doc_id long, toxic int")
+    model = toxicity.train(docs, labels, "doc_id", "text", "toxic", F.lit(True))
+    rows = toxicity.score(docs, "text", model).collect()
+    assert all(0 <= r["score"] <= 1 for r in rows)
+    assert toxicity.score(docs.limit(0), "text", model).count() == 0
+
+
+def test_op2_and_op6_shape(spark):
+    for run, folds, held in ((q.op2_toxicity, 4, 2), (q.op6_quality, 5, 0)):
+        rows = run(spark, SF).collect()
+        assert len(rows) == table(spark, "documents").count()
+        for r in rows:
+            assert r["held_out"] == (zlib.crc32(str(r["doc_id"]).encode()) % folds == held)
+            assert 0 <= r["score"] <= 1 and r["predicted"] == int(r["score"] >= 0.3)
+
+
+def test_held_out_labels_are_not_read(spark):
+    """Turning all held-out labels round changes no score."""
+    docs, labels = table(spark, "documents"), table(spark, "labels")
+    learn = samples.fold(F.col("doc_id"), 4) != 2
+    turned = labels.withColumn("toxic", F.when(learn, F.col("toxic")).otherwise(1 - F.col("toxic")))
+    a, b = (toxicity.train(docs, x, "doc_id", "text", "toxic", learn) for x in (labels, turned))
+    assert (a.weights == b.weights).all() and a.bias == b.bias
+
+
+# quality
+
+
+def test_quality_held_out(spark):
+    """On the larger test table: labels of the held-out fifth, of which none is used."""
+    sf = "/root/testdata/sf0.01"
+    got = {r["doc_id"]: r for r in q.op6_quality(spark, sf).collect()}
+    known = spark.read.parquet(f"{sf}/labels.parquet").collect()
+    held = [(got[r["doc_id"]]["predicted"], r["quality"]) for r in known if got[r["doc_id"]]["held_out"]]
+    assert sum(a == b for a, b in held) / len(held) > 0.95
+
+
+def test_prior_is_estimated():
+    rng = np.random.default_rng(0)
+    good = lambda n: rng.normal(1, 0.5, (n, 3))
+    bad = lambda n: rng.normal(-1, 0.5, (n, 3))
+    for share in (0.3, 0.6, 0.9):
+        unlabelled = np.concatenate([good(int(2000 * share)), bad(2000 - int(2000 * share))])
+        rng.shuffle(unlabelled)
+        assert quality.estimate_prior(good(1500), unlabelled, rng) == pytest.approx(share, abs=0.06)
+
+
+def test_quality_odd_rows(spark):
+    docs = spark.createDataFrame([(*r, 0.5) for r in ODD], DOC + ", score_ double")
+    no_labels = spark.createDataFrame([], "doc_id long, quality int")
+    assert quality.train(docs, no_labels, "doc_id", "text", "quality", F.lit(True)) == 0.0
+    assert {r["score"] for r in quality.score(docs, "text", 0.0).collect()} == {0.0}
+    net, _ = quality.fit(["good words here. " * 5] * 30, ["good words here. " * 5, "%% $$ ## @@"] * 30)
+    rows = quality.score(docs, "text", net).collect()
+    assert len(rows) == len(ODD) and all(0 <= r["score"] <= 1 for r in rows)
+    assert quality.score(docs.limit(0), "text", net).count() == 0
+    assert len(quality.describe(None)) == len(quality.describe("a b.\n c"))
+
+
+# decontamination
+
+
+def plain_distance(pattern, text):
+    """Least edit distance of the pattern to any stretch of the text, and the last end that a first minimum has."""
+    row = [0] * (len(text) + 1)
+    for i, p in enumerate(pattern, 1):
+        above, row = row, [i]
+        for j, t in enumerate(text, 1):
+            row.append(min(above[j - 1] + (p != t), above[j] + 1, row[j - 1] + 1))
+    return min(row), row.index(min(row))
+
+
+def test_bit_parallel_distance_equals_the_table():
+    rng = random.Random(4)
+    for _ in range(300):
+        pattern = [rng.choice("abcd") for _ in range(rng.randint(1, 90))]
+        text = [rng.choice("abcd") for _ in range(rng.randint(0, 120))]
+        if rng.random() < 0.5:
+            text[3:3] = pattern
+        got = decontamination.least_distance(decontamination.pattern_bits(pattern), len(pattern), text)
+        assert got == plain_distance(pattern, text)
+
+
+def test_every_occurrence_within_the_budget_is_found():
+    rng = random.Random(5)
+    vocabulary = [f"w{i}" for i in range(60)]
+    words = lambda n: [rng.choice(vocabulary) for _ in range(n)]
+    items = [(i, " ".join(words(rng.randint(5, 70)))) for i in range(25)]
+    finder = decontamination.Finder(items)
+    found = 0
+    for _ in range(150):
+        text = words(rng.randint(0, 200))
+        item = rng.choice(items)[1].split()
+        for _ in range(rng.randint(0, len(item) // 4)):
+            at = rng.randrange(len(item))
+            item[at : at + rng.randint(0, 1)] = words(rng.randint(0, 2))
+        at = rng.randint(0, len(text))
+        text[at:at] = item
+        got = {i: (d, a, b) for i, d, a, b in finder.matches(" ".join(text))}
+        for i, body in items:
+            pattern = body.split()
+            distance, _ = plain_distance(pattern, text)
+            if distance <= decontamination.budget(len(pattern)):
+                assert got[i][0] == distance
+                span = text[got[i][1] : got[i][2] + 1]
+                assert plain_distance(pattern, span)[0] == distance
+                found += 1
+            else:
+                assert i not in got
+    assert found > 100
+
+
+def test_decontamination_odd_rows(spark):
+    item = "The five Words of an Item, here"
+    items = spark.createDataFrame([(1, item), (1, item), (2, None), (3, ""), (4, "tiny item"), (None, "x y z w v u")], "item_id long, text string")
+    texts = ODD + [(10, "before. the FIVE words\nof an item -- here, after"), (11, "Tiny  item!"), (12, "a tiny item"), (13, "the five words of some item here")]
+    docs = spark.createDataFrame([(*r, 1, "f") for r in texts], DOC + ", item_id int, found string")
+    got = decontamination.with_matches(docs.select("doc_id", "text"), "text", items, "item_id", "text", "m")
+    rows = sorted((r["doc_id"], r["item_id"], r["distance"], r["first_word"], r["last_word"]) for r in got.select("doc_id", F.inline("m")).collect())
+    assert rows == [(10, 1, 0, 1, 7), (10, 1, 0, 1, 7), (11, 4, 0, 0, 1), (13, 1, 1, 0, 6), (13, 1, 1, 0, 6)]
+    none = decontamination.with_matches(docs, "text", items.limit(0), "item_id", "text", "m")
+    assert none.filter(F.size("m") > 0).count() == 0
+    assert decontamination.with_matches(docs.limit(0), "text", items, "item_id", "text", "m").count() == 0
+
+
+def test_blocks_hold_all_items(spark):
+    items = spark.createDataFrame([(i, "word " * 20) for i in range(100)], "item_id long, text string")
+    blocks = list(decontamination.blocks_of(items, "item_id", "text", 2_000))
+    assert len(blocks) == 5 and sorted(i for b in blocks for i, _ in b) == list(range(100))
+    docs = spark.createDataFrame([(1, "word " * 20)], DOC)
+    found = [decontamination.matcher(b)(F.col("text")) for b in blocks if b]
+    assert docs.select(F.size(F.concat(*found))).first()[0] == 100
+
+
+def test_op3_against_brute_force(spark):
+    docs, items = table(spark, "documents").collect(), table(spark, "benchmark").collect()
+    wanted = {}
+    texts = [(d["doc_id"], decontamination.words_of(d["text"])) for d in docs]
+    for item in items:
+        pattern = decontamination.words_of(item["text"])
+        bits, most = decontamination.pattern_bits(pattern), decontamination.budget(len(pattern))
+        for doc_id, words in texts:
+            distance, _ = decontamination.least_distance(bits, len(pattern), words)
+            if distance <= most:
+                wanted[doc_id, item["item_id"]] = distance
+    got = {(r["doc_id"], r["item_id"]): r["distance"] for r in q.op3_decontamination(spark, SF).collect()}
+    assert got == wanted
+
+
+# packing
+
+
+def check_packed(docs, pieces):
+    exact, _ = packing.encoders()
+    ids = {k: [*exact.encode(t or "", add_special_tokens=False).ids, 1] for k, t in docs}
+    at, sequences = {}, {}
+    for p in sorted(pieces, key=lambda p: (p["doc_id"], p["start"])):
+        own = ids[p["doc_id"]]
+        assert p["start"] == at.get(p["doc_id"], 0) and p["doc_tokens"] == len(own) and p["length"] > 0
+        at[p["doc_id"]] = p["start"] + p["length"]
+        part = np.array(own[p["start"] : at[p["doc_id"]]], "<u4")
+        assert len(part) == p["length"] and zlib.crc32(part.tobytes()) == p["ids_crc32"]
+        sequences.setdefault(p["sequence_id"], []).append((p["offset"], p["length"]))
+    assert at == {k: len(v) for k, v in ids.items()}
+    padding = 0
+    for parts in sequences.values():
+        end = 0
+        for offset, length in sorted(parts):
+            assert offset == end
+            end += length
+        assert end <= 2048
+        padding += 2048 - end if end & (end - 1) else 0
+    return padding / sum(map(len, ids.values()))
+
+
+def test_op5_round_trip(spark):
+    docs = [(r["doc_id"], r["text"]) for r in table(spark, "documents").collect()]
+    assert check_packed(docs, q.op5_packing(spark, SF).collect()) < 0.02
+
+
+def test_packing_odd_rows(spark):
+    texts = [t for _, t in ODD] + ["word " * 2047, "word " * 2046, "<|endoftext|> x", "日本語 ١٢٣ ǅ 𝟘 ⅷ", "\u00a0\u2003 x\r\n\x85y", "z" * 3000, " " * 3000]
+    docs = list(enumerate(texts))
+    df = spark.createDataFrame([(*d, 9, "s") for d in docs], DOC + ", length int, start string")
+    check_packed(docs, packing.pack(df, "doc_id", "text").collect())
+    twice = spark.createDataFrame([(1, "same text"), (1, "same text")], DOC)
+    assert packing.pack(twice, "doc_id", "text").select("sequence_id", "offset").distinct().count() >= 2
+    assert packing.pack(df.limit(0), "doc_id", "text").count() == 0
+    assert packing.pack(spark.createDataFrame([(None, "a")], DOC), "doc_id", "text").count() >= 1
+
+
+def test_both_encoders_agree():
+    rng = random.Random(6)
+    exact, _ = packing.encoders()
+    signs = [chr(c) for c in [*range(0, 0x180)]] + ["'s", "'ll", " ", "  ", "\n", "ab", "The"] * 20
+    for _ in range(1500):
+        text = "".join(rng.choice(signs) for _ in range(rng.randint(0, 80)))
+        assert packing.token_ids(text).tolist() == [*exact.encode(text, add_special_tokens=False).ids, 1]
+
+
+def test_nnls_and_plan():
+    rng = np.random.default_rng(1)
+    matrix, truth = rng.random((30, 50)), np.maximum(rng.normal(0, 1, 50), 0)
+    x = packing.nnls(matrix, matrix @ truth)
+    assert (x >= 0).all() and np.linalg.norm(matrix @ (x - truth)) < 1e-4
+    histogram = {n: int(rng.integers(0, 500)) for n in range(1, 17)}
+    used = dict.fromkeys(histogram, 0)
+    for combination, count in packing.plan(histogram, 16):
+        assert sum(combination) == 16 and len(combination) <= 3
+        for n in combination:
+            used[n] += count
+    assert all(used[n] <= histogram[n] for n in histogram)
+    assert packing.plan({}, 16) == []
+
+
+def test_binary_blocks():
+    assert packing.binary_blocks(1300) == [1024, 256, 16, 4] and packing.binary_blocks(0) == []
+
+
+# URL rules
+
+
+def test_op8_against_sql(spark):
+    ok, note = compare(spark, duck(SF), "op8_url_filter", q.op8_url_filter, q.ORACLE["op8_url_filter"], SF)
+    assert ok, note
+
+
+def plain_judge(url, rules):
+    url = url or ""
+    host = path = ""
+    if "://" in url:
+        host, path = re.fullmatch(r"(?s)([^/?#]*)([^?#]*).*", url.split("://", 1)[1]).groups()
+        host = re.sub("[A-Z]", lambda m: m[0].lower(), host)
+    fits = [r for r in rules if re.search(r.regex, host + path)]
+    best = max(fits, key=lambda r: (r.rank, r.name), default=None)
+    return host, path, best and best.name, best.verdict if best else "allow"
+
+
+def test_url_rules_against_brute_force(spark):
+    urls = [None, "", "net/", "http://net", "http://net/", "http://NET/x?y", "http://a.b.NET/en/", "https://example.net/en/x", "https://www.example.net/en", "https://notexample.net/en/", "ftp://example.com/de/1#q://z", "http://example.com/DE/", "http://x.org/fr/", "http://x.org/fr", "http://x.orgs/fr/", "http://x.org:80/fr/", "://org/fr/", "a://b://net/", "http://spam-farm.org/", "http://notspam-farm.org/", "http://www.spam-farm.org/fr/", "http://q.test/adserver2/x", "http://q.test/a/track.gif", "http://ÀÉ.net/", "http://net?x=/", "http://x.net//", "http://x.com/\nads/ads/", "http://x.com/ads/"]
+    rules = url_filter.PLACES + url_filter.LABELS
+    df = spark.createDataFrame([(i, u, "h", "r") for i, u in enumerate(urls + urls)], "page_id long, url string, host string, rule string")
+    got = {r["page_id"]: tuple(r)[1:] for r in url_filter.judge(df, "page_id", "url", rules).collect()}
+    assert got == {i: plain_judge(u, rules) for i, u in enumerate(urls + urls)}
+    assert url_filter.judge(df.limit(0), "page_id", "url", rules).count() == 0
+
+
+def test_rules_are_filed_under_their_rarest_token(spark):
+    urls = [("www.example.net/en/1",)] * 3 + [("a.example.com/x",)] * 2 + [("b.net/y",)] * 4
+    addresses = spark.createDataFrame(urls, "address string").withColumn("address_tokens", url_filter.tokens_of(F.col("address")))
+    rules = spark.createDataFrame([("r", ["example", "net", "en"]), ("s", ["net"]), ("t", [])], "name string, tokens array<string>")
+    assert dict(url_filter.index_rules(addresses, rules).select("name", "token").collect()) == {"r": "en", "s": "net", "t": None}
+
+
+# licenses
+
+
+def plain_license(text):
+    low = re.sub("[A-Z]", lambda m: m[0].lower(), text or "")
+    words = re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", low)
+    places = [(i, label) for phrase, label in license_scan.BASE for i in range(len(words)) if words[i : i + len(phrase.split())] == phrase.split()]
+    starts = [i for i, _ in places]
+    return len(words), len(places), min(starts, default=None), max(starts, default=None), ",".join(sorted({x for _, x in places}))
+
+
+LICENSE_TEXTS = [
+    "All rights reserved. ALL RIGHTS  RESERVED",
+    "cc-by cc by-nc ccby c-c by",
+    "all rights all rights reserved reserved",
+    "the gnu general public license, general public, license general-public_license",
+    "cc by " * 500,
+    "Released under the MIT License.",
+    "Permission is hereby granted, free of charge, to any dear person obtaining a copy of the software and associated documentation files",
+    "All rïghts reserved é all rights reserved",
+    "of the and to any person",
+]
+
+
+def test_licenses_against_brute_force(spark):
+    rows = ODD + [(20 + i, t) for i, t in enumerate(LICENSE_TEXTS)]
+    df = spark.createDataFrame([(*r, "l", 1) for r in rows], DOC + ", label string, _row int")
+    got = license_scan.scan(spark, df, "doc_id", "text").collect()
+    plain = sorted(((k, *plain_license(t)) for k, t in rows), key=str)
+    assert sorted(((r["doc_id"], r["n_words"], r["n_base"], r["first_word"], r["last_word"], r["base_labels"]) for r in got), key=str) == plain
+    by = {r["doc_id"]: r for r in got}
+    assert by[25]["labels"] == "mit" and by[25]["score"] == 1.0
+    assert by[26]["labels"] == "mit" and by[26]["score"] >= 0.75
+    assert by[28]["labels"] == "" and by[28]["score"] < 0.75
+    assert all(set(r["base_labels"].split(",")) - {""} <= set(r["labels"].split(",")) and 0 <= r["score"] <= 1 for r in got)
+    assert [tuple(s) for s in by[25]["spans"]] == [(0, 5, "mit")]
+    assert license_scan.scan(spark, df.limit(0), "doc_id", "text").count() == 0
+
+
+def test_op9_against_brute_force(spark):
+    docs = {r["doc_id"]: r["text"] for r in table(spark, "documents").collect()}
+    rows = q.op9_license_scan(spark, SF).collect()
+    assert len(rows) == len(docs)
+    for r in rows:
+        assert (r["n_words"], r["n_base"], r["first_word"], r["last_word"], r["base_labels"]) == plain_license(docs[r["doc_id"]])
+
+
+# languages
+
+
+def test_language_model_on_other_texts(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").filter("n_chars > 200").limit(300)
+    model = language.train(table(spark, "documents"), "doc_id", "text", "lang")
+    rows = docs.collect()
+    right = sum(model.languages[int(np.argmax(model.posterior(r["text"])))] == r["lang"] for r in rows)
+    assert right / len(rows) > 0.9
+
+
+def page(text="", lang=None):
+    return f"<!DOCTYPE html><html{f' lang={lang!r}' if lang else ''}><head><script>das ist ein</script></head><body><p>{text}</p></body></html>"
+
+
+def test_evidence_is_fused(spark):
+    english, german = "the house and the garden were in the sun", "das haus und der garten lagen in der sonne"
+    model = language.fit([english * 3, german * 3], ["en", "de"])
+    rows = [(i, f"http://h.example.de/{i}", page(german, "de")) for i in range(20)]
+    rows += [(100 + i, f"http://e.example.com/{i}", page(english, "en")) for i in range(20)]
+    rows += [(200, "http://h.example.de/x", page("")), (201, "http://e.example.com/x", page("")), (202, "http://new.example.com/de/x", page("", "de")), (203, None, None), (204, "http://h.example.de/y", page(english)), (204, "http://h.example.de/y", page(english))]
+    df = spark.createDataFrame([(*r, "x", "y") for r in rows], "page_id long, url string, html string, lang string, verdict string")
+    got = {r["page_id"]: r for r in language.identify(df, "page_id", "url", "html", model).collect()}
+    assert len(got) == len(rows) - 1
+    assert (got[200]["lang"], got[201]["lang"], got[202]["lang"]) == ("de", "en", "de")
+    assert got[204]["lang"] == "en" and got[203]["lang"] in ("de", "en")
+    assert all(0 < r["probability"] <= 1 for r in got.values())
+    assert got[202]["address"] == "de" and got[0]["declared"] == "de"
+    assert language.identify(df.limit(0), "page_id", "url", "html", model).count() == 0
+    assert language.identify(df, "page_id", "url", "html", None).filter("lang is null").count() == len(rows)
+
+
+def plain_fusion(rows, model):
+    """The same products with loops over all pages."""
+    names, n = model.languages, len(model.languages)
+    said = [(r["declared"], r["address"]) for r in rows]
+    v = [r["verdict"] for r in rows]
+    whole = [(sum(x[i] for x in v) + 1) / (sum(map(sum, v)) + n) for i in range(n)]
+    out = []
+    for at, r in enumerate(rows):
+        logs = []
+        for i in range(n):
+            domain = [x for x, o in zip(v, rows) if o["domain"] == r["domain"]]
+            host = [x for x, o in zip(v, rows) if o["host"] == r["host"]]
+            wider = (sum(x[i] for x in domain) + 20 * whole[i]) / (sum(map(sum, domain)) + 20)
+            prior = (max(sum(x[i] for x in host) - v[at][i], 0) + 5 * wider) / (max(sum(map(sum, host)) - 1, 0) + 5)
+            log = np.log(max(v[at][i], 1e-12)) + np.log(prior)
+            for k in (0, 1):
+                same = sum(x[i] for x, s in zip(v, said) if s[k] == said[at][k])
+                log += np.log((same + 0.5) / (sum(x[i] for x in v) + 0.5 * (n + 1)))
+            logs.append(log)
+        odds = np.exp(np.array(logs) - max(logs))
+        out.append((names[int(np.argmax(logs))], 1 / odds.sum()))
+    return out
+
+
+def test_op10_against_brute_force(spark):
+    model = language.train(table(spark, "documents"), "doc_id", "text", "lang")
+    pages, got = table(spark, "pages").collect(), {r["page_id"]: r for r in q.op10_language(spark, SF).collect()}
+    rows = [
+        {"verdict": model.posterior(language.visible_text(p["html"])).tolist(), "host": got[p["page_id"]]["host"], "domain": (re.search(r"[^.]*\.[^.]*$", got[p["page_id"]]["host"]) or [""])[0], "declared": got[p["page_id"]]["declared"], "address": got[p["page_id"]]["address"]}
+        for p in pages
+    ]
+    for p, (lang, probability) in zip(pages, plain_fusion(rows, model)):
+        assert got[p["page_id"]]["lang"] == lang
+        assert got[p["page_id"]]["probability"] == pytest.approx(probability, rel=1e-6)
