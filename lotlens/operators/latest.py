@@ -7,8 +7,6 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..session import materialize
-
 
 def first_per(df: DataFrame, keys: Sequence[Column | str], order: Sequence[Column], n: int = 1) -> DataFrame:
     """The first ``n`` rows per key.
@@ -31,12 +29,11 @@ def top_per(df: DataFrame, keys: Sequence[str], measure: str, tie: str) -> DataF
 
 
 def latest_load(df: DataFrame, file: str = "source_file", loaded: str = "loaded_at") -> DataFrame:
-    """Rows of the newest load of each file, ties kept.
+    """Rows of the newest load of each file, ties kept; of equal load times the later ``batch`` counts.
 
-    One row per file is computed first with map-side aggregation and written;
-    the raw rows are then only filtered against it, without a shuffle unless
-    that list of files is too large to broadcast.
+    One row per file is aggregated map-side; the rows are then only filtered against
+    it, without a shuffle unless that list of files is too large to broadcast.
     """
-    newest = df.groupBy(F.col(file).alias("_file")).agg(F.max(loaded).alias("_newest"))
-    on = (F.col(file) == F.col("_file")) & (F.col(loaded) == F.col("_newest"))
-    return df.join(materialize(newest, "newest-loads"), on, "left_semi")
+    load = F.struct(loaded, "batch") if "batch" in df.columns else F.struct(loaded)
+    newest = df.groupBy(F.col(file).alias("_file")).agg(F.max(load).alias("_newest"))
+    return df.join(newest, (F.col(file) == F.col("_file")) & (load == F.col("_newest")), "left_semi")

@@ -32,7 +32,7 @@ from .daily import TABLES, model_checks
 Query = Callable[[SparkSession, str], DataFrame]
 
 BACKFILL_START, BACKFILL_END = "1996-01-01", "1996-02-01"
-MONTHS_FROM, TODAY = "1994-10", "2001-08-04"
+MONTHS_FROM, MONTHS_BEFORE, TODAY = "1994-10", "2001-09-01", "2001-08-04"
 WINDOW = ("1996-01-01", "1996-01-31", 1994)
 EVENTS_NOW = "2024-02-04 12:00:00"
 
@@ -251,7 +251,8 @@ def month_windows(t: Tables) -> DataFrame:
 
 @query
 def backfill_month_counts(t: Tables) -> DataFrame:
-    return extract.counts_by_month(t.stg, "created_at", MONTHS_FROM, TODAY)
+    target = f"{work_dir(t.spark)}/backfill-{uuid.uuid4().hex}"
+    return raw.backfill(t.stg, "created_at", target, f"{MONTHS_FROM}-01", MONTHS_BEFORE)
 
 
 @query

@@ -114,8 +114,9 @@ def type_properties(raw: DataFrame) -> DataFrame:
         try_ts(field(raw, UPDATED), zoned=True).alias("source_updated_at"),
         "source_file",
         "loaded_at",
+        *(["batch"] if "batch" in raw.columns else []),
     )
-    return latest_load(typed)
+    return latest_load(typed).drop("batch")
 
 
 def newest_per_property(typed: DataFrame) -> DataFrame:
@@ -158,7 +159,7 @@ def build_lot_dimension(lots: DataFrame) -> DataFrame:
     housing = lots.filter(F.col("primary_property_type") == HOUSING)
     biggest = F.struct("gfa_share_sqft", "property_id")
     per_lot = housing.groupBy("report_year", "bbl").agg(
-        F.count_distinct("property_id").alias("n_properties"),
+        F.count("property_id").alias("n_properties"),  # a property has a lot once
         F.sum("gfa_share_sqft").alias("total_gfa_sqft"),
         scored_weight("energy_star_score", "gfa_share_sqft").alias("scored_gfa_sqft"),
         weighted_score("energy_star_score", "gfa_share_sqft").alias("energy_star_score"),

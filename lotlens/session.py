@@ -11,6 +11,8 @@ from concurrent.futures import ThreadPoolExecutor
 from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 
+from .sources.files import delete
+
 _local_dirs: dict[str, tempfile.TemporaryDirectory] = {}
 _written: dict[str, SparkSession] = {}  # stored tables that nobody has released
 
@@ -67,8 +69,7 @@ def release(*stored: DataFrame | str) -> None:
         path = one if isinstance(one, str) else one.stored_at
         spark = _written.pop(path, None)
         if spark is not None:
-            hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
-            hadoop.getFileSystem(spark._jsc.hadoopConfiguration()).delete(hadoop, True)
+            delete(spark, path)
 
 
 def release_all(spark: SparkSession | None = None) -> None:

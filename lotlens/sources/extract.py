@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+import uuid
 from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from ..functions.calendar import month_label
 from ..operators.profile import counts_by
-from ..session import materialize
+from .files import delete, folders, replace
 
 
 class Extract(NamedTuple):
@@ -47,17 +47,28 @@ def between_half_open(df: DataFrame, ts: str, start, end) -> DataFrame:
     return df.filter((F.col(ts) >= F.lit(start)) & (F.col(ts) < F.lit(end)))
 
 
-def reconcile(df: DataFrame, expected: int) -> DataFrame:
-    """Land the rows in the shared work folder, counting what really arrived.
+def land(df: DataFrame, expected: int, path: str, *keys: str, rebalance: bool = True) -> None:
+    """Write the rows once, count them on the way, and show them only if the count is right.
 
-    Returns the landed rows, or raises before anything was written to raw.
+    They go to a folder that readers of ``path`` do not see. If ``expected`` rows
+    arrived, their partitions (by ``keys``) replace those of ``path``; otherwise the
+    folder is removed and nothing has changed. Rebalancing gathers a partition's rows
+    into few files; AQE splits one that holds much more than the others.
     """
-    seen = Observation()
-    landed = materialize(df.observe(seen, F.count(F.lit(1)).alias("n")), "landed")
-    collected = seen.get["n"]
-    if collected != expected:
-        raise ReconciliationError(f"source announced {expected:,} rows, {collected:,} arrived")
-    return landed
+    spark, pending, seen = df.sparkSession, f"{path}/_pending-{uuid.uuid4().hex}", Observation()
+    rows = df.observe(seen, F.count(F.lit(1)).alias("n"))
+    (rows.hint("rebalance", *keys) if rebalance else rows).write.partitionBy(*keys).parquet(pending)
+    try:
+        collected = seen.get["n"]
+        if collected != expected:
+            raise ReconciliationError(f"source announced {expected:,} rows, {collected:,} arrived")
+        found = [""]
+        for _ in keys:
+            found = [f"{f}/{name}" for f in found for name in folders(spark, f"{pending}{f}") if "=" in name]
+        for folder in found:
+            replace(spark, f"{pending}{folder}", f"{path}{folder}")
+    finally:
+        delete(spark, pending)
 
 
 def reconcile_report(source: DataFrame, got: DataFrame, by: str) -> DataFrame:
@@ -105,14 +116,10 @@ def counts_by_month(df: DataFrame, ts: str, start: str, today: str, out: str = "
     return months.join(counts, [out], "left").fillna(0, subset=["n"])
 
 
-Writer = Callable[[DataFrame], object]
-
-
-def checked_load(extract: Extract, write: Writer) -> int:
-    """Reconcile, then write; an empty extract writes nothing."""
-    if extract.expected == 0:
-        return 0
-    write(reconcile(extract.rows, extract.expected))
+def checked_load(extract: Extract, path: str, *keys: str) -> int:
+    """Land an extract if its rows are all there; an empty extract writes nothing."""
+    if extract.expected:
+        land(extract.rows, extract.expected, path, *keys)
     return extract.expected
 
 

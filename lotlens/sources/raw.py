@@ -2,21 +2,27 @@
 
 from __future__ import annotations
 
-from datetime import datetime, timezone
+import json
+from concurrent.futures import ThreadPoolExecutor
+from datetime import date, datetime, timedelta, timezone
+from functools import reduce
 from itertools import islice
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.calendar import month_label
 from ..operators.profile import counts_by
-from .extract import between_half_open, extract_since, reconcile
+from .extract import between_half_open, extract_since, land, month_windows
+from .files import folders
 from .state import Bookmark, read_or_empty
 
 NESTED = (T.StructType, T.ArrayType, T.MapType)
 FILE_KEY = ["path", "modificationTime", "length"]
 LEDGER_SCHEMA = "path string, modificationTime timestamp, length long, batch long"
+FOOTERS_AT_ONCE = 16
 RAW_SCHEMA = "record variant, source_file string, loaded_at timestamp_ntz"
 
 
@@ -43,17 +49,17 @@ def overwrite_partitions(df: DataFrame, path: str, *keys: str, rebalance: bool =
     writer.partitionBy(*keys).parquet(path)
 
 
-def write_raw(df: DataFrame, path: str, upper: str, run_date: str | None = None) -> str | None:
+def write_raw(df: DataFrame, path: str, upper: str, expected: int, run_date: str | None = None) -> str | None:
     """Land one run under its UTC date and the change time it reaches.
 
     A retry of the same window replaces its folder. A second window on the same
     day gets its own folder and cannot erase the first.
     """
-    if df.isEmpty():
+    if not expected:
         return None
     run_date = run_date or datetime.now(timezone.utc).strftime("%Y-%m-%d")
     stamped = nested_to_json(df).withColumns({"dt": F.lit(run_date), "upper": F.lit(upper)})
-    overwrite_partitions(stamped, path, "dt", "upper", rebalance=False)
+    land(stamped, expected, path, "dt", "upper", rebalance=False)
     return f"{path}/dt={run_date}"
 
 
@@ -68,8 +74,8 @@ def ingest(source: DataFrame, ts: str, raw_path: str, bookmark: Bookmark, type_f
     if extract.expected == 0:
         return {"rows": 0, "watermark": old}
     upper = extract.upper
-    rows = reconcile(extract.rows, extract.expected)
-    file = write_raw(rows, raw_path, upper.replace(" ", "T").replace(":", ""), run_date)
+    folder = upper.replace(" ", "T").replace(":", "")
+    file = write_raw(extract.rows, raw_path, folder, extract.expected, run_date)
     bookmark.set(upper)
     return {"rows": extract.expected, "file": file, "old": old, "new": upper}
 
@@ -77,26 +83,35 @@ def ingest(source: DataFrame, ts: str, raw_path: str, bookmark: Bookmark, type_f
 def backfill(source: DataFrame, created: str, raw_path: str, start: str, end: str) -> DataFrame:
     """Rows created in [start, end), one partition per month, whatever the bookmark says.
 
-    All months are written by one job. Returns the rows per written month.
+    All months are written by one job. Returns the stored rows of every month of the
+    window, 0 for those without any; a month that came out empty loses its old folder.
     """
+    spark = source.sparkSession
     window = between_half_open(
         source, created, F.lit(start).cast("timestamp_ntz"), F.lit(end).cast("timestamp_ntz")
     )
-    landed = reconcile(nested_to_json(window), window.count())
-    by_month = landed.withColumn("created_month", month_label(created))
-    overwrite_partitions(by_month, raw_path, "created_month")
-    return counts_by(by_month, ["created_month"])
+    by_month = nested_to_json(window).withColumn("created_month", month_label(created))
+    land(by_month, window.count(), raw_path, "created_month")
+    last = (date.fromisoformat(end) - timedelta(days=1)).isoformat()
+    months = month_windows(spark, start[:7], last).select(F.col("label").alias("created_month"))
+    wanted = [r[0] for r in months.collect()]  # a window's months, a dozen a year
+    here = [m for m in wanted if f"created_month={m}" in set(folders(spark, raw_path))]
+    stored = read_or_empty(spark, raw_path, "created_month string").filter(F.col("created_month").isin(*here))
+    return months.join(counts_by(stored, ["created_month"]), ["created_month"], "left").fillna(0, subset=["n"])
 
 
 def load_years(source: DataFrame, raw_path: str, years: list[str] | None = None) -> DataFrame:
     """Full load of some (default: all) report years; each replaces its own partition.
 
-    The folder key is a copy, so that the files still hold the report year.
+    The folder key is a copy, so that the files still hold the report year. Returns the
+    stored rows of the loaded years.
     """
     chosen = source.filter(F.col("report_year").isin(*years)) if years else source
-    landed = reconcile(nested_to_json(chosen), chosen.count())
-    overwrite_partitions(landed.withColumn("year", F.col("report_year")), raw_path, "year")
-    return counts_by(landed, ["report_year"])
+    expected = chosen.count()
+    land(nested_to_json(chosen).withColumn("year", F.col("report_year")), expected, raw_path, "year")
+    stored = read_or_empty(source.sparkSession, raw_path, "report_year string, year string")
+    loaded = stored.filter(F.col("year").isin(*years)) if years else stored
+    return counts_by(loaded, ["report_year"])
 
 
 def scan_with_lineage(spark: SparkSession, *paths: str) -> DataFrame:
@@ -129,15 +144,17 @@ class RawTable:
     def ledger(self) -> DataFrame:
         return read_or_empty(self.spark, self.ledger_path, LEDGER_SCHEMA)
 
-    def rows(self) -> DataFrame:
-        """Rows of committed batches; at most the one after them can be unfinished.
+    def rows(self, after: int | None = None) -> DataFrame:
+        """Rows of committed batches (only those ``after`` a batch, if given), with their batch.
 
-        The batch is a partition column, so this is a partition filter and
-        leaves the scan open to reading single fields of the records.
+        At most one batch beyond the committed ones can be unfinished. The batch is a
+        partition column, so this is a partition filter and leaves the scan open to
+        reading single fields of the records.
         """
         stored = read_or_empty(self.spark, self.rows_path, f"{RAW_SCHEMA}, batch long")
         newest = self.ledger().agg(F.max("batch").alias("newest"))
-        return stored.filter(F.col("batch") <= newest.scalar()).drop("batch")
+        committed = stored.filter(F.col("batch") <= newest.scalar())
+        return committed if after is None else committed.filter(F.col("batch") > after)
 
     def new_files(self, stage: str) -> DataFrame:
         """Files of the stage that the ledger does not know; only their metadata is read."""
@@ -150,12 +167,18 @@ class RawTable:
         )
         return listed.join(self.ledger(), FILE_KEY, "left_anti")
 
-    def load(self, stage: str, loaded_at: str, files_per_batch: int = 10_000) -> int:
+    def last_batch(self) -> int:
+        return self.ledger().agg(F.max("batch")).first()[0] or 0
+
+    def load(self, stage: str, loaded_at: str | None = None, files_per_batch: int = 10_000) -> int:
         """Load new files; returns how many. Running it again without new files does nothing.
 
-        Only file names pass the driver, a bounded number at a time.
+        ``loaded_at`` (default: now, UTC) stamps the rows; loads with equal stamps are
+        told apart by their batch. Only file names pass the driver, a bounded number at
+        a time.
         """
-        batch = self.ledger().agg(F.max("batch")).first()[0] or 0
+        loaded_at = loaded_at or datetime.now(timezone.utc).strftime("%Y-%m-%d %H:%M:%S.%f")
+        batch = self.last_batch()
         listed = self.new_files(stage).toLocalIterator()
         loaded = 0
         while files := list(islice(listed, files_per_batch)):
@@ -164,16 +187,37 @@ class RawTable:
             loaded += len(files)
         return loaded
 
+    def _by_schema(self, paths: list[str]) -> dict[str, list[str]]:
+        """Files grouped by their own schema, read from their footers."""
+        schema = inheritable_thread_target(self.spark)(lambda p: self.spark.read.parquet(p).schema.json())
+        alike: dict[str, list[str]] = {}
+        with ThreadPoolExecutor(FOOTERS_AT_ONCE) as pool:
+            for path, found in zip(paths, pool.map(schema, paths)):
+                alike.setdefault(found, []).append(path)
+        return alike
+
+    def _records(self, schema: T.StructType, paths: list[str]) -> DataFrame:
+        """A record holds the columns of its own file, in the file's own types."""
+        read = self.spark.read.schema(schema).parquet(*paths)
+        # a column without any value has no type of its own
+        payload = F.struct(
+            *[
+                (F.col(f"`{f.name}`").cast("string") if f.dataType == T.NullType() else F.col(f"`{f.name}`")).alias(f.name)
+                for f in schema.fields
+            ]
+        )
+        return read.select(
+            F.to_variant_object(payload).alias("record"), F.col("_metadata.file_path").alias("source_file")
+        )
+
     def _load_batch(self, files: list[tuple], loaded_at: str, batch: int) -> None:
-        # files differ in their columns; what one lacks is NULL in its records
-        paths = [path for path, *_ in files]
-        read = self.spark.read.option("mergeSchema", True).parquet(*paths)
-        payload = F.struct(*[F.col(f"`{c}`") for c in read.columns])
-        rows = read.select(
-            F.to_variant_object(payload).alias("record"),
-            F.col("_metadata.file_path").alias("source_file"),
-            F.lit(loaded_at).cast("timestamp_ntz").alias("loaded_at"),
-            F.lit(batch).cast("long").alias("batch"),
+        alike = self._by_schema([path for path, *_ in files])
+        parts = [self._records(T.StructType.fromJson(json.loads(s)), paths) for s, paths in alike.items()]
+        rows = reduce(DataFrame.unionAll, parts).withColumns(
+            {
+                "loaded_at": F.lit(loaded_at).cast("timestamp_ntz"),
+                "batch": F.lit(batch).cast("long"),
+            }
         )
         overwrite_partitions(rows, self.rows_path, "batch", rebalance=False)
         entries = self.spark.createDataFrame([(*f, batch) for f in files], LEDGER_SCHEMA)

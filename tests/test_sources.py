@@ -8,6 +8,8 @@ from decimal import Decimal
 import pytest
 from pyspark.sql import functions as F
 
+from lotlens import session
+from lotlens.operators import latest
 from lotlens.sources import export, extract, raw
 from lotlens.session import work_dir
 from lotlens.sources.state import Bookmark
@@ -38,14 +40,18 @@ def test_extract_ignores_rows_that_arrive_meanwhile(spark, tmp_path):
     assert again.count() == got.expected == 1
 
 
-def test_reconcile_refuses_a_partial_load(spark):
-    df = spark.range(5)
-    assert extract.reconcile(df, 5).count() == 5
+def test_a_partial_load_changes_nothing(spark, tmp_path):
+    path, df = str(tmp_path / "landed"), spark.range(5).withColumn("p", F.col("id") % 2)
+    extract.land(df, 5, path, "p")
     with pytest.raises(extract.ReconciliationError, match="announced 6 rows, 5 arrived"):
-        extract.reconcile(df, 6)
-    written = []
-    assert extract.checked_load(extract.Extract(df.limit(0), None, 0), written.append) == 0 and not written
-    assert extract.checked_load(extract.Extract(df, "x", 5), written.append) == 5 and len(written) == 1
+        extract.land(df.withColumn("id", F.col("id") + 10), 6, path, "p")
+    assert sorted(r["id"] for r in spark.read.parquet(path).collect()) == [0, 1, 2, 3, 4]
+    assert sorted(os.listdir(path)) == ["p=0", "p=1"]
+    extract.land(df.filter("p = 1").withColumn("id", F.col("id") + 10), 2, path, "p")
+    assert sorted(r["id"] for r in spark.read.parquet(path).collect()) == [0, 2, 4, 11, 13]
+    other = str(tmp_path / "other")
+    assert extract.checked_load(extract.Extract(df.limit(0), None, 0), other, "p") == 0 and not os.path.exists(other)
+    assert extract.checked_load(extract.Extract(df, "x", 5), other, "p") == 5
 
 
 def test_reconcile_report_lists_both_sides(spark):
@@ -73,12 +79,12 @@ def test_nested_values_become_text(spark):
 def test_raw_write_is_idempotent_per_window(spark, tmp_path):
     path = str(tmp_path / "raw")
     day = log(spark, [("a", "2026-01-01"), ("b", "2026-01-01")])
-    raw.write_raw(day, path, "u1", "2026-01-02")
-    raw.write_raw(day, path, "u1", "2026-01-02")
+    raw.write_raw(day, path, "u1", 2, "2026-01-02")
+    raw.write_raw(day, path, "u1", 2, "2026-01-02")
     assert spark.read.parquet(path).count() == 2
-    raw.write_raw(log(spark, [("c", "2026-01-02")]), path, "u2", "2026-01-02")
+    raw.write_raw(log(spark, [("c", "2026-01-02")]), path, "u2", 1, "2026-01-02")
     assert spark.read.parquet(path).count() == 3
-    assert raw.write_raw(day.limit(0), path, "u3", "2026-01-02") is None
+    assert raw.write_raw(day.limit(0), path, "u3", 0, "2026-01-02") is None
 
 
 def test_ingest_moves_the_bookmark_last(spark, tmp_path, monkeypatch):
@@ -101,7 +107,7 @@ def test_ingest_moves_the_bookmark_last(spark, tmp_path, monkeypatch):
 def test_backfill_and_year_loads_overwrite_their_partitions(spark, tmp_path):
     path = str(tmp_path / "raw")
     rows = log(spark, [("a", "2026-01-05"), ("b", "2026-03-05"), ("c", "2026-03-06"), ("d", "2026-05-01")])
-    want = [("2026-01", 1), ("2026-03", 2)]
+    want = [("2026-01", 1), ("2026-02", 0), ("2026-03", 2), ("2026-04", 0)]
     for _ in range(2):
         assert values(raw.backfill(rows, "ts", path, "2026-01-01", "2026-05-01")) == want
     assert sorted(os.listdir(path))[-2:] == ["created_month=2026-01", "created_month=2026-03"]
@@ -179,6 +185,44 @@ def test_many_files_are_loaded_in_bounded_batches(spark, tmp_path):
     assert table.load(stage, "2026-01-02", files_per_batch=2) == 0
 
 
+def test_files_of_differing_types_are_loaded_as_they_are(spark, tmp_path):
+    import pyarrow as pa
+    import pyarrow.parquet as pq
+
+    stage, table = tmp_path / "stage", raw.RawTable(spark, str(tmp_path / "table"))
+    stage.mkdir()
+    pq.write_table(pa.table({"k": ["a"], "score": ["n/a"], "closed": ["x"]}), stage / "text.parquet")
+    pq.write_table(pa.table({"k": ["b"], "score": [7], "closed": pa.nulls(1)}), stage / "number.parquet")
+    pq.write_table(pa.table({"k": ["c"]}), stage / "few.parquet")
+    assert table.load(str(stage)) == 3
+    got = {}
+    for r in table.rows().select(F.to_json("record").alias("r"), "loaded_at").collect():
+        record = json.loads(r["r"])
+        got[record["k"]] = record
+        assert abs((dt.datetime.now(dt.timezone.utc).replace(tzinfo=None) - r["loaded_at"]).total_seconds()) < 600
+    # a record holds its own file's columns, whatever else was in the batch
+    assert got == {"a": {"k": "a", "score": "n/a", "closed": "x"}, "b": {"k": "b", "score": 7, "closed": None}, "c": {"k": "c"}}
+
+
+def test_reload_with_the_same_stamp_replaces_the_file(spark, tmp_path):
+    stage, table = str(tmp_path / "stage"), raw.RawTable(spark, str(tmp_path / "table"))
+    write_file(spark, f"{stage}/a.parquet", [("1", "x"), ("2", "x"), ("3", "x")])
+    table.load(stage, "2026-10-05")
+    write_file(spark, f"{stage}/a.parquet", [("1", "yy"), ("2", "yy")])
+    table.load(stage, "2026-10-05")
+    newest = latest.latest_load(table.rows()).select(F.try_variant_get("record", "$.k", "string"), F.try_variant_get("record", "$.v", "string"))
+    assert values(newest) == [("1", "yy"), ("2", "yy")]
+
+
+def test_released_tables_leave_the_work_folder(spark):
+    one, two = session.materialize(spark.range(3), "one"), session.materialize(spark.range(4), "two")
+    assert os.path.isdir(one.stored_at) and two.count() == 4
+    session.release(one)
+    assert not os.path.exists(one.stored_at) and two.count() == 4
+    session.release(two.stored_at, two.stored_at)
+    assert not os.path.exists(two.stored_at)
+
+
 def test_work_folder_comes_from_the_session():
     class Fake:
         def __init__(self, master, folder):
