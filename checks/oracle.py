@@ -122,15 +122,16 @@ _VIEWS: dict[str, str] = {
     "pieces": """
         SELECT property_year_id, trim(x) AS piece
         FROM (SELECT property_year_id, unnest(string_split(replace(bbl_raw, ';', ','), ',')) AS x FROM props)""",
-    "keyed": """
-        SELECT DISTINCT property_year_id, bbl FROM (
+    # digit groups taken by one pattern and put together as a number
+    "keyed": r"""
+        SELECT DISTINCT property_year_id, cast(number AS varchar) AS bbl FROM (
             SELECT property_year_id,
-                   CASE len(string_split(piece, '-')) WHEN 1 THEN piece
-                        WHEN 3 THEN split_part(piece, '-', 1)
-                             || CASE WHEN len(split_part(piece, '-', 2)) < 5 THEN lpad(split_part(piece, '-', 2), 5, '0') ELSE split_part(piece, '-', 2) END
-                             || CASE WHEN len(split_part(piece, '-', 3)) < 4 THEN lpad(split_part(piece, '-', 3), 4, '0') ELSE split_part(piece, '-', 3) END
-                   END AS bbl FROM pieces)
-        WHERE regexp_full_match(bbl, '[1-5][0-9]{9}')""",
+                   CASE WHEN len(g.b) = 0 AND len(g.a) = 10 THEN cast(g.a AS bigint)
+                        WHEN len(g.a) = 1 AND len(g.b) BETWEEN 1 AND 5 AND len(g.c) BETWEEN 1 AND 4
+                        THEN cast(g.a AS bigint) * 1000000000 + cast(g.b AS bigint) * 10000 + cast(g.c AS bigint) END AS number
+            FROM (SELECT property_year_id, regexp_extract(piece, '^([0-9]+)(?:-([0-9]+)-([0-9]+))?$', ['a', 'b', 'c']) AS g
+                  FROM pieces))
+        WHERE number BETWEEN 1000000000 AND 5999999999""",
     "pl": """
         SELECT p.report_year, p.property_id, p.property_year_id, p.primary_property_type, p.energy_star_score,
                p.gfa_sqft, p.year_built, p.address, n.n_lots, q.bbl, p.gfa_sqft / n.n_lots AS gfa_share_sqft
@@ -250,6 +251,16 @@ def _bands(source: str, by: str) -> str:
         LEFT JOIN {source} USING ({by}, band) GROUP BY {by}, band"""
 
 
+def _cells(by: str, labels: str) -> str:
+    """All groups and bands of the seasons, with or without lots."""
+    return f"""
+        SELECT heat_season, {by}, band, count(bbl) AS lots, cast(coalesce(sum(no_heat), 0) AS bigint) AS complaints,
+               coalesce(sum(gfa), 0.0) AS gfa, {_RATE} AS per_100k
+        FROM (SELECT DISTINCT heat_season FROM scored WHERE {by} IS NOT NULL),
+             (SELECT unnest([{labels}]) AS {by}), (SELECT unnest(['1-25', '26-50', '51-75', '76-100']) AS band)
+        LEFT JOIN scored USING (heat_season, {by}, band) GROUP BY ALL"""
+
+
 def _matrix(by: str, value: str, source: str) -> str:
     cols = ", ".join(
         f"max(CASE WHEN band = '{b}' THEN v END) AS b{b.replace('-', '_')}"
@@ -494,12 +505,19 @@ _QUERIES: dict[str, str] = {
     "season_lots": """
         SELECT s.heat_season, d.report_year, d.bbl FROM season s JOIN dim d ON d.report_year = s.ll84_report_year""",
     "season_region_rollup": f"""
-        SELECT season, coalesce(boro, 'All') AS boro, count(DISTINCT CASE WHEN is_no_heat THEN bbl END) AS buildings,
-               round(median(CASE WHEN is_no_heat THEN mins / 60.0::DOUBLE END), 4) AS median_close_hours,
-               count(*) FILTER (is_no_heat AND mins IS NOT NULL) AS closed
-        FROM (SELECT heat_season AS season, {_region('bbl', 'borough')} AS boro, bbl, is_no_heat,
-                     {_minutes('created_at', 'closed_at')} AS mins FROM fct WHERE heat_season IS NOT NULL)
-        GROUP BY GROUPING SETS ((season, boro), (season))""",
+        WITH rows AS (SELECT heat_season AS season, {_region('bbl', 'borough')} AS boro, bbl, is_no_heat,
+                             {_minutes('created_at', 'closed_at')} AS mins FROM fct WHERE heat_season IS NOT NULL),
+        levels AS (FROM rows UNION ALL SELECT * REPLACE ('All' AS boro) FROM rows),
+        lots AS (SELECT season, boro, count(*) AS buildings
+                 FROM (SELECT DISTINCT season, boro, bbl FROM levels WHERE is_no_heat AND bbl IS NOT NULL) GROUP BY 1, 2),
+        seats AS (SELECT season, boro, mins, row_number() OVER w AS seat, count(*) OVER (PARTITION BY season, boro) AS taken
+                  FROM levels WHERE is_no_heat AND mins IS NOT NULL WINDOW w AS (PARTITION BY season, boro ORDER BY mins)),
+        middle AS (SELECT season, boro, taken, avg(mins) / 60 AS hours FROM seats
+                   WHERE 2 * seat BETWEEN taken AND taken + 2 GROUP BY 1, 2, 3)
+        SELECT s.season, s.boro, coalesce(buildings, 0) AS buildings, round(hours, 4) AS median_close_hours,
+               coalesce(taken, 0) AS closed
+        FROM (SELECT DISTINCT season, boro FROM levels) s
+        LEFT JOIN lots USING (season, boro) LEFT JOIN middle USING (season, boro)""",
     "season_summary": """
         SELECT heat_season, max(ll84_report_year) AS ll84_year, bool_and(is_season_complete) AS complete, count(*) AS lots
         FROM mart GROUP BY 1""",
@@ -512,10 +530,15 @@ _QUERIES: dict[str, str] = {
         SELECT heat_season FROM (SELECT heat_season, bool_and(is_season_complete) AS c FROM mart GROUP BY 1)
         ORDER BY c DESC, heat_season DESC LIMIT 1""",
     "rates_by_band": _bands("scored", "heat_season"),
-    "rates_by_size": f"""
-        SELECT heat_season, size, band, count(*) AS lots, cast(sum(no_heat) AS bigint) AS complaints, sum(gfa) AS gfa,
-               {_RATE} AS per_100k FROM scored GROUP BY 1, 2, 3""",
-    "rates_by_era": _bands("(SELECT * FROM scored WHERE era IS NOT NULL)", "heat_season, era"),
+    "rates_by_size": _cells("size", "'Smallest 25%', 'Small-mid', 'Mid-large', 'Largest 25%'"),
+    "rates_by_era": _cells("era", "'pre-1930', '1930-59', '1960-89', '1990+'"),
+    "random_points": """
+        SELECT heat_season AS season, complaint_id, round(latitude, 4) AS lat, round(longitude, 4) AS lon FROM fct
+        WHERE is_no_heat AND heat_season IS NOT NULL AND latitude IS NOT NULL AND longitude IS NOT NULL
+        QUALIFY row_number() OVER (PARTITION BY heat_season ORDER BY md5('7:' || complaint_id)) <= 500""",
+    "fact_coordinates": """
+        SELECT f.complaint_id, round(s.latitude, 4) AS latitude, round(s.longitude, 4) AS longitude
+        FROM fct f JOIN stg s USING (complaint_id)""",
     "rate_matrix": _matrix("size", _RATE, "scored"),
     "lots_matrix": _matrix("era", "count(*)", "scored WHERE era IS NOT NULL"),
     "size_summary": f"""
@@ -549,18 +572,19 @@ _QUERIES: dict[str, str] = {
         SELECT heat_season, count(*) AS "groups", count(*) FILTER (hi_rate < lo_rate) AS better
         FROM ({_effect('era', 'era IS NOT NULL')}) GROUP BY 1""",
     "window_band_check": """
-        SELECT d.energy_star_band AS band, count(*) AS lots,
-               round(avg(CASE WHEN j.n > 0 THEN 1.0 ELSE 0.0 END), 3) AS pct_with_complaint,
-               cast(coalesce(sum(j.n), 0) AS bigint) AS complaints,
-               round(coalesce(sum(j.n), 0) / sum(d.total_gfa_sqft) * 100000, 3) AS per_100k_sqft
-        FROM dim d LEFT JOIN (SELECT bbl, count(*) AS n FROM fct WHERE is_no_heat
-             AND created_date BETWEEN DATE '1996-01-01' AND DATE '1996-01-31' GROUP BY 1) j ON j.bbl = d.bbl
-        WHERE d.report_year = 1994 AND d.has_energy_star_score GROUP BY 1""",
+        WITH snapshot AS (SELECT energy_star_band AS band, bbl, total_gfa_sqft AS gfa FROM dim
+                          WHERE report_year = 1994 AND has_energy_star_score),
+        hits AS (SELECT bbl FROM fct WHERE is_no_heat AND strftime(created_date, '%Y-%m') = '1996-01'),
+        touched AS (SELECT band, count(DISTINCT bbl) AS some, count(*) AS hit FROM snapshot JOIN hits USING (bbl) GROUP BY 1)
+        SELECT band, lots, round(coalesce(some, 0) / lots, 3) AS pct_with_complaint,
+               coalesce(hit, 0) AS complaints, round(coalesce(hit, 0) / gfa * 100000, 3) AS per_100k_sqft
+        FROM (SELECT band, count(*) AS lots, sum(gfa) AS gfa FROM snapshot GROUP BY 1) LEFT JOIN touched USING (band)""",
     "top_lots": """
-        SELECT heat_season, bbl, round(energy_star_score) AS energy_star, energy_star_band, era, year_built,
-               round(total_gfa_sqft) AS floor_area_sqft, no_heat_complaints, round(no_heat_per_100k_sqft, 1) AS per_100k_sqft
-        FROM mart WHERE total_gfa_sqft >= 50000
-        QUALIFY row_number() OVER (PARTITION BY heat_season ORDER BY no_heat_per_100k_sqft DESC, bbl) <= 25""",
+        SELECT heat_season, r.bbl, round(r.energy_star_score) AS energy_star, r.energy_star_band, r.era, r.year_built,
+               round(r.total_gfa_sqft) AS floor_area_sqft, r.no_heat_complaints,
+               round(r.no_heat_per_100k_sqft, 1) AS per_100k_sqft
+        FROM (SELECT heat_season, unnest(list(mart ORDER BY no_heat_per_100k_sqft DESC, bbl)[1:25]) AS r
+              FROM mart WHERE total_gfa_sqft >= 50000 GROUP BY heat_season)""",
     "leaderboard": """
         SELECT heat_season, bbl, boro, no_heat, score, round(rate, 4) AS rate FROM rlots
         WHERE gfa >= 50000 AND no_heat >= 2

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.casts import as_col
@@ -66,14 +66,19 @@ def newest(df: DataFrame, ts: str, n: int, tie: str) -> DataFrame:
     return df.orderBy(F.col(ts).desc_nulls_last(), F.col(tie).desc()).limit(n)
 
 
-def sample_rows(df: DataFrame, n: int, seed: int) -> DataFrame:
-    """``n`` rows chosen uniformly at random (all rows when there are fewer).
+def sample_rows(df: DataFrame, n: int, seed: int, key: str, per: Sequence[str] = ()) -> DataFrame:
+    """``n`` rows of each ``per`` group (all of a smaller group), the same on every run.
 
-    Only rows with a small random number can be among the n smallest, so rows
-    above a bound that leaves about three times as many are dropped before the
-    sort; the chance that fewer than ``n`` stay below it is negligible.
+    The rows with the smallest hashes of seed and key are taken. They are found without
+    sorting a group: rows are counted by the first digits of the hash, the counts tell
+    up to which digits rows are wanted, and only those rows are ranked.
     """
-    size = df.agg(F.count(F.lit(1)).alias("_size"))
-    drawn = one_row(df.withColumn("_u", F.rand(seed)), size)
-    bound = (3.0 * n + 200) / F.greatest(F.col("_size"), F.lit(1))
-    return drawn.filter(F.col("_u") <= bound).orderBy("_u").limit(n).drop("_u", "_size")
+    hashed = df.withColumn("_hash", F.md5(F.concat(F.lit(f"{seed}:"), F.col(key).cast("string"))))
+    hashed = hashed.withColumn("_digits", F.substring("_hash", 1, 3))
+    counted = counts_by(hashed, [*per, "_digits"], "_count")
+    before = Window.partitionBy(*per).orderBy("_digits").rowsBetween(Window.unboundedPreceding, -1)
+    wanted = counted.withColumn("_before", F.coalesce(F.sum("_count").over(before), F.lit(0)))
+    wanted = wanted.filter(F.col("_before") < n).drop("_count")  # at most 4,096 rows a group
+    place = F.row_number().over(Window.partitionBy(*per, "_digits").orderBy("_hash", key))
+    chosen = hashed.join(wanted, [*per, "_digits"]).withColumn("_place", place + F.col("_before"))
+    return chosen.filter(F.col("_place") <= n).select(*df.columns)

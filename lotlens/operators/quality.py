@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Sequence
 from functools import reduce
+from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -41,15 +42,67 @@ def check_no_fan_out(mart: DataFrame, fact: DataFrame) -> DataFrame:
     return counted.join(real, "heat_season").filter(F.col("mart_total") > F.col("fact_total"))
 
 
-def run_checks(checks: Mapping[str, DataFrame]) -> DataFrame:
-    """One row per check with its number of offending rows, as one plan."""
-    results = [
-        offending.agg(F.count(F.lit(1)).alias("failing_rows")).select(
-            F.lit(name).alias("check"), (F.col("failing_rows") == 0).alias("passed"), "failing_rows"
+def nulls(column: str) -> Column:
+    return F.count_if(F.col(column).isNull())
+
+
+def odd_values(column: str, values: Sequence[str]) -> Column:
+    """Number of values outside the list; NULL passes."""
+    return F.count_distinct(F.when(~F.col(column).isin(*values), F.col(column)))
+
+
+def outside(column: str, low: float, high: float) -> Column:
+    return F.count_if((F.col(column) < low) | (F.col(column) > high))
+
+
+class Failing(NamedTuple):
+    """A check that an aggregate of its table answers: how much of it fails."""
+
+    name: str
+    table: DataFrame
+    failing: Column
+
+
+class Offending(NamedTuple):
+    """A check that needs rows of its own: those that offend."""
+
+    name: str
+    rows: DataFrame
+
+
+Check = Failing | Offending
+
+
+def run_checks(checks: Sequence[Check]) -> DataFrame:
+    """One row per check with its number of offending rows, as one plan.
+
+    All aggregates of one table share a scan of it.
+    """
+    tables: dict[int, list[Failing]] = {}
+    for check in checks:
+        if isinstance(check, Failing):
+            tables.setdefault(id(check.table), []).append(check)
+    counted = [
+        of[0].table.agg(*[c.failing.alias(f"c{i}") for i, c in enumerate(of)]).select(
+            F.inline(
+                F.array(
+                    *[
+                        F.struct(F.lit(c.name).alias("check"), F.col(f"c{i}").alias("failing_rows"))
+                        for i, c in enumerate(of)
+                    ]
+                )
+            )
         )
-        for name, offending in checks.items()
+        for of in tables.values()
     ]
-    return reduce(DataFrame.unionAll, results)
+    counted += [
+        c.rows.agg(F.count(F.lit(1)).alias("failing_rows")).select(F.lit(c.name).alias("check"), "failing_rows")
+        for c in checks
+        if isinstance(c, Offending)
+    ]
+    return reduce(DataFrame.unionAll, counted).select(
+        "check", (F.col("failing_rows") == 0).alias("passed"), "failing_rows"
+    )
 
 
 def run_summary(results: DataFrame, models_built: int, built_at: str) -> DataFrame:

@@ -24,6 +24,7 @@ from ..functions.casts import (
 from ..operators import joins, latest, lots, profile, quality, ranks, stats
 from ..session import materialize, materialize_all, work_dir
 from ..sources import export, extract, raw
+from ..sources.files import versions
 from ..sources.state import Bookmark
 from ..streaming.upsert import LatestState
 from . import bindings, models, reports
@@ -34,6 +35,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 BACKFILL_START, BACKFILL_END = "1996-01-01", "1996-02-01"
 MONTHS_FROM, MONTHS_BEFORE, TODAY = "1994-10", "2001-09-01", "2001-08-04"
 WINDOW = ("1996-01-01", "1996-01-31", 1994)
+POINTS = 500  # points drawn per season
 EVENTS_NOW = "2024-02-04 12:00:00"
 
 
@@ -45,17 +47,18 @@ class Tables:
     share a warehouse's.
     """
 
-    _known: dict[tuple[str, str], Tables] = {}
+    _known: dict[tuple[str, str], tuple[list, Tables]] = {}
 
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark, self.sf_dir = spark, sf_dir
 
     @classmethod
     def of(cls, spark: SparkSession, sf_dir: str) -> Tables:
-        key = (spark.sparkContext.applicationId, sf_dir)
-        if key not in cls._known:
-            cls._known[key] = cls(spark, sf_dir)
-        return cls._known[key]
+        at = (spark.sparkContext.applicationId, sf_dir)
+        now = versions(spark, sf_dir)  # changed files make the stored tables stale
+        if at not in cls._known or cls._known[at][0] != now:
+            cls._known[at] = (now, cls(spark, sf_dir))
+        return cls._known[at][1]
 
     def read(self, table: str) -> DataFrame:
         return bindings.read(self.spark, self.sf_dir, table)
@@ -593,7 +596,14 @@ def newest_rows(t: Tables) -> DataFrame:
 
 @query
 def random_points(t: Tables) -> DataFrame:
-    return profile.sample_rows(reports.season_points(t.fact.drop("latitude", "longitude"), t.stg), 20_000, 7)
+    points = profile.sample_rows(reports.season_points(t.fact), POINTS, 7, "complaint_id", ["season"])
+    return rounded(points, "lat", "lon")
+
+
+@query
+def fact_coordinates(t: Tables) -> DataFrame:
+    placed = reports.with_coordinates(t.fact.drop("latitude", "longitude"), t.stg)
+    return rounded(placed.select("complaint_id", "latitude", "longitude"), "latitude", "longitude")
 
 
 def lot_counts(t: Tables) -> DataFrame:
@@ -711,13 +721,12 @@ def rates_by_band(t: Tables) -> DataFrame:
 
 @query
 def rates_by_size(t: Tables) -> DataFrame:
-    return reports.pooled_rate(t.scored, ["heat_season", "size", "band"])
+    return reports.split_rates(t.scored, "size", lb.SIZE_LABELS)
 
 
 @query
 def rates_by_era(t: Tables) -> DataFrame:
-    dated = t.scored.filter(F.col("era").isNotNull())
-    return reports.rates_by_band(dated, ["heat_season", "era"])
+    return reports.split_rates(t.scored, "era", lb.ERAS)
 
 
 @query

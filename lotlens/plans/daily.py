@@ -1,7 +1,9 @@
 """The daily run: load raw files, build the models, check them, publish, export.
 
-A build goes to its own folder. It becomes the published one only when every
-check passed, by moving a bookmark; otherwise readers keep the previous build.
+Newly loaded complaints are merged into the kept newest version of each; a run reads
+that state, not the whole raw history. A build goes to its own folder. It becomes the
+published one only when every check passed, by moving a bookmark; otherwise readers
+keep the previous build. Builds before the published one are removed, but for a few.
 """
 
 from __future__ import annotations
@@ -13,8 +15,10 @@ from pyspark.sql import DataFrame, SparkSession
 from ..functions import labels as lb
 from ..operators import quality
 from ..sources import export
+from ..sources.files import delete, folders
 from ..sources.raw import RawTable
 from ..sources.state import Bookmark
+from ..streaming.upsert import LatestState
 from . import models, reports
 
 TABLES = ("stg_complaints", "stg_properties", "property_lots", "lot_dimension", "complaint_fact", "lot_season_mart")
@@ -27,19 +31,33 @@ class Run(NamedTuple):
 
 
 class DailyRun:
-    def __init__(self, spark: SparkSession, root: str):
+    def __init__(self, spark: SparkSession, root: str, buckets: int = 256, builds_kept: int = 2):
+        """``buckets``: parts of the complaint state, fixed once chosen; about one per GB of it."""
         self.spark, self.root = spark, root
         self.complaints = RawTable(spark, f"{root}/raw/complaints")
         self.properties = RawTable(spark, f"{root}/raw/properties")
+        typed = models.type_complaints(self.complaints.rows())
+        self.state = LatestState(
+            spark, f"{root}/state/complaints", typed.schema, ["complaint_id"], models.COMPLAINT_ORDER, buckets
+        )
+        self.builds_kept = builds_kept
         self.pointer = Bookmark(spark, f"{root}/published")
         self.attempts = Bookmark(spark, f"{root}/attempts")
 
-    def load(self, complaint_stage: str, property_stage: str, loaded_at: str) -> dict[str, int]:
+    def load(self, complaint_stage: str, property_stage: str, loaded_at: str | None = None) -> dict[str, int]:
         """Load new files of both stages; safe to run any number of times."""
-        return {
+        loaded = {
             "complaints": self.complaints.load(complaint_stage, loaded_at),
             "properties": self.properties.load(property_stage, loaded_at),
         }
+        self._merge()
+        return loaded
+
+    def _merge(self) -> None:
+        """Bring the complaint state up to the last loaded batch, all batches at once."""
+        done, last = self.state.last_batch(), self.complaints.last_batch()
+        if last > max(done, 0):
+            self.state.upsert(models.type_complaints(self.complaints.rows(after=done)), last)
 
     def _path(self, build: int, name: str) -> str:
         return f"{self.root}/builds/{build}/{name}"
@@ -59,7 +77,7 @@ class DailyRun:
         keep("stg_properties", models.build_stg_properties(self.properties.rows()))
         keep("property_lots", models.build_property_lots(done["stg_properties"], ["address"]))
         keep("lot_dimension", models.build_lot_dimension(done["property_lots"]))
-        keep("stg_complaints", models.build_stg_complaints(self.complaints.rows()))
+        keep("stg_complaints", self.state.current())
         fact = models.build_complaint_fact(
             done["stg_complaints"], done["stg_properties"], ["latitude", "longitude"]
         )
@@ -81,8 +99,16 @@ class DailyRun:
         published = publish_anyway or quality.may_publish(checks)
         if published:
             self.pointer.set(str(build))
+        self._drop_old_builds(build)
         return Run(build, published, checks)
 
+    def _drop_old_builds(self, newest: int) -> None:
+        """Keep the published build and the newest ``builds_kept``."""
+        published = self.pointer.get()
+        for name in folders(self.spark, f"{self.root}/builds"):
+            if int(name) <= newest - self.builds_kept and name != published:
+                delete(self.spark, f"{self.root}/builds/{name}")
+
     def published(self) -> dict[str, DataFrame]:
         """Tables of the published build; empty before the first."""
         build = self.pointer.get()
@@ -107,7 +133,7 @@ class DailyRun:
         summary.write.mode("overwrite").json(f"{out}/run")
 
 
-def model_checks(tables: dict[str, DataFrame]) -> dict[str, DataFrame]:
+def model_checks(tables: dict[str, DataFrame]) -> list[quality.Check]:
     """The checks every build must pass."""
     stg, props = tables["stg_complaints"], tables["stg_properties"]
     lots, dim = tables["property_lots"], tables["lot_dimension"]
@@ -119,16 +145,15 @@ def model_checks(tables: dict[str, DataFrame]) -> dict[str, DataFrame]:
         "complaint_fact": (fact, "complaint_id"),
         "lot_season_mart": (mart, "lot_season_id"),
     }
-    checks = {}
+    checks = []
     for name, (df, key) in keys.items():
-        checks[f"{name}.{key} unique"] = quality.check_unique(df, key)
-        checks[f"{name}.{key} not null"] = quality.check_not_null(df, key)
-    checks["stg_properties.report_year not null"] = quality.check_not_null(props, "report_year")
-    checks["property_lots.bbl not null"] = quality.check_not_null(lots, "bbl")
-    checks["lot_dimension.band accepted"] = quality.check_accepted(dim, "energy_star_band", lb.SCORE_BANDS)
-    checks["lot_dimension.era accepted"] = quality.check_accepted(dim, "era", lb.ERAS)
-    checks["lot_dimension.score in range"] = quality.check_range(
-        dim, "lot_year_id", "energy_star_score", 1, 100
-    )
-    checks["lot_season_mart invents nothing"] = quality.check_no_fan_out(mart, fact)
-    return checks
+        checks.append(quality.Offending(f"{name}.{key} unique", quality.check_unique(df, key)))
+        checks.append(quality.Failing(f"{name}.{key} not null", df, quality.nulls(key)))
+    return checks + [
+        quality.Failing("stg_properties.report_year not null", props, quality.nulls("report_year")),
+        quality.Failing("property_lots.bbl not null", lots, quality.nulls("bbl")),
+        quality.Failing("lot_dimension.band accepted", dim, quality.odd_values("energy_star_band", lb.SCORE_BANDS)),
+        quality.Failing("lot_dimension.era accepted", dim, quality.odd_values("era", lb.ERAS)),
+        quality.Failing("lot_dimension.score in range", dim, quality.outside("energy_star_score", 1, 100)),
+        quality.Offending("lot_season_mart invents nothing", quality.check_no_fan_out(mart, fact)),
+    ]

@@ -85,14 +85,16 @@ def type_complaints(raw: DataFrame) -> DataFrame:
     )
 
 
+#: Newest version of a complaint: by change time, then file, then load.
+COMPLAINT_ORDER = ["source_updated_at", "last_seen_in", "loaded_at"]
+
+
 def build_stg_complaints(raw: DataFrame) -> DataFrame:
     """One row per complaint: its newest version over all files.
 
     Types are extracted before the shuffle, so only needed columns travel.
     """
-    return latest_by(
-        type_complaints(raw), ["complaint_id"], ["source_updated_at", "last_seen_in", "loaded_at"]
-    )
+    return latest_by(type_complaints(raw), ["complaint_id"], COMPLAINT_ORDER)
 
 
 def type_properties(raw: DataFrame) -> DataFrame:

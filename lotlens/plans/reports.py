@@ -308,6 +308,16 @@ def rates_by_band(lots: DataFrame, by: Sequence[str] = ("heat_season",)) -> Data
     return filled.fillna(0, subset=["lots", "complaints", "gfa"])
 
 
+def split_rates(lots: DataFrame, group: str, labels: Sequence[str]) -> DataFrame:
+    """Pooled rates of every season in all cells of ``labels`` x bands; empty cells have 0 lots and no rate."""
+    grouped = lots.filter(F.col(group).isin(*labels) & F.col("band").isNotNull())
+    cells = grouped.select("heat_season").distinct()
+    for name, values in ((group, labels), ("band", lb.SCORE_BANDS)):
+        cells = cells.select("*", F.explode(F.array(*[F.lit(v) for v in values])).alias(name))
+    by = ["heat_season", group, "band"]
+    return cells.join(pooled_rate(grouped, by), by, "left").fillna(0, subset=["lots", "complaints", "gfa"])
+
+
 def rate_matrix(pooled: DataFrame, rows_by: Sequence[str], measure: str) -> DataFrame:
     """Pooled rates as a matrix: one column per band."""
     wide = pooled.groupBy(*rows_by).pivot("band", list(lb.SCORE_BANDS)).agg(F.first(measure))
@@ -416,11 +426,16 @@ def with_coordinates(fact: DataFrame, complaints: DataFrame) -> DataFrame:
     return fact.join(complaints.select("complaint_id", "latitude", "longitude"), "complaint_id")
 
 
-def season_points(fact: DataFrame, complaints: DataFrame) -> DataFrame:
+def season_points(fact: DataFrame) -> DataFrame:
+    """Places of no-heat complaints, from the coordinates that the stored fact carries."""
     cold = fact.filter(F.col("is_no_heat") & F.col("heat_season").isNotNull())
-    placed = with_coordinates(cold, complaints)
-    known = placed.filter(F.col("latitude").isNotNull() & F.col("longitude").isNotNull())
-    return known.select(F.col("latitude").alias("lat"), F.col("longitude").alias("lon"))
+    known = cold.filter(F.col("latitude").isNotNull() & F.col("longitude").isNotNull())
+    return known.select(
+        F.col("heat_season").alias("season"),
+        "complaint_id",
+        F.col("latitude").alias("lat"),
+        F.col("longitude").alias("lon"),
+    )
 
 
 def hotspot_classes(cells: DataFrame) -> DataFrame:

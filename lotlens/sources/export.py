@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -23,17 +24,21 @@ def plain(field: T.StructField) -> Column:
     return c.alias(field.name)
 
 
-def to_columnar(df: DataFrame, order: Sequence[str], per: Sequence[str] = ()) -> DataFrame:
+def to_columnar(
+    df: DataFrame, order: Sequence[str], per: Sequence[str] = (), decimals: bool = False
+) -> DataFrame:
     """One row of equally long arrays, one per column, sorted by ``order``.
 
     For aggregates of bounded size only (days x regions, seasons x regions).
-    ``per`` makes one such row per key. Values are collected as structs, so
+    ``per`` makes one such row per key. ``decimals`` leaves those as they are. Values are collected as structs, so
     NULLs keep their place.
     """
     fields = [f for f in df.schema.fields if f.name not in per]
     rest = [f.name for f in fields if f.name not in order]
     row = F.struct(*[F.col(f"`{c}`") for c in [*order, *rest]])
-    packed = df.select(*per, *[plain(f) for f in fields]).groupBy(*per).agg(
+    kept = lambda f: decimals and isinstance(f.dataType, T.DecimalType)
+    shown = [F.col(f"`{f.name}`") if kept(f) else plain(f) for f in fields]
+    packed = df.select(*per, *shown).groupBy(*per).agg(
         F.array_sort(F.collect_list(row)).alias("_rows")
     )
     return packed.select(
@@ -48,11 +53,27 @@ def from_columnar(df: DataFrame) -> DataFrame:
     return row.select(*[F.col("r").getField(c).alias(c) for c in df.columns])
 
 
+def _decimals(values: Column) -> Column:
+    """A JSON array of decimals, each written by its value: 5.00 is 5, 5.20 is 5.2."""
+    digits = lambda v: F.regexp_replace(v.cast("string"), r"(\.\d*?)0+$", "$1")
+    texts = F.transform(values, lambda v: F.coalesce(F.regexp_replace(digits(v), r"\.$", ""), F.lit("null")))
+    return F.concat(F.lit("["), F.array_join(texts, ","), F.lit("]"))
+
+
 def columnar_json(df: DataFrame, order: Sequence[str], per: Sequence[str] = ()) -> DataFrame:
     """The columnar object as compact JSON text."""
-    wide = to_columnar(df, order, per)
-    columns = [c for c in wide.columns if c not in per]
-    return wide.select(*per, F.to_json(F.struct(*[F.col(f"`{c}`") for c in columns])).alias("value"))
+    wide = to_columnar(df, order, per, decimals=True)
+    members = []
+    for f in wide.schema.fields:
+        if f.name not in per:
+            c = F.col(f"`{f.name}`")
+            kind = f.dataType.elementType
+            # to_json of a one-member object, without its braces
+            plain_json = F.expr(f"substring(to_json(named_struct('v', `{f.name}`), map('ignoreNullFields', 'false')), 6)")
+            body = _decimals(c) if isinstance(kind, T.DecimalType) else F.rtrim(plain_json, F.lit("}"))
+            members.append(F.concat(F.lit(json.dumps(f.name, ensure_ascii=False) + ":"), body))
+    value = F.concat(F.lit("{"), F.concat_ws(",", *members), F.lit("}"))
+    return wide.select(*per, value.alias("value"))
 
 
 def write_columnar(df: DataFrame, order: Sequence[str], path: str) -> None:

@@ -31,3 +31,13 @@ def replace(spark: SparkSession, source: str, target: str) -> None:
     store.mkdirs(new.getParent())
     if not store.rename(_at(spark, source)[1], new):
         raise OSError(f"cannot move {source} to {target}")
+
+
+def versions(spark: SparkSession, path: str) -> list[tuple]:
+    """Path, change time and length of all files below ``path``, sorted."""
+    store, at = _at(spark, path)
+    files, found = store.listFiles(at, True), []
+    while files.hasNext():
+        f = files.next()
+        found.append((f.getPath().toString(), f.getModificationTime(), f.getLen()))
+    return sorted(found)

@@ -4,7 +4,9 @@ Late and corrected records always win by version, never by arrival, and are
 never dropped, so there is no event-time watermark and no state to expire. The
 state is a Parquet table of hash buckets; a batch rewrites the buckets it
 touches under its own version, then commits by writing one manifest. Readers
-follow the newest manifest and never see a half-written batch.
+follow the newest manifest and never see a half-written batch. Buckets that neither
+of the two newest manifests names are removed after each commit, so that the store
+holds at most two versions of a key and a reader may be one commit behind.
 """
 
 from __future__ import annotations
@@ -18,10 +20,12 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from ..operators.latest import latest_by
+from ..sources.files import delete, folders
 from ..sources.raw import overwrite_partitions
 from ..sources.state import read_or_empty
 
-MANIFEST_SCHEMA = "state_bucket int, state_version long, batch long"
+MANIFEST_SCHEMA = "state_bucket int, state_version long"
+VERSIONS_KEPT = 2
 
 
 class LatestState:
@@ -38,22 +42,25 @@ class LatestState:
         self.keys, self.newest, self.buckets = list(keys), list(newest), buckets
         self.table, self.manifests = f"{path}/table", f"{path}/manifests"
 
-    def _manifest(self) -> DataFrame:
-        """Version of each bucket as of the newest commit; at most ``buckets`` rows."""
-        commits = read_or_empty(self.spark, self.manifests, MANIFEST_SCHEMA)
-        newest = commits.agg(F.max("batch").alias("_newest"))
-        return commits.filter(F.col("batch") == newest.scalar()).drop("batch")
+    def _commits(self) -> list[int]:
+        """Committed batches whose manifests are still there; a few."""
+        names = folders(self.spark, self.manifests)
+        return sorted(int(n.removeprefix("batch=")) for n in names if n.startswith("batch="))
+
+    def _manifest(self, batch: int | None = None) -> DataFrame:
+        """Version of each bucket as of a commit (default: the newest); at most ``buckets`` rows."""
+        commits = self._commits() if batch is None else [batch]
+        path = f"{self.manifests}/batch={commits[-1]}" if commits else self.manifests
+        return read_or_empty(self.spark, path, MANIFEST_SCHEMA)
 
     def last_batch(self) -> int:
-        commits = read_or_empty(self.spark, self.manifests, MANIFEST_SCHEMA)
-        batch = commits.agg(F.max("batch")).first()[0]
-        return -1 if batch is None else batch
+        return max(self._commits(), default=-1)
 
     def _stored(self, manifest: DataFrame) -> DataFrame:
         columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in self.schema)
         stored = read_or_empty(self.spark, self.table, f"{columns}, state_version long, state_bucket int")
         # both are partition columns: the scan is pruned to the current files
-        return stored.join(F.broadcast(manifest), ["state_version", "state_bucket"], "left_semi")
+        return stored.join(manifest, ["state_version", "state_bucket"], "left_semi")
 
     def current(self) -> DataFrame:
         return self._stored(self._manifest()).drop("state_version", "state_bucket")
@@ -79,8 +86,18 @@ class LatestState:
     def _commit(self, manifest: DataFrame, touched: DataFrame, batch_id: int) -> None:
         kept = manifest.join(touched, "state_bucket", "left_anti").select("state_bucket", "state_version")
         moved = touched.select("state_bucket", F.lit(batch_id).cast("long").alias("state_version"))
-        rows = kept.unionByName(moved).withColumn("batch", F.lit(batch_id).cast("long"))
-        rows.coalesce(1).write.mode("append").parquet(self.manifests)
+        kept.unionByName(moved).coalesce(1).write.mode("overwrite").parquet(f"{self.manifests}/batch={batch_id}")
+        self._drop_superseded()
+
+    def _drop_superseded(self) -> None:
+        """Remove what only manifests older than the newest two name; a crash in between is made good next time."""
+        commits = self._commits()
+        named = lambda batch: {tuple(r) for r in self._manifest(batch).collect()}  # noqa: E731  a row per bucket
+        kept = set().union(*map(named, commits[-VERSIONS_KEPT:]))
+        for batch in commits[:-VERSIONS_KEPT]:
+            for bucket, version in named(batch) - kept:
+                delete(self.spark, f"{self.table}/state_version={version}/state_bucket={bucket}")
+            delete(self.spark, f"{self.manifests}/batch={batch}")
 
     def follow(self, stream: DataFrame, checkpoint: str) -> StreamingQuery:
         """Process all files available now; re-delivered batches change nothing."""

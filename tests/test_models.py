@@ -1,6 +1,7 @@
 """Models end to end on small raw inputs, and the daily run with its gate."""
 
 import json
+import os
 
 import pytest
 from pyspark.sql import functions as F
@@ -245,6 +246,17 @@ def test_daily_run_publishes_only_good_builds(spark, tmp_path):
     assert pipe.run().published
     assert values(pipe.published()["lot_season_mart"].select("energy_star_band")) == [("1-25",)]
 
+    # the kept state equals one deduplication of the whole history, in any number of loads
+    whole = models.build_stg_complaints(pipe.complaints.rows())
+    assert values(pipe.state.current()) == values(whole.select(*pipe.state.schema.fieldNames()))
+    write_file(spark, f"{stage}/c/dt=2/b.parquet", [complaint("2", "2025-05-31T10:00:00", updated="2025-01-01T00:00:00Z")], cols(C_FIELDS))
+    write_file(spark, f"{stage}/c/dt=1/a.parquet", [complaint("1", "2024-10-01T00:00:00", closed="2024-10-01T03:00:00", updated="2026-02-01T00:00:00Z")], cols(C_FIELDS))
+    assert pipe.load(f"{stage}/c", f"{stage}/p")["complaints"] == 2
+    whole = models.build_stg_complaints(pipe.complaints.rows())
+    assert values(pipe.state.current()) == values(whole.select(*pipe.state.schema.fieldNames()))
+    # one build is published, and no more than two others are kept
+    assert len(os.listdir(f"{root}/builds")) <= 3
+
     out = tmp_path / "site"
     pipe.export(str(out), "2026-01-03")
     daily = json.loads("".join(p.read_text() for p in (out / "daily").glob("*.txt")))

@@ -163,31 +163,45 @@ def test_duplicates_and_shares(spark):
     assert tuple(profile.fill_rate(df, ["k", "i"]).first()) == (0.75, 1.0)
 
 
-def test_sample_has_exactly_n_distinct_rows(spark):
+def test_sample_has_exactly_n_distinct_rows_and_is_repeatable(spark):
     df = spark.range(20000)
     for n in (1, 50, 5000):
-        got = [r["id"] for r in profile.sample_rows(df, n, seed=n).collect()]
+        got = [r["id"] for r in profile.sample_rows(df, n, n, "id").collect()]
         assert len(got) == n == len(set(got))
-    assert profile.sample_rows(spark.range(7), 50, 1).count() == 7
-    spread = Counter(r["id"] // 5000 for r in profile.sample_rows(df, 4000, 5).collect())
+        assert sorted(got) == sorted(r["id"] for r in profile.sample_rows(df.repartition(3), n, n, "id").collect())
+    assert profile.sample_rows(spark.range(7), 50, 1, "id").count() == 7
+    spread = Counter(r["id"] // 5000 for r in profile.sample_rows(df, 4000, 5, "id").collect())
     assert all(850 < spread[q] < 1150 for q in range(4))
+    per = df.withColumn("g", F.when(F.col("id") < 30, "a").otherwise("b"))
+    assert Counter(r["g"] for r in profile.sample_rows(per, 100, 1, "id", ["g"]).collect()) == {"a": 30, "b": 100}
 
 
 def test_checks_and_gate(spark):
     df = spark.createDataFrame([("a", 1.0), ("a", 101.0), (None, None)], "k string, v double")
-    found = {
-        "unique": quality.check_unique(df, "k"),
-        "not null": quality.check_not_null(df, "k"),
-        "accepted": quality.check_accepted(df, "k", ["a"]),
-        "range": quality.check_range(df, "k", "v", 1, 100),
-    }
-    results = quality.run_checks(found)
-    assert [tuple(r) for r in results.collect()] == [
-        ("unique", False, 1), ("not null", False, 1), ("accepted", True, 0), ("range", False, 1),
+    assert quality.check_not_null(df, "k").count() == quality.check_range(df, "k", "v", 1, 100).count() == 1
+    assert quality.check_accepted(df, "k", ["a"]).count() == 0
+    results = quality.run_checks(
+        [
+            quality.Offending("unique", quality.check_unique(df, "k")),
+            quality.Failing("not null", df, quality.nulls("k")),
+            quality.Failing("accepted", df, quality.odd_values("k", ["a"])),
+            quality.Failing("range", df, quality.outside("v", 1, 100)),
+            quality.Failing("empty", df.limit(0), quality.nulls("k")),
+        ]
+    )
+    assert values(results) == [
+        ("accepted", True, 0), ("empty", True, 0), ("not null", False, 1), ("range", False, 1), ("unique", False, 1),
     ]
     assert not quality.may_publish(results)
     assert quality.may_publish(results.filter("passed"))
-    assert tuple(quality.run_summary(results, 6, "t").first()) == ("t", 4, 1, 6)
+    assert tuple(quality.run_summary(results, 6, "t").first()) == ("t", 5, 2, 6)
+
+
+def test_checks_of_one_table_share_a_scan(spark, tmp_path):
+    spark.range(5).write.parquet(str(tmp_path / "t"))
+    df = spark.read.parquet(str(tmp_path / "t"))
+    plan = quality.run_checks([quality.Failing(str(i), df, quality.nulls("id")) for i in range(6)])
+    assert plan._jdf.queryExecution().optimizedPlan().toString().count("Relation [") == 1
 
 
 def test_freshness_levels(spark):

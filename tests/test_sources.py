@@ -264,8 +264,10 @@ def test_json_types(spark, tmp_path):
     )
     export.write_columnar(df, ["k"], str(tmp_path / "out"))
     text = "".join(p.read_text() for p in (tmp_path / "out").glob("*.txt"))
-    assert json.loads(text) == {"k": ["a"], "i": [3], "f": [2.5], "t": ["2026-01-02T03:04:05"]}
-    assert ": " not in text
+    assert text.strip() == '{"k":["a"],"i":[3],"f":[2.5],"t":["2026-01-02T03:04:05"]}'
+    rows = [("a\"}", Decimal("5.00"), None), ("b", Decimal("5.25"), 1.5), ("c", None, 2.0), ("d", Decimal("-0.10"), 0.0), ("e", Decimal("1200.00"), 1.0)]
+    text = export.columnar_json(spark.createDataFrame(rows, "k string, f decimal(10,2), x double"), ["k"]).first()[0]
+    assert text == '{"k":["a\\"}","b","c","d","e"],"f":[5,5.25,null,-0.1,1200],"x":[null,1.5,2.0,0.0,1.0]}'
 
 
 def test_lots_are_split_by_season(spark, tmp_path):

@@ -77,3 +77,14 @@ def test_untouched_buckets_are_not_rewritten(spark, tmp_path):
     versions = {r["state_version"]: r["n"] for r in current._manifest().groupBy("state_version").agg(F.count("*").alias("n")).collect()}
     assert versions[1] == 1 and versions[0] > 25
     assert current.current().count() == 200
+
+
+def test_superseded_versions_are_removed(spark, tmp_path):
+    current = state(spark, tmp_path)
+    for n in range(5):
+        current.upsert(spark.createDataFrame([(f"k{i}", n, "f", "") for i in range(50)], SCHEMA), n)
+        stored = spark.read.parquet(current.table).count()
+        assert stored <= 100 and len(current._commits()) <= 2
+    assert current.current().count() == 50 and current.last_batch() == 4
+    current.upsert(spark.createDataFrame([("k1", 9, "f", "")], SCHEMA), 5)
+    assert current.current().count() == 50
