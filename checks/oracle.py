@@ -256,8 +256,8 @@ def _cells(by: str, labels: str) -> str:
     return f"""
         SELECT heat_season, {by}, band, count(bbl) AS lots, cast(coalesce(sum(no_heat), 0) AS bigint) AS complaints,
                coalesce(sum(gfa), 0.0) AS gfa, {_RATE} AS per_100k
-        FROM (SELECT DISTINCT heat_season FROM scored WHERE {by} IS NOT NULL),
-             (SELECT unnest([{labels}]) AS {by}), (SELECT unnest(['1-25', '26-50', '51-75', '76-100']) AS band)
+        FROM (SELECT * FROM (SELECT DISTINCT heat_season FROM scored WHERE {by} IS NOT NULL),
+              (SELECT unnest([{labels}]) AS {by}), (SELECT unnest(['1-25', '26-50', '51-75', '76-100']) AS band))
         LEFT JOIN scored USING (heat_season, {by}, band) GROUP BY ALL"""
 
 
@@ -505,7 +505,7 @@ _QUERIES: dict[str, str] = {
     "season_lots": """
         SELECT s.heat_season, d.report_year, d.bbl FROM season s JOIN dim d ON d.report_year = s.ll84_report_year""",
     "season_region_rollup": f"""
-        WITH rows AS (SELECT heat_season AS season, {_region('bbl', 'borough')} AS boro, bbl, is_no_heat,
+        SELECT * FROM (WITH rows AS (SELECT heat_season AS season, {_region('bbl', 'borough')} AS boro, bbl, is_no_heat,
                              {_minutes('created_at', 'closed_at')} AS mins FROM fct WHERE heat_season IS NOT NULL),
         levels AS (FROM rows UNION ALL SELECT * REPLACE ('All' AS boro) FROM rows),
         lots AS (SELECT season, boro, count(*) AS buildings
@@ -517,7 +517,7 @@ _QUERIES: dict[str, str] = {
         SELECT s.season, s.boro, coalesce(buildings, 0) AS buildings, round(hours, 4) AS median_close_hours,
                coalesce(taken, 0) AS closed
         FROM (SELECT DISTINCT season, boro FROM levels) s
-        LEFT JOIN lots USING (season, boro) LEFT JOIN middle USING (season, boro)""",
+        LEFT JOIN lots USING (season, boro) LEFT JOIN middle USING (season, boro))""",
     "season_summary": """
         SELECT heat_season, max(ll84_report_year) AS ll84_year, bool_and(is_season_complete) AS complete, count(*) AS lots
         FROM mart GROUP BY 1""",
@@ -572,13 +572,13 @@ _QUERIES: dict[str, str] = {
         SELECT heat_season, count(*) AS "groups", count(*) FILTER (hi_rate < lo_rate) AS better
         FROM ({_effect('era', 'era IS NOT NULL')}) GROUP BY 1""",
     "window_band_check": """
-        WITH snapshot AS (SELECT energy_star_band AS band, bbl, total_gfa_sqft AS gfa FROM dim
+        SELECT * FROM (WITH snapshot AS (SELECT energy_star_band AS band, bbl, total_gfa_sqft AS gfa FROM dim
                           WHERE report_year = 1994 AND has_energy_star_score),
         hits AS (SELECT bbl FROM fct WHERE is_no_heat AND strftime(created_date, '%Y-%m') = '1996-01'),
-        touched AS (SELECT band, count(DISTINCT bbl) AS some, count(*) AS hit FROM snapshot JOIN hits USING (bbl) GROUP BY 1)
-        SELECT band, lots, round(coalesce(some, 0) / lots, 3) AS pct_with_complaint,
+        touched AS (SELECT band, count(DISTINCT bbl) AS reached, count(*) AS hit FROM snapshot JOIN hits USING (bbl) GROUP BY 1)
+        SELECT band, lots, round(coalesce(reached, 0) / lots, 3) AS pct_with_complaint,
                coalesce(hit, 0) AS complaints, round(coalesce(hit, 0) / gfa * 100000, 3) AS per_100k_sqft
-        FROM (SELECT band, count(*) AS lots, sum(gfa) AS gfa FROM snapshot GROUP BY 1) LEFT JOIN touched USING (band)""",
+        FROM (SELECT band, count(*) AS lots, sum(gfa) AS gfa FROM snapshot GROUP BY 1) LEFT JOIN touched USING (band))""",
     "top_lots": """
         SELECT heat_season, r.bbl, round(r.energy_star_score) AS energy_star, r.energy_star_band, r.era, r.year_built,
                round(r.total_gfa_sqft) AS floor_area_sqft, r.no_heat_complaints,

@@ -721,7 +721,7 @@ def rates_by_band(t: Tables) -> DataFrame:
 
 @query
 def rates_by_size(t: Tables) -> DataFrame:
-    return reports.split_rates(t.scored, "size", lb.SIZE_LABELS)
+    return reports.split_rates(t.scored, "size", list(lb.SIZE_LABELS.values()))
 
 
 @query
