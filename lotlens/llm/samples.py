@@ -7,7 +7,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 ROWS_PER_CLASS = 3000
-CHARS_PER_CLASS = 16_000_000
+CHARS_PER_CLASS = 12_000_000
 
 
 def fold(key: Column, folds: int) -> Column:

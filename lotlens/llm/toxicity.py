@@ -33,6 +33,7 @@ SHORTEST, LONGEST = 3, 5
 EPOCHS, UPDATES, BATCH, RATE, PATIENCE = 8, 100, 64, 0.4, 3  # at least so many epochs and updates
 STRETCH = 48  # words in a training stretch of a clean text, at most
 CHUNK = 2_000_000  # characters whose words are looked up together
+WORDS_AT_ONCE = 50_000  # words of the sample that are cut up together
 KNOWN_WORDS = 400_000  # words whose sums a task remembers at once
 TRIM = ".,;:!?\"'()[]"
 
@@ -93,8 +94,13 @@ def fit(texts: list[str], labels: np.ndarray, share: float, seed: int = 7) -> Mo
     index: dict[str, int] = {}
     bags = []
     for text in texts:
-        bags.append(np.array([index.setdefault(w, len(index)) for w in words_of(text)], np.int64))
-    features, sizes = subwords(list(index))
+        bags.append(np.array([index.setdefault(w, len(index)) for w in words_of(text)], np.int32))
+    words = list(index)
+    del index
+    parts = [subwords(words[i : i + WORDS_AT_ONCE]) for i in range(0, len(words), WORDS_AT_ONCE)]
+    features = np.concatenate([p[0].astype(np.int32) for p in parts]) if parts else np.zeros(0, np.int32)
+    sizes = np.concatenate([p[1] for p in parts]) if parts else np.zeros(0, np.int64)
+    del words, parts
     starts = np.cumsum(sizes) - sizes
     rng = np.random.default_rng(seed)
     vectors = rng.normal(0, 0.05, (BUCKETS, DIMENSIONS)).astype(np.float32)
