@@ -37,6 +37,7 @@ REPORTS = [
     "match_rates",
     "lots_export",
     "poisson_rate_model",
+    "dq_summary",
 ]
 
 

@@ -18,6 +18,20 @@ def first_per(df: DataFrame, keys: Sequence[Column | str], order: Sequence[Colum
     return ranked.filter(F.col("_rn") <= n).drop("_rn")
 
 
+def top_n(
+    df: DataFrame, keys: Sequence[Column | str], order: Sequence[Column], n: int, spread_by: str, ways: int = 32
+) -> DataFrame:
+    """The first ``n`` rows per key where a key may hold any share of the rows.
+
+    Each key is dealt by a hash of ``spread_by`` into ``ways`` parts that are cut to
+    ``n`` rows first, so the last task of a key gets at most ``ways * n`` rows, however
+    many map tasks there are and however large ``n`` is.
+    """
+    dealt = df.withColumn("_way", F.pmod(F.xxhash64(spread_by), F.lit(ways)))
+    parts = first_per(dealt, [*keys, "_way"], order, n).drop("_way")
+    return first_per(parts, keys, order, n)
+
+
 def latest_by(df: DataFrame, keys: Sequence[str], newest: Sequence[str]) -> DataFrame:
     """Newest row per key; ``newest`` are sorted descending with NULLs last."""
     return first_per(df, keys, [F.col(c).desc_nulls_last() for c in newest])

@@ -27,8 +27,8 @@ def weigh(df: DataFrame, by: Sequence[str], order: Sequence[str]) -> DataFrame:
 def _ranges(weighted: DataFrame, by: Sequence[str], order: Sequence[str]) -> tuple[DataFrame, DataFrame]:
     """Range-partitioned rows and, per group and range, the weight before it.
 
-    The rows are written out because range borders are sampled: two reads of
-    an unwritten plan could cut the ranges differently.
+    The rows are written out, at once, because range borders are sampled: two reads
+    of an unwritten plan could cut the ranges differently. All else is lazy.
     """
     placed = materialize(
         weighted.select(*by, *order, "weight")
@@ -47,7 +47,7 @@ def _ranges(weighted: DataFrame, by: Sequence[str], order: Sequence[str]) -> tup
         "_len",
         F.sum("_len").over(group).alias("group_rows"),
     )
-    return placed, materialize(totals, "range-totals")
+    return placed, totals
 
 
 def _inside(by: Sequence[str], order: Sequence[str]) -> Column:
@@ -105,7 +105,7 @@ def pick(
     values = [
         F.max(F.when(F.col("_name") == name, F.struct(*order))).alias(name) for name in positions
     ]
-    return materialize(hits.groupBy(*by).agg(F.max("group_rows").alias("group_rows"), *values), "picked")
+    return hits.groupBy(*by).agg(F.max("group_rows").alias("group_rows"), *values)
 
 
 def order_statistics(
@@ -129,7 +129,7 @@ def upper_median(n: Column) -> Column:
 
 
 def exact_median(weighted: DataFrame, by: Sequence[str], value: str, out: str) -> DataFrame:
-    """Interpolated median of a weighted column: mean of the two middle values."""
+    """Interpolated median of a weighted column (mean of the two middle values), and ``group_rows``."""
     picked = pick(
         weighted,
         by,
@@ -137,7 +137,7 @@ def exact_median(weighted: DataFrame, by: Sequence[str], value: str, out: str) -
         {"_lo": lambda n: F.floor((n - 1) / 2), "_hi": lambda n: F.floor(n / 2)},
     )
     middle = (F.col("_lo").getField(value) + F.col("_hi").getField(value)) / 2
-    return picked.select(*by, middle.alias(out))
+    return picked.select(*by, "group_rows", middle.alias(out))
 
 
 def quantile_cuts(df: DataFrame, by: Sequence[str], value: str, probs: Sequence[float]) -> DataFrame:

@@ -11,7 +11,7 @@ from ..functions import calendar as cal
 from ..functions import labels as lb
 from ..functions.casts import as_col
 from ..operators.joins import keep_zeros, one_row
-from ..operators.latest import first_per
+from ..operators.latest import top_n
 from ..operators.ranks import (
     cumulative,
     cut_at,
@@ -178,16 +178,15 @@ def season_region_rollup(fact: DataFrame) -> DataFrame:
         .agg(region.alias("label"), F.sum("w").alias("weight"))
         .select("season", "label", "minutes", "weight")
     )
-    closed = minutes.groupBy("season", "label").agg(F.sum("weight").alias("closed"))
     medians = exact_median(minutes, ["season", "label"], "minutes", "median_minutes")
     keys = ["season", "label"]
-    joined = lots.select(*keys, "buildings").join(closed, keys, "left").join(medians, keys, "left")
+    joined = lots.select(*keys, "buildings").join(medians, keys, "left")
     return joined.select(
         "season",
         F.col("label").alias("boro"),
         "buildings",
         F.round(F.col("median_minutes") / 60, 4).alias("median_close_hours"),
-        F.coalesce("closed", F.lit(0)).alias("closed"),
+        F.coalesce("group_rows", F.lit(0)).alias("closed"),
     )
 
 
@@ -471,8 +470,11 @@ def peer_comparison(lots: DataFrame) -> DataFrame:
     middle = upper_median(F.col("group_rows"))
     medians = ranked.filter(
         (F.col("below") <= middle) & (middle < F.col("below") + F.col("weight"))
-    ).select(*by, F.col("rate").alias("peer_median"))
-    compared = sized.join(ranked, [*by, "rate"]).join(materialize(medians, "medians"), by)
+    ).select(*by, F.col("rate").alias("peer_median"), "group_rows")
+    # rate 0, which most lots have, is the lowest: those lots need no look at the ranks
+    zero = sized.filter("rate = 0").withColumn("below", F.lit(0).cast("long"))
+    above = sized.filter("rate <> 0").join(ranked.select(*by, "rate", "below"), [*by, "rate"])
+    compared = zero.unionByName(above.select(*zero.columns)).join(medians, by)
     return compared.select(
         "heat_season",
         "bbl",
@@ -486,9 +488,8 @@ def peer_comparison(lots: DataFrame) -> DataFrame:
 def top_lots(mart: DataFrame, min_area: float = MIN_AREA, n: int = 25) -> DataFrame:
     """Lots with the highest rates of each season, among those of a minimum area."""
     large = mart.filter(F.col("total_gfa_sqft") >= min_area)
-    top = first_per(
-        large, ["heat_season"], [F.col("no_heat_per_100k_sqft").desc_nulls_last(), F.asc("bbl")], n
-    )
+    order = [F.col("no_heat_per_100k_sqft").desc_nulls_last(), F.asc("bbl")]
+    top = top_n(large, ["heat_season"], order, n, "bbl")
     return top.select(
         "heat_season",
         "bbl",
@@ -515,7 +516,7 @@ def leaderboard(
         (F.col("gfa") >= min_area) & (F.col("no_heat") >= min_n)
     )
     order = [F.coalesce(F.col(sort), F.lit(-1)).desc(), F.asc("bbl")]
-    return first_per(eligible, ["heat_season"], order, n)
+    return top_n(eligible, ["heat_season"], order, n, "bbl")
 
 
 def search(lots: DataFrame, text: str, region: str | None = None, n: int = SEARCH_HITS) -> DataFrame:
@@ -529,7 +530,7 @@ def search(lots: DataFrame, text: str, region: str | None = None, n: int = SEARC
         searched = F.concat_ws(" ", F.lower(F.coalesce("address", F.lit(""))), F.col("bbl"))
         hit = searched.contains(wanted)
     found = in_region(lots, region).filter(hit)
-    return first_per(found, ["heat_season"], [F.desc("no_heat"), F.asc("bbl")], n)
+    return top_n(found, ["heat_season"], [F.desc("no_heat"), F.asc("bbl")], n, "bbl")
 
 
 def benchmarked_share(fact: DataFrame, lots: DataFrame) -> DataFrame:

@@ -273,3 +273,19 @@ def test_leaderboard_ranks_nulls_last(spark, sort):
     want = {"rate": ["2", "1"], "no_heat": ["1", "2"], "score": ["2", "1"]}[sort]
     board = reports.leaderboard(lots, sort).orderBy(F.coalesce(F.col(sort), F.lit(-1)).desc())
     assert [r["bbl"] for r in board.collect()] == want
+
+
+def test_peers_are_compared_without_a_join_on_the_zero_rate(spark):
+    rows = [("s", str(i), float(1 + i % 40), 0.0 if i % 5 else float(i % 7)) for i in range(200)]
+    lots = spark.createDataFrame(rows, "heat_season string, bbl string, gfa double, rate double")
+    got = {r["bbl"]: r for r in reports.peer_comparison(lots).collect()}
+    assert len(got) == 200
+    groups = {}
+    for r in rows:
+        groups.setdefault(got[r[1]]["size_group"], []).append(r)
+    for peers in groups.values():
+        rates = sorted(p[3] for p in peers)
+        for p in peers:
+            r = got[p[1]]
+            assert r["peers"] == len(peers) and r["peer_median"] == rates[len(rates) // 2]
+            assert abs(r["pct_below"] - 100 * sum(x < p[3] for x in rates) / len(rates)) <= 0.5

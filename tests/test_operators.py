@@ -103,6 +103,13 @@ def test_latest_by_limits_a_group_before_the_shuffle(spark):
     assert "WindowGroupLimit" in plan and exchange < partial  # below the exchange in the tree
 
 
+def test_top_n_in_two_steps(spark):
+    df = spark.range(5000).select(F.when(F.col("id") < 4900, "hot").otherwise("cold").alias("g"), "id", (F.col("id") % 97).alias("v"))
+    for n in (3, 200, 1500):
+        got = values(latest.top_n(df, ["g"], [F.desc("v"), F.asc("id")], n, "id"))
+        assert got == values(latest.first_per(df, ["g"], [F.desc("v"), F.asc("id")], n))
+
+
 def test_latest_load_keeps_ties_of_the_newest_load(spark):
     rows = [("a", 1, "x"), ("a", 2, "y"), ("a", 2, "z"), ("b", 1, "w")]
     df = spark.createDataFrame(rows, "source_file string, loaded_at int, p string")
