@@ -30,7 +30,8 @@ from .samples import bounded_sample
 
 BUCKETS, DIMENSIONS = 1 << 18, 8
 SHORTEST, LONGEST = 3, 5
-EPOCHS, UPDATES, BATCH, RATE, PATIENCE = 8, 100, 64, 0.4, 3  # at least so many epochs and updates
+EPOCHS, UPDATES, BATCH, RATE, PATIENCE = 10, 300, 64, 0.4, 3  # at least so many epochs and updates
+CALIBRATION = 5
 STRETCH = 48  # words in a training stretch of a clean text, at most
 CHUNK = 2_000_000  # characters whose words are looked up together
 WORDS_AT_ONCE = 50_000  # words of the sample that are cut up together
@@ -86,11 +87,44 @@ def _gather(starts: np.ndarray, counts: np.ndarray) -> np.ndarray:
     return np.arange(counts.sum()) - np.repeat(before - starts, counts)
 
 
+def _calibrate(margin: np.ndarray, labels: np.ndarray, share: float) -> tuple[float, float]:
+    """Slope and offset that turn margins into probabilities, by Platt's method, at ``share`` of label 1."""
+    ones, zeros = int(labels.sum()), int(len(labels) - labels.sum())
+    target = np.where(labels == 1, (ones + 1) / (ones + 2), 1 / (zeros + 2))
+    weight = np.where(labels == 1, share / ones, (1 - share) / zeros) * len(labels)
+    x, line = np.stack([margin, np.ones_like(margin)], 1), np.array([1.0, 0.0])
+    ridge = np.diag([1e-3, 1e-3]) * len(labels)
+    for _ in range(50):
+        p = 1 / (1 + np.exp(-np.clip(x @ line, -50, 50)))
+        slope = x.T @ (weight * (p - target)) + ridge @ (line - [1.0, 0.0])
+        line = line - np.linalg.solve((x * (weight * p * (1 - p))[:, None]).T @ x + ridge, slope)
+        line = np.clip(line, [0.2, -50], [20, 50])
+    return float(line[0]), float(line[1])
+
+
 def fit(texts: list[str], labels: np.ndarray, share: float, seed: int = 7) -> Model:
-    """Train embeddings and softmax; ``share`` is the share of label 1 in the whole corpus."""
+    """Train embeddings and softmax; ``share`` is the share of label 1 in the whole corpus.
+
+    Every CALIBRATION-th text of the sample is kept back and tells how margins translate
+    into probabilities.
+    """
     labels = np.asarray(labels, np.int64)
     if len(set(labels.tolist())) < 2:
         return constant(share)
+    share = min(max(share, 1e-4), 1 - 1e-4)
+    held = np.zeros(len(labels), bool)
+    for label in (0, 1):
+        held[np.flatnonzero(labels == label)[CALIBRATION - 1 :: CALIBRATION]] = True
+    learnt = _embed([t for t, h in zip(texts, held) if not h], labels[~held], seed)
+    if len(set(labels[held].tolist())) < 2:
+        return Model(learnt.weights, learnt.bias + float(np.log(share / (1 - share))))
+    (means,) = mean_weights(learnt, iter([pd.Series([t for t, h in zip(texts, held) if h])]))
+    slope, offset = _calibrate(means + learnt.bias, labels[held], share)
+    return Model((learnt.weights * slope).astype(np.float32), learnt.bias * slope + offset)
+
+
+def _embed(texts: list[str], labels: np.ndarray, seed: int) -> Model:
+    """Embeddings and softmax trained together, both classes weighed alike."""
     index: dict[str, int] = {}
     bags = []
     for text in texts:
@@ -114,7 +148,7 @@ def fit(texts: list[str], labels: np.ndarray, share: float, seed: int = 7) -> Mo
         chosen = [(bags[i], labels[i]) for i in trainable]
         for i in trainable:
             if labels[i] == 0:
-                length = int(rng.integers(1, STRETCH + 1))
+                length = int(STRETCH ** rng.random())  # as often 1 to 2 words as 24 to 48
                 start = int(rng.integers(0, max(1, len(bags[i]) - length + 1)))
                 chosen.append((bags[i][start : start + length], 0))
         order = rng.permutation(len(chosen))
@@ -154,9 +188,7 @@ def fit(texts: list[str], labels: np.ndarray, share: float, seed: int = 7) -> Mo
                 total += step * step
                 value -= RATE * step / np.sqrt(total)
     direction = softmax[:, 1] - softmax[:, 0]
-    # the classes were weighed alike; the whole corpus has ``share`` of label 1
-    share = min(max(share, 1e-4), 1 - 1e-4)
-    return Model((vectors @ direction).astype(np.float32), float(bias[1] - bias[0] + np.log(share / (1 - share))))
+    return Model((vectors @ direction).astype(np.float32), float(bias[1] - bias[0]))
 
 
 def _chunks(texts: pd.Series) -> Iterator[list[str]]:
@@ -171,7 +203,8 @@ def _chunks(texts: pd.Series) -> Iterator[list[str]]:
     yield part
 
 
-def score_batches(model: Model, batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+def mean_weights(model: Model, batches: Iterator[pd.Series]) -> Iterator[np.ndarray]:
+    """Per text, the mean of its features' weights; 0 without words."""
     index: dict[str, int] = {}
     sums, counts = np.zeros(0), np.zeros(0)
     for batch in batches:
@@ -190,7 +223,12 @@ def score_batches(model: Model, batches: Iterator[pd.Series]) -> Iterator[pd.Ser
             for words in worded:
                 at = np.fromiter(map(index.__getitem__, words), np.int64, len(words))
                 means.append(sums[at].sum() / counts[at].sum() if words else 0.0)
-        yield pd.Series(model.probability(np.array(means, float)))
+        yield np.array(means, float)
+
+
+def score_batches(model: Model, batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    for means in mean_weights(model, batches):
+        yield pd.Series(model.probability(means))
 
 
 def scorer(model: Model) -> Column:
