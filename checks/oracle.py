@@ -338,6 +338,7 @@ _QUERIES: dict[str, str] = {
         SELECT * REPLACE (round(total_gfa_sqft, 4) AS total_gfa_sqft,
                           round(no_heat_per_100k_sqft, 4) AS no_heat_per_100k_sqft) FROM mart""",
     "lots_export": "SELECT * FROM xlots",
+    "lots_files": "SELECT * FROM xlots",
     # extraction and loading
     "incremental_extract": """
         SELECT unique_key, updated_at FROM rc
@@ -596,6 +597,12 @@ _QUERIES: dict[str, str] = {
         UNION ALL
         SELECT 'key', heat_season, bbl, no_heat FROM xlots WHERE starts_with(bbl, '30')
         QUALIFY row_number() OVER (PARTITION BY heat_season ORDER BY no_heat DESC, bbl) <= 8""",
+    "poisson_score_equations": """
+        SELECT term, round(sum(x * no_heat_complaints::DOUBLE), 1) AS total FROM (
+            SELECT no_heat_complaints, unnest(['Intercept', 'score_10', 'log_gfa', 'era[1930-59]', 'era[1960-89]', 'era[1990+]']) AS term,
+                   unnest([1.0::DOUBLE, energy_star_score / 10, ln(total_gfa_sqft), (era = '1930-59')::INT, (era = '1960-89')::INT,
+                           (era = '1990+')::INT]) AS x
+            FROM mart WHERE has_energy_star_score AND era IS NOT NULL) GROUP BY 1""",
     "poisson_era_rate_ratio": """
         SELECT g.era, round(g.r / b.r, 4) AS rate_ratio, round(sqrt(g.v + b.v), 4) AS se
         FROM (SELECT era, any_value(r) AS r, sum((y - r * a) * (y - r * a)) / (sum(y) * sum(y)) AS v FROM (

@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import math
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
+from typing import NamedTuple
 
 import numpy as np
 from pyspark import StorageLevel
@@ -17,19 +19,25 @@ from .joins import one_row
 INTERCEPT = "Intercept"
 
 
-def poisson_rates(
+class Fit(NamedTuple):
+    terms: list[str]
+    names: list[str]  # columns of the design, in the order of the terms
+    design: DataFrame  # y, offset and the columns
+    beta: np.ndarray
+
+
+@contextmanager
+def poisson_fit(
     df: DataFrame,
     y: str,
     covariates: Sequence[str],
     category: str,
     levels: Sequence[str],
     offset: str,
-) -> DataFrame:
-    """Rate ratios ``exp(b)`` with 95 % limits and p-values of a log-link Poisson model.
+) -> Iterator[Fit]:
+    """A log-link Poisson model; its rows stay cached within the block.
 
-    ``levels[0]`` is the base of the category. Rows with a missing input are
-    dropped. The fit iterates over cached rows; the robust covariance is one
-    further aggregation, so only p x p sums reach the driver.
+    ``levels[0]`` is the base of the category. Rows with a missing input are dropped.
     """
     dummies = {f"{category}[{level}]": F.col(category) == level for level in levels[1:]}
     terms = [INTERCEPT, *covariates, *dummies]
@@ -50,22 +58,48 @@ def poisson_rates(
         model = GeneralizedLinearRegression(
             family="poisson", link="log", labelCol="y", offsetCol="offset", tol=1e-10, maxIter=50
         ).fit(features)
-        beta = np.array([model.intercept, *model.coefficients])
-        cov = _robust_covariance(design, names, beta)
+        yield Fit(terms, names, design, np.array([model.intercept, *model.coefficients]))
     finally:
         design.unpersist()
+
+
+def poisson_rates(df: DataFrame, *model, **options) -> DataFrame:
+    """Rate ratios ``exp(b)`` with 95 % limits and p-values; arguments as of ``poisson_fit``.
+
+    The robust covariance is one aggregation over the cached rows, so only p x p sums
+    reach the driver.
+    """
+    with poisson_fit(df, *model, **options) as fit:
+        cov = _robust_covariance(fit.design, fit.names, fit.beta)
     return df.sparkSession.createDataFrame(
-        _ratios(terms, beta, np.sqrt(np.diag(cov))),
+        _ratios(fit.terms, fit.beta, np.sqrt(np.diag(cov))),
         "term string, rate_ratio double, low_95 double, high_95 double, p_value double",
     )
 
 
-def _robust_covariance(design: DataFrame, names: Sequence[str], beta: np.ndarray) -> np.ndarray:
-    """Inverse(A) B inverse(A), with A = sum(mu x x') and B = sum((y - mu)^2 x x')."""
+def poisson_totals(df: DataFrame, *model, **options) -> DataFrame:
+    """Per term, the sum of the term times the fitted mean over all rows.
+
+    At the maximum of the likelihood it equals the sum of the term times what was
+    observed, which holds for no other coefficients.
+    """
+    with poisson_fit(df, *model, **options) as fit:
+        fitted = _with_means(fit.design, fit.names, fit.beta)
+        row = fitted.agg(*[F.sum(F.col("mu") * F.col(n)).alias(n) for n in fit.names]).first()
+    totals = [(term, row[name]) for term, name in zip(fit.terms, fit.names, strict=True)]
+    return df.sparkSession.createDataFrame(totals, "term string, total double")
+
+
+def _with_means(design: DataFrame, names: Sequence[str], beta: np.ndarray) -> DataFrame:
     eta: Column = F.col("offset")
     for name, b in zip(names, beta, strict=True):
         eta = eta + F.col(name) * float(b)
-    fitted = design.withColumn("mu", F.exp(eta))
+    return design.withColumn("mu", F.exp(eta))
+
+
+def _robust_covariance(design: DataFrame, names: Sequence[str], beta: np.ndarray) -> np.ndarray:
+    """Inverse(A) B inverse(A), with A = sum(mu x x') and B = sum((y - mu)^2 x x')."""
+    fitted = _with_means(design, names, beta)
     pairs = [(i, j) for i in range(len(names)) for j in range(i, len(names))]
     squared = F.pow(F.col("y") - F.col("mu"), 2)
     sums = []

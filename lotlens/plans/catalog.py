@@ -222,6 +222,15 @@ def lots_export(t: Tables) -> DataFrame:
     return reports.export_lots(t.mart, reports.lot_labels(t.lots))
 
 
+@query
+def lots_files(t: Tables) -> DataFrame:
+    """The published row files of every season, read back."""
+    lots = reports.export_lots(t.mart, reports.lot_labels(t.lots))
+    target = f"{work_dir(t.spark)}/lots-{uuid.uuid4().hex}"
+    export.write_per_season(lots, target)
+    return t.spark.read.schema(lots.schema).json(target).select(lots.columns)
+
+
 # ---------------------------------------------------------------- extraction and loading
 
 
@@ -798,17 +807,25 @@ def entity_search(t: Tables) -> DataFrame:
     return by_text.unionAll(by_key).select("searched", "heat_season", "bbl", "no_heat")
 
 
-@query
-def poisson_rate_model(t: Tables) -> DataFrame:
+def rate_model(t: Tables) -> tuple:
     scored = t.mart.filter("has_energy_star_score").select(
         "no_heat_complaints",
         (F.col("energy_star_score") / 10).alias("score_10"),
         F.log("total_gfa_sqft").alias("log_gfa"),
         "era",
     )
-    return stats.poisson_rates(
-        scored, "no_heat_complaints", ["score_10", "log_gfa"], "era", lb.ERAS, "log_gfa"
-    )
+    return scored, "no_heat_complaints", ["score_10", "log_gfa"], "era", lb.ERAS, "log_gfa"
+
+
+@query
+def poisson_rate_model(t: Tables) -> DataFrame:
+    return stats.poisson_rates(*rate_model(t))
+
+
+@query
+def poisson_score_equations(t: Tables) -> DataFrame:
+    """Fitted totals of every term of the model, which must equal the observed ones."""
+    return rounded(stats.poisson_totals(*rate_model(t)), "total", scale=1)
 
 
 @query

@@ -1,7 +1,9 @@
 """The six models: two staging tables, lots, lot dimension, complaint fact, season mart.
 
-Each takes DataFrames and returns a lazy DataFrame (the mart first writes one
-small pre-aggregate). Stored tables and lazy frames work alike as inputs.
+Each takes DataFrames and returns a lazy DataFrame. Only the mart runs jobs while it is
+built: it writes one row per season and lot of the fact, the dimension unless that is
+stored already, and the ranges in which the size quartiles are searched. Stored tables
+and lazy frames work alike as inputs.
 """
 
 from __future__ import annotations
@@ -263,9 +265,7 @@ def season_lots(seasons: DataFrame, dim: DataFrame) -> DataFrame:
     There is at most one season per calendar year, so the season side is tiny
     by construction. Seasons without a snapshot drop out.
     """
-    return dim.join(
-        F.broadcast(seasons), F.col("report_year") == F.col("ll84_report_year")
-    ).drop("report_year")
+    return dim.join(seasons, F.col("report_year") == F.col("ll84_report_year")).drop("report_year")
 
 
 def build_lot_season_mart(fact: DataFrame, dim: DataFrame, dim_is_stored: bool = False) -> DataFrame:

@@ -105,7 +105,7 @@ def weekly_trend(
     day = F.col("day")
     counted = (
         _by_season_day(daily, region)
-        .join(F.broadcast(spans.select("start_year", "last_day")), "start_year")
+        .join(spans.select("start_year", "last_day"), "start_year")
         .filter(day <= F.col("last_day"))
         .groupBy("start_year", F.floor(day / 7).cast("int").alias("week"))
         .agg(F.sum("n").alias("n"))
@@ -132,7 +132,7 @@ def season_to_date(daily: DataFrame, seasons: DataFrame, region: str | None = No
 
     def total(shift: int, out: str) -> DataFrame:
         shifted = days.withColumn("start_year", F.col("start_year") + shift)
-        within = shifted.join(F.broadcast(bounded), "start_year").filter(
+        within = shifted.join(bounded, "start_year").filter(
             F.col("day") <= F.col("last_day")
         )
         return within.groupBy("season").agg(F.sum("n").alias(out))
