@@ -26,6 +26,7 @@ from .common import partitions, small_table, split_words
 from .simhash import BITS, MOST_WEIGHT, digits, distance, shingles, vote
 
 PAIR = 2
+RANGES = 8  # several small ones a partition, so that hashing deals them out evenly
 RADIUS, BLOCKS = 3, 4
 SPACE = r"\s"
 
@@ -106,10 +107,10 @@ def with_next(df: DataFrame, key: str, text: str) -> DataFrame:
     range. The ranges are cut at approximate quantiles of the key. The highest row of
     a range is copied to the end of the range above it (the topmost one's to the end of
     the lowest), so that each range is ordered for itself. The driver holds one key per
-    range, of which there are twice the shuffle partitions.
+    range, of which there are RANGES for each shuffle partition.
     """
     rows = df.select(F.col(key).alias("_key"), F.coalesce(F.col(text), F.lit("")).alias("_text"))
-    ranges = 2 * partitions(df.sparkSession)
+    ranges = RANGES * partitions(df.sparkSession)
     at = [i / ranges for i in range(1, ranges)]
     cuts = sorted(set(rows.select(F.percentile_approx("_key", at, 10 * ranges)).first()[0] or []))
     dealt = rows.withColumn("_range", _range_number(F.col("_key"), cuts))
