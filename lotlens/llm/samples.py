@@ -6,6 +6,10 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..operators.profile import sample_rows
+
+MOST_CLASSES = 50  # the most frequent ones are sampled
+SEED = 5
 ROWS_PER_CLASS = 3000
 CHARS_PER_CLASS = 12_000_000
 
@@ -26,8 +30,8 @@ def bounded_sample(
 ) -> pd.DataFrame:
     """At most ``rows`` texts and ``chars`` characters of each class of ``marked`` (key, label).
 
-    The rows come in the order of a hash of their key, so that the sample is the same
-    on every run. A text that would exceed the remaining characters is passed over;
+    The rows have the smallest hashes of their key, so that the sample is the same on
+    every run. A text that would exceed the remaining characters is passed over;
     texts are whole. Keys are taken once; of texts under one key the least is taken.
     Null keys, labels and texts are left out.
     """
@@ -36,18 +40,16 @@ def bounded_sample(
         .groupBy(F.col(key).alias("_id"))
         .agg(F.max(label).alias("_label"))
     )
-    classes = [r[0] for r in known.select("_label").distinct().sort("_label").collect()]
-    chosen = None
-    for c in classes:
-        part = known.filter(F.col("_label") == c).orderBy(F.xxhash64("_id"), "_id").limit(rows)
-        chosen = part if chosen is None else chosen.unionByName(part)
+    frequent = known.groupBy("_label").count().orderBy(F.desc("count"), "_label").limit(MOST_CLASSES)
+    classes = [r[0] for r in frequent.collect()]
     empty = pd.DataFrame({"label": [], "text": []})
-    if chosen is None:
+    if not classes:
         return empty
+    chosen = sample_rows(known.filter(F.col("_label").isin(classes)), rows, SEED, "_id", ["_label"])
     texts = (
         docs.select(F.col(key).alias("_id"), F.col(text).alias("_text"))
         .filter("_text is not null")
-        .join(F.broadcast(chosen), "_id")  # at most ``rows`` ids per class
+        .join(F.broadcast(chosen), "_id")  # at most ``rows`` ids for each of MOST_CLASSES
     )
     sizes = texts.groupBy("_id", "_label").agg(F.min(F.char_length("_text")).alias("n")).toPandas()
     kept = []
