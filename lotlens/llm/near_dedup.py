@@ -104,7 +104,8 @@ def links(distinct: DataFrame, radius: int = RADIUS, segments: int = SEGMENTS) -
     entered = distinct.select("fingerprint", F.inline(_cells(f, segments, radius)))
     entered = entered.withColumn("cell", F.xxhash64("cell"))  # two cells under one hash only add candidates
     shared = entered.groupBy("cell").count().filter("count > 1").select("cell")
-    candidates = entered.join(shared, "cell")
+    # a fingerprint has up to 33 cells, which size estimates don't know: neither side may be broadcast
+    candidates = entered.join(shared.hint("merge"), "cell")
     named = candidates.select(
         "fingerprint", F.explode(_meeting_values(f, F.col("segment"), F.col("step"), segments)).alias("value")
     )
