@@ -113,7 +113,7 @@ def judge(df: DataFrame, key: str, url: str, rules: tuple[Rule, ...], default: s
     everywhere = [r for r in rules if not r.tokens]
     fetched = (
         addresses.select("host", "path", "address", F.explode("address_tokens").alias("token"))
-        .join(filed.filter("token is not null"), "token")
+        .join(F.broadcast(filed.filter("token is not null")), "token")  # one row per rule of the given tuple
         .filter(F.expr("address rlike regex"))
         .select("host", "path", "rank", "name", "rule_verdict")
     )
