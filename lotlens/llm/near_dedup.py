@@ -26,7 +26,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..session import materialize, release
-from .common import ascii_lower, split_words
+from .common import ascii_lower, free_name, split_words
 from .components import components
 from .simhash import BITS, digits, distance, shingles, vote
 
@@ -34,22 +34,24 @@ SPACE = r"\x20\x09-\x0D"
 SHINGLE, RADIUS, SEGMENTS = 3, 2, 16
 
 
-def _text_hash(text: Column) -> Column:
-    return F.unhex(F.sha2(F.coalesce(text, F.lit("")), 256))
+def _row_hash(key: Column, text: Column) -> Column:
+    """A hash of id and text; rows that share it are alike to this operator."""
+    body = F.concat(F.coalesce(key.cast("string"), F.lit("none")), F.lit("\n"), F.coalesce(text, F.lit("")))
+    return F.unhex(F.sha2(body, 256))
 
 
 def fingerprints(df: DataFrame, key: str, text: str, shingle: int = SHINGLE) -> DataFrame:
-    """Rows (key, _text_hash, fingerprint as long) from XXH64 (seed 42) of word shingles, repeats included."""
+    """Rows (key, _row_hash, fingerprint as long) from XXH64 (seed 42) of word shingles, repeats included."""
     worded = df.select(
         F.monotonically_increasing_id().alias("_row"),
         F.col(key).alias("_key"),
-        _text_hash(F.col(text)).alias("_text_hash"),
+        _row_hash(F.col(key), F.col(text)).alias("_row_hash"),
         split_words(ascii_lower(F.col(text)), SPACE).alias("_words"),
     )
-    about = ["_row", "_key", "_text_hash"]
+    about = ["_row", "_key", "_row_hash"]
     terms = shingles(worded, about, "_words", shingle)
     votes = vote(terms, about, [F.when(F.col("_term").isNotNull(), F.xxhash64("_term"))])
-    return votes.select(F.col("_key").alias(key), "_text_hash", F.col("_f0").alias("fingerprint"))
+    return votes.select(F.col("_key").alias(key), "_row_hash", F.col("_f0").alias("fingerprint"))
 
 
 def _counts(bits: Column, segments: int) -> list[Column]:
@@ -142,27 +144,18 @@ def _named(
 def keep_one(
     df: DataFrame, key: str, text: str, *, shingle: int = SHINGLE, radius: int = RADIUS, segments: int = SEGMENTS
 ) -> DataFrame:
-    """Of each component the row with the least id and, under one id, of the least text; columns as in ``df``.
+    """Of each component one row: that of the least id, ties by a hash of the text; columns as in ``df``.
 
     A component whose rows all lack an id keeps one of them. Texts are shuffled once,
-    and only if rows of one id and text have to be told apart.
+    since the semi join and the removal of repeated rows have the same key.
     """
     marked, named = _named(df, key, text, shingle, radius, segments)
     # a null id sorts last
-    order = F.struct(F.col(key).isNull().alias("no_id"), F.col(key).alias("id"), F.col("_text_hash").alias("hash"))
-    kept = (
-        marked.join(named, "fingerprint")
-        .groupBy("_root")
-        .agg(F.min(order).alias("least"))
-        .select(F.col("least.id").alias("_id"), F.col("least.hash").alias("_hash"))
-    )
-    hashed = df.withColumn("_text_hash", _text_hash(F.col(text)))
-    # all rows of one id and text are alike to this operator: one of them stays
-    return (
-        hashed.join(kept, F.col(key).eqNullSafe(F.col("_id")) & (F.col("_text_hash") == F.col("_hash")), "left_semi")
-        .dropDuplicates([key, "_text_hash"])
-        .select(*df.columns)
-    )
+    order = F.struct(F.col(key).isNull().alias("no_id"), F.col(key).alias("id"), F.col("_row_hash").alias("hash"))
+    name = free_name(df, "_row_hash")
+    kept = marked.join(named, "fingerprint").groupBy("_root").agg(F.min(order)["hash"].alias(name))
+    hashed = df.withColumn(name, _row_hash(F.col(key), F.col(text)))
+    return hashed.join(kept, name, "left_semi").dropDuplicates([name]).select(*df.columns)
 
 
 def near_duplicates(
