@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lotlens.llm import decontamination, near_dedup, packing, quality, toxicity
-from lotlens.llm.common import table
+from lotlens.llm.common import free_name, table
 from lotlens.llm.queries import KEPT_FROM, QUALITY_FOLDS, QUALITY_HELD_OUT, TOXIC_FOLDS, TOXIC_HELD_OUT
 from lotlens.llm.samples import fold
 from lotlens.session import materialize, release
@@ -21,18 +21,11 @@ from lotlens.session import materialize, release
 ORACLE_SQL = None  # trained models, XXH64 and byte-pair ids have no DuckDB counterpart
 
 
-def _free(docs: DataFrame, wanted: str) -> str:
-    """A column name that the documents do not have."""
-    while wanted in docs.columns:
-        wanted += "_"
-    return wanted
-
-
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality classifier accepts."""
     learn = fold(F.col("doc_id"), QUALITY_FOLDS) != QUALITY_HELD_OUT
     model = quality.train(docs, table(spark, sf_dir, "labels"), "doc_id", "text", "quality", learn)
-    name = _free(docs, "_score")
+    name = free_name(docs, "_score")
     return quality.score(docs, "text", model, name).filter(F.col(name) >= KEPT_FROM).select(*docs.columns)
 
 
@@ -40,7 +33,7 @@ def toxicity_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
     """Documents that the toxicity classifier does not mark."""
     learn = fold(F.col("doc_id"), TOXIC_FOLDS) != TOXIC_HELD_OUT
     model = toxicity.train(docs, table(spark, sf_dir, "labels"), "doc_id", "text", "toxic", learn)
-    name = _free(docs, "_score")
+    name = free_name(docs, "_score")
     return toxicity.score(docs, "text", model, name).filter(F.col(name) < KEPT_FROM).select(*docs.columns)
 
 
@@ -51,7 +44,7 @@ def near_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold no benchmark item."""
-    name = _free(docs, "_found")
+    name = free_name(docs, "_found")
     items = table(spark, sf_dir, "benchmark")
     found = decontamination.with_matches(docs, "text", items, "item_id", "text", name)
     return found.filter(F.size(name) == 0).select(*docs.columns)
