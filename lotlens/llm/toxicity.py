@@ -33,9 +33,9 @@ SHORTEST, LONGEST = 3, 5
 EPOCHS, UPDATES, BATCH, RATE, PATIENCE = 10, 300, 64, 0.4, 3  # at least so many epochs and updates
 CALIBRATION = 5
 STRETCH = 48  # words in a training stretch of a clean text, at most
-CHUNK = 2_000_000  # characters whose words are looked up together
+CHUNK = 500_000  # characters whose words are looked up together
 WORDS_AT_ONCE = 50_000  # words of the sample that are cut up together
-KNOWN_WORDS = 400_000  # words whose sums a task remembers at once
+KNOWN_WORDS = 300_000  # words whose sums a task remembers at once
 TRIM = ".,;:!?\"'()[]"
 
 
