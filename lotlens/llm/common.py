@@ -52,7 +52,7 @@ def numbered(df: DataFrame, by: Sequence[str], order: Sequence[str], name: str)
     give the same rows both times. Rows equal in ``order`` are numbered in any
     order; numbers follow the buckets, not ``order`` as a whole.
     """
-    spread = 4 * partitions(df.sparkSession)
+    spread = partitions(df.sparkSession)
     dealt = df.withColumn("_bucket", F.pmod(F.xxhash64(*order), F.lit(spread)))
     earlier = (
         Window.partitionBy(*by).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
