@@ -135,7 +135,6 @@ def fixed_number(histogram: Iterable[tuple[int, int]], shards: int) -> list[tupl
 def size_class(size: Column) -> Column:
     """``size`` rounded up to its leading CLASS_BITS + 1 binary digits; 0 counts as 1."""
     size = F.greatest(size, F.lit(1))
-    step = F.expr("1L").cast("long")
     digits = F.length(F.bin(size))
     step = F.pow(F.lit(2.0), F.greatest(digits - (CLASS_BITS + 1), F.lit(0))).cast("long")
     return (F.ceil(size / step) * step).cast("long")
