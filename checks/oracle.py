@@ -374,6 +374,11 @@ _QUERIES: dict[str, str] = {
                (SELECT count(*) FROM fct WHERE is_no_heat) AS no_heat_total FROM mart GROUP BY 1""",
     "incremental_ingest": "SELECT cast(cast(updated_at AS date) AS varchar) AS dt, count(*) AS n FROM rc GROUP BY 1",
     "ledger_load": "SELECT report_year, count(*) AS n, TIMESTAMP '2001-09-03' AS loaded_at FROM rp GROUP BY 1",
+    "ledger_reload": """
+        SELECT report_year, count(*) AS n,
+               count(CASE report_year WHEN '1993' THEN cast(try_cast(score AS integer) AS varchar) WHEN '1994' THEN NULL
+                     ELSE score END) AS scores
+        FROM rp WHERE report_year <> '1997' OR cast(property_id AS bigint) % 2 = 0 GROUP BY 1""",
     "upsert_latest": "SELECT complaint_id AS unique_key, status, source_file FROM stg",
     "union_by_name": """
         SELECT unique_key, CASE WHEN source_file = 'dt=2001-09-03' THEN status END AS status, source_file FROM rc""",

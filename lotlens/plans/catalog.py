@@ -24,7 +24,7 @@ from ..functions.casts import (
 from ..operators import joins, latest, lots, profile, quality, ranks, stats
 from ..session import materialize, materialize_all, work_dir
 from ..sources import export, extract, raw
-from ..sources.files import versions
+from ..sources.files import replace, versions
 from ..sources.state import Bookmark
 from ..streaming.upsert import LatestState
 from . import bindings, models, reports
@@ -338,6 +338,36 @@ def ledger_load(t: Tables) -> DataFrame:
     return raw.rows_per_file(table.rows().select(year, "loaded_at"), "report_year")
 
 
+@query
+def ledger_reload(t: Tables) -> DataFrame:
+    """Files whose types disagree, of which the last year's are overwritten in place and
+    loaded again under the same time stamp: the newest rows and scores of each year.
+    """
+    folder = f"{work_dir(t.spark)}/reload-{uuid.uuid4().hex}"
+    rows = t.rp.drop("source_file", "loaded_at")
+    score = F.col("energy_star_score")
+    kinds = {"1993": score.try_cast("int"), "1994": F.lit(None).cast("int")}  # numbers; no value at all
+    for year, as_typed in kinds.items():
+        typed = rows.filter(F.col("report_year") == year).withColumn("energy_star_score", as_typed)
+        typed.write.parquet(f"{folder}/stage/{year}")
+    rows.filter(~F.col("report_year").isin(*kinds)).write.partitionBy("report_year").parquet(f"{folder}/stage/text")
+    table = raw.RawTable(t.spark, f"{folder}/table")
+    table.load(f"{folder}/stage", bindings.SECOND_LOAD)
+    last = f"{folder}/stage/text/report_year={bindings.LAST_YEAR}"
+    for path, *_ in versions(t.spark, last):
+        if path.endswith(".parquet"):
+            even = t.spark.read.parquet(path).filter(F.col("property_id").cast("long") % 2 == 0)
+            even.coalesce(1).write.mode("overwrite").parquet(f"{folder}/even")
+            (new,) = [p for p, *_ in versions(t.spark, f"{folder}/even") if p.endswith(".parquet")]
+            replace(t.spark, new, path)
+    table.load(f"{folder}/stage", bindings.SECOND_LOAD)
+    newest = latest.latest_load(table.rows())
+    from_path = F.regexp_extract("source_file", r"(?:/|report_year=)(\d{4})/[^/]*$", 1)
+    return newest.groupBy(from_path.alias("report_year")).agg(
+        F.count(F.lit(1)).alias("n"), F.count(models.field(newest, "energy_star_score")).alias("scores")
+    )
+
+
 @query
 def upsert_latest(t: Tables) -> DataFrame:
     """The current state kept by a file stream that delivers the monthly, then the daily files."""
