@@ -26,7 +26,6 @@ from __future__ import annotations
 import re
 import zlib
 from collections.abc import Iterator
-from functools import lru_cache
 from itertools import combinations_with_replacement
 
 import numpy as np
@@ -49,7 +48,6 @@ _LONG = re.compile(r"\S{400}|\s{400}")
 CUT = "doc_id bigint, doc_tokens bigint, full array<bigint>, rest int, rest_crc bigint, blocks array<bigint>"
 
 
-@lru_cache(maxsize=1)
 def encoders(vocabulary: str = VOCABULARY):
     """The tokenizer itself, and the faster encoder of the same vocabulary."""
     import base64
@@ -67,9 +65,8 @@ def encoders(vocabulary: str = VOCABULARY):
     return exact, fast
 
 
-def token_ids(text: str | None, vocabulary: str = VOCABULARY) -> np.ndarray:
+def token_ids(text: str | None, exact, fast) -> np.ndarray:
     """Ids of ``text`` and the end id, as little-endian unsigned 32-bit numbers."""
-    exact, fast = encoders(vocabulary)
     text = text or ""
     if "<|" not in text and _PLAIN.fullmatch(text) and not _LONG.search(text):
         ids = fast.encode_to_numpy(text, disallowed_special=())
@@ -98,10 +95,11 @@ def cut(ids: np.ndarray, window: int = WINDOW) -> tuple[list[int], int, int | No
 
 def tokenised(docs: DataFrame, key: str, text: str, window: int = WINDOW, vocabulary: str = VOCABULARY) -> DataFrame:
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        exact, fast = encoders(vocabulary)  # once a task
         for batch in batches:
             rows = []
             for doc_id, body in zip(batch["doc_id"], batch["text"]):
-                ids = token_ids(body, vocabulary)
+                ids = token_ids(body, exact, fast)
                 rows.append((doc_id, len(ids), *cut(ids, window)))
             yield pd.DataFrame(rows, columns=["doc_id", "doc_tokens", "full", "rest", "rest_crc", "blocks"]).astype(
                 {"doc_id": "Int64", "rest_crc": "Int64"}
