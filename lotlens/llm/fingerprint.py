@@ -4,9 +4,9 @@ The terms are word pairs of the lower-cased text. A term weighs its number of
 characters, up to 15, so that pairs of short function words say little; each
 occurrence votes again. Two 64-bit hashes give 128 bits.
 
-The search cuts fingerprints into blocks. Two that differ in at most ``radius`` bits
-agree in all but ``radius`` blocks, so one table for each choice of the other blocks,
-keyed by their bits, finds every such pair.
+The search cuts fingerprints into blocks and shares ``radius`` out over them: two that
+differ in at most ``radius`` bits are within its share in some block. There is one table
+for each block, keyed by its bits; a query looks up every key within the block's share.
 
 Defined cases: a null text counts as empty; a text without words has all bits 0;
 repeated rows each keep their row, ordered by id and then text; a null id comes last;
@@ -23,11 +23,11 @@ from pyspark.sql import functions as F
 
 from ..session import materialize
 from .common import partitions, small_table, split_words
-from .simhash import BITS, MOST_WEIGHT, digits, distance, shingles, vote
+from .simhash import BITS, MOST_WEIGHT, _signed, digits, distance, shingles, vote
 
 PAIR = 2
 RANGES = 8  # several small ones a partition, so that hashing deals them out evenly
-RADIUS, BLOCKS = 3, 4
+RADIUS, BLOCKS = 17, 6  # texts that share 0.8 of their five-word runs differ by up to 19 bits (README)
 SPACE = r"\s"
 
 
@@ -46,25 +46,49 @@ def likeness(a: tuple[Column, Column], b: tuple[Column, Column]) -> Column:
     return 1 - (distance(a[0], b[0]) + distance(a[1], b[1])) / (2.0 * BITS)
 
 
-def _blocks(blocks: int) -> list[Column]:
-    """The bits of ``_f0`` and ``_f1`` in ``blocks`` equal parts."""
-    width = 2 * BITS // blocks
-    if blocks % 2 or BITS % width:
-        raise ValueError("blocks must divide both halves evenly")
-    mask = F.lit((1 << width) - 1) if width < BITS else F.lit(-1)
+def _blocks(blocks: int) -> list[tuple[Column, int]]:
+    """The bits of ``_f0`` and ``_f1`` in ``blocks`` nearly equal parts, and the bits of each."""
+    if blocks % 2 or not 0 < blocks <= 2 * BITS:
+        raise ValueError("blocks must be even, so that both halves have as many")
+    cuts = [round(i * 2 * BITS / blocks) for i in range(blocks // 2 + 1)]
+    mask = lambda width: F.lit((1 << width) - 1 if width < BITS else -1)
     return [
-        F.shiftrightunsigned(f, width * i).bitwiseAND(mask) for f in ("_f0", "_f1") for i in range(BITS // width)
+        (F.shiftrightunsigned(f, low).bitwiseAND(mask(high - low)), high - low)
+        for f in ("_f0", "_f1")
+        for low, high in zip(cuts, cuts[1:])
     ]
 
 
-def block_tables(prints: DataFrame, radius: int = RADIUS, blocks: int = BLOCKS) -> DataFrame:
-    """``prints`` once per table, with the table's number and the key of the blocks it leads with."""
-    parts = _blocks(blocks)
+def _shares(radius: int, blocks: int) -> list[int]:
+    """Bits by which each block may differ; -1: the block is not needed.
+
+    Were all blocks beyond their shares, they would differ by ``radius + 1`` bits in all.
+    """
+    each, more = divmod(radius + 1, blocks)
+    return [each - 1 + (i < more) for i in range(blocks)]
+
+
+def _masks(width: int, most: int) -> list[int]:
+    """All numbers of ``width`` bits with at most ``most`` ones."""
+    return [_signed(sum(1 << b for b in ones)) for n in range(most + 1) for ones in combinations(range(width), n)]
+
+
+def block_tables(prints: DataFrame, radius: int = RADIUS, blocks: int = BLOCKS, asked: bool = False) -> DataFrame:
+    """``prints`` once per table, with the table's number and the block that is its key.
+
+    With ``asked`` there is a row for every key within the block's share of ``radius``.
+    """
+
+    def keys(i: int, part: Column, masks: list[int]) -> Column:
+        key = lambda m: F.struct(F.lit(i).alias("_table"), part.bitwiseXOR(m).alias("_block"))
+        return F.transform(F.array(*map(F.lit, masks)).cast("array<bigint>"), key)
+
     tables = [
-        F.struct(F.lit(i).alias("_table"), F.xxhash64(F.lit(i), *[parts[j] for j in chosen]).alias("_blocks"))
-        for i, chosen in enumerate(combinations(range(blocks), blocks - radius))
+        keys(i, part, _masks(width, share if asked else 0))
+        for i, ((part, width), share) in enumerate(zip(_blocks(blocks), _shares(radius, blocks)))
+        if share >= 0
     ]
-    return prints.select("*", F.inline(F.array(*tables)))
+    return prints.select("*", F.inline(F.concat(*tables)))
 
 
 def within_radius(
@@ -74,15 +98,17 @@ def within_radius(
 
     Both sides have distinct rows (_f0, _f1).
     """
-    asked = block_tables(queries.select("_f0", "_f1"), radius, blocks).select(
-        F.col("_f0").alias("q0"), F.col("_f1").alias("q1"), "_table", "_blocks"
+    asked = block_tables(queries.select("_f0", "_f1"), radius, blocks, asked=True).select(
+        F.col("_f0").alias("q0"), F.col("_f1").alias("q1"), "_table", "_block"
     )
     filed = block_tables(prints.select("_f0", "_f1"), radius, blocks)
+    # a query has some 1,400 keys, which size estimates don't know: neither side may be broadcast
+    filed = filed.hint("merge")
     apart = distance(F.col("q0"), F.col("_f0")) + distance(F.col("q1"), F.col("_f1"))
     return (
         asked.join(
             filed,
-            (asked["_table"] == filed["_table"]) & (asked["_blocks"] == filed["_blocks"]) & (apart <= radius),
+            (asked["_table"] == filed["_table"]) & (asked["_block"] == filed["_block"]) & (apart <= radius),
         )
         .select("q0", "q1", "_f0", "_f1")
         .distinct()

@@ -221,6 +221,38 @@ def test_block_tables_find_all_within_radius(spark, radius, blocks):
     assert got == sorted((*split(q), *split(p)) for q in base for p in prints if (q ^ p).bit_count() <= radius)
 
 
+def test_search_finds_near_copies(spark):
+    rng = random.Random(4)
+    vocabulary = ["".join(rng.choices("abcdefghijklmnop", k=rng.randint(2, 9))) for _ in range(2000)]
+    runs = lambda words: {tuple(words[i : i + 5]) for i in range(len(words) - 4)}
+    docs = []
+    for i in range(60):
+        words = rng.choices(vocabulary, k=rng.randint(150, 400))
+        copy = list(words)
+        for at in rng.sample(range(len(copy)), len(copy) // 60):
+            copy[at] = rng.choice(vocabulary)
+        a, b = runs(words), runs(copy)
+        assert 0.8 <= len(a & b) / len(a | b) < 1
+        docs += [(2 * i, " ".join(words)), (2 * i + 1, " ".join(copy))]
+    df = spark.createDataFrame(docs, DOC)
+    prints = fingerprint.fingerprints(df, ["doc_id"], "text")
+    got = {r["doc_id"]: r["n_near"] for r in fingerprint.count_near(prints, F.col("doc_id") % 2 == 0).collect()}
+    found = [got[2 * i] for i in range(60)]
+    assert set(found) <= {0, 1} and sum(found) >= 57
+
+
+@pytest.mark.parametrize("radius,blocks", [(5, 4), (17, 6)])
+def test_search_is_whole_beyond_one_bit_a_block(spark, radius, blocks):
+    rng = random.Random(3)
+    base = [rng.getrandbits(128) for _ in range(6)]
+    prints = [b ^ sum(1 << x for x in rng.sample(range(128), n)) for b in base for n in range(radius - 2, radius + 3) for _ in range(20)]
+    split = lambda p: (simhash._signed(p >> 64), simhash._signed(p & (1 << 64) - 1))
+    df = spark.createDataFrame([split(p) for p in set(prints)], "_f0 long, _f1 long")
+    queries = spark.createDataFrame([split(p) for p in base], "_f0 long, _f1 long")
+    got = sorted(tuple(r) for r in fingerprint.within_radius(queries, df, radius, blocks).collect())
+    assert got == sorted((*split(q), *split(p)) for q in base for p in set(prints) if (q ^ p).bit_count() <= radius)
+
+
 def test_range_numbers_agree_with_counting(spark):
     cuts = [1, 4, 9, 10, 30, 31, 32, 80]
     keys = [None, -5, 0, 1, 2, 4, 9, 10, 29, 30, 31, 33, 80, 99]
