@@ -35,7 +35,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 BACKFILL_START, BACKFILL_END = "1996-01-01", "1996-02-01"
 MONTHS_FROM, MONTHS_BEFORE, TODAY = "1994-10", "2001-09-01", "2001-08-04"
 WINDOW = ("1996-01-01", "1996-01-31", 1994)
-POINTS = 500  # points drawn per season
+POINTS = 20_000  # points drawn per season
 EVENTS_NOW = "2024-02-04 12:00:00"
 
 

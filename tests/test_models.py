@@ -2,12 +2,13 @@
 
 import json
 import os
+from types import SimpleNamespace
 
 import pytest
 from pyspark.sql import functions as F
 
 from lotlens.operators import quality
-from lotlens.plans import bindings, models, reports
+from lotlens.plans import bindings, catalog, models, reports
 from lotlens.plans.daily import DailyRun
 from tests.conftest import values
 from tests.test_sources import write_file
@@ -21,6 +22,17 @@ P_FIELDS = [
 HEAT, HOUSING = "HEAT/HOT WATER", "Multifamily Housing"
 
 
+def test_points_of_a_season_are_as_many_as_the_dashboard_draws(spark, monkeypatch):
+    season = F.when(F.col("id") < 600, "2023-24").otherwise("2024-25")
+    fact = spark.range(21_000).select(
+        F.col("id").cast("string").alias("complaint_id"), season.alias("heat_season"), F.lit(True).alias("is_no_heat"),
+        F.lit(40.7).alias("latitude"), F.lit(-73.9).alias("longitude"),
+    )
+    monkeypatch.setattr(catalog.Tables, "of", classmethod(lambda cls, *_: SimpleNamespace(fact=fact)))
+    got = catalog.REGISTRY["random_points"](spark, "").groupBy("season").count()
+    assert values(got) == [("2023-24", 600), ("2024-25", 20_000)]
+
+
 def complaint(key, created, detail="NO HEAT", bbl="1000000001", kind=HEAT, updated="2026-01-01T00:00:00Z", closed=None):
     return (key, created, closed, kind, detail, "BRONX", bbl, updated)
 
