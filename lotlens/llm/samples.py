@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from ..operators.profile import sample_rows
 
-MOST_CLASSES = 50  # the most frequent ones are sampled
+FULL_CLASSES = 50  # more classes share the rows and characters of so many
 SEED = 5
 ROWS_PER_CLASS = 3000
 CHARS_PER_CLASS = 12_000_000
@@ -30,6 +30,10 @@ def bounded_sample(
 ) -> pd.DataFrame:
     """At most ``rows`` texts and ``chars`` characters of each class of ``marked`` (key, label).
 
+    Every class is sampled. Beyond FULL_CLASSES classes, ``rows`` and ``chars`` shrink so
+    that all classes together take no more, but for one text that each class has at least:
+    the shortest in its sample, if none fits.
+
     The rows have the smallest hashes of their key, so that the sample is the same on
     every run. A text that would exceed the remaining characters is passed over;
     texts are whole. Keys are taken once; of texts under one key the least is taken.
@@ -40,25 +44,28 @@ def bounded_sample(
         .groupBy(F.col(key).alias("_id"))
         .agg(F.max(label).alias("_label"))
     )
-    frequent = known.groupBy("_label").count().orderBy(F.desc("count"), "_label").limit(MOST_CLASSES)
-    classes = [r[0] for r in frequent.collect()]
+    classes = known.agg(F.count_distinct("_label")).first()[0]
     empty = pd.DataFrame({"label": [], "text": []})
     if not classes:
         return empty
-    chosen = sample_rows(known.filter(F.col("_label").isin(classes)), rows, SEED, "_id", ["_label"])
+    if classes > FULL_CLASSES:
+        rows, chars = max(1, FULL_CLASSES * rows // classes), max(1, FULL_CLASSES * chars // classes)
+    chosen = sample_rows(known, rows, SEED, "_id", ["_label"])
     texts = (
         docs.select(F.col(key).alias("_id"), F.col(text).alias("_text"))
         .filter("_text is not null")
-        .join(F.broadcast(chosen), "_id")  # at most ``rows`` ids for each of MOST_CLASSES
+        .join(F.broadcast(chosen), "_id")  # at most ``rows`` ids a class, of FULL_CLASSES classes in sum
     )
     sizes = texts.groupBy("_id", "_label").agg(F.min(F.char_length("_text")).alias("n")).toPandas()
     kept = []
     for _, part in sizes.sort_values("_id").groupby("_label"):
-        total = 0
+        total, before = 0, len(kept)
         for one, n in zip(part["_id"], part["n"]):
             if total + n <= chars:
                 total += n
                 kept.append(int(one))
+        if len(kept) == before:
+            kept.append(int(part["_id"].iloc[part["n"].argmin()]))
     if not kept:
         return empty
     ids = docs.sparkSession.createDataFrame([(i,) for i in kept], "_id long")

@@ -46,6 +46,34 @@ def test_sample_is_bounded_repeatable_and_whole(spark):
     assert samples.bounded_sample(marks.limit(0), docs, "doc_id", "text", "y").empty
 
 
+def test_no_class_is_dropped(spark):
+    rows = [(f"c{i:03}", f"text {i} {j} ") for i in range(130) for j in range(3 if i else 200)]
+    df = spark.createDataFrame([(n, *r) for n, r in enumerate(rows)], "doc_id long, c string, text string")
+    marks = df.select("doc_id", "c")
+    got = samples.bounded_sample(marks, df, "doc_id", "text", "c", rows=100)
+    counts = got["label"].value_counts()
+    assert len(counts) == 130 and counts["c000"] == 50 * 100 // 130 and counts.drop("c000").eq(3).all()
+    tight = samples.bounded_sample(marks, df, "doc_id", "text", "c", rows=100, chars=5)
+    assert tight["label"].value_counts().to_dict() == {f"c{i:03}": 1 for i in range(130)}
+
+
+def test_language_beyond_the_fiftieth(spark):
+    rng = random.Random(8)
+    speech = {}
+    for i in range(60):
+        letters = rng.sample("abcdefghijklmnopqrstuvwxyz", 6)
+        speech[f"{chr(97 + i // 26)}{chr(97 + i % 26)}"] = ["".join(rng.choices(letters, k=rng.randint(2, 7))) for _ in range(12)]
+    say = lambda code: " ".join(rng.choices(speech[code], k=40))
+    texts = [(code, say(code)) for i, code in enumerate(speech) for _ in range(6 if i < 50 else 3)]
+    docs = spark.createDataFrame([(n, *t) for n, t in enumerate(texts)], "doc_id long, lang string, text string")
+    model = language.train(docs, "doc_id", "text", "lang")
+    assert model.languages == sorted(speech)
+    rows = [(n, f"https://{c}.example/{c}/x", f'<html lang="{c}"><p>{say(c)}</p></html>') for n, c in enumerate(speech)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    got = {r["page_id"]: r for r in language.identify(pages, "page_id", "url", "html", model).collect()}
+    assert all((got[n]["lang"], got[n]["declared"], got[n]["address"]) == (c, c, c) for n, c in enumerate(speech))
+
+
 def test_folds_agree_with_crc32(spark):
     got = spark.range(50).select("id", samples.fold(F.col("id"), 4).alias("f")).collect()
     assert all(r["f"] == zlib.crc32(str(r["id"]).encode()) % 4 for r in got)
