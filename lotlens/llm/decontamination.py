@@ -1,6 +1,7 @@
 """Benchmark decontamination by pigeonhole pieces and Myers' bit-parallel distance.
 
 Texts and test items are compared as words: runs of letters and digits, lower-cased.
+In scripts without blanks (Chinese, Japanese, Thai, Lao, Burmese, Khmer) each letter is a word.
 An item of n words may differ by a budget of ``rate * n`` inserted, missing or changed
 words. It is split into one piece more than the budget, so that at least one piece of
 any occurrence is intact. An automaton finds all exact piece hits in a text; around
@@ -32,7 +33,9 @@ RATE = 0.2
 LEAST_WORDS = 5
 BLOCK_CHARS = 2_000_000  # characters of items that a task holds at once
 MATCH = "array<struct<item_id: bigint, distance: int, first_word: int, last_word: int>>"
-_WORD = re.compile(r"[^\W_]+")
+# Thai, Lao; Burmese; Khmer; kana; ideographs; half-width kana; rare ideographs
+_UNSPACED = "\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff\u3005-\u3007\u3040-\u30ff\u31f0-\u31ff\u3400-\u4dbf\u4e00-\u9fff\uf900-\ufaff\uff66-\uff9f\U0001aff0-\U0001b16f\U00020000-\U000323af"
+_WORD = re.compile(rf"[^\W_{_UNSPACED}]+|[^\W_]")
 
 
 def words_of(text: str | None) -> list[str]:

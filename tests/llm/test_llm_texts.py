@@ -249,6 +249,17 @@ def test_every_occurrence_within_the_budget_is_found():
     assert found > 100
 
 
+def test_items_in_scripts_without_blanks_are_found_inside_texts():
+    items = [(1, "今日はとても良い天気ですね"), (2, "水的沸点是多少摄氏度？"), (3, "กรุงเทพมหานคร")]
+    finder = decontamination.Finder(items)
+    around = "これは別の文章です。{}そして続きます latin words"
+    for item_id, text in items:
+        assert [m[:2] for m in finder.matches(around.format(text))] == [(item_id, 0)]
+    assert [m[:2] for m in finder.matches(around.format("今日はとても悪い天気ですね"))] == [(1, 1)]
+    assert finder.matches(around.format("")) == []
+    assert decontamination.words_of("Ab_c1 東京x 한국어 été") == ["ab", "c1", "東", "京", "x", "한국어", "été"]
+
+
 def test_decontamination_odd_rows(spark):
     item = "The five Words of an Item, here"
     items = spark.createDataFrame([(1, item), (1, item), (2, None), (3, ""), (4, "tiny item"), (None, "x y z w v u")], "item_id long, text string")
