@@ -541,7 +541,7 @@ _QUERIES: dict[str, str] = {
     "random_points": """
         SELECT heat_season AS season, complaint_id, round(latitude, 4) AS lat, round(longitude, 4) AS lon FROM fct
         WHERE is_no_heat AND heat_season IS NOT NULL AND latitude IS NOT NULL AND longitude IS NOT NULL
-        QUALIFY row_number() OVER (PARTITION BY heat_season ORDER BY md5('7:' || complaint_id)) <= 500""",
+        QUALIFY row_number() OVER (PARTITION BY heat_season ORDER BY md5('7:' || complaint_id)) <= 20000""",
     "fact_coordinates": """
         SELECT f.complaint_id, round(s.latitude, 4) AS latitude, round(s.longitude, 4) AS longitude
         FROM fct f JOIN stg s USING (complaint_id)""",

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import SparkSession
 
+ASIDE = "_replaced-"  # Spark does not read names with a leading underscore
+
 
 def _at(spark: SparkSession, path: str):
     hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
@@ -24,15 +26,54 @@ def folders(spark: SparkSession, path: str) -> list[str]:
     return sorted(f.getPath().getName() for f in store.listStatus(at) if f.isDirectory())
 
 
-def replace(spark: SparkSession, source: str, target: str) -> None:
-    """Move a folder to ``target``, in place of what is there."""
+def exists(spark: SparkSession, path: str) -> bool:
+    store, at = _at(spark, path)
+    return store.exists(at)
+
+
+def create(spark: SparkSession, path: str) -> None:
+    """An empty file, there at once or not at all."""
+    store, at = _at(spark, path)
+    store.create(at, True).close()
+
+
+def _move(spark: SparkSession, source: str, target: str) -> None:
     store, new = _at(spark, target)
-    store.delete(new, True)
-    store.mkdirs(new.getParent())
     if not store.rename(_at(spark, source)[1], new):
         raise OSError(f"cannot move {source} to {target}")
 
 
+def replace(spark: SparkSession, source: str, target: str) -> None:
+    """Move a file or folder to ``target``, in place of what is there.
+
+    What is there goes aside under a hidden name first and comes back if the move fails.
+    If the process dies between the two moves, ``restore`` brings it back.
+    """
+    store, new = _at(spark, target)
+    aside = f"{target.rpartition('/')[0]}/{ASIDE}{new.getName()}"
+    restore(spark, target)
+    store.mkdirs(new.getParent())
+    if held := store.exists(new):
+        _move(spark, target, aside)
+    try:
+        _move(spark, source, target)
+    except BaseException:
+        if held:
+            _move(spark, aside, target)
+        raise
+    delete(spark, aside)
+
+
+def restore(spark: SparkSession, target: str) -> None:
+    """Undo or finish a ``replace`` of ``target`` that died halfway; the old one comes back if the new is not there."""
+    aside = f"{target.rpartition('/')[0]}/{ASIDE}{target.rpartition('/')[2]}"
+    if exists(spark, aside):
+        if exists(spark, target):
+            delete(spark, aside)
+        else:
+            _move(spark, aside, target)
+
+
 def versions(spark: SparkSession, path: str) -> list[tuple]:
     """Path, change time and length of all files below ``path``, sorted."""
     store, at = _at(spark, path)

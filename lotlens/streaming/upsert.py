@@ -3,10 +3,12 @@
 Late and corrected records always win by version, never by arrival, and are
 never dropped, so there is no event-time watermark and no state to expire. The
 state is a Parquet table of hash buckets; a batch rewrites the buckets it
-touches under its own version, then commits by writing one manifest. Readers
-follow the newest manifest and never see a half-written batch. Buckets that neither
-of the two newest manifests names are removed after each commit, so that the store
-holds at most two versions of a key and a reader may be one commit behind.
+touches under its own version, writes a manifest, and commits by creating an empty
+marker file in the finished manifest. A manifest without the marker, whole, partial or
+empty, counts for nothing: readers never see a half-written batch, and its retry writes
+it anew. Buckets that neither of the two newest commits names are removed after each
+commit, so that the store holds at most two versions of a key and a reader may be one
+commit behind.
 """
 
 from __future__ import annotations
@@ -20,12 +22,13 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from ..operators.latest import latest_by
-from ..sources.files import delete, folders
+from ..sources.files import create, delete, exists, folders
 from ..sources.raw import overwrite_partitions
 from ..sources.state import read_or_empty
 
 MANIFEST_SCHEMA = "state_bucket int, state_version long"
 VERSIONS_KEPT = 2
+MARKER = "_committed"
 
 
 class LatestState:
@@ -42,16 +45,24 @@ class LatestState:
         self.keys, self.newest, self.buckets = list(keys), list(newest), buckets
         self.table, self.manifests = f"{path}/table", f"{path}/manifests"
 
+    def _numbers(self, path: str, prefix: str) -> list[int]:
+        names = folders(self.spark, path)
+        return sorted(int(n.removeprefix(prefix)) for n in names if n.startswith(prefix))
+
+    def _manifest_path(self, batch: int) -> str:
+        return f"{self.manifests}/batch={batch}"
+
     def _commits(self) -> list[int]:
         """Committed batches whose manifests are still there; a few."""
-        names = folders(self.spark, self.manifests)
-        return sorted(int(n.removeprefix("batch=")) for n in names if n.startswith("batch="))
+        written = self._numbers(self.manifests, "batch=")
+        return [b for b in written if exists(self.spark, f"{self._manifest_path(b)}/{MARKER}")]
 
     def _manifest(self, batch: int | None = None) -> DataFrame:
         """Version of each bucket as of a commit (default: the newest); at most ``buckets`` rows."""
         commits = self._commits() if batch is None else [batch]
-        path = f"{self.manifests}/batch={commits[-1]}" if commits else self.manifests
-        return read_or_empty(self.spark, path, MANIFEST_SCHEMA)
+        if not commits:
+            return self.spark.createDataFrame([], MANIFEST_SCHEMA)
+        return self.spark.read.schema(MANIFEST_SCHEMA).parquet(self._manifest_path(commits[-1]))
 
     def last_batch(self) -> int:
         return max(self._commits(), default=-1)
@@ -86,18 +97,32 @@ class LatestState:
     def _commit(self, manifest: DataFrame, touched: DataFrame, batch_id: int) -> None:
         kept = manifest.join(touched, "state_bucket", "left_anti").select("state_bucket", "state_version")
         moved = touched.select("state_bucket", F.lit(batch_id).cast("long").alias("state_version"))
-        kept.unionByName(moved).coalesce(1).write.mode("overwrite").parquet(f"{self.manifests}/batch={batch_id}")
+        path = self._manifest_path(batch_id)
+        kept.unionByName(moved).coalesce(1).write.mode("overwrite").parquet(path)
+        create(self.spark, f"{path}/{MARKER}")
         self._drop_superseded()
 
     def _drop_superseded(self) -> None:
-        """Remove what only manifests older than the newest two name; a crash in between is made good next time."""
+        """Remove what no commit of the newest two names.
+
+        That is: buckets that older commits name, the manifests of these and of abandoned
+        batches, and whole versions that an abandoned batch has left. A manifest goes after
+        its buckets, so that a crash in between is made good next time.
+        """
         commits = self._commits()
         named = lambda batch: {tuple(r) for r in self._manifest(batch).collect()}  # noqa: E731  a row per bucket
         kept = set().union(*map(named, commits[-VERSIONS_KEPT:]))
+        versions = {version for _, version in kept}
+        for version in self._numbers(self.table, "state_version="):
+            if version < commits[-1] and version not in versions:
+                delete(self.spark, f"{self.table}/state_version={version}")
         for batch in commits[:-VERSIONS_KEPT]:
             for bucket, version in named(batch) - kept:
                 delete(self.spark, f"{self.table}/state_version={version}/state_bucket={bucket}")
-            delete(self.spark, f"{self.manifests}/batch={batch}")
+            delete(self.spark, self._manifest_path(batch))
+        for batch in self._numbers(self.manifests, "batch="):
+            if batch < commits[-1] and batch not in commits:
+                delete(self.spark, self._manifest_path(batch))
 
     def follow(self, stream: DataFrame, checkpoint: str) -> StreamingQuery:
         """Process all files available now; re-delivered batches change nothing."""

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from lotlens import session
 from lotlens.operators import latest
-from lotlens.sources import export, extract, raw
+from lotlens.sources import export, extract, files, raw
 from lotlens.session import work_dir
 from lotlens.sources.state import Bookmark
 from tests.conftest import values
@@ -54,6 +54,20 @@ def test_a_partial_load_changes_nothing(spark, tmp_path):
     assert extract.checked_load(extract.Extract(df, "x", 5), other, "p") == 5
 
 
+def test_a_failed_move_brings_the_old_rows_back(spark, tmp_path):
+    path, df = str(tmp_path / "landed"), spark.range(4).withColumn("p", F.lit(0))
+    extract.land(df, 4, path, "p")
+    with pytest.raises(OSError, match="cannot move"):
+        files.replace(spark, f"{path}/nothing", f"{path}/p=0")
+    assert spark.read.parquet(path).count() == 4 and os.listdir(path) == ["p=0"]
+    os.rename(f"{path}/p=0", f"{path}/{files.ASIDE}p=0")  # as a crash between the two moves leaves it
+    files.restore(spark, f"{path}/p=0")
+    assert spark.read.parquet(path).count() == 4
+    os.rename(f"{path}/p=0", f"{path}/{files.ASIDE}p=0")
+    extract.land(df.limit(2), 2, path, "p")
+    assert spark.read.parquet(path).count() == 2 and os.listdir(path) == ["p=0"]
+
+
 def test_reconcile_report_lists_both_sides(spark):
     a = spark.createDataFrame([("f1",), ("f1",), ("f2",)], "f string")
     b = spark.createDataFrame([("f1",), ("f2",), ("f3",)], "f string")
