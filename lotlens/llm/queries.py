@@ -11,6 +11,7 @@ from . import (
     fingerprint,
     language,
     license_scan,
+    minhash,
     near_dedup,
     packing,
     quality,
@@ -119,6 +120,10 @@ def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.identify(table(spark, sf_dir, "pages"), "page_id", "url", "html", model)
 
 
+def op11_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.near_duplicates(table(spark, sf_dir, "documents"), "doc_id", "text")
+
+
 REGISTRY = {
     "op1_fingerprints": op1_fingerprints,
     "op2_toxicity": op2_toxicity,
@@ -130,6 +135,7 @@ REGISTRY = {
     "op8_url_filter": op8_url_filter,
     "op9_license_scan": op9_license_scan,
     "op10_language": op10_language,
+    "op11_minhash_dedup": op11_minhash_dedup,
 }
 
 _HOST = "lower(regexp_extract(coalesce(url, ''), '(?s)^.*?://([^/?#]*)', 1))"
