@@ -18,6 +18,7 @@ from . import (
     sharding,
     toxicity,
     url_filter,
+    whitening,
 )
 from .common import table
 from .samples import fold
@@ -124,6 +125,10 @@ def op11_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(table(spark, sf_dir, "documents"), "doc_id", "text")
 
 
+def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(table(spark, sf_dir, "embeddings"), "vec_id", "embedding")
+
+
 REGISTRY = {
     "op1_fingerprints": op1_fingerprints,
     "op2_toxicity": op2_toxicity,
@@ -136,6 +141,7 @@ REGISTRY = {
     "op9_license_scan": op9_license_scan,
     "op10_language": op10_language,
     "op11_minhash_dedup": op11_minhash_dedup,
+    "op12_whitening": op12_whitening,
 }
 
 _HOST = "lower(regexp_extract(coalesce(url, ''), '(?s)^.*?://([^/?#]*)', 1))"
