@@ -377,8 +377,10 @@ _QUERIES: dict[str, str] = {
     "ledger_reload": """
         SELECT report_year, count(*) AS n,
                count(CASE report_year WHEN '1993' THEN cast(try_cast(score AS integer) AS varchar) WHEN '1994' THEN NULL
-                     ELSE score END) AS scores
-        FROM rp WHERE report_year <> '1997' OR cast(property_id AS bigint) % 2 = 0 GROUP BY 1""",
+                     WHEN '1997' THEN cast(try_cast(score AS integer) + 1 AS varchar) ELSE score END) AS scores,
+               cast(sum(CASE report_year WHEN '1994' THEN NULL WHEN '1997' THEN try_cast(score AS integer) + 1
+                        ELSE try_cast(score AS integer) END) AS bigint) AS score_sum
+        FROM rp GROUP BY 1""",
     "upsert_latest": "SELECT complaint_id AS unique_key, status, source_file FROM stg",
     "union_by_name": """
         SELECT unique_key, CASE WHEN source_file = 'dt=2001-09-03' THEN status END AS status, source_file FROM rc""",

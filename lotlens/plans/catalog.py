@@ -24,7 +24,7 @@ from ..functions.casts import (
 from ..operators import joins, latest, lots, profile, quality, ranks, stats
 from ..session import materialize, materialize_all, work_dir
 from ..sources import export, extract, raw
-from ..sources.files import replace, versions
+from ..sources.files import folders, replace, versions
 from ..sources.state import Bookmark
 from ..streaming.upsert import LatestState
 from . import bindings, models, reports
@@ -340,8 +340,8 @@ def ledger_load(t: Tables) -> DataFrame:
 
 @query
 def ledger_reload(t: Tables) -> DataFrame:
-    """Files whose types disagree, of which the last year's are overwritten in place and
-    loaded again under the same time stamp: the newest rows and scores of each year.
+    """Files whose types disagree, of which the last year's are overwritten in place with other
+    scores and loaded again under the same time stamp: rows, scores and their sum of each year.
     """
     folder = f"{work_dir(t.spark)}/reload-{uuid.uuid4().hex}"
     rows = t.rp.drop("source_file", "loaded_at")
@@ -350,21 +350,24 @@ def ledger_reload(t: Tables) -> DataFrame:
     for year, as_typed in kinds.items():
         typed = rows.filter(F.col("report_year") == year).withColumn("energy_star_score", as_typed)
         typed.write.parquet(f"{folder}/stage/{year}")
-    rows.filter(~F.col("report_year").isin(*kinds)).write.partitionBy("report_year").parquet(f"{folder}/stage/text")
+    text = rows.filter(~F.col("report_year").isin(*kinds)).withColumn("year", F.col("report_year"))
+    text.write.partitionBy("year").parquet(f"{folder}/stage/text")
     table = raw.RawTable(t.spark, f"{folder}/table")
     table.load(f"{folder}/stage", bindings.SECOND_LOAD)
-    last = f"{folder}/stage/text/report_year={bindings.LAST_YEAR}"
-    for path, *_ in versions(t.spark, last):
-        if path.endswith(".parquet"):
-            even = t.spark.read.parquet(path).filter(F.col("property_id").cast("long") % 2 == 0)
-            even.coalesce(1).write.mode("overwrite").parquet(f"{folder}/even")
-            (new,) = [p for p, *_ in versions(t.spark, f"{folder}/even") if p.endswith(".parquet")]
-            replace(t.spark, new, path)
+    # files keep their names, as a publisher's do: each one's rows are those of its former version
+    last = f"{folder}/stage/text/year={bindings.LAST_YEAR}"
+    old = t.spark.read.parquet(last).withColumn("_name", raw.base_name(F.col("_metadata.file_path")))
+    changed = old.withColumn("energy_star_score", (score.try_cast("int") + 1).cast("string"))
+    changed.repartition("_name").write.partitionBy("_name").parquet(f"{folder}/changed")
+    for name in folders(t.spark, f"{folder}/changed"):
+        (new,) = [p for p, *_ in versions(t.spark, f"{folder}/changed/{name}") if p.endswith(".parquet")]
+        replace(t.spark, new, f"{last}/{name.removeprefix('_name=')}")
     table.load(f"{folder}/stage", bindings.SECOND_LOAD)
     newest = latest.latest_load(table.rows())
-    from_path = F.regexp_extract("source_file", r"(?:/|report_year=)(\d{4})/[^/]*$", 1)
+    from_path = F.regexp_extract("source_file", r"(?:/|year=)(\d{4})/[^/]*$", 1)
+    found = models.field(newest, "energy_star_score")
     return newest.groupBy(from_path.alias("report_year")).agg(
-        F.count(F.lit(1)).alias("n"), F.count(models.field(newest, "energy_star_score")).alias("scores")
+        F.count(F.lit(1)).alias("n"), F.count(found).alias("scores"), F.sum(found.try_cast("int")).alias("score_sum")
     )
 
 

@@ -74,6 +74,17 @@ def restore(spark: SparkSession, target: str) -> None:
             _move(spark, aside, target)
 
 
+def tail(spark: SparkSession, path: str, length: int, n: int) -> bytes:
+    """The last ``n`` bytes of a file of ``length`` bytes."""
+    store, at = _at(spark, path)
+    stream = store.open(at)
+    try:
+        stream.seek(max(0, length - n))
+        return bytes(spark._jvm.org.apache.commons.io.IOUtils.toByteArray(stream))
+    finally:
+        stream.close()
+
+
 def versions(spark: SparkSession, path: str) -> list[tuple]:
     """Path, change time and length of all files below ``path``, sorted."""
     store, at = _at(spark, path)

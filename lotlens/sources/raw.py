@@ -2,27 +2,35 @@
 
 from __future__ import annotations
 
-import json
+from collections.abc import Iterator
 from concurrent.futures import ThreadPoolExecutor
 from datetime import date, datetime, timedelta, timezone
 from functools import reduce
+from hashlib import sha256
 from itertools import islice
 
-from pyspark import inheritable_thread_target
-from pyspark.sql import DataFrame, SparkSession
+import pandas as pd
+import pyarrow as pa
+import pyarrow.parquet as pq
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.calendar import month_label
 from ..operators.profile import counts_by
 from .extract import between_half_open, extract_since, land, month_windows
-from .files import folders
+from .files import folders, tail
 from .state import Bookmark, read_or_empty
 
 NESTED = (T.StructType, T.ArrayType, T.MapType)
 FILE_KEY = ["path", "modificationTime", "length"]
 LEDGER_SCHEMA = "path string, modificationTime timestamp, length long, batch long"
 FOOTERS_AT_ONCE = 16
+SMALL_FILE = 32 << 20  # files up to this size are read whole by a task for their footer
+TAIL = 1 << 16
+OVERLAP = timedelta(days=2)
+FULL_EVERY = 7
+SPARK_SCHEMA = b"org.apache.spark.sql.parquet.row.metadata"
 RAW_SCHEMA = "record variant, source_file string, loaded_at timestamp_ntz"
 
 
@@ -127,6 +135,22 @@ def rows_per_file(df: DataFrame, file: str = "source_file", loaded: str = "loade
     return df.groupBy(file).agg(F.count(F.lit(1)).alias("n"), F.max(loaded).alias(loaded))
 
 
+def footer_bytes(content: Column) -> Column:
+    """The footer of a Parquet file's bytes, with the length and the magic word that end it."""
+    size = F.hex(F.substring(content, -8, 4))  # the least byte first
+    digits = F.concat(*[F.substring(size, at, 2) for at in (7, 5, 3, 1)])
+    n = F.conv(digits, 16, 10).cast("int") + 8
+    return F.substring(content, -n, n)
+
+
+def schema_mark(footer: bytes) -> str:
+    """Equal for files that Spark reads with the same schema."""
+    meta = pq.read_metadata(pa.BufferReader(b"PAR1" + footer))
+    columns = str(meta.schema).partition("\n")[2]  # the first line names an object
+    spark_schema = (meta.metadata or {}).get(SPARK_SCHEMA, b"")
+    return sha256(columns.encode() + b"\n" + spark_schema).hexdigest()
+
+
 class RawTable:
     """Append-only table of VARIANT records, loaded from files exactly once per file version.
 
@@ -134,12 +158,26 @@ class RawTable:
     that was overwritten in place is loaded again. Rows go to the partition of
     the batch number; the ledger is written after them, and a batch without a
     ledger entry is replaced by the next run, which has the same number.
+
+    A load asks the stage for files changed since the newest one that the load before has
+    seen, less ``overlap``, and compares these with the ledger entries of that time. A
+    file that appears later under an older time (one that was moved there) is found by
+    the next full listing: each stage's first load makes one, then every ``full_every``-th.
     """
 
-    def __init__(self, spark: SparkSession, path: str):
+    def __init__(
+        self, spark: SparkSession, path: str, overlap: timedelta = OVERLAP, full_every: int = FULL_EVERY
+    ):
         self.spark = spark
         self.rows_path = f"{path}/rows"
         self.ledger_path = f"{path}/ledger"
+        self.listings_path = f"{path}/listings"
+        self.overlap, self.full_every = overlap, full_every
+
+    def listings(self, stage: str) -> Bookmark:
+        """The newest change time that the loads of a stage have seen, in UTC."""
+        name = sha256(stage.rstrip("/").encode()).hexdigest()[:16]
+        return Bookmark(self.spark, f"{self.listings_path}/{name}")
 
     def ledger(self) -> DataFrame:
         return read_or_empty(self.spark, self.ledger_path, LEDGER_SCHEMA)
@@ -156,45 +194,84 @@ class RawTable:
         committed = stored.filter(F.col("batch") <= newest.scalar())
         return committed if after is None else committed.filter(F.col("batch") > after)
 
-    def new_files(self, stage: str) -> DataFrame:
-        """Files of the stage that the ledger does not know; only their metadata is read."""
-        listed = (
+    def new_files(self, stage: str, since: datetime | None = None) -> DataFrame:
+        """Files of the stage that the ledger does not know, of those changed after ``since``
+        (UTC) if given; only their metadata is read."""
+        reader = (
             self.spark.read.format("binaryFile")
             .option("recursiveFileLookup", "true")
             .option("pathGlobFilter", "*.parquet")
-            .load(stage)
-            .select(*FILE_KEY)
         )
-        return listed.join(self.ledger(), FILE_KEY, "left_anti")
+        known = self.ledger()
+        if since is not None:
+            reader = reader.option("modifiedAfter", since.strftime("%Y-%m-%dT%H:%M:%S")).option("timeZone", "UTC")
+            known = known.filter(F.col("modificationTime") >= F.lit(since.replace(tzinfo=timezone.utc)))
+        return reader.load(stage).select(*FILE_KEY).join(known, FILE_KEY, "left_anti")
 
     def last_batch(self) -> int:
         return self.ledger().agg(F.max("batch")).first()[0] or 0
 
-    def load(self, stage: str, loaded_at: str | None = None, files_per_batch: int = 10_000) -> int:
+    def load(
+        self, stage: str, loaded_at: str | None = None, files_per_batch: int = 10_000, full: bool | None = None
+    ) -> int:
         """Load new files; returns how many. Running it again without new files does nothing.
 
         ``loaded_at`` (default: now, UTC) stamps the rows; loads with equal stamps are
         told apart by their batch. Only file names pass the driver, a bounded number at
-        a time.
+        a time. ``full`` lists the whole stage, whenever its files changed (default: at the
+        stage's first load and then now and again).
         """
         loaded_at = loaded_at or datetime.now(timezone.utc).strftime("%Y-%m-%d %H:%M:%S.%f")
-        batch = self.last_batch()
-        listed = self.new_files(stage).toLocalIterator()
-        loaded = 0
-        while files := list(islice(listed, files_per_batch)):
+        batch, loaded = self.last_batch(), 0
+        listings = self.listings(stage)
+        seen, number = listings.get(), listings.next_batch()
+        newest = datetime.fromisoformat(seen) if seen else None
+        if full is None:
+            full = newest is None or number % self.full_every == 0
+        since = None if full or newest is None else newest - self.overlap
+        listed = self.new_files(stage, since).select("*", F.unix_micros("modificationTime").alias("_at"))
+        listed = listed.toLocalIterator()
+        while files := [tuple(f) for f in islice(listed, files_per_batch)]:
             batch += 1
-            self._load_batch([tuple(f) for f in files], loaded_at, batch)
+            self._load_batch([f[:-1] for f in files], loaded_at, batch)
             loaded += len(files)
+            last = datetime.fromtimestamp(max(f[-1] for f in files) // 1_000_000, timezone.utc).replace(tzinfo=None)
+            newest = max(newest or last, last)
+        if newest is not None:
+            listings.set(newest.isoformat())
         return loaded
 
-    def _by_schema(self, paths: list[str]) -> dict[str, list[str]]:
-        """Files grouped by their own schema, read from their footers."""
-        schema = inheritable_thread_target(self.spark)(lambda p: self.spark.read.parquet(p).schema.json())
-        alike: dict[str, list[str]] = {}
+    def _marks(self, files: list[tuple]) -> list[tuple[str, str]]:
+        """Path and schema mark of each file. Tasks read small files, all by one job; of a large
+        one the driver reads the end."""
+        small = [path for path, _, length in files if length <= SMALL_FILE]
+        large = [(path, length) for path, _, length in files if length > SMALL_FILE]
+
+        def marks(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            for part in parts:
+                part["mark"] = [schema_mark(f) for f in part.pop("footer")]
+                yield part
+
+        found: list[tuple[str, str]] = []
+        if small:
+            read = self.spark.read.format("binaryFile").load(small)
+            footers = read.select("path", footer_bytes(F.col("content")).alias("footer"))
+            found = [tuple(r) for r in footers.mapInPandas(marks, "path string, mark string").collect()]
+
+        def of_large(path: str, length: int) -> tuple[str, str]:
+            end = tail(self.spark, path, length, TAIL)
+            size = int.from_bytes(end[-8:-4], "little") + 8
+            return path, schema_mark((end if size <= len(end) else tail(self.spark, path, length, size))[-size:])
+
         with ThreadPoolExecutor(FOOTERS_AT_ONCE) as pool:
-            for path, found in zip(paths, pool.map(schema, paths)):
-                alike.setdefault(found, []).append(path)
-        return alike
+            return found + list(pool.map(lambda f: of_large(*f), large))
+
+    def _by_schema(self, files: list[tuple]) -> list[tuple[T.StructType, list[str]]]:
+        """Paths of files that share a schema. Spark infers each schema once, from one of its files."""
+        alike: dict[str, list[str]] = {}
+        for path, mark in sorted(self._marks(files)):
+            alike.setdefault(mark, []).append(path)
+        return [(self.spark.read.parquet(paths[0]).schema, paths) for paths in alike.values()]
 
     def _records(self, schema: T.StructType, paths: list[str]) -> DataFrame:
         """A record holds the columns of its own file, in the file's own types."""
@@ -211,8 +288,7 @@ class RawTable:
         )
 
     def _load_batch(self, files: list[tuple], loaded_at: str, batch: int) -> None:
-        alike = self._by_schema([path for path, *_ in files])
-        parts = [self._records(T.StructType.fromJson(json.loads(s)), paths) for s, paths in alike.items()]
+        parts = [self._records(schema, paths) for schema, paths in self._by_schema(files)]
         rows = reduce(DataFrame.unionAll, parts).withColumns(
             {
                 "loaded_at": F.lit(loaded_at).cast("timestamp_ntz"),

@@ -7,6 +7,7 @@ from decimal import Decimal
 
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from lotlens import session
 from lotlens.operators import latest
@@ -218,6 +219,83 @@ def test_files_of_differing_types_are_loaded_as_they_are(spark, tmp_path):
     assert got == {"a": {"k": "a", "score": "n/a", "closed": "x"}, "b": {"k": "b", "score": 7, "closed": None}, "c": {"k": "c"}}
 
 
+def jobs_of(spark, run):
+    """Spark jobs that ``run`` starts."""
+    tracker, group = spark.sparkContext.statusTracker(), f"jobs-{os.urandom(4).hex()}"
+    spark.sparkContext.setJobGroup(group, group)
+    try:
+        run()
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    return len(tracker.getJobIdsForGroup(group))
+
+
+def test_jobs_of_a_load_do_not_grow_with_its_files(spark, tmp_path):
+    import pyarrow as pa
+    import pyarrow.parquet as pq
+
+    counts = []
+    for files in (4, 24):
+        stage, table = tmp_path / f"stage{files}", raw.RawTable(spark, str(tmp_path / f"table{files}"))
+        stage.mkdir()
+        for i in range(files):
+            kind = pa.table({"k": [i]}) if i % 2 else pa.table({"k": [str(i)], "other": [i]})
+            pq.write_table(kind, stage / f"{i}.parquet")
+        counts.append(jobs_of(spark, lambda: table.load(str(stage))))
+        assert table.rows().count() == files
+    assert counts[0] == counts[1] < 24
+
+
+@pytest.mark.parametrize("small", [raw.SMALL_FILE, 0])
+def test_schema_marks(spark, tmp_path, monkeypatch, small):
+    """Marks are equal where Spark's schemas are, read by tasks or, for large files, from the file's end."""
+    monkeypatch.setattr(raw, "SMALL_FILE", small)
+    monkeypatch.setattr(raw, "TAIL", 64)  # less than a footer
+    kinds = ["k string", "k string, v int", "k string, v bigint", "v int, k string", "k string, v struct<a:int,b:array<double>>",
+             "k string, v timestamp", "k string, v timestamp_ntz", "k string, v decimal(9,2)", "k string, v decimal(9,3)"]
+    files = []
+    for i, kind in enumerate(kinds):
+        row = [tuple(None for _ in T._parse_datatype_string(kind))]
+        spark.createDataFrame(row * (i + 1), kind).repartition(2).write.parquet(f"{tmp_path}/{i}")
+        parts = [f"{tmp_path}/{i}/{name}" for name in os.listdir(tmp_path / str(i)) if name.endswith(".parquet")]
+        files += [(f"file:{part}", None, os.path.getsize(part)) for part in parts]
+    marks = {}
+    for path, mark in raw.RawTable(spark, str(tmp_path))._marks(files):
+        marks.setdefault(path.split("/")[-2], set()).add(mark)
+    assert len(marks) == len(kinds) and all(len(m) == 1 for m in marks.values())
+    assert len(set.union(*marks.values())) == len(kinds)
+
+
+def test_a_later_load_lists_only_recent_files(spark, tmp_path):
+    stage = str(tmp_path / "stage")
+    table = raw.RawTable(spark, str(tmp_path / "table"), full_every=4)
+    day = lambda n: dt.datetime(2026, 1, n, tzinfo=dt.timezone.utc)
+
+    def put(name, n, rows):
+        write_file(spark, f"{stage}/{name}.parquet", rows)
+        os.utime(f"{stage}/{name}.parquet", (day(n).timestamp(),) * 2)
+
+    for n in range(1, 9):
+        put(f"day{n}", n, [(str(n), "1")])
+    assert table.load(stage) == 8 and table.listings(stage).get() == "2026-01-08T00:00:00"
+    put("day9", 9, [("9", "1")])
+    put("day7", 9, [("7", "2"), ("70", "2")])  # overwritten
+    put("late", 3, [("3", "late")])  # moved here under an old time
+    # the window lists what changed after the 6th
+    recent = table.new_files(stage, dt.datetime(2026, 1, 6))
+    assert sorted(os.path.basename(r["path"]) for r in recent.collect()) == ["day7.parquet", "day9.parquet"]
+    assert table.load(stage) == 2 and table.listings(stage).get() == "2026-01-09T00:00:00"
+    assert table.load(stage) == 0
+    assert table.load(stage) == 0
+    assert table.load(stage) == 1  # a full listing finds the late one; nothing is skipped for good
+    assert table.load(stage, full=True) == 0
+    assert table.rows().count() == 12
+    other = str(tmp_path / "other")  # another stage starts with a full listing
+    write_file(spark, f"{other}/a.parquet", [("a", "1")])
+    os.utime(f"{other}/a.parquet", (day(1).timestamp(),) * 2)
+    assert table.load(other) == 1
+
+
 def test_reload_with_the_same_stamp_replaces_the_file(spark, tmp_path):
     stage, table = str(tmp_path / "stage"), raw.RawTable(spark, str(tmp_path / "table"))
     write_file(spark, f"{stage}/a.parquet", [("1", "x"), ("2", "x"), ("3", "x")])
