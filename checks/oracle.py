@@ -337,6 +337,13 @@ _QUERIES: dict[str, str] = {
     "lot_season_mart": """
         SELECT * REPLACE (round(total_gfa_sqft, 4) AS total_gfa_sqft,
                           round(no_heat_per_100k_sqft, 4) AS no_heat_per_100k_sqft) FROM mart""",
+    "incremental_mart": """
+        SELECT * REPLACE (round(total_gfa_sqft, 4) AS total_gfa_sqft,
+                          round(no_heat_per_100k_sqft, 4) AS no_heat_per_100k_sqft) FROM mart""",
+    "incremental_season_counts": """
+        SELECT heat_season, bbl, count(*) FILTER (is_no_heat) AS no_heat_complaints, count(*) AS all_heat_complaints, days
+        FROM fct JOIN (SELECT heat_season, count(DISTINCT created_date) AS days FROM fct GROUP BY 1) USING (heat_season)
+        GROUP BY heat_season, bbl, days""",
     "lots_export": "SELECT * FROM xlots",
     "lots_files": "SELECT * FROM xlots",
     # extraction and loading

@@ -29,6 +29,7 @@ from ..sources.state import Bookmark
 from ..streaming.upsert import LatestState
 from . import bindings, models, reports
 from .daily import TABLES, model_checks
+from .deltas import SeasonCounts
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -392,6 +393,36 @@ def upsert_latest(t: Tables) -> DataFrame:
     return state.current().select("unique_key", "status", "source_file")
 
 
+def followed_counts(t: Tables) -> SeasonCounts:
+    """Counts kept by the differences of two loads: the monthly files, then the daily one."""
+    folder = f"{work_dir(t.spark)}/counts-{uuid.uuid4().hex}"
+    typed = models.type_complaints(t.landed["complaints"])
+    state = LatestState(
+        t.spark, f"{folder}/state", typed.schema, ["complaint_id"], models.COMPLAINT_ORDER, 16
+    )
+    counts = SeasonCounts(t.spark, f"{folder}/counts", state, 4)
+    daily = F.col("last_seen_in") == bindings.DAILY_FILE
+    for batch, part in enumerate((typed.filter(~daily), typed.filter(daily))):
+        state.upsert(part, batch)
+        counts.refresh()
+    return counts
+
+
+@query
+def incremental_season_counts(t: Tables) -> DataFrame:
+    """Complaints per season and lot by differences, with the days of each season."""
+    counts = followed_counts(t)
+    days = counts.days().groupBy("heat_season").agg(F.count(F.lit(1)).alias("days"))
+    return counts.lots().drop("heating_year_start").join(days, "heat_season")
+
+
+@query
+def incremental_mart(t: Tables) -> DataFrame:
+    """The analysis table from counts kept by differences."""
+    mart = followed_counts(t).mart(t.typed_properties, t.dim)
+    return rounded(mart, "total_gfa_sqft", "no_heat_per_100k_sqft")
+
+
 @query
 def union_by_name(t: Tables) -> DataFrame:
     daily = F.col("source_file") == bindings.DAILY_FILE

@@ -1,7 +1,8 @@
 """The daily run: load raw files, build the models, check them, publish, export.
 
 Newly loaded complaints are merged into the kept newest version of each; a run reads
-that state, not the whole raw history. A build goes to its own folder. It becomes the
+that state, not the whole raw history. The counts behind the mart follow each merge by its
+difference. A build goes to its own folder. It becomes the
 published one only when every check passed, by moving a bookmark; otherwise readers
 keep the previous build. Builds before the published one are removed, but for a few.
 """
@@ -20,6 +21,7 @@ from ..sources.raw import RawTable
 from ..sources.state import Bookmark
 from ..streaming.upsert import LatestState
 from . import models, reports
+from .deltas import SeasonCounts
 
 TABLES = ("stg_complaints", "stg_properties", "property_lots", "lot_dimension", "complaint_fact", "lot_season_mart")
 
@@ -40,6 +42,7 @@ class DailyRun:
         self.state = LatestState(
             spark, f"{root}/state/complaints", typed.schema, ["complaint_id"], models.COMPLAINT_ORDER, buckets
         )
+        self.counts = SeasonCounts(spark, f"{root}/state/season_counts", self.state, max(1, buckets // 4))
         self.builds_kept = builds_kept
         self.pointer = Bookmark(spark, f"{root}/published")
         self.attempts = Bookmark(spark, f"{root}/attempts")
@@ -55,9 +58,11 @@ class DailyRun:
 
     def _merge(self) -> None:
         """Bring the complaint state up to the last loaded batch, all batches at once."""
+        self.counts.refresh()  # a crash may have left them one commit behind
         done, last = self.state.last_batch(), self.complaints.last_batch()
         if last > max(done, 0):
             self.state.upsert(models.type_complaints(self.complaints.rows(after=done)), last)
+            self.counts.refresh()
 
     def _path(self, build: int, name: str) -> str:
         return f"{self.root}/builds/{build}/{name}"
@@ -82,12 +87,7 @@ class DailyRun:
             done["stg_complaints"], done["stg_properties"], ["latitude", "longitude"]
         )
         keep("complaint_fact", fact)
-        keep(
-            "lot_season_mart",
-            models.build_lot_season_mart(
-                done["complaint_fact"], done["lot_dimension"], dim_is_stored=True
-            ),
-        )
+        keep("lot_season_mart", self.counts.mart(done["stg_properties"], done["lot_dimension"]))
         return done
 
     def run(self, publish_anyway: bool = False) -> Run:

@@ -191,8 +191,13 @@ def build_complaint_fact(
     ``keep`` carries further staging columns (coordinates) along, which saves
     joining the fact back to staging.
     """
+    return with_report_year(heat_complaints(complaints, keep), properties)
+
+
+def heat_complaints(complaints: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
+    """The fact but for its report year; every column depends on its own complaint only."""
     start = cal.season_start_year("created_at")
-    heat = complaints.filter(F.col("complaint_type") == lb.HEAT_TYPE).select(
+    return complaints.filter(F.col("complaint_type") == lb.HEAT_TYPE).select(
         "complaint_id",
         key_or_null("bbl").alias("bbl"),
         "created_at",
@@ -207,9 +212,13 @@ def build_complaint_fact(
         cal.season_label("created_at").alias("heat_season"),
         *keep,
     )
+
+
+def with_report_year(df: DataFrame, properties: DataFrame) -> DataFrame:
+    """The newest report year that a season may be compared with."""
     as_of = null_safe_least(F.col("heating_year_start") - 1, F.col("_max_report_year"))
     return (
-        one_row(heat, newest_report_year(properties))
+        one_row(df, newest_report_year(properties))
         .withColumn("ll84_report_year", as_of)
         .drop("_max_report_year")
     )
@@ -271,8 +280,6 @@ def season_lots(seasons: DataFrame, dim: DataFrame) -> DataFrame:
 def build_lot_season_mart(fact: DataFrame, dim: DataFrame, dim_is_stored: bool = False) -> DataFrame:
     """One row per residential lot and season, lots without complaints kept with 0.
 
-    Size quartiles are a property of the dimension snapshot (a season has
-    exactly one), so they are ranked once per snapshot, not once per season.
     The dimension is read several times: one that is not a table is written first.
     """
     frames = {"season_facts": season_facts(fact)}
@@ -280,13 +287,22 @@ def build_lot_season_mart(fact: DataFrame, dim: DataFrame, dim_is_stored: bool =
         frames["lot_dimension"] = dim
     stored = materialize_all(**frames)
     per_lot, dim = stored["season_facts"], stored.get("lot_dimension", dim)
+    return mart_of_counts(per_lot, season_coverage(per_lot), dim)
+
+
+def mart_of_counts(per_lot: DataFrame, seasons: DataFrame, dim: DataFrame) -> DataFrame:
+    """The mart from complaints per season and lot (NULL lots are ignored), the seasons and a stored dimension.
+
+    Size quartiles are a property of the dimension snapshot (a season has
+    exactly one), so they are ranked once per snapshot, not once per season.
+    """
     scored = ntile_by(
         dim.filter("has_energy_star_score"), ["report_year"], "total_gfa_sqft", "bbl", 4, "size_quartile"
     )
     unscored = dim.filter(~F.col("has_energy_star_score")).withColumn(
         "size_quartile", F.lit(None).cast("int")
     )
-    population = season_lots(season_coverage(per_lot), scored.unionByName(unscored))
+    population = season_lots(seasons, scored.unionByName(unscored))
     counts = per_lot.filter(F.col("bbl").isNotNull())
     counted = keep_zeros(
         population, counts, ["heat_season", "bbl"], ["no_heat_complaints", "all_heat_complaints"]

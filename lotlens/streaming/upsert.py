@@ -16,7 +16,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
@@ -76,12 +76,39 @@ class LatestState:
     def current(self) -> DataFrame:
         return self._stored(self._manifest()).drop("state_version", "state_bucket")
 
+    def changed(self, since: int) -> tuple[DataFrame, DataFrame] | None:
+        """Rows before and after, of the buckets rewritten since a commit; None if that commit is no longer kept.
+
+        Only the files of these buckets are listed and read. A commit of -1 is the empty state.
+        """
+        commits = self._commits()
+        if since != -1 and since not in commits:
+            return None
+        named = lambda batch: {r[0]: r[1] for r in self._manifest(batch).collect()}  # noqa: E731  a row per bucket
+        old, new = (named(b) if b != -1 else {} for b in (since, commits[-1] if commits else -1))
+        touched = [b for b in sorted(new) if new[b] != old.get(b)]
+        paths = lambda kept: [f"{self.table}/state_version={kept[b]}/state_bucket={b}" for b in touched if b in kept]
+        return self._files(paths(old)), self._files(paths(new))
+
+    def _files(self, paths: list[str]) -> DataFrame:
+        if not paths:
+            return self.spark.createDataFrame([], self.schema)
+        return self.spark.read.schema(self.schema).parquet(*paths)
+
+    def beside(self, rows: DataFrame) -> DataFrame:
+        """Current rows of the buckets that the keys of ``rows`` fall into."""
+        touched = rows.select(self._bucket().alias("state_bucket")).distinct()
+        found = self._stored(self._manifest().join(touched, "state_bucket", "left_semi"))
+        return found.drop("state_version", "state_bucket")
+
+    def _bucket(self) -> Column:
+        return F.pmod(F.xxhash64(*self.keys), F.lit(self.buckets)).cast("int")
+
     def upsert(self, batch: DataFrame, batch_id: int) -> None:
         """Merge one micro-batch. A batch that was already committed is skipped."""
         if batch_id <= self.last_batch():
             return
-        bucket = F.pmod(F.xxhash64(*self.keys), F.lit(self.buckets)).cast("int")
-        incoming = batch.select(*self.schema.fieldNames()).withColumn("state_bucket", bucket)
+        incoming = batch.select(*self.schema.fieldNames()).withColumn("state_bucket", self._bucket())
         incoming = incoming.persist(StorageLevel.MEMORY_AND_DISK)  # read three times below
         try:
             manifest = self._manifest()

@@ -8,8 +8,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from lotlens.operators import quality
-from lotlens.plans import bindings, catalog, models, reports
+from lotlens.plans import bindings, catalog, deltas, models, reports
 from lotlens.plans.daily import DailyRun
+from lotlens.streaming.upsert import LatestState
 from tests.conftest import values
 from tests.test_sources import write_file
 
@@ -266,6 +267,12 @@ def test_daily_run_publishes_only_good_builds(spark, tmp_path):
     assert pipe.load(f"{stage}/c", f"{stage}/p")["complaints"] == 2
     whole = models.build_stg_complaints(pipe.complaints.rows())
     assert values(pipe.state.current()) == values(whole.select(*pipe.state.schema.fieldNames()))
+    # the kept counts and the mart from them equal those of a whole build
+    pipe.run()
+    assert_counts(pipe.counts, pipe.published()["complaint_fact"])
+    built = pipe.published()
+    again = models.build_lot_season_mart(built["complaint_fact"], built["lot_dimension"], dim_is_stored=True)
+    assert values(built["lot_season_mart"]) == values(again) != []
     # one build is published, and no more than two others are kept
     assert len(os.listdir(f"{root}/builds")) <= 3
 
@@ -278,6 +285,54 @@ def test_daily_run_publishes_only_good_builds(spark, tmp_path):
     assert spark.read.json(str(out / "run")).first()["tests_passed"] == 16
 
 
+def assert_counts(counts, fact):
+    """Kept counts against the fact."""
+    lots = models.season_facts(fact).select("heat_season", "heating_year_start", "bbl", "no_heat_complaints", "all_heat_complaints")
+    assert values(counts.lots().select(*lots.columns)) == values(lots)
+    days = fact.filter("heat_season is not null").groupBy("heat_season", "heating_year_start", "created_date")
+    days = days.agg(F.count_if("is_no_heat").alias("a"), F.count(F.lit(1)).alias("b"))
+    assert values(counts.days().drop("as_of")) == values(days)
+
+
+def test_counts_follow_the_state_by_differences(spark, tmp_path):
+    """Corrected, moved and vanished heat complaints, a crash in between, and a state that moved on too far."""
+    def version(key, n, created, kind=HEAT, bbl="1000000001"):
+        return complaint(str(key), created, bbl=bbl, kind=kind, updated=f"2026-01-{n:02}T00:00:00Z")
+
+    typed = lambda rows: models.type_complaints(complaints_of(spark, rows))
+    state = LatestState(spark, str(tmp_path / "s"), typed([]).schema, ["complaint_id"], models.COMPLAINT_ORDER, 32)
+    counts = deltas.SeasonCounts(spark, str(tmp_path / "c"), state, 4)
+    counts.refresh()
+    assert counts.lots().count() == 0
+    fact = lambda: models.heat_complaints(state.current())
+
+    first = [version(i, 1, f"2024-{1 + i % 12:02}-05T00:00:00", bbl=f"10000000{i % 7:02}" if i % 5 else None) for i in range(60)]
+    state.upsert(typed(first), 0)
+    counts.refresh()
+    assert_counts(counts, fact())
+    # another day, another season, no heat complaint any more, another lot, unchanged
+    second = [version(1, 2, "2024-02-06T00:00:00"), version(2, 2, "2025-11-06T00:00:00"), version(3, 2, "2024-04-05T00:00:00", "Noise"),
+              version(4, 2, "2024-05-05T00:00:00", bbl="1000000099"), first[5], version(6, 0, "1999-11-06T00:00:00")]
+    state.upsert(typed(second), 1)
+    before, after = state.changed(0)
+    buckets = {p.split("state_bucket=")[1].split("/")[0] for p in after.inputFiles()}
+    assert len(buckets) <= len(second) and {p.split("state_bucket=")[1].split("/")[0] for p in before.inputFiles()} == buckets
+    counts.refresh()
+    assert_counts(counts, fact())
+    counts.refresh()  # nothing new
+    # the lots were counted, the days not, when the process died
+    state.upsert(typed([version(7, 3, "2024-01-09T00:00:00")]), 2)
+    counts._follow(counts._lots, deltas.LOT)
+    deltas.SeasonCounts(spark, str(tmp_path / "c"), state, 4).refresh()
+    assert_counts(counts, fact())
+    # three commits later the last counted one is gone
+    for n in (3, 4, 5):
+        state.upsert(typed([version(n + 5, 4, "2024-12-24T00:00:00"), version(2, n + 1, "2024-10-01T00:00:00")]), n)
+    assert state.changed(2) is None
+    counts.refresh()
+    assert_counts(counts, fact())
+
+
 @pytest.mark.parametrize("sort", ["rate", "no_heat", "score"])
 def test_leaderboard_ranks_nulls_last(spark, sort):
     rows = [("s", "1", 60000.0, 5, 5.0, None), ("s", "2", 60000.0, 4, 7.0, 3.0), ("s", "3", 10.0, 99, 99.0, 9.0), ("s", "4", 60000.0, 2, 9.0, 9.0)]
