@@ -304,7 +304,7 @@ def test_counts_follow_the_state_by_differences(spark, tmp_path):
     counts = deltas.SeasonCounts(spark, str(tmp_path / "c"), state, 4)
     counts.refresh()
     assert counts.lots().count() == 0
-    fact = lambda: models.heat_complaints(state.current())
+    fact = lambda: models.heat_complaints(state.current()).withColumn("ll84_report_year", F.lit(1))
 
     first = [version(i, 1, f"2024-{1 + i % 12:02}-05T00:00:00", bbl=f"10000000{i % 7:02}" if i % 5 else None) for i in range(60)]
     state.upsert(typed(first), 0)
