@@ -394,6 +394,15 @@ _QUERIES: dict[str, str] = {
     "deleted_keys": """
         SELECT complaint_id FROM stg
         WHERE complaint_id NOT IN (SELECT unique_key FROM rc WHERE source_file = 'dt=2001-09-03')""",
+    "deleted_keys_by_digest": """
+        SELECT complaint_id FROM stg
+        WHERE complaint_id NOT IN (SELECT unique_key FROM rc WHERE source_file = 'dt=2001-09-03')""",
+    "sketched_lots": """
+        SELECT heat_season, borough, count(DISTINCT bbl) AS lots, true AS within_bound
+        FROM fct WHERE heat_season IS NOT NULL AND bbl IS NOT NULL GROUP BY 1, 2""",
+    "sketched_closing_times": """
+        SELECT heat_season, count(closed_at) AS closed, true AS within_bound
+        FROM fct WHERE heat_season IS NOT NULL AND closed_at IS NOT NULL GROUP BY 1""",
     "completeness_by_month": """
         SELECT strftime(created_at, '%Y-%m') AS month, count(*) FILTER (source_file <> 'dt=2001-09-03') AS expected,
                count(*) FILTER (source_file = 'dt=2001-09-03') AS got,

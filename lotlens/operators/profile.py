@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.casts import as_col
+from ..session import materialize
 from .joins import one_row
 
 
@@ -45,8 +46,14 @@ def duplicated(df: DataFrame, keys: Sequence[str]) -> DataFrame:
 
 
 def duplicated_rows(df: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """All rows of the duplicated keys, the first copy included."""
-    return df.join(duplicated(df, keys).drop("n"), list(keys), "left_semi")
+    """All rows of the duplicated keys, the first copy included.
+
+    The keys are counted map-side and written. Their size is known then: a small list
+    is broadcast, and the rows are filtered where they are; beside a large one AQE splits
+    the rows of hot keys.
+    """
+    known = materialize(duplicated(df, keys).drop("n"), "duplicated-keys")
+    return df.join(known, list(keys), "left_semi")
 
 
 def fill_rate(df: DataFrame, keys: Sequence[str]) -> DataFrame:

@@ -21,7 +21,7 @@ from ..functions.casts import (
     try_whole,
     utc_wall_clock,
 )
-from ..operators import joins, latest, lots, profile, quality, ranks, stats
+from ..operators import digests, joins, latest, lots, profile, quality, ranks, sketches, stats
 from ..session import materialize, materialize_all, work_dir
 from ..sources import export, extract, raw
 from ..sources.files import folders, replace, versions
@@ -440,6 +440,45 @@ def deleted_keys(t: Tables) -> DataFrame:
     )
 
 
+@query
+def deleted_keys_by_digest(t: Tables) -> DataFrame:
+    """The keys of ``deleted_keys``, of which only differing buckets were moved."""
+    listed = t.rc.filter(F.col("source_file") == bindings.DAILY_FILE)
+    return digests.missing_by_digest(
+        t.stg.select("complaint_id"), listed.withColumnRenamed("unique_key", "complaint_id"), "complaint_id"
+    )
+
+
+@query
+def sketched_lots(t: Tables) -> DataFrame:
+    """Distinct lots per season and region, and whether merged daily sketches come within their bound."""
+    placed = t.seasons.filter(F.col("bbl").isNotNull())
+    days = sketches.distinct_sketches(placed, ["heat_season", "borough", "created_date"], "bbl")
+    keys = ["heat_season", "borough"]
+    exact = placed.groupBy(*keys).agg(F.count_distinct("bbl").alias("lots"))
+    close = F.abs(F.col("estimate") - F.col("lots")) <= F.col("lots") * sketches.distinct_error()
+    both = exact.join(sketches.merge_distinct(days, keys, "estimate"), keys)
+    return both.select(*keys, "lots", close.alias("within_bound"))
+
+
+@query
+def sketched_closing_times(t: Tables) -> DataFrame:
+    """Closed complaints per season, and whether the merged daily sketches' median has a rank within its bound."""
+    hours = F.timestamp_diff("MINUTE", F.col("created_at"), F.col("closed_at")) / 60
+    closed = t.seasons.withColumn("hours", hours).filter(F.col("hours").isNotNull())
+    days = sketches.quantile_sketches(closed, ["heat_season", "created_date"], "hours")
+    middle = sketches.merge_quantiles(days, ["heat_season"], 0.5, "median")
+    ranked = closed.join(middle, "heat_season").groupBy("heat_season").agg(
+        F.count(F.lit(1)).alias("closed"),
+        F.count_if(F.col("hours") < F.col("median")).alias("below"),
+        F.count_if(F.col("hours") <= F.col("median")).alias("upto"),
+    )
+    slack = F.col("closed") * sketches.rank_error() + 1
+    half = F.col("closed") / 2
+    near = (F.col("below") <= half + slack) & (F.col("upto") >= half - slack)
+    return ranked.select("heat_season", "closed", near.alias("within_bound"))
+
+
 @query
 def completeness_by_month(t: Tables) -> DataFrame:
     month = cal.month_label(try_ts("created_date")).alias("month")

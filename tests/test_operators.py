@@ -8,7 +8,8 @@ import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from lotlens.operators import joins, latest, lots, profile, quality, ranks, stats
+from lotlens import session
+from lotlens.operators import digests, joins, latest, lots, profile, quality, ranks, sketches, stats
 from tests.conftest import values
 
 
@@ -261,3 +262,56 @@ def test_category_model_is_the_saturated_model(spark):
     got = stats.category_rate_ratios(df, "y", "era", "old", "area").first()
     assert got["rate_ratio"] == pytest.approx(np.exp(beta[1]), abs=1e-4)
     assert got["se"] == pytest.approx(se[1], abs=1e-4)
+
+
+def shuffled_rows(df):
+    """Rows that the exchanges of a plan wrote, map-side sums apart."""
+    df.collect()
+    seen, todo = [], [df._jdf.queryExecution().executedPlan()]
+    while todo:
+        node = todo.pop()
+        if "ShuffleExchange" in node.getClass().getSimpleName():
+            seen.append(node.metrics().apply("shuffleRecordsWritten").value())
+        if "AdaptiveSparkPlan" in node.getClass().getSimpleName():
+            todo.append(node.executedPlan())
+        if "QueryStage" in node.getClass().getSimpleName():
+            todo.append(node.plan())
+        children = node.children()
+        todo += [children.apply(i) for i in range(children.size())]
+    return seen
+
+
+@pytest.mark.parametrize("listed", [range(0), range(5000), [*range(1, 5000), 9999], [i for i in range(5000) if i % 3]])
+def test_missing_keys_by_digest(spark, listed):
+    ours = spark.createDataFrame([(str(i),) for i in range(5000)] + [("7",), (None,)], "k string")
+    theirs = spark.createDataFrame([(str(i),) for i in listed] + [(None,)] * 2, "k string")
+    got = digests.missing_by_digest(ours, theirs, "k", 512)
+    assert values(got) == values(joins.missing_in_source(ours, theirs, "k"))
+
+
+def test_only_differing_buckets_move(spark):
+    ours = session.materialize(spark.range(20_000).select(F.col("id").cast("string").alias("k")), "ours")
+    theirs = session.materialize(ours.filter("k <> '77'"), "theirs")
+    assert digests.differing_buckets(ours, theirs, "k", 1000).count() == 1
+    got = digests.missing_by_digest(ours, theirs, "k", 1000)
+    assert values(got) == [("77",)] and sum(shuffled_rows(got)) < 200
+
+
+def test_sketches_stay_within_their_bounds(spark):
+    rows = spark.range(200_000).select(
+        (F.col("id") % 50).alias("day"), (F.col("id") % 3).alias("region"), (F.hash("id") % 60_000).alias("lot"),
+        (F.abs(F.hash("id", F.lit(1))) % 100_000).cast("double").alias("hours"),
+    )
+    rows = session.materialize(rows.unionByName(spark.createDataFrame([(99, 9, None, None)], rows.schema)), "rows")
+    exact = {r["region"]: r["n"] for r in rows.groupBy("region").agg(F.count_distinct("lot").alias("n")).collect()}
+    days = sketches.distinct_sketches(rows, ["day", "region"], "lot")
+    merged = {r["region"]: r["n"] for r in sketches.merge_distinct(days, ["region"], "n").collect()}
+    assert merged.keys() == exact.keys() and merged[9] == exact[9] == 0
+    assert all(abs(merged[r] - n) <= sketches.distinct_error() * n for r, n in exact.items())
+    hours = sketches.quantile_sketches(rows, ["day", "region"], "hours")
+    for q in (0.1, 0.5, 0.99):
+        for r in sketches.merge_quantiles(hours, ["region"], q, "v").collect():
+            own = [x["hours"] for x in rows.filter(F.col("region") == r["region"]).select("hours").collect()]
+            below, upto = sum(x < r["v"] for x in own) / len(own), sum(x <= r["v"] for x in own) / len(own)
+            assert below - sketches.rank_error() <= q <= upto + sketches.rank_error()
+    assert {r["region"] for r in sketches.merge_quantiles(hours, ["region"], 0.5, "v").collect()} == {0, 1, 2}
