@@ -620,6 +620,13 @@ _QUERIES: dict[str, str] = {
         UNION ALL
         SELECT 'key', heat_season, bbl, no_heat FROM xlots WHERE starts_with(bbl, '30')
         QUALIFY row_number() OVER (PARTITION BY heat_season ORDER BY no_heat DESC, bbl) <= 8""",
+    "entity_search_index": """
+        SELECT 'text' AS searched, heat_season, bbl, no_heat FROM xlots
+        WHERE contains(lower(coalesce(address, '')) || ' ' || bbl, 'widget')
+        QUALIFY row_number() OVER (PARTITION BY heat_season ORDER BY no_heat DESC, bbl) <= 8
+        UNION ALL
+        SELECT 'key', heat_season, bbl, no_heat FROM xlots WHERE starts_with(bbl, '30')
+        QUALIFY row_number() OVER (PARTITION BY heat_season ORDER BY no_heat DESC, bbl) <= 8""",
     "poisson_score_equations": """
         SELECT term, round(sum(x * no_heat_complaints::DOUBLE), 1) AS total FROM (
             SELECT no_heat_complaints, unnest(['Intercept', 'score_10', 'log_gfa', 'era[1930-59]', 'era[1960-89]', 'era[1990+]']) AS term,

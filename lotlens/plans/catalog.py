@@ -21,7 +21,7 @@ from ..functions.casts import (
     try_whole,
     utc_wall_clock,
 )
-from ..operators import digests, joins, latest, lots, profile, quality, ranks, sketches, stats
+from ..operators import digests, joins, latest, lots, postings, profile, quality, ranks, sketches, stats
 from ..session import materialize, materialize_all, work_dir
 from ..sources import export, extract, raw
 from ..sources.files import folders, replace, versions
@@ -910,6 +910,17 @@ def entity_search(t: Tables) -> DataFrame:
     return by_text.unionAll(by_key).select("searched", "heat_season", "bbl", "no_heat")
 
 
+@query
+def entity_search_index(t: Tables) -> DataFrame:
+    """The searches of ``entity_search`` by a posting table."""
+    exported = reports.export_lots(t.mart, reports.lot_labels(t.lots))
+    index = postings.PostingIndex(t.spark, f"{work_dir(t.spark)}/search-{uuid.uuid4().hex}")
+    reports.index_lots(index, exported)
+    by_text = reports.search_index(index, exported, " Widget ").withColumn("searched", F.lit("text"))
+    by_key = reports.search_index(index, exported, "30").withColumn("searched", F.lit("key"))
+    return by_text.unionAll(by_key).select("searched", "heat_season", "bbl", "no_heat")
+
+
 def rate_model(t: Tables) -> tuple:
     scored = t.mart.filter("has_energy_star_score").select(
         "no_heat_complaints",

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import calendar as cal
@@ -12,6 +12,7 @@ from ..functions import labels as lb
 from ..functions.casts import as_col
 from ..operators.joins import keep_zeros, one_row
 from ..operators.latest import top_n
+from ..operators.postings import PREFIX, PostingIndex, runs_of
 from ..operators.ranks import (
     cumulative,
     cut_at,
@@ -519,20 +520,38 @@ def leaderboard(
     return top_n(eligible, ["heat_season"], order, n, "bbl")
 
 
+def searched_text() -> Column:
+    """What a search for a part of a lot's address or key looks at."""
+    return F.concat_ws(" ", F.lower(F.coalesce("address", F.lit(""))), F.col("bbl"))
+
+
+def _is_key(wanted: str) -> bool:
+    return wanted.isascii() and wanted.isdigit()
+
+
 def search(lots: DataFrame, text: str, region: str | None = None, n: int = SEARCH_HITS) -> DataFrame:
     """Lots of each season by key prefix (digits only) or by part of address and key."""
     wanted = text.strip().lower()
     if len(wanted) < 2:
         return lots.limit(0)
-    if wanted.isascii() and wanted.isdigit():
-        hit = F.col("bbl").startswith(wanted)
-    else:
-        searched = F.concat_ws(" ", F.lower(F.coalesce("address", F.lit(""))), F.col("bbl"))
-        hit = searched.contains(wanted)
+    hit = F.col("bbl").startswith(wanted) if _is_key(wanted) else searched_text().contains(wanted)
     found = in_region(lots, region).filter(hit)
     return top_n(found, ["heat_season"], [F.desc("no_heat"), F.asc("bbl")], n, "bbl")
 
 
+def index_lots(index: PostingIndex, lots: DataFrame) -> None:
+    index.build(lots, "bbl", searched_text())
+
+
+def search_index(index: PostingIndex, lots: DataFrame, text: str, region: str | None = None, n: int = SEARCH_HITS) -> DataFrame:
+    """``search`` by an index of ``lots``, of which only the columns are taken here."""
+    wanted = text.strip().lower()
+    if len(wanted) < 2:
+        return lots.limit(0)
+    runs = {PREFIX + wanted} if _is_key(wanted) else runs_of(wanted)
+    return search(index.candidates(lots, "bbl", runs), text, region, n)
+
+
 def benchmarked_share(fact: DataFrame, lots: DataFrame) -> DataFrame:
     """Per season: lots with complaints, complaints on dimension lots, and their share of all."""
     on_lots = lots.groupBy("heat_season").agg(

@@ -2,12 +2,14 @@
 
 import json
 import os
+import re
 from types import SimpleNamespace
 
 import pytest
 from pyspark.sql import functions as F
 
 from lotlens.operators import quality
+from lotlens.operators.postings import PostingIndex
 from lotlens.plans import bindings, catalog, deltas, models, reports
 from lotlens.plans.daily import DailyRun
 from lotlens.streaming.upsert import LatestState
@@ -231,6 +233,26 @@ def test_search_rules(spark):
     assert reports.search(lots, "oak", region="Queens").count() == 0
 
 
+def test_search_by_postings_equals_the_scan(spark, tmp_path):
+    words = ["Oak", "Main", "Élan", "O'Hara  ", "x-y"]
+    rows = [
+        (f"s{i % 3}", f"{1 + i % 5}0{i // 3:08}", None if i % 11 == 0 else f"{i} {words[i % 5]} St", i * 7 % 50, "Bronx" if i % 2 else "Queens")
+        for i in range(300)
+    ]
+    lots = spark.createDataFrame(rows, "heat_season string, bbl string, address string, no_heat int, boro string").repartition(5).cache()
+    index = PostingIndex(spark, str(tmp_path / "index"), 16)
+    reports.index_lots(index, lots)
+    for text in ("oak", "OA", " élan st ", "o'hara  st", "7 main", "10", "1000000000", "20000000011", "st 30", "zzz", "x", "a st 1000", "99"):
+        for region in (None, "Queens"):
+            got = reports.search_index(index, lots, text, region)
+            assert values(got) == values(reports.search(lots, text, region)), text
+    got = index.candidates(lots, "bbl", {"^1000000000"})
+    plan = got._jdf.queryExecution().toString()
+    assert 0 < got.count() <= 3 and re.search(r"PartitionFilters: [^\n]*_part#\d+ = ", plan)  # one folder of 16
+    reports.index_lots(index, lots.filter("heat_season = 's9'"))
+    assert reports.search_index(index, lots, "oak").count() == 0
+
+
 def test_daily_run_publishes_only_good_builds(spark, tmp_path):
     root, stage = str(tmp_path / "lake"), tmp_path / "stage"
     pipe = DailyRun(spark, root)
