@@ -27,7 +27,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .samples import bounded_sample
+from .samples import bounded_sample, with_text
 
 HIDDEN, STEPS, BATCH, RATE, DECAY = 24, 600, 4096, 0.01, 1e-4
 SLACK = 0.01  # how far the non-negative part may go below zero before its gradient is undone
@@ -181,11 +181,12 @@ def fit(positive: list[str], unlabelled: list[str], seed: int = 11) -> tuple[Net
 def train(docs: DataFrame, labels: DataFrame, key: str, text: str, label: str, learn: Column) -> Network | float:
     """A network, or the constant score, from a bounded sample.
 
-    Positives are rows of ``labels`` (key, label) with label 1 where ``learn`` holds.
-    Unlabelled are the documents where ``learn`` holds that ``labels`` does not name.
+    Positives are documents where ``learn`` holds and ``labels`` (key, label) has label 1.
+    All others where ``learn`` holds are unlabelled, whatever ``labels`` says of them.
     """
     trusted = labels.filter(learn & (F.col(label) == 1)).select(key, F.lit(1).alias("_kind"))
-    plain = docs.filter(learn).select(key).join(labels.select(key), key, "left_anti")
+    trusted = with_text(trusted, docs, key, text)
+    plain = docs.filter(learn & F.col(text).isNotNull()).select(key).join(trusted.select(key), key, "left_anti")
     sample = bounded_sample(trusted.unionByName(plain.select(key, F.lit(0).alias("_kind"))), docs, key, text, "_kind")
     positive, unlabelled = (list(sample["text"][sample["label"] == kind]) for kind in (1, 0))
     if len(positive) < 4:

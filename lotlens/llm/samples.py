@@ -19,6 +19,12 @@ def fold(key: Column, folds: int) -> Column:
     return F.pmod(F.crc32(key.cast("string")), F.lit(folds))
 
 
+def with_text(marked: DataFrame, docs: DataFrame, key: str, text: str) -> DataFrame:
+    """The rows of ``marked`` whose document is there with a text, so that a sample of them is full."""
+    there = docs.filter(F.col(text).isNotNull()).select(F.col(key).alias("_there"))
+    return marked.join(there, F.col(key) == F.col("_there"), "left_semi")
+
+
 def bounded_sample(
     marked: DataFrame,
     docs: DataFrame,

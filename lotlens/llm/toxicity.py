@@ -26,7 +26,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .samples import bounded_sample
+from .samples import bounded_sample, with_text
 
 BUCKETS, DIMENSIONS = 1 << 18, 8
 SHORTEST, LONGEST = 3, 5
@@ -45,10 +45,11 @@ def words_of(text: str) -> list[str]:
 
 def subwords(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
     """Feature numbers of all words, one word after the other, and how many each word has."""
-    raw = [b"<" + (w.strip(TRIM) or w).encode("utf-8", "replace") + b">" for w in words]
+    raw = [f"<{w.strip(TRIM) or w}>" for w in words]
     lengths = np.fromiter(map(len, raw), np.int64, len(raw))
-    whole = np.fromiter(map(zlib.crc32, raw), np.uint32, len(raw))
-    data = np.frombuffer(b"".join(raw), np.uint8).astype(np.uint32)
+    whole = np.fromiter((zlib.crc32(w.encode("utf-8", "replace")) for w in raw), np.uint32, len(raw))
+    # one number a character: a gram never cuts a letter in two
+    data = np.frombuffer("".join(raw).encode("utf-32-le", "replace"), np.uint32)
     ends = np.cumsum(lengths)
     owner = np.repeat(np.arange(len(raw)), lengths)
     room = np.repeat(ends, lengths) - np.arange(len(data))
@@ -106,7 +107,7 @@ def fit(texts: list[str], labels: np.ndarray, share: float, seed: int = 7) -> Mo
     """Train embeddings and softmax; ``share`` is the share of label 1 in the whole corpus.
 
     Every CALIBRATION-th text of the sample is kept back and tells how margins translate
-    into probabilities.
+    into probabilities; then all texts train the vectors that are used.
     """
     labels = np.asarray(labels, np.int64)
     if len(set(labels.tolist())) < 2:
@@ -120,6 +121,7 @@ def fit(texts: list[str], labels: np.ndarray, share: float, seed: int = 7) -> Mo
         return Model(learnt.weights, learnt.bias + float(np.log(share / (1 - share))))
     (means,) = mean_weights(learnt, iter([pd.Series([t for t, h in zip(texts, held) if h])]))
     slope, offset = _calibrate(means + learnt.bias, labels[held], share)
+    learnt = _embed(texts, labels, seed)
     return Model((learnt.weights * slope).astype(np.float32), learnt.bias * slope + offset)
 
 
@@ -240,8 +242,11 @@ def scorer(model: Model) -> Column:
 
 
 def train(docs: DataFrame, labels: DataFrame, key: str, text: str, label: str, learn: Column) -> Model:
-    """A model from a bounded sample of the rows of ``labels`` (key, label) where ``learn`` holds."""
-    marked = labels.filter(learn).select(key, label)
+    """A model from a bounded sample of the rows of ``labels`` (key, label) where ``learn`` holds.
+
+    Only labels of documents with a text count.
+    """
+    marked = with_text(labels.filter(learn).select(key, label), docs, key, text)
     share = marked.agg(F.avg(F.col(label).cast("double"))).first()[0]
     sample = bounded_sample(marked, docs, key, text, label)
     return fit(list(sample["text"]), sample["label"].to_numpy(), share or 0.0)

@@ -3,6 +3,7 @@
 import random
 import re
 import zlib
+from collections import Counter
 
 import numpy as np
 import pandas as pd
@@ -21,6 +22,7 @@ from lotlens.llm import (
     url_filter,
 )
 from lotlens.llm import queries as q
+from tests.conftest import values
 
 SF = "/root/testdata/sf0.001"
 DOC = "doc_id long, text string"
@@ -46,6 +48,17 @@ def test_sample_is_bounded_repeatable_and_whole(spark):
     assert samples.bounded_sample(marks.limit(0), docs, "doc_id", "text", "y").empty
 
 
+def test_sample_of_documents_that_are_there_is_full(spark):
+    """Labels of documents that a former stage removed, or that have no text, use up no place."""
+    docs = spark.range(4000).select((F.col("id") * 5).alias("doc_id"), F.concat(F.lit("text "), F.col("id").cast("string")).alias("text"))
+    docs = docs.withColumn("text", F.when(F.col("doc_id") % 3 != 0, F.col("text")))
+    marks = spark.range(20_000).select(F.col("id").alias("doc_id"), (F.col("id") % 2).alias("y"))
+    there = samples.with_text(marks, docs, "doc_id", "text")
+    assert values(there) == sorted(((i, i % 2) for i in range(0, 20_000, 5) if i % 3), key=lambda r: (str(r[0]), str(r[1])))
+    got = samples.bounded_sample(there, docs, "doc_id", "text", "y", rows=1000)
+    assert got["label"].value_counts().to_dict() == {0: 1000, 1: 1000}
+
+
 def test_no_class_is_dropped(spark):
     rows = [(f"c{i:03}", f"text {i} {j} ") for i in range(130) for j in range(3 if i else 200)]
     df = spark.createDataFrame([(n, *r) for n, r in enumerate(rows)], "doc_id long, c string, text string")
@@ -129,6 +142,9 @@ def test_subwords_of_a_word():
     numbers, sizes = toxicity.subwords(["cat", "a"])
     assert sizes.tolist() == [1 + 3 + 2 + 1, 1 + 1]  # itself; <ca cat at>; <cat cat>; <cat>; and itself; <a>
     assert toxicity.subwords(["cat."])[0].tolist() == toxicity.subwords(["cat"])[0].tolist()
+    # grams are of letters, however many bytes each takes
+    _, sizes = toxicity.subwords(["hello", "слово", "日本語日本", "\U0001f600" * 5, "\ud800x"])
+    assert sizes.tolist() == [13, 13, 13, 13, 1 + 2 + 1]
 
 
 def test_toxicity_odd_rows_and_missing_labels(spark):
@@ -174,6 +190,17 @@ def test_quality_held_out(spark):
     assert sum(a == b for a, b in held) / len(held) > 0.95
 
 
+def test_labels_that_name_every_document(spark):
+    """Unlabelled is all that is no trusted positive, so that a fully labelled corpus still trains."""
+    rows = [(i, f"good words here number {i}. " * 5 if i % 2 else f"%% $$ {i} ## @@ ") for i in range(200)]
+    docs = spark.createDataFrame(rows, DOC)
+    labels = docs.select("doc_id", (F.col("doc_id") % 2).cast("int").alias("quality"))
+    model = quality.train(docs, labels, "doc_id", "text", "quality", F.lit(True))
+    scored = quality.score(docs, "text", model).collect()
+    right = sum((r["score"] >= 0.3) == bool(r["doc_id"] % 2) for r in scored)
+    assert right >= 195
+
+
 def test_prior_is_estimated():
     rng = np.random.default_rng(0)
     good = lambda n: rng.normal(1, 0.5, (n, 3))
@@ -220,13 +247,21 @@ def test_bit_parallel_distance_equals_the_table():
         assert got == plain_distance(pattern, text)
 
 
-def test_every_occurrence_within_the_budget_is_found():
+def found_in(spark, texts, items, rate=decontamination.RATE):
+    """{(text number, item id): (distance, first word, last word)}"""
+    docs = spark.createDataFrame(list(enumerate(texts)), DOC)
+    of_items = spark.createDataFrame(items, "item_id long, text string")
+    got = decontamination.with_matches(docs, "text", of_items, "item_id", "text", "m", rate)
+    return {(r["doc_id"], r["item_id"]): tuple(r)[2:] for r in got.select("doc_id", F.inline("m")).collect()}
+
+
+@pytest.mark.parametrize("rate", [0.2, 0.07])
+def test_every_occurrence_within_the_budget_is_found(spark, rate):
     rng = random.Random(5)
     vocabulary = [f"w{i}" for i in range(60)]
     words = lambda n: [rng.choice(vocabulary) for _ in range(n)]
-    items = [(i, " ".join(words(rng.randint(5, 70)))) for i in range(25)]
-    finder = decontamination.Finder(items)
-    found = 0
+    items = [(i, " ".join(words(rng.randint(1, 4) if i % 3 == 0 else rng.randint(5, 70)))) for i in range(30)]
+    texts = []
     for _ in range(150):
         text = words(rng.randint(0, 200))
         item = rng.choice(items)[1].split()
@@ -235,51 +270,66 @@ def test_every_occurrence_within_the_budget_is_found():
             item[at : at + rng.randint(0, 1)] = words(rng.randint(0, 2))
         at = rng.randint(0, len(text))
         text[at:at] = item
-        got = {i: (d, a, b) for i, d, a, b in finder.matches(" ".join(text))}
+        texts.append(text)
+    got, found = found_in(spark, [" ".join(t) for t in texts], items, rate), Counter()
+    for n, text in enumerate(texts):
         for i, body in items:
             pattern = body.split()
             distance, _ = plain_distance(pattern, text)
-            if distance <= decontamination.budget(len(pattern)):
-                assert got[i][0] == distance
-                span = text[got[i][1] : got[i][2] + 1]
+            if distance <= decontamination.budget(len(pattern), rate):
+                assert got[n, i][0] == distance
+                span = text[got[n, i][1] : got[n, i][2] + 1]
                 assert plain_distance(pattern, span)[0] == distance
-                found += 1
+                found[len(pattern) < 5] += 1
             else:
-                assert i not in got
-    assert found > 100
+                assert (n, i) not in got
+    assert found[True] > 100 and found[False] > 20
 
 
-def test_items_in_scripts_without_blanks_are_found_inside_texts():
-    items = [(1, "今日はとても良い天気ですね"), (2, "水的沸点是多少摄氏度？"), (3, "กรุงเทพมหานคร")]
-    finder = decontamination.Finder(items)
+def test_items_in_scripts_without_blanks_are_found_inside_texts(spark):
+    items = [(1, "今日はとても良い天気ですね"), (2, "水的沸点是多少摄氏度？"), (3, "กรุงเทพมหานคร"), (4, "東京")]
     around = "これは別の文章です。{}そして続きます latin words"
-    for item_id, text in items:
-        assert [m[:2] for m in finder.matches(around.format(text))] == [(item_id, 0)]
-    assert [m[:2] for m in finder.matches(around.format("今日はとても悪い天気ですね"))] == [(1, 1)]
-    assert finder.matches(around.format("")) == []
+    texts = [around.format(text) for _, text in items] + [around.format("今日はとても悪い天気ですね"), around.format("")]
+    got = {key: m[0] for key, m in found_in(spark, texts, items).items()}
+    assert got == {(0, 1): 0, (1, 2): 0, (2, 3): 0, (3, 4): 0, (4, 1): 1}
     assert decontamination.words_of("Ab_c1 東京x 한국어 été") == ["ab", "c1", "東", "京", "x", "한국어", "été"]
 
 
 def test_decontamination_odd_rows(spark):
     item = "The five Words of an Item, here"
-    items = spark.createDataFrame([(1, item), (1, item), (2, None), (3, ""), (4, "tiny item"), (None, "x y z w v u")], "item_id long, text string")
-    texts = ODD + [(10, "before. the FIVE words\nof an item -- here, after"), (11, "Tiny  item!"), (12, "a tiny item"), (13, "the five words of some item here")]
-    docs = spark.createDataFrame([(*r, 1, "f") for r in texts], DOC + ", item_id int, found string")
-    got = decontamination.with_matches(docs.select("doc_id", "text"), "text", items, "item_id", "text", "m")
-    rows = sorted((r["doc_id"], r["item_id"], r["distance"], r["first_word"], r["last_word"]) for r in got.select("doc_id", F.inline("m")).collect())
-    assert rows == [(10, 1, 0, 1, 7), (10, 1, 0, 1, 7), (11, 4, 0, 0, 1), (13, 1, 1, 0, 6), (13, 1, 1, 0, 6)]
+    items = spark.createDataFrame(
+        [(1, item), (1, item), (2, None), (3, ""), (4, "tiny item"), (None, "x y z w v u"), (5, "quantum harmonic oscillator ground")],
+        "item_id long, text string",
+    )
+    texts = ODD + [
+        (10, "before. the FIVE words\nof an item -- here, after"), (11, "Tiny  item!"), (12, "a tiny item"), (13, "the five words of some item here"),
+        (14, "its quantum harmonic oscillator ground state"), (15, "quantum oscillator ground"), (16, "destiny items"), (11, "Tiny  item!"),
+        (17, "a b c " * 30_000 + "tiny item"),
+    ]
+    docs = spark.createDataFrame([(*r, 1, "f", b"x") for r in texts], DOC + ", item_id int, found string, _sha binary")
+    got = decontamination.with_matches(docs, "text", items, "item_id", "text", "m")
+    assert got.columns == [*docs.columns, "m"] and got.count() == len(texts)
+    found = got.select("doc_id", F.inline("m")).collect()
+    rows = sorted((r["doc_id"], r["item_id"], r["distance"], r["first_word"], r["last_word"]) for r in found)
+    assert rows == [
+        (10, 1, 0, 1, 7), (10, 1, 0, 1, 7), (11, 4, 0, 0, 1), (11, 4, 0, 0, 1), (12, 4, 0, 1, 2), (13, 1, 1, 0, 6), (13, 1, 1, 0, 6),
+        (14, 5, 0, 1, 4), (17, 4, 0, 90_000, 90_001),
+    ]
     none = decontamination.with_matches(docs, "text", items.limit(0), "item_id", "text", "m")
     assert none.filter(F.size("m") > 0).count() == 0
     assert decontamination.with_matches(docs.limit(0), "text", items, "item_id", "text", "m").count() == 0
 
 
-def test_blocks_hold_all_items(spark):
-    items = spark.createDataFrame([(i, "word " * 20) for i in range(100)], "item_id long, text string")
-    blocks = list(decontamination.blocks_of(items, "item_id", "text", 2_000))
-    assert len(blocks) == 5 and sorted(i for b in blocks for i, _ in b) == list(range(100))
-    docs = spark.createDataFrame([(1, "word " * 20)], DOC)
-    found = [decontamination.matcher(b)(F.col("text")) for b in blocks if b]
-    assert docs.select(F.size(F.concat(*found))).first()[0] == 100
+def test_many_items_never_meet_in_one_place(spark, monkeypatch):
+    """A full map lets every run through, and copies of items share all their pieces; the result is the same."""
+    items = [(i, "word " * 20) for i in range(300)] + [(1000 + i, f"only number {i} has this one text of ten words") for i in range(300)]
+    texts = ["word " * 20, "only number 7 has this one text of ten words", "nothing of it"]
+    monkeypatch.setattr(decontamination, "MAP_BITS", 64)
+    got = found_in(spark, texts, items)
+    near = {1, 10, 100} | {i for i in range(300)}
+    assert {k: m[0] for k, m in got.items()} == {
+        **{(0, i): 0 for i in range(300)}, **{(1, 1000 + i): int(i != 7) for i in near},
+    }
 
 
 def test_op3_against_brute_force(spark):
