@@ -26,7 +26,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..session import materialize, release
-from .common import ascii_lower, free_name, split_words
+from .common import ascii_lower, free_name, partitions, split_words
 from .components import components
 from .simhash import BITS, digits, distance, shingles, vote
 
@@ -103,7 +103,9 @@ def links(distinct: DataFrame, radius: int = RADIUS, segments: int = SEGMENTS) -
     if radius == 0:
         return distinct.select(F.col("fingerprint").alias("a"), F.col("fingerprint").alias("b")).limit(0)
     f = F.col("fingerprint")
-    entered = distinct.select("fingerprint", F.inline(_cells(f, segments, radius)))
+    # a small table of fingerprints is many cells: it is spread before, not after them
+    spread = distinct.select("fingerprint").repartition(partitions(distinct.sparkSession), "fingerprint")
+    entered = spread.select("fingerprint", F.inline(_cells(f, segments, radius)))
     entered = entered.withColumn("cell", F.xxhash64("cell"))  # two cells under one hash only add candidates
     shared = entered.groupBy("cell").count().filter("count > 1").select("cell")
     # a fingerprint has up to 33 cells, which size estimates don't know: neither side may be broadcast

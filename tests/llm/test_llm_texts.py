@@ -491,6 +491,32 @@ def test_licenses_against_brute_force(spark):
     assert license_scan.scan(spark, df.limit(0), "doc_id", "text").count() == 0
 
 
+@pytest.mark.parametrize("k", [2, 3])
+def test_long_templates_from_a_table(spark, k):
+    """License texts of 200 words and more, whole, edited, in part and twice."""
+    rng = random.Random(k)
+    texts = {name: [f"{name}{rng.randrange(150)}" for _ in range(n)] for name, n in (("a", 200), ("b", 64), ("c", 65), ("d", 700))}
+    table_ = spark.createDataFrame([(" ".join(w).title(), n, 1) for n, w in texts.items()] + [("...", "x", 1), (None, "y", 1)], "body string, name string, other int")
+    edit = lambda words, every: [w for i, w in enumerate(words) for w in ([w] if i % every else [w, "more"])]
+    filler = [f"f{i}" for i in range(50)]
+    cases = {
+        1: (filler + texts["a"] + filler, {"a"}), 2: (edit(texts["a"], 20), {"a"}), 3: (texts["a"][:100], set()),
+        4: (texts["b"] + filler + texts["c"], {"b", "c"}), 5: (texts["d"] * 2, {"d"}), 6: (texts["d"][100:], {"d"}),
+        7: (rng.sample(texts["d"], 700), set()), 8: (texts["c"][1:], {"c"}),
+    }
+    df = spark.createDataFrame([(i, " ".join(w)) for i, (w, _) in cases.items()], DOC)
+    base = (("all rights reserved", "reserved"),)
+    got = {r["doc_id"]: r for r in license_scan.scan(spark, df, "doc_id", "text", base=base, wordings=table_, k=k).collect()}
+    assert {i: set(filter(None, r["labels"].split(","))) for i, r in got.items()} == {i: w for i, (_, w) in cases.items()}
+    assert got[1]["score"] == 1.0 and [tuple(s) for s in got[1]["spans"]] == [(50, 250, "a")]
+    grams = 200 - (k - 1)
+    assert got[3]["score"] == pytest.approx((100 - (k - 1)) / grams)
+    # every 20th of the 200 words has one more behind it, which k - 1 grams span
+    assert got[2]["score"] == pytest.approx((grams - 10 * (k - 1)) / grams, abs=0.02)
+    with pytest.raises(ValueError, match="needs 3 words"):
+        license_scan.scan(spark, df, "doc_id", "text", base=(("cc by", "cc-by"),), wordings=table_, k=3)
+
+
 def test_op9_against_brute_force(spark):
     docs = {r["doc_id"]: r["text"] for r in table(spark, "documents").collect()}
     rows = q.op9_license_scan(spark, SF).collect()
