@@ -4,8 +4,9 @@ A rule is a regular expression over ``host + path`` with a verdict. Its literal
 tokens are runs of letters and digits that every matching address must hold as
 whole tokens. The tokens of all rules are counted over all addresses, and each
 rule is filed under its rarest one. An address fetches the rules filed under its
-own tokens and runs only their expressions; rules without any literal token are
-run on every address. Of the rules that fit, the longest wins, ties by name.
+own tokens and runs only their expressions. Rules without any literal token are filed
+under the empty one, which every address has, so that all rules take one pass. The index is
+written first: a small one is broadcast, a large one joined by shuffles. Of the rules that fit, the longest wins, ties by name.
 
 Defined cases: a null address, or one without ``://``, has an empty host and path
 and meets only rules that fit the empty text; repeated rows are all judged; an
@@ -15,11 +16,13 @@ empty table gives no rows; other columns are ignored.
 from __future__ import annotations
 
 import re
+from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..session import materialize
 from .common import ascii_lower, small_table
 
 HOST = r"(?s)^.*?://([^/?#]*)"
@@ -93,9 +96,21 @@ def index_rules(addresses: DataFrame, rules: DataFrame) -> DataFrame:
     return rules.join(rarest, "name", "left")
 
 
-def judge(df: DataFrame, key: str, url: str, rules: tuple[Rule, ...], default: str = DEFAULT) -> DataFrame:
-    """``key``, ``host``, ``path``, the winning rule as ``rule`` and its ``verdict`` for every row."""
-    spark = df.sparkSession
+RULES = "name string, regex string, rule_verdict string, tokens array<string>, rank int"
+
+
+def rule_table(spark: SparkSession, rules: Sequence[Rule]) -> DataFrame:
+    return small_table(spark, [(r.name, r.regex, r.verdict, list(r.tokens), r.rank) for r in rules], RULES)
+
+
+def judge(
+    df: DataFrame, key: str, url: str, rules: Sequence[Rule] | DataFrame, default: str = DEFAULT
+) -> DataFrame:
+    """``key``, ``host``, ``path``, the winning rule as ``rule`` and its ``verdict`` for every row.
+
+    ``rules`` are literal ones, or a table with the columns of RULES; names are unique, null or no tokens
+    mean that the expression has no literal.
+    """
     rows = df.select(F.col(key), host_of(F.col(url)).alias("host"), path_of(F.col(url)).alias("path"))
     # an address is judged once, however many rows share it
     addresses = (
@@ -104,27 +119,18 @@ def judge(df: DataFrame, key: str, url: str, rules: tuple[Rule, ...], default: s
         .withColumn("address", F.concat("host", "path"))
         .withColumn("address_tokens", tokens_of(F.col("address")))
     )
-    listed = small_table(
-        spark,
-        [(r.name, r.regex, r.verdict, list(r.tokens), r.rank) for r in rules],
-        "name string, regex string, rule_verdict string, tokens array<string>, rank int",
+    listed = rules if isinstance(rules, DataFrame) else rule_table(df.sparkSession, rules)
+    filed = index_rules(addresses, listed).select(
+        "name", "regex", "rule_verdict", "rank", F.coalesce("token", F.lit("")).alias("token")
     )
-    filed = index_rules(addresses, listed).select("name", "regex", "rule_verdict", "rank", "token")
-    everywhere = [r for r in rules if not r.tokens]
+    filed = materialize(filed, "rule-index")
+    every = F.array_distinct(F.concat("address_tokens", F.array(F.lit(""))))
     fetched = (
-        addresses.select("host", "path", "address", F.explode("address_tokens").alias("token"))
-        .join(F.broadcast(filed.filter("token is not null")), "token")  # one row per rule of the given tuple
+        addresses.select("host", "path", "address", F.explode(every).alias("token"))
+        .join(filed, "token")
         .filter(F.expr("address rlike regex"))
         .select("host", "path", "rank", "name", "rule_verdict")
     )
-    generic = [
-        addresses.filter(F.col("address").rlike(r.regex)).select(
-            "host", "path", F.lit(r.rank).alias("rank"), F.lit(r.name).alias("name"), F.lit(r.verdict).alias("rule_verdict")
-        )
-        for r in everywhere
-    ]
-    for part in generic:
-        fetched = fetched.unionByName(part)
     best = (
         fetched.groupBy("host", "path")
         .agg(F.max(F.struct("rank", "name", "rule_verdict")).alias("best"))

@@ -445,6 +445,33 @@ def test_url_rules_against_brute_force(spark):
     assert url_filter.judge(df.limit(0), "page_id", "url", rules).count() == 0
 
 
+def test_ten_thousand_rules_from_a_table(spark):
+    """Places, some of them nested, and rules without a literal; the index goes by a shuffle too."""
+    rng = random.Random(9)
+    rules = [url_filter.place_rule(f"s{i % 4000}.x{i % 7}.org/{'p' * (i % 5)}{i // 4000}/", rng.choice(["allow", "block"])) for i in range(10_000)]
+    rules = list({r.name: r for r in rules}.values())
+    rules += [url_filter.Rule(f"odd{i}", rf"q{i}x*y", "block", (), 2_000 + i) for i in range(20)]
+    urls = [f"http://w.s{rng.randrange(4200)}.x{rng.randrange(7)}.org/{'p' * rng.randrange(5)}{rng.randrange(3)}/{rng.choice(['', 'q7xxy', 'q19y', 'z'])}" for _ in range(300)]
+    urls += [f"https://{r.name}" for r in rng.sample(rules[:-20], 100)]
+    compiled = [(re.compile(r.regex), r) for r in rules]
+
+    def wanted(url):
+        host, path, *_ = plain_judge(url, [])
+        best = max((r for c, r in compiled if c.search(host + path)), key=lambda r: (r.rank, r.name), default=None)
+        return host, path, best and best.name, best.verdict if best else "allow"
+
+    df = spark.createDataFrame(list(enumerate(urls)), "page_id long, url string")
+    all_wanted = {i: wanted(u) for i, u in enumerate(urls)}
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    try:
+        for most in (threshold, "-1"):
+            spark.conf.set("spark.sql.autoBroadcastJoinThreshold", most)
+            got = url_filter.judge(df, "page_id", "url", url_filter.rule_table(spark, rules))
+            assert {r["page_id"]: tuple(r)[1:] for r in got.collect()} == all_wanted
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+
+
 def test_rules_are_filed_under_their_rarest_token(spark):
     urls = [("www.example.net/en/1",)] * 3 + [("a.example.com/x",)] * 2 + [("b.net/y",)] * 4
     addresses = spark.createDataFrame(urls, "address string").withColumn("address_tokens", url_filter.tokens_of(F.col("address")))
