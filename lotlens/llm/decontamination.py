@@ -99,7 +99,7 @@ class Hasher:
         if len(self.known) > KNOWN_WORDS:
             self.known = {}
         known = self.known
-        for word in set(words) - known.keys():
+        for word in {w for w in words if w not in known}:
             known[word] = int.from_bytes(blake2b(word.encode("utf-8", "replace"), digest_size=8).digest(), "little")
         return np.fromiter(map(known.__getitem__, words), np.uint64, len(words))
 
