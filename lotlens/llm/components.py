@@ -2,9 +2,10 @@
 
 Alternating large-star and small-star rounds: in each round every node sends its
 neighbours to the least node around. Neither step gathers a node's neighbours in
-one task: the least neighbour is a partial aggregate and the edges meet it in a
-join, whose hot keys AQE splits. Each round is a written table in the shared
-folder; the round before it is removed.
+one task: the least neighbour is a partial aggregate, and edges meet it in a join. Edges
+of a node that has more than a thousandth of them stay where they are, since there are
+fewer than a thousand such nodes, which go to all tasks; the others are joined by node.
+Both halves of a round are written tables in the shared folder; those before them are removed.
 """
 
 from __future__ import annotations
@@ -14,19 +15,33 @@ from pyspark.sql import functions as F
 
 from ..session import materialize, release
 
+HEAVY = 1000  # a node with more than one in so many rows is heavy; there are fewer heavy nodes than this
 
-def _large_star(edges: DataFrame) -> DataFrame:
+
+def _with_least(edges: DataFrame, node: str, other: str, rows: int) -> tuple[DataFrame, DataFrame]:
+    """``edges`` (``rows`` of them) with ``m``, the least ``other`` of their ``node``; and that per node."""
+    per = edges.groupBy(node).agg(F.min(other).alias("m"), F.count(F.lit(1)).alias("n"))
+    is_heavy = F.col("n") * HEAVY > rows
+    heavy = per.filter(is_heavy).select(node, "m")
+    marked = edges.join(F.broadcast(heavy), node, "left")
+    light = per.filter(~is_heavy).select(node, "m")
+    rest = marked.filter("m is null").drop("m").join(light, node)
+    return marked.filter("m is not null").unionByName(rest), per.select(node, "m")
+
+
+def _large_star(edges: DataFrame, rows: int) -> DataFrame:
     both = edges.unionByName(edges.select(F.col("lo").alias("hi"), F.col("hi").alias("lo")))
-    both = both.select(F.col("hi").alias("u"), F.col("lo").alias("v"))
-    least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
-    return both.join(least, "u").filter("v > u and v <> m").select(F.col("v").alias("hi"), F.col("m").alias("lo"))
+    met, _ = _with_least(both.select(F.col("hi").alias("u"), F.col("lo").alias("v")), "u", "v", 2 * rows)
+    least = F.least("m", "u")
+    return met.filter((F.col("v") > F.col("u")) & (F.col("v") != least)).select(
+        F.col("v").alias("hi"), least.alias("lo")
+    )
 
 
-def _small_star(edges: DataFrame) -> DataFrame:
-    least = edges.groupBy("hi").agg(F.min("lo").alias("m"))
-    joined = edges.join(least, "hi")
+def _small_star(edges: DataFrame, rows: int) -> DataFrame:
+    met, least = _with_least(edges, "hi", "lo", rows)
     return (
-        joined.filter("lo <> m")
+        met.filter("lo <> m")
         .select(F.col("lo").alias("hi"), F.col("m").alias("lo"))
         .unionByName(least.select("hi", F.col("m").alias("lo")))
         .distinct()
@@ -49,8 +64,9 @@ def components(links: DataFrame, a: str, b: str) -> DataFrame:
     )
     state = _state(edges)
     while state[0]:
-        after = materialize(_small_star(_large_star(edges)), "links")
-        release(edges)
+        large = materialize(_large_star(edges, state[0]), "links")
+        after = materialize(_small_star(large, state[0]), "links")  # a large star never adds rows
+        release(edges, large)
         edges, before, state = after, state, _state(after)
         if state == before:
             break
