@@ -666,6 +666,10 @@ _QUERIES: dict[str, str] = {
         JOIN (SELECT heat_season, count(*) FILTER (is_no_heat) AS b FROM fct WHERE bbl IS NOT NULL GROUP BY 1) USING (heat_season)
         WHERE a > b""",
     "dq_summary": _CHECK_ROWS,
+    "incremental_checks": """
+        SELECT heat_season, count(*) FILTER (is_no_heat) AS fact_total,
+               (SELECT count(*) FROM (SELECT complaint_id FROM stg GROUP BY 1 HAVING count(*) > 1 OR complaint_id IS NULL)) AS failing_keys
+        FROM fct WHERE heat_season IS NOT NULL AND bbl IS NOT NULL GROUP BY heat_season""",
     "dq_run_summary": f"""
         SELECT '2001-08-04' AS built_at, count(*) AS tests_total, count(*) FILTER (passed) AS tests_passed,
                6::BIGINT AS models_built FROM ({_CHECK_ROWS})""",

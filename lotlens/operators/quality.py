@@ -33,12 +33,17 @@ def check_range(df: DataFrame, key: str, column: str, low: float, high: float) -
 
 def check_no_fan_out(mart: DataFrame, fact: DataFrame) -> DataFrame:
     """Seasons in which the mart counts more complaints than there are."""
-    counted = mart.groupBy("heat_season").agg(F.sum("no_heat_complaints").alias("mart_total"))
     real = (
         fact.filter(F.col("heat_season").isNotNull() & F.col("bbl").isNotNull())
         .groupBy("heat_season")
         .agg(F.count_if("is_no_heat").alias("fact_total"))
     )
+    return beyond(mart, real)
+
+
+def beyond(mart: DataFrame, real: DataFrame) -> DataFrame:
+    """Seasons in which the mart counts more than ``fact_total`` of ``real``."""
+    counted = mart.groupBy("heat_season").agg(F.sum("no_heat_complaints").alias("mart_total"))
     return counted.join(real, "heat_season").filter(F.col("mart_total") > F.col("fact_total"))
 
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable
 from functools import cached_property
+from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -30,6 +31,7 @@ from ..streaming.upsert import LatestState
 from . import bindings, models, reports
 from .daily import TABLES, model_checks
 from .deltas import SeasonCounts
+from .kept_checks import KeptChecks
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -393,19 +395,24 @@ def upsert_latest(t: Tables) -> DataFrame:
     return state.current().select("unique_key", "status", "source_file")
 
 
-def followed_counts(t: Tables) -> SeasonCounts:
-    """Counts kept by the differences of two loads: the monthly files, then the daily one."""
-    folder = f"{work_dir(t.spark)}/counts-{uuid.uuid4().hex}"
+def loaded_twice(t: Tables, name: str, follow: Callable[[str, LatestState], Any]) -> Any:
+    """What follows a complaint state, after two loads: the monthly files, then the daily one."""
+    folder = f"{work_dir(t.spark)}/{name}-{uuid.uuid4().hex}"
     typed = models.type_complaints(t.landed["complaints"])
     state = LatestState(
         t.spark, f"{folder}/state", typed.schema, ["complaint_id"], models.COMPLAINT_ORDER, 16
     )
-    counts = SeasonCounts(t.spark, f"{folder}/counts", state, 4)
+    following = follow(f"{folder}/{name}", state)
     daily = F.col("last_seen_in") == bindings.DAILY_FILE
     for batch, part in enumerate((typed.filter(~daily), typed.filter(daily))):
         state.upsert(part, batch)
-        counts.refresh()
-    return counts
+        following.refresh()
+    return following
+
+
+def followed_counts(t: Tables) -> SeasonCounts:
+    """Counts kept by the differences of two loads."""
+    return loaded_twice(t, "counts", lambda path, state: SeasonCounts(t.spark, path, state, 4))
 
 
 @query
@@ -1005,6 +1012,14 @@ def dq_summary(t: Tables) -> DataFrame:
     return quality.run_checks(model_checks(checked_tables(t)))
 
 
+@query
+def incremental_checks(t: Tables) -> DataFrame:
+    """Results of the checks kept per bucket: failing keys of the state, and what each season may count."""
+    kept = loaded_twice(t, "checks", lambda path, state: KeptChecks(t.spark, path, state))
+    failing = kept.results().agg(F.sum(F.col("not_unique") + F.col("without_key") + F.col("misplaced")).alias("failing_keys"))
+    return joins.one_row(kept.season_totals(), failing)
+
+
 @query
 def dq_run_summary(t: Tables) -> DataFrame:
     results = quality.run_checks(model_checks(checked_tables(t)))

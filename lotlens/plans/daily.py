@@ -2,7 +2,7 @@
 
 Newly loaded complaints are merged into the kept newest version of each; a run reads
 that state, not the whole raw history. The counts behind the mart follow each merge by its
-difference. A build goes to its own folder. It becomes the
+difference, and the checks of the state look at what it rewrote. A build goes to its own folder. It becomes the
 published one only when every check passed, by moving a bookmark; otherwise readers
 keep the previous build. Builds before the published one are removed, but for a few.
 """
@@ -22,6 +22,7 @@ from ..sources.state import Bookmark
 from ..streaming.upsert import LatestState
 from . import models, reports
 from .deltas import SeasonCounts
+from .kept_checks import KeptChecks
 
 TABLES = ("stg_complaints", "stg_properties", "property_lots", "lot_dimension", "complaint_fact", "lot_season_mart")
 
@@ -43,6 +44,7 @@ class DailyRun:
             spark, f"{root}/state/complaints", typed.schema, ["complaint_id"], models.COMPLAINT_ORDER, buckets
         )
         self.counts = SeasonCounts(spark, f"{root}/state/season_counts", self.state, max(1, buckets // 4))
+        self.kept = KeptChecks(spark, f"{root}/state/checks", self.state)
         self.builds_kept = builds_kept
         self.pointer = Bookmark(spark, f"{root}/published")
         self.attempts = Bookmark(spark, f"{root}/attempts")
@@ -58,11 +60,15 @@ class DailyRun:
 
     def _merge(self) -> None:
         """Bring the complaint state up to the last loaded batch, all batches at once."""
-        self.counts.refresh()  # a crash may have left them one commit behind
+        self._follow()  # a crash may have left them one commit behind
         done, last = self.state.last_batch(), self.complaints.last_batch()
         if last > max(done, 0):
             self.state.upsert(models.type_complaints(self.complaints.rows(after=done)), last)
-            self.counts.refresh()
+            self._follow()
+
+    def _follow(self) -> None:
+        self.counts.refresh()
+        self.kept.refresh()
 
     def _path(self, build: int, name: str) -> str:
         return f"{self.root}/builds/{build}/{name}"
@@ -92,10 +98,11 @@ class DailyRun:
 
     def run(self, publish_anyway: bool = False) -> Run:
         """Build, check, and move the pointer only if the checks pass."""
+        self._follow()
         build = self.attempts.next_batch()
         self.attempts.set(str(build))
         tables = self.build(build)
-        checks = self._write(build, "checks", quality.run_checks(model_checks(tables)))
+        checks = self._write(build, "checks", quality.run_checks(model_checks(tables, self.kept)))
         published = publish_anyway or quality.may_publish(checks)
         if published:
             self.pointer.set(str(build))
@@ -133,19 +140,26 @@ class DailyRun:
         summary.write.mode("overwrite").json(f"{out}/run")
 
 
-def model_checks(tables: dict[str, DataFrame]) -> list[quality.Check]:
-    """The checks every build must pass."""
+def model_checks(tables: dict[str, DataFrame], kept: KeptChecks | None = None) -> list[quality.Check]:
+    """The checks every build must pass.
+
+    With ``kept`` results, those of the complaints read only the buckets that loads rewrote,
+    and the fact is not read for the totals of the seasons.
+    """
     stg, props = tables["stg_complaints"], tables["stg_properties"]
     lots, dim = tables["property_lots"], tables["lot_dimension"]
     fact, mart = tables["complaint_fact"], tables["lot_season_mart"]
     keys = {
-        "stg_complaints": (stg, "complaint_id"),
         "stg_properties": (props, "property_year_id"),
         "lot_dimension": (dim, "lot_year_id"),
         "complaint_fact": (fact, "complaint_id"),
         "lot_season_mart": (mart, "lot_season_id"),
     }
-    checks = []
+    if kept is None:
+        keys = {"stg_complaints": (stg, "complaint_id"), **keys}
+        checks = [quality.Offending("lot_season_mart invents nothing", quality.check_no_fan_out(mart, fact))]
+    else:
+        checks = kept.checks(mart)
     for name, (df, key) in keys.items():
         checks.append(quality.Offending(f"{name}.{key} unique", quality.check_unique(df, key)))
         checks.append(quality.Failing(f"{name}.{key} not null", df, quality.nulls(key)))
@@ -155,5 +169,4 @@ def model_checks(tables: dict[str, DataFrame]) -> list[quality.Check]:
         quality.Failing("lot_dimension.band accepted", dim, quality.odd_values("energy_star_band", lb.SCORE_BANDS)),
         quality.Failing("lot_dimension.era accepted", dim, quality.odd_values("era", lb.ERAS)),
         quality.Failing("lot_dimension.score in range", dim, quality.outside("energy_star_score", 1, 100)),
-        quality.Offending("lot_season_mart invents nothing", quality.check_no_fan_out(mart, fact)),
     ]

@@ -12,6 +12,7 @@ from lotlens.operators import quality
 from lotlens.operators.postings import PostingIndex
 from lotlens.plans import bindings, catalog, deltas, models, reports
 from lotlens.plans.daily import DailyRun
+from lotlens.plans.kept_checks import KeptChecks, by_bucket
 from lotlens.streaming.upsert import LatestState
 from tests.conftest import values
 from tests.test_sources import write_file
@@ -355,6 +356,88 @@ def test_counts_follow_the_state_by_differences(spark, tmp_path):
     assert_counts(counts, fact())
 
 
+def test_kept_checks_agree_with_full_checks_and_read_what_changed(spark, tmp_path, monkeypatch):
+    typed = lambda rows: models.type_complaints(complaints_of(spark, rows))
+    version = lambda key, n, month=11, bbl="1000000001": complaint(
+        str(key), f"2024-{month:02}-05T00:00:00", bbl=bbl, updated=f"2026-01-{n:02}T00:00:00Z"
+    )
+    state = LatestState(spark, str(tmp_path / "s"), typed([]).schema, ["complaint_id"], models.COMPLAINT_ORDER, 16)
+    kept = KeptChecks(spark, str(tmp_path / "k"), state)
+    kept.refresh()
+    assert kept.results().count() == 0
+    read = []
+    folder = re.compile(r"state_bucket=(\d+)")
+
+    def seen(rows, of):
+        read.append({int(folder.search(f)[1]) for f in rows.inputFiles()})
+        return by_bucket(rows, of)
+
+    monkeypatch.setattr("lotlens.plans.kept_checks.by_bucket", seen)
+    no_mart = spark.createDataFrame([], "heat_season string, no_heat_complaints bigint")
+
+    def agree(failing):
+        """The same verdicts as the full checks, which are those named."""
+        stg = state.current()
+        full = {"unique": quality.check_unique(stg, "complaint_id").count() > 0, "not null": stg.filter("complaint_id is null").count() > 0}
+        rows = quality.run_checks(kept.checks(no_mart)).collect()
+        got = {r["check"].split("complaint_id ")[1]: not r["passed"] for r in rows if "complaint_id" in r["check"]}
+        assert got == full == {"unique": "unique" in failing, "not null": "not null" in failing}
+        heat = models.heat_complaints(stg).filter("heat_season is not null and bbl is not null")
+        assert values(kept.season_totals().filter("fact_total > 0")) == values(
+            heat.groupBy("heat_season").agg(F.count_if("is_no_heat").alias("n")).filter("n > 0")
+        )
+
+    def seed(bucket, key=None):
+        """A row of a bucket a second time, under its own key or another."""
+        number = {r["state_bucket"]: r["state_version"] for r in state._manifest().collect()}[bucket]
+        path = f"{state.table}/state_version={number}/state_bucket={bucket}"
+        row = spark.read.schema(state.schema).parquet(path).limit(1)
+        (row if key is None else row.withColumn("complaint_id", F.lit(key))).write.mode("append").parquet(path)
+
+    bucket_of = lambda key: spark.range(1).select(F.lit(key).alias("complaint_id")).select(state._bucket()).first()[0]
+    state.upsert(typed([version(i, 1, 1 + i % 12, "1000000001" if i % 3 else None) for i in range(80)]), 0)
+    kept.refresh()
+    agree([])
+    # only the buckets of a load are read, and corrected complaints leave their season
+    state.upsert(typed([version(1, 2, 1), version(2, 2, 7)]), 1)
+    kept.refresh()
+    assert read[-1] == {bucket_of("1"), bucket_of("2")}
+    agree([])
+    # a copy in a bucket that was rewritten
+    state.upsert(typed([version(3, 2)]), 2)
+    seed(bucket_of("3"))
+    kept.refresh()
+    assert read[-1] == {bucket_of("3")}
+    agree(["unique"])
+    # it stays failing while other buckets change, and until its own is rewritten
+    other = next(k for k in range(4, 80) if bucket_of(str(k)) != bucket_of("3"))
+    state.upsert(typed([version(other, 2)]), 3)
+    kept.refresh()
+    agree(["unique"])
+    state.upsert(typed([version(3, 3)]), 4)
+    kept.refresh()
+    agree([])
+    # a row in a foreign bucket hides a copy of a key that is untouched
+    state.upsert(typed([version(other, 3)]), 5)
+    seed(bucket_of(str(other)), "3")
+    kept.refresh()
+    agree(["unique"])
+    # a file changed behind the state's back is seen when everything is read
+    copies = lambda: kept.results().agg(F.sum("not_unique")).first()[0]
+    seed(next(b for b in range(16) if b not in (bucket_of("3"), bucket_of(str(other)))))
+    kept.refresh()
+    assert copies() == 0
+    kept.refresh(everything=True)
+    assert copies() == 1 and read[-1] == {r["state_bucket"] for r in state._manifest().collect()}
+    agree(["unique"])
+
+
+def test_the_table_may_not_count_more_than_the_kept_totals(spark):
+    real = spark.createDataFrame([("2024-25", 5), ("2025-26", 2)], "heat_season string, fact_total bigint")
+    mart = spark.createDataFrame([("2024-25", 3), ("2024-25", 2), ("2025-26", 3)], "heat_season string, no_heat_complaints bigint")
+    assert values(quality.beyond(mart, real)) == [("2025-26", 3, 2)]
+
+
 @pytest.mark.parametrize("sort", ["rate", "no_heat", "score"])
 def test_leaderboard_ranks_nulls_last(spark, sort):
     rows = [("s", "1", 60000.0, 5, 5.0, None), ("s", "2", 60000.0, 4, 7.0, 3.0), ("s", "3", 10.0, 99, 99.0, 9.0), ("s", "4", 60000.0, 2, 9.0, 9.0)]
