@@ -7,6 +7,8 @@ occurrence votes again. Two 64-bit hashes give 128 bits.
 The search cuts fingerprints into blocks and shares ``radius`` out over them: two that
 differ in at most ``radius`` bits are within its share in some block. There is one table
 for each block, keyed by its bits; a query looks up every key within the block's share.
+Few wide blocks cost more keys and many narrow ones more candidates, so the number of blocks
+follows from the numbers of queries and fingerprints; any number finds the same.
 
 Defined cases: a null text counts as empty; a text without words has all bits 0;
 repeated rows each keep their row, ordered by id and then text; a null id comes last;
@@ -16,7 +18,9 @@ are ignored.
 
 from __future__ import annotations
 
+from functools import reduce
 from itertools import combinations
+from math import ceil, comb
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -27,7 +31,9 @@ from .simhash import BITS, MOST_WEIGHT, _signed, digits, distance, shingles, vot
 
 PAIR = 2
 RANGES = 8  # several small ones a partition, so that hashing deals them out evenly
-RADIUS, BLOCKS = 17, 6  # texts that share 0.8 of their five-word runs differ by up to 19 bits (README)
+RADIUS = 17  # texts that share 0.8 of their five-word runs differ by up to 19 bits (README)
+MOST_KEYS = 1 << 17  # keys of a query, which are one array at a time
+TASK_KEYS = 1 << 22  # keys that one task makes
 SPACE = r"\s"
 
 
@@ -46,17 +52,23 @@ def likeness(a: tuple[Column, Column], b: tuple[Column, Column]) -> Column:
     return 1 - (distance(a[0], b[0]) + distance(a[1], b[1])) / (2.0 * BITS)
 
 
-def _blocks(blocks: int) -> list[tuple[Column, int]]:
-    """The bits of ``_f0`` and ``_f1`` in ``blocks`` nearly equal parts, and the bits of each."""
-    if blocks % 2 or not 0 < blocks <= 2 * BITS:
-        raise ValueError("blocks must be even, so that both halves have as many")
-    cuts = [round(i * 2 * BITS / blocks) for i in range(blocks // 2 + 1)]
-    mask = lambda width: F.lit((1 << width) - 1 if width < BITS else -1)
-    return [
-        (F.shiftrightunsigned(f, low).bitwiseAND(mask(high - low)), high - low)
-        for f in ("_f0", "_f1")
-        for low, high in zip(cuts, cuts[1:])
-    ]
+def _cuts(blocks: int) -> list[tuple[int, int]]:
+    """First bit and end of ``blocks`` nearly equal blocks."""
+    if blocks < 2:
+        raise ValueError("a block has one long's bits at most")
+    cuts = [round(i * 2 * BITS / blocks) for i in range(blocks + 1)]
+    return list(zip(cuts, cuts[1:]))
+
+
+def _bits(f0: Column, f1: Column, low: int, high: int) -> Column:
+    """Bits ``low`` to ``high`` of the two longs, those of ``f1`` after those of ``f0``."""
+    parts = []
+    for f, start in ((f0, 0), (f1, BITS)):
+        at, end = max(low - start, 0), min(high - start, BITS)
+        if at < end:
+            mask = F.lit((1 << (end - at)) - 1 if end - at < BITS else -1)
+            parts.append(F.shiftleft(F.shiftrightunsigned(f, at).bitwiseAND(mask), max(start - low, 0)))
+    return reduce(lambda a, b: a.bitwiseOR(b), parts)
 
 
 def _shares(radius: int, blocks: int) -> list[int]:
@@ -68,51 +80,81 @@ def _shares(radius: int, blocks: int) -> list[int]:
     return [each - 1 + (i < more) for i in range(blocks)]
 
 
-def _masks(width: int, most: int) -> list[int]:
-    """All numbers of ``width`` bits with at most ``most`` ones."""
-    return [_signed(sum(1 << b for b in ones)) for n in range(most + 1) for ones in combinations(range(width), n)]
+def _needed(radius: int, blocks: int) -> list[tuple[int, int, int]]:
+    """First bit, end and share of each block that has a table."""
+    return [(*cut, share) for cut, share in zip(_cuts(blocks), _shares(radius, blocks)) if share >= 0]
+
+
+def _keys(radius: int, blocks: int) -> list[tuple[int, int]]:
+    """Per table, the keys that a query looks up and the bits of a key."""
+    return [
+        (sum(comb(high - low, n) for n in range(share + 1)), high - low) for low, high, share in _needed(radius, blocks)
+    ]
+
+
+def search_rows(queries: int, prints: int, radius: int, blocks: int) -> float:
+    """Keys, candidates and filed fingerprints of a search, were all bits fair coins."""
+    tables = _keys(radius, blocks)
+    return queries * sum(keys * (1 + prints / 2**width) for keys, width in tables) + prints * len(tables)
+
+
+def choose_blocks(queries: int, prints: int, radius: int = RADIUS) -> int:
+    """The number of blocks with the fewest rows, among those with at most MOST_KEYS keys a query."""
+    able = [b for b in range(2, max(radius + 1, 2) + 1) if sum(k for k, _ in _keys(radius, b)) <= MOST_KEYS]
+    return min(able, key=lambda b: search_rows(queries, prints, radius, b))
 
 
-def block_tables(prints: DataFrame, radius: int = RADIUS, blocks: int = BLOCKS, asked: bool = False) -> DataFrame:
+def _masks(width: int, most: int) -> Column:
+    """An array of all numbers of ``width`` bits with at most ``most`` ones."""
+    masks = [_signed(sum(1 << b for b in ones)) for n in range(most + 1) for ones in combinations(range(width), n)]
+    # one string becomes one literal, where an expression for each of 40,000 numbers would burden the plan
+    return F.split(F.lit(",".join(map(str, masks))), ",").cast("array<bigint>")
+
+
+def block_tables(prints: DataFrame, radius: int, blocks: int, asked: bool = False) -> DataFrame:
     """``prints`` once per table, with the table's number and the block that is its key.
 
     With ``asked`` there is a row for every key within the block's share of ``radius``.
     """
 
-    def keys(i: int, part: Column, masks: list[int]) -> Column:
-        key = lambda m: F.struct(F.lit(i).alias("_table"), part.bitwiseXOR(m).alias("_block"))
-        return F.transform(F.array(*map(F.lit, masks)).cast("array<bigint>"), key)
+    def keys(i: int, part: Column, masks: Column) -> Column:
+        return F.transform(masks, lambda m: F.struct(F.lit(i).alias("_table"), part.bitwiseXOR(m).alias("_block")))
 
     tables = [
-        keys(i, part, _masks(width, share if asked else 0))
-        for i, ((part, width), share) in enumerate(zip(_blocks(blocks), _shares(radius, blocks)))
-        if share >= 0
+        keys(i, _bits(F.col("_f0"), F.col("_f1"), low, high), _masks(high - low, share if asked else 0))
+        for i, (low, high, share) in enumerate(_needed(radius, blocks))
     ]
     return prints.select("*", F.inline(F.concat(*tables)))
 
 
 def within_radius(
-    queries: DataFrame, prints: DataFrame, radius: int = RADIUS, blocks: int = BLOCKS
+    queries: DataFrame, prints: DataFrame, radius: int = RADIUS, blocks: int | None = None
 ) -> DataFrame:
-    """Rows (q0, q1, _f0, _f1): every print at most ``radius`` bits from a query, each pair once.
+    """``prints`` with (q0, q1): every print at most ``radius`` bits from a query, each pair once.
 
-    Both sides have distinct rows (_f0, _f1).
+    Both sides have distinct rows (_f0, _f1), are counted, and then read once.
     """
-    asked = block_tables(queries.select("_f0", "_f1"), radius, blocks, asked=True).select(
+    number = queries.count()
+    blocks = blocks or choose_blocks(number, prints.count(), radius)
+    # keys are many times their query, and partitions are merged by what they hold before
+    tasks = ceil(number * sum(k for k, _ in _keys(radius, blocks)) / TASK_KEYS)
+    spread = queries.select("_f0", "_f1").repartition(max(tasks, partitions(queries.sparkSession)), "_f0", "_f1")
+    asked = block_tables(spread, radius, blocks, asked=True).select(
         F.col("_f0").alias("q0"), F.col("_f1").alias("q1"), "_table", "_block"
     )
-    filed = block_tables(prints.select("_f0", "_f1"), radius, blocks)
-    # a query has some 1,400 keys, which size estimates don't know: neither side may be broadcast
-    filed = filed.hint("merge")
-    apart = distance(F.col("q0"), F.col("_f0")) + distance(F.col("q1"), F.col("_f1"))
-    return (
-        asked.join(
-            filed,
-            (asked["_table"] == filed["_table"]) & (asked["_block"] == filed["_block"]) & (apart <= radius),
-        )
-        .select("q0", "q1", "_f0", "_f1")
-        .distinct()
+    # size estimates don't know the keys of a query either: neither side may be broadcast
+    filed = block_tables(prints, radius, blocks).hint("merge")
+    apart = [F.col(q).bitwiseXOR(F.col(f)) for q, f in (("q0", "_f0"), ("q1", "_f1"))]
+    near = F.bit_count(apart[0]) + F.bit_count(apart[1]) <= radius
+    # a pair that meets in several tables counts in the first of them
+    first = F.coalesce(
+        *[
+            F.when(F.bit_count(_bits(*apart, low, high)) <= share, F.lit(i))
+            for i, (low, high, share) in enumerate(_needed(radius, blocks))
+        ]
     )
+    met = (asked["_table"] == filed["_table"]) & (asked["_block"] == filed["_block"])
+    return asked.join(filed, met & near & (filed["_table"] == first)).select("q0", "q1", *prints.columns)
 
 
 def _range_number(key: Column, cuts: list) -> Column:
@@ -223,16 +265,15 @@ def compare_with_edits(df: DataFrame, key: str, text: str) -> DataFrame:
     )
 
 
-def count_near(prints: DataFrame, asked: Column, radius: int = RADIUS, blocks: int = BLOCKS) -> DataFrame:
+def count_near(prints: DataFrame, asked: Column, radius: int = RADIUS, blocks: int | None = None) -> DataFrame:
     """``prints`` with ``n_near``: other rows within ``radius`` bits, for rows where ``asked`` holds; else null.
 
-    ``prints`` is read several times.
+    ``prints`` is read twice.
     """
-    kinds = prints.groupBy("_f0", "_f1").agg(F.count(F.lit(1)).alias("_rows"))
-    queries = prints.filter(asked).select("_f0", "_f1").distinct()
+    kinds = prints.groupBy("_f0", "_f1").agg(F.count(F.lit(1)).alias("_rows"), F.max(asked).alias("_asked"))
+    kinds = materialize(kinds, "prints")
     near = (
-        within_radius(queries, kinds, radius, blocks)
-        .join(kinds, ["_f0", "_f1"])
+        within_radius(kinds.filter("_asked"), kinds.drop("_asked"), radius, blocks)
         .groupBy(F.col("q0").alias("_f0"), F.col("q1").alias("_f1"))
         .agg((F.sum("_rows") - 1).alias("_near"))
     )

@@ -204,7 +204,7 @@ def test_op1_on_whole_table(spark):
             assert r["n_near"] is None
 
 
-@pytest.mark.parametrize("radius,blocks", [(0, 2), (2, 4), (3, 4), (3, 8)])
+@pytest.mark.parametrize("radius,blocks", [(0, 2), (2, 4), (3, 4), (3, 8), (4, 3), (6, 5), (17, 4), (17, 18), (5, None)])
 def test_block_tables_find_all_within_radius(spark, radius, blocks):
     rng = random.Random(9)
     base = [rng.getrandbits(128) for _ in range(20)]
@@ -221,6 +221,30 @@ def test_block_tables_find_all_within_radius(spark, radius, blocks):
     assert got == sorted((*split(q), *split(p)) for q in base for p in prints if (q ^ p).bit_count() <= radius)
 
 
+def test_number_of_blocks_follows_the_size():
+    for radius in (0, 1, 5, 17, 40):
+        chosen = [fingerprint.choose_blocks(n // 100, n, radius) for n in (10**3, 10**5, 10**7, 10**9, 10**11)]
+        assert chosen == sorted(chosen, reverse=True), chosen  # fewer and wider as the table grows
+    million = fingerprint.choose_blocks(10**4, 10**6)
+    assert all(
+        fingerprint.search_rows(10**4, 10**6, fingerprint.RADIUS, million)
+        <= fingerprint.search_rows(10**4, 10**6, fingerprint.RADIUS, b)
+        for b in range(4, 19)
+    )
+    cuts = [b for n in range(2, 20) for b in fingerprint._cuts(n)]
+    assert all(high - low <= 64 for low, high in cuts)
+
+
+def test_counts_of_repeated_prints(spark):
+    near = 0b111
+    rows = [(0, 0, 0), (1, 0, 0), (2, 0, near), (3, near, 0), (None, 0, 0), (5, -1, -1), (6, -1, -1)]
+    df = spark.createDataFrame(rows, "doc_id long, _f0 long, _f1 long")
+    got = fingerprint.count_near(df, F.col("doc_id") % 2 == 0, 3).collect()
+    # the row without an id is found, but does not ask
+    assert {r["doc_id"]: r["n_near"] for r in got} == {0: 4, 1: None, 2: 3, 3: None, None: None, 5: None, 6: 1}
+    assert fingerprint.count_near(df.limit(0), F.col("doc_id") % 2 == 0, 3).count() == 0
+
+
 def test_search_finds_near_copies(spark):
     rng = random.Random(4)
     vocabulary = ["".join(rng.choices("abcdefghijklmnop", k=rng.randint(2, 9))) for _ in range(2000)]
