@@ -13,8 +13,8 @@ address names (its country suffix or a path part), and a prior of the host.
 
 Defined cases: a page without text, markup or address has the other evidence only, and
 in the end the corpus prior; null columns count as empty; repeated rows are each
-judged; without labelled texts the language is null; an empty table gives no rows;
-other columns are ignored.
+judged; without labelled texts the language is null; of equally likely languages the
+first code in order is taken; an empty table gives no rows; other columns are ignored.
 """
 
 from __future__ import annotations

@@ -12,8 +12,8 @@ packing needs no more shards. A group above the mean size of the shards still to
 be filled gets one to itself, and the search goes on with the others.
 
 Defined cases: a null size counts as 0; rows of a null group key form one group;
-repeated rows all keep a place; an empty table gives no rows; any other columns
-are ignored.
+repeated rows all keep a place; an empty table gives no rows; a column ``shard`` is
+replaced, any other columns are kept as they are.
 """
 
 from __future__ import annotations
@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..session import materialize
-from .common import numbered, small_table
+from .common import free_name, numbered, small_table
 
 CLASS_BITS = 10  # a class's size exceeds its groups' sizes by less than one part in 2**10
 
@@ -148,7 +148,8 @@ def shard_groups(
     Give either ``shards``, a number of shards to fill evenly, or ``capacity``, the
     most a shard may hold, of which as few as possible are opened. ``df`` is read
     twice. The histogram that reaches the driver has at most 2**10 rows for each
-    doubling of the group size.
+    doubling of the group size. With ``capacity`` the driver's plan grows with the
+    shards opened, so it is not broadcast unasked.
     """
     if (shards is None) == (capacity is None):
         raise ValueError("give either shards or capacity")
@@ -163,10 +164,15 @@ def shard_groups(
         fixed_number(histogram, shards) if capacity is None else best_fit_decreasing(histogram, capacity)
     )
     spans = small_table(df.sparkSession, plan, "_class long, _from long, _to long, shard int")
+    if capacity is None:  # classes plus places where one of the shards filled up: bounded as the histogram
+        spans = F.broadcast(spans)
     number = F.col("_number")
     placed = numbered(groups, ["_class"], ["_group"], "_number").join(
-        F.broadcast(spans),  # classes plus places where a shard filled up: bounded as the histogram
+        spans,
         (groups["_class"] == spans["_class"]) & (number >= F.col("_from")) & (number < F.col("_to")),
     )
-    placed = placed.select("_group", "shard")
-    return df.join(placed, df[group].eqNullSafe(placed["_group"])).drop("_group")
+    kept = [c for c in df.columns if c != "shard"]
+    own, name = free_name(df, "_group"), free_name(df, "_shard")
+    placed = placed.select(F.col("_group").alias(own), F.col("shard").alias(name))
+    met = df.join(placed, df[group].eqNullSafe(placed[own]))
+    return met.select(*kept, F.col(name).alias("shard"))

@@ -369,6 +369,27 @@ def test_fixed_capacity_opens_few_shards(spark):
     assert sharding.shard_groups(df.limit(0), "g", "s", shards=8).count() == 0
 
 
+def test_shards_of_clashing_columns(spark):
+    rows = [("a", 3, 9, "x", 1), ("a", 3, 9, "x", 1), ("b", 5, 9, "y", 2), (None, 2, 9, None, 3)]
+    df = spark.createDataFrame(rows, "g string, s int, shard int, _group string, _class int")
+    for how in ({"shards": 2}, {"capacity": 8}):
+        out = sharding.shard_groups(df, "g", "s", **how)
+        assert out.columns == ["g", "s", "_group", "_class", "shard"]
+        kept = sorted(map(str, ((*r[:2], *r[3:]) for r in rows)))
+        assert sorted(str(tuple(r)[:4]) for r in out.collect()) == kept
+        assert {r["shard"] for r in out.collect()} == {0, 1}
+
+
+def test_op7_null_empty_and_long_texts(spark, tmp_path):
+    rows = [(1, None), (2, ""), (3, "é" * 300_000), (3, "é" * 300_000), (4, "b"), (None, "b")]
+    df = spark.createDataFrame([(*r, 7) for r in rows], DOC + ", shard int")
+    df.write.parquet(str(tmp_path / "documents.parquet"))
+    got = sorted(((r["doc_id"], r["size"], r["shard"]) for r in op7_sharding(spark, str(tmp_path)).collect()), key=str)
+    assert [r[:2] for r in got] == [(1, 1), (2, 1), (3, 600_001), (3, 600_001), (4, 2), (None, 2)]
+    shards = [r[2] for r in got]
+    assert shards[0] == shards[1] and shards[2] == shards[3] and shards[4] == shards[5]
+
+
 def test_op7(spark):
     rows = op7_sharding(spark, SF).collect()
     docs = {r["doc_id"]: r["text"] for r in spark.read.parquet(f"{SF}/documents.parquet").collect()}

@@ -85,8 +85,9 @@ def test_run_equals_its_stages(spark, stages):
     got = pipeline.run(spark, SF)
     last = stages["packing"][1]
     key = ["doc_id", "start", "length", "ids_crc32"]
-    assert sorted(map(tuple, got.select(*key).collect()))[0] == sorted(map(tuple, last.select(*key).collect()))[0]
-    assert got.agg(F.sum("length")).first() == last.agg(F.sum("length")).first()
+    # which documents share a sequence may differ, the tokens of each may not
+    cut = lambda df: sorted(map(tuple, df.select(*key, "doc_tokens").collect()))
+    assert cut(got) == cut(last)
 
 
 def test_odd_documents(spark):

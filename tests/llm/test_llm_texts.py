@@ -160,6 +160,19 @@ def test_toxicity_odd_rows_and_missing_labels(spark):
     assert toxicity.score(docs.limit(0), "text", model).count() == 0
 
 
+def test_equal_and_very_long_texts_score_alike(spark, toxic_model):
+    net, _ = quality.fit(["good words here. " * 5] * 30, ["good words here. " * 5, "%% $$ ## @@"] * 30)
+    clean, bad = "kalo miren suta veldor ", "kalo grubling suta snorfed "
+    texts = [clean, clean, clean * 60_000, bad, bad, bad * 60_000]
+    df = spark.createDataFrame(list(enumerate(texts)), DOC)
+    toxic = [r["score"] for r in toxicity.score(df, "text", toxic_model).orderBy("doc_id").collect()]
+    assert toxic[0] == toxic[1] and toxic[3] == toxic[4]
+    # a mean does not change when its text is repeated
+    assert toxic[2] == pytest.approx(toxic[0], abs=1e-6) and toxic[5] == pytest.approx(toxic[3], abs=1e-6)
+    good = [r["score"] for r in quality.score(df, "text", net).orderBy("doc_id").collect()]
+    assert good[0] == good[1] and good[3] == good[4] and all(0 <= g <= 1 for g in good)
+
+
 def test_op2_and_op6_shape(spark):
     for run, folds, held in ((q.op2_toxicity, 4, 2), (q.op6_quality, 5, 0)):
         rows = run(spark, SF).collect()
@@ -320,6 +333,16 @@ def test_decontamination_odd_rows(spark):
     assert decontamination.with_matches(docs.limit(0), "text", items, "item_id", "text", "m").count() == 0
 
 
+def test_items_at_both_ends_of_a_very_long_text(spark):
+    words = [f"w{i}" for i in range(200_000)]
+    item = "the quick brown fox jumps over the lazy dog tonight"
+    docs = spark.createDataFrame([(1, f"{item} {' '.join(words)} {item}"), (2, " ".join(words)), (3, item)], DOC)
+    items = spark.createDataFrame([(8, item), (9, item)], "item_id long, text string")
+    found = decontamination.with_matches(docs, "text", items, "item_id", "text", "found")
+    got = {r["doc_id"]: {f["item_id"] for f in r["found"]} for r in found.collect()}
+    assert got == {1: {8, 9}, 2: set(), 3: {8, 9}}
+
+
 def test_many_items_never_meet_in_one_place(spark, monkeypatch):
     """A full map lets every run through, and copies of items share all their pieces; the result is the same."""
     items = [(i, "word " * 20) for i in range(300)] + [(1000 + i, f"only number {i} has this one text of ten words") for i in range(300)]
@@ -584,6 +607,16 @@ def test_evidence_is_fused(spark):
     assert language.identify(df, "page_id", "url", "html", None).filter("lang is null").count() == len(rows)
 
 
+def test_language_of_ties_and_very_long_pages(spark):
+    same = "la casa e il giardino " * 4
+    model = language.fit([same, same], ["it", "es"])
+    pages = [(1, "http://a.example/1", page(same)), (2, "http://a.example/2", page(same * 5_000))]
+    df = spark.createDataFrame(pages, "page_id long, url string, html string")
+    got = language.identify(df, "page_id", "url", "html", model).collect()
+    assert [(r["lang"], r["text_lang"]) for r in got] == [(min(model.languages),) * 2] * 2
+    assert all(r["probability"] == pytest.approx(0.5) for r in got)
+
+
 def plain_fusion(rows, model):
     """The same products with loops over all pages."""
     names, n = model.languages, len(model.languages)
