@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import materialize
+
 
 def first_per(df: DataFrame, keys: Sequence[Column | str], order: Sequence[Column], n: int = 1) -> DataFrame:
     """The first ``n`` rows per key.
@@ -45,9 +47,13 @@ def top_per(df: DataFrame, keys: Sequence[str], measure: str, tie: str) -> DataF
 def latest_load(df: DataFrame, file: str = "source_file", loaded: str = "loaded_at") -> DataFrame:
     """Rows of the newest load of each file, ties kept; of equal load times the later ``batch`` counts.
 
-    One row per file is aggregated map-side; the rows are then only filtered against
-    it, without a shuffle unless that list of files is too large to broadcast.
+    The list of files and their newest loads is written at once. Its size is known then: a
+    small one is broadcast and the rows are filtered where they are, since a shuffle by file would
+    gather each file's rows in one task; beside a large one AQE splits the rows of large files.
     """
-    load = F.struct(loaded, "batch") if "batch" in df.columns else F.struct(loaded)
-    newest = df.groupBy(F.col(file).alias("_file")).agg(F.max(load).alias("_newest"))
-    return df.join(newest, (F.col(file) == F.col("_file")) & (load == F.col("_newest")), "left_semi")
+    stamp = [loaded, "batch"] if "batch" in df.columns else [loaded]
+    # distinct first: it collapses rows by hashing, while the maximum of a struct sorts its input
+    loads = df.select(F.col(file).alias("_file"), *stamp).distinct()
+    newest = materialize(loads.groupBy("_file").agg(F.max(F.struct(*stamp)).alias("_newest")), "newest-loads")
+    same = (F.col(file) == F.col("_file")) & (F.struct(*stamp) == F.col("_newest"))
+    return df.join(newest, same, "left_semi")

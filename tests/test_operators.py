@@ -117,6 +117,24 @@ def test_latest_load_keeps_ties_of_the_newest_load(spark):
     assert [r[2] for r in values(latest.latest_load(df))] == ["y", "z", "w"]
 
 
+def test_latest_load_does_not_gather_the_rows_of_a_file(spark, capsys):
+    rows = spark.range(5_000_000).selectExpr("cast(id % 2 as string) source_file", "id % 3 loaded_at", "id % 7 batch", "id")
+    newest = latest.latest_load(rows)
+    newest.explain()
+    plan = capsys.readouterr().out
+    assert "BroadcastHashJoin" in plan and "hashpartitioning" not in plan
+    newest = newest.agg(F.count("id"), F.min("loaded_at"), F.min("batch"))
+    assert newest.first()[:] == (sum(i % 3 == 2 and i % 7 == 6 for i in range(5_000_000)), 2, 6)
+
+
+def test_latest_load_of_null_stamps_and_files(spark):
+    rows = [("a", None, 1), ("a", None, 2), ("b", None, 1), ("b", 5, 2), (None, 1, 3)]
+    df = spark.createDataFrame(rows, "source_file string, loaded_at int, n int")
+    assert values(latest.latest_load(df)) == [("a", None, 1), ("a", None, 2), ("b", 5, 2)]
+    again = df.withColumn("batch", F.lit(1))
+    assert values(latest.latest_load(again).drop("batch")) == [("a", None, 1), ("a", None, 2), ("b", 5, 2)]
+
+
 def test_top_per_keeps_null_measures_last(spark):
     df = spark.createDataFrame([("a", None, "1"), ("a", 2.0, "3"), ("a", 2.0, "2"), ("b", None, "9")], "k string, m double, t string")
     assert values(latest.top_per(df, ["k"], "m", "t")) == [("a", 2.0, "2"), ("b", None, "9")]
