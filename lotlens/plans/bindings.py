@@ -17,12 +17,22 @@ FIRST_LOAD = "2001-09-01"
 SECOND_LOAD = "2001-09-03"
 FIRST_YEAR, LAST_YEAR = 1993, 1997
 DAILY_FILE = "dt=2001-09-03"
+PARTS_PER_TASK = 50_000
 
 
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
+def spread(df: DataFrame, rows: int = PARTS_PER_TASK) -> DataFrame:
+    """``df`` in as many partitions as it has ``rows``, however few files and row groups hold it.
+
+    The count comes from the files' footers. Rows are dealt in turn, so that no key gathers them.
+    """
+    tasks = -(-df.count() // rows)
+    return df.repartition(tasks) if tasks > 1 else df
+
+
 def _shift(c: Column, seconds: Column) -> Column:
     return c + seconds * F.expr("interval '1' second")
 
@@ -103,6 +113,7 @@ def raw_properties(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     Adds repeated properties in the early years (older report, must lose) and
     a stale first load of the 1996 file (newer report date, must lose too).
+    A part becomes five and more wide rows, so the parts are spread before.
     """
     k = F.col("p_partkey")
     region, block, lot = _lot(k)
@@ -120,7 +131,7 @@ def raw_properties(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     built = (1900 + k % 125).cast("string")
     base = (
-        read(spark, sf_dir, "part")
+        spread(read(spark, sf_dir, "part"))
         .withColumn("year", F.explode(F.sequence(F.lit(FIRST_YEAR), F.lit(LAST_YEAR))))
         .select(
             F.col("year").cast("string").alias("report_year"),

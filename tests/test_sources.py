@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 
 from lotlens import session
 from lotlens.operators import latest
+from lotlens.plans import bindings
 from lotlens.sources import export, extract, files, raw
 from lotlens.session import work_dir
 from lotlens.sources.state import Bookmark
@@ -329,6 +330,18 @@ def test_work_folder_comes_from_the_session():
         work_dir(Fake("yarn", None))
 
 
+def test_properties_of_one_file_are_built_by_many_tasks(spark, tmp_path):
+    n = 3 * bindings.PARTS_PER_TASK
+    parts = spark.range(n).selectExpr(
+        "id p_partkey", "'widget' p_name", "'Brand#1' p_brand", "'ECONOMY' p_type", "1 p_size", "2.0D p_retailprice"
+    )
+    parts.coalesce(1).write.parquet(f"{tmp_path}/part.parquet")
+    rows = bindings.raw_properties(spark, str(tmp_path))
+    tasks = rows.groupBy(F.spark_partition_id()).agg(F.count_distinct("property_id").alias("parts")).collect()
+    assert sum(r["parts"] for r in tasks) == n
+    assert max(r["parts"] for r in tasks) <= bindings.PARTS_PER_TASK + 10
+
+
 def test_lineage_scan(spark, tmp_path):
     write_file(spark, f"{tmp_path}/s/one.parquet", [("x", "1")])
     got = raw.scan_with_lineage(spark, f"{tmp_path}/s").first()
