@@ -43,7 +43,9 @@ END = 1
 VOCABULARY = "byte_bpe_50k"
 #: Texts for the faster encoder: characters below U+0180, no special token, no run of 400 or more of one kind.
 _PLAIN = re.compile(r"[\x00-ſ]*")
-_LONG = re.compile(r"\S{400}|\s{400}")
+_RUN = 400
+_BLANKS = re.compile(rf"\s{{{_RUN}}}")
+_SOME_BLANKS = re.compile(rf"\s{{{_RUN // 100}}}")
 
 CUT = "doc_id bigint, doc_tokens bigint, full array<bigint>, rest int, rest_crc bigint, blocks array<bigint>"
 
@@ -65,10 +67,21 @@ def encoders(vocabulary: str = VOCABULARY):
     return exact, fast
 
 
+def has_long_run(text: str) -> bool:
+    """Whether the text has _RUN or more characters in a row that are all blank or all not.
+
+    A search for both kinds from every character took a quarter of the time of all ids.
+    """
+    if max(map(len, text.split()), default=0) >= _RUN:
+        return True
+    # so many blanks in a row are met by as many of every 100th character
+    return _SOME_BLANKS.search(text[::100]) is not None and _BLANKS.search(text) is not None
+
+
 def token_ids(text: str | None, exact, fast) -> np.ndarray:
     """Ids of ``text`` and the end id, as little-endian unsigned 32-bit numbers."""
     text = text or ""
-    if "<|" not in text and _PLAIN.fullmatch(text) and not _LONG.search(text):
+    if "<|" not in text and _PLAIN.fullmatch(text) and not has_long_run(text):
         ids = fast.encode_to_numpy(text, disallowed_special=())
     else:
         ids = exact.encode(text, add_special_tokens=False).ids

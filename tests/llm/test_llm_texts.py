@@ -401,6 +401,14 @@ def test_op5_round_trip(spark):
     assert check_packed(docs, q.op5_packing(spark, SF).collect()) < 0.02
 
 
+def test_long_runs_are_found():
+    rng = random.Random(3)
+    for _ in range(500):
+        runs = [rng.choice(" \n\xa0\x1fab") * rng.choice([1, 2, 3, 100, 398, 399, 400, 401]) for _ in range(rng.randint(0, 6))]
+        text = "".join(runs)
+        assert packing.has_long_run(text) == bool(re.search(r"\S{400}|\s{400}", text))
+
+
 def test_packing_odd_rows(spark):
     texts = [t for _, t in ODD] + ["word " * 2047, "word " * 2046, "<|endoftext|> x", "日本語 ١٢٣ ǅ 𝟘 ⅷ", "\u00a0\u2003 x\r\n\x85y", "z" * 3000, " " * 3000]
     docs = list(enumerate(texts))
