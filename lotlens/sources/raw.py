@@ -289,12 +289,8 @@ class RawTable:
 
     def _load_batch(self, files: list[tuple], loaded_at: str, batch: int) -> None:
         parts = [self._records(schema, paths) for schema, paths in self._by_schema(files)]
-        rows = reduce(DataFrame.unionAll, parts).withColumns(
-            {
-                "loaded_at": F.lit(loaded_at).cast("timestamp_ntz"),
-                "batch": F.lit(batch).cast("long"),
-            }
-        )
-        overwrite_partitions(rows, self.rows_path, "batch", rebalance=False)
+        rows = reduce(DataFrame.unionAll, parts).withColumn("loaded_at", F.lit(loaded_at).cast("timestamp_ntz"))
+        # to the batch's own folder: a write by a partition column would sort the rows of each task
+        rows.write.mode("overwrite").parquet(f"{self.rows_path}/batch={batch}")
         entries = self.spark.createDataFrame([(*f, batch) for f in files], LEDGER_SCHEMA)
         entries.coalesce(1).write.mode("append").parquet(self.ledger_path)

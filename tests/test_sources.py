@@ -191,6 +191,19 @@ def test_crash_between_rows_and_ledger_leaves_no_duplicates(spark, tmp_path, mon
     assert table.rows().count() == 2
 
 
+def test_a_batch_replaces_what_a_crash_left_in_its_folder(spark, tmp_path):
+    stage, table = str(tmp_path / "stage"), raw.RawTable(spark, str(tmp_path / "table"))
+    write_file(spark, f"{stage}/a.parquet", [("x", "1")])
+    write_file(spark, f"{stage}/b.parquet", [("y", "1", "e")], "k string, v string, extra string")
+    left = spark.sql("select parse_json('1') record, 'old' source_file, timestamp_ntz'2026-01-01' loaded_at")
+    left.write.parquet(f"{table.rows_path}/batch=1")
+    os.remove(f"{table.rows_path}/batch=1/_SUCCESS")
+    assert table.load(stage, "2026-01-02") == 2
+    assert table.rows().select("batch").distinct().first()[0] == 1 and table.rows().count() == 2
+    # written as a folder of its own, not sorted by a partition column
+    assert os.path.exists(f"{table.rows_path}/batch=1/_SUCCESS")
+
+
 def test_many_files_are_loaded_in_bounded_batches(spark, tmp_path):
     stage, table = str(tmp_path / "stage"), raw.RawTable(spark, str(tmp_path / "table"))
     for i in range(5):
