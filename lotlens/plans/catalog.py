@@ -42,6 +42,24 @@ POINTS = 20_000  # points drawn per season
 EVENTS_NOW = "2024-02-04 12:00:00"
 
 
+class Landing(dict):
+    """Raw tables of VARIANT records by name, each stored when it is first asked for."""
+
+    def __init__(self, **raw: Callable[[], DataFrame]):
+        super().__init__()
+        self._raw = raw
+
+    def __missing__(self, name: str) -> DataFrame:
+        self.store(name)
+        return self[name]
+
+    def store(self, *names: str) -> None:
+        """Store those of ``names`` that are not yet there, at the same time."""
+        new = {name: bindings.as_variant(self._raw[name]()) for name in names if name not in self}
+        if new:
+            self.update(materialize_all(**new))
+
+
 class Tables:
     """Lazy models of one data folder, and the stored tables that reports read.
 
@@ -77,11 +95,10 @@ class Tables:
         )
 
     @cached_property
-    def landed(self) -> dict[str, DataFrame]:
+    def landed(self) -> Landing:
         """The two raw tables of VARIANT records, stored as the loader leaves them."""
-        properties = bindings.raw_properties(self.spark, self.sf_dir)
-        return materialize_all(
-            complaints=bindings.as_variant(self.rc), properties=bindings.as_variant(properties)
+        return Landing(
+            complaints=lambda: self.rc, properties=lambda: bindings.raw_properties(self.spark, self.sf_dir)
         )
 
     @property
@@ -100,6 +117,7 @@ class Tables:
         return models.build_property_lots(self.props, ["address"])
 
     def build_fact(self) -> DataFrame:
+        self.landed.store("complaints", "properties")
         return models.build_complaint_fact(
             self.stg, self.typed_properties, ["latitude", "longitude"]
         )
@@ -426,6 +444,7 @@ def incremental_season_counts(t: Tables) -> DataFrame:
 @query
 def incremental_mart(t: Tables) -> DataFrame:
     """The analysis table from counts kept by differences."""
+    t.landed.store("complaints", "properties")
     mart = followed_counts(t).mart(t.typed_properties, t.dim)
     return rounded(mart, "total_gfa_sqft", "no_heat_per_100k_sqft")
 

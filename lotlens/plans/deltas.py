@@ -20,6 +20,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..session import materialize, release
 from ..streaming.upsert import LatestState
 from . import models
 
@@ -28,12 +29,17 @@ DAY = ["heat_season", "heating_year_start", "created_date"]
 SUMS = ["no_heat_complaints", "all_heat_complaints"]
 
 
-def counted(complaints: DataFrame, keys: list[str], sign: int = 1) -> DataFrame:
-    """Heat complaints in a season, per ``keys``; ``sign`` -1 takes them away."""
-    heat = models.heat_complaints(complaints).filter(F.col("heat_season").isNotNull())
-    return heat.groupBy(*keys).agg(
-        (F.count_if("is_no_heat") * sign).alias(SUMS[0]), (F.count(F.lit(1)) * sign).alias(SUMS[1])
-    )
+def counted(complaints: DataFrame, keys: list[str], less: DataFrame | None = None) -> DataFrame:
+    """Heat complaints in a season, per ``keys``; those of ``less`` are taken away, in the same aggregate."""
+
+    def signed(rows: DataFrame, sign: int) -> DataFrame:
+        heat = models.heat_complaints(rows).filter(F.col("heat_season").isNotNull())
+        return heat.select(*keys, F.when(F.col("is_no_heat"), sign).otherwise(0).alias("_no_heat"), F.lit(sign).alias("_all"))
+
+    rows = signed(complaints, 1)
+    if less is not None:
+        rows = rows.unionByName(signed(less, -1))
+    return rows.groupBy(*keys).agg(F.sum("_no_heat").alias(SUMS[0]), F.sum("_all").alias(SUMS[1]))
 
 
 def added(parts: list[DataFrame], keys: list[str]) -> DataFrame:
@@ -70,15 +76,19 @@ class SeasonCounts:
             now = added([counted(self.complaints.current(), keys), kept.current().select(*keys, *none)], keys)
         else:
             before, after = changed
-            change = added([counted(after, keys), counted(before, keys, -1)], keys)
-            change = change.filter(" or ".join(f"{c} <> 0" for c in SUMS))
+            change = counted(after, keys, before).filter(" or ".join(f"{c} <> 0" for c in SUMS))
+            change = materialize(change, "change")  # read several times below, the state only once
             stored = kept.beside(change).join(
                 change.select(*[F.col(k).alias(f"_{k}") for k in keys]),
                 reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in keys]),
                 "left_semi",
             )
             now = added([change, stored], keys)
-        kept.upsert(now.withColumn("as_of", F.lit(last).cast("bigint")), last)
+        try:
+            kept.upsert(now.withColumn("as_of", F.lit(last).cast("bigint")), last)
+        finally:
+            if changed is not None:
+                release(change)
 
     def lots(self) -> DataFrame:
         """Complaints per season and lot (NULL lot included)."""

@@ -356,6 +356,33 @@ def test_counts_follow_the_state_by_differences(spark, tmp_path):
     assert_counts(counts, fact())
 
 
+def test_differences_are_counted_once_and_then_read_from_their_table(spark, tmp_path, monkeypatch):
+    rows = lambda n: models.type_complaints(
+        complaints_of(spark, [complaint(str(i), f"2024-{n:02}-05T00:00:00", updated=f"2026-01-{n:02}T00:00:00Z") for i in range(9)])
+    )
+    state = LatestState(spark, str(tmp_path / "s"), rows(1).schema, ["complaint_id"], models.COMPLAINT_ORDER, 4)
+    counts = deltas.SeasonCounts(spark, str(tmp_path / "c"), state, 4)
+    beside, read = LatestState.beside, []
+    monkeypatch.setattr(LatestState, "beside", lambda self, change: (read.append(change.inputFiles()), beside(self, change))[1])
+    for batch, month in enumerate((1, 2)):
+        state.upsert(rows(month), batch)
+        counts.refresh()
+        assert_counts(counts, models.heat_complaints(state.current()).withColumn("ll84_report_year", F.lit(1)))
+    assert len(read) == 4 and all(files and not any(str(tmp_path / "s") in f for f in files) for files in read)
+
+
+def test_raw_tables_are_landed_when_they_are_asked_for(spark):
+    asked = []
+
+    def raw(name):
+        return lambda: (asked.append(name), spark.sql(f"select '{name}' as x, 'f' as source_file, 'l' as loaded_at"))[1]
+
+    landing = catalog.Landing(complaints=raw("complaints"), properties=raw("properties"))
+    assert landing["complaints"].count() == landing["complaints"].count() == 1 and asked == ["complaints"]
+    landing.store("complaints", "properties")
+    assert asked == ["complaints", "properties"] and landing["properties"].first()["source_file"] == "f"
+
+
 def test_kept_checks_agree_with_full_checks_and_read_what_changed(spark, tmp_path, monkeypatch):
     typed = lambda rows: models.type_complaints(complaints_of(spark, rows))
     version = lambda key, n, month=11, bbl="1000000001": complaint(
