@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -14,6 +15,23 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+#: Of texts that Python works on one by one. Ten thousand, as Spark deals them, are 34 MB here, held by both sides at once.
+ROWS_AT_ONCE = 1000
+_ARROW_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
+
+@contextmanager
+def arrow_rows(spark: SparkSession, rows: int = ROWS_AT_ONCE) -> Iterator[None]:
+    """Tables written inside hand at most ``rows`` rows to Python at a time; a smaller setting stays."""
+    before = spark.conf.get(_ARROW_ROWS)
+    if not 0 < int(before) <= rows:
+        spark.conf.set(_ARROW_ROWS, str(rows))
+    try:
+        yield
+    finally:
+        spark.conf.set(_ARROW_ROWS, before)
+
+
 def free_name(df: DataFrame, wanted: str) -> str:
     """A column name that ``df`` does not have."""
     while wanted in df.columns:

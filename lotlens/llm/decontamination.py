@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import materialize, release
-from .common import free_name
+from .common import arrow_rows, free_name
 
 RATE = 0.2
 MAP_BITS = 1 << 24  # of the bit map of pieces; more pieces only let more runs through
@@ -222,7 +222,9 @@ def find(docs: DataFrame, sha: str, text: str, items: DataFrame, item_key: str,
     sizes = sorted(r[0] for r in cut.select(F.explode("_sizes")).distinct().collect())  # at most 1 / rate + 1
     spread = cut.select("_item", "_errors", F.size("_words").alias("_n"), F.explode(F.arrays_zip("_starts", "_hashes")).alias("p"))
     cuts = spread.select("_item", "_errors", "_n", F.col("p._starts").alias("_start"), F.col("p._hashes").alias("_hash"))
-    texts = materialize(_texts_with_hits(docs, sha, text, sizes, piece_map(cuts)).dropDuplicates(["_sha"]), "texts-with-hits")
+    held = piece_map(cuts)
+    with arrow_rows(docs.sparkSession):
+        texts = materialize(_texts_with_hits(docs, sha, text, sizes, held).dropDuplicates(["_sha"]), "texts-with-hits")
 
     hits = texts.select("_sha", F.explode(F.arrays_zip("_hash", "_at")).alias("h"))
     hits = hits.select("_sha", F.col("h._hash").alias("_hash"), F.col("h._at").alias("_at"))
@@ -233,9 +235,9 @@ def find(docs: DataFrame, sha: str, text: str, items: DataFrame, item_key: str,
     part = F.pmod(F.xxhash64("_item"), F.lit(TOGETHER)).alias("_part")
     listed = wanted.groupBy("_sha", part).agg(F.collect_list(F.struct("_id", "_words", "_errors", "_spans")).alias("_wanted"))
     found = texts.select("_sha", "_text").join(listed, "_sha").select("_sha", "_text", "_wanted")
-    out = materialize(
-        found.mapInPandas(_verify, "_sha binary, item_id long, distance int, first_word int, last_word int"), "found-items"
-    )
+    matches = found.mapInPandas(_verify, "_sha binary, item_id long, distance int, first_word int, last_word int")
+    with arrow_rows(docs.sparkSession):
+        out = materialize(matches, "found-items")
     release(cut, texts)
     return out
 

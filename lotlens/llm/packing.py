@@ -34,7 +34,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import materialize
-from .common import numbered, small_table
+from .common import arrow_rows, numbered, small_table
 
 WINDOW = 2048
 STEP = 8  # lengths of one class differ by less
@@ -194,7 +194,8 @@ def pack(docs: DataFrame, key: str, text: str, *, window: int = WINDOW, vocabula
     if window & (window - 1) or window < STEP:
         raise ValueError(f"the window must be a power of two of at least {STEP}")
     spark, classes = docs.sparkSession, window // STEP
-    texts = materialize(tokenised(docs, key, text, window, vocabulary), "tokenised")
+    with arrow_rows(spark):
+        texts = materialize(tokenised(docs, key, text, window, vocabulary), "tokenised")
     rests = texts.filter("rest > 0").select(
         "doc_id",
         "doc_tokens",

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from checks.compare import compare, duck
 from lotlens.llm import (
+    common,
     decontamination,
     language,
     license_scan,
@@ -409,6 +410,25 @@ def test_long_runs_are_found():
         assert packing.has_long_run(text) == bool(re.search(r"\S{400}|\s{400}", text))
 
 
+def test_packing_and_decontamination_hand_few_texts_to_python_at_once(spark, monkeypatch):
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before, seen, sizes = spark.conf.get(name), {}, []
+    for module in (packing, decontamination):
+        write = module.materialize
+        monkeypatch.setattr(module, "materialize", lambda df, at, write=write: (seen.update({at: int(spark.conf.get(name))}), write(df, at))[1])
+    docs = spark.createDataFrame([(i, f"one word and number {i} of these rows") for i in range(2500)], "doc_id long, text string").coalesce(1)
+    assert packing.pack(docs, "doc_id", "text").count() >= 2500
+    assert decontamination.with_matches(docs, "text", docs.limit(3), "doc_id", "text", "m").count() == 2500
+    assert max(seen[at] for at in ("tokenised", "texts-with-hits", "found-items")) <= 1000
+    lengths = lambda parts: (pd.DataFrame({"n": [len(p)]}) for p in parts)
+    with common.arrow_rows(spark, 600):
+        sizes = [r[0] for r in docs.select("doc_id").mapInPandas(lengths, "n long").collect()]
+    assert max(sizes) <= 600 and sum(sizes) == 2500 and spark.conf.get(name) == before
+    with pytest.raises(ZeroDivisionError), common.arrow_rows(spark, 5):
+        1 / 0
+    assert spark.conf.get(name) == before
+
+
 def test_packing_odd_rows(spark):
     texts = [t for _, t in ODD] + ["word " * 2047, "word " * 2046, "<|endoftext|> x", "日本語 ١٢٣ ǅ 𝟘 ⅷ", "\u00a0\u2003 x\r\n\x85y", "z" * 3000, " " * 3000]
     docs = list(enumerate(texts))
