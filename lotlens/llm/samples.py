@@ -7,6 +7,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..operators.profile import sample_rows
+from ..session import materialize, release
 
 FULL_CLASSES = 50  # more classes share the rows and characters of so many
 SEED = 5
@@ -44,19 +45,32 @@ def bounded_sample(
     every run. A text that would exceed the remaining characters is passed over;
     texts are whole. Keys are taken once; of texts under one key the least is taken.
     Null keys, labels and texts are left out.
+
+    Keys and the chosen ones are written, so that the driver plans and follows the work
+    on ``marked`` once and not in each of the jobs below.
     """
-    known = (
+    known = materialize(
         marked.filter(F.col(key).isNotNull() & F.col(label).isNotNull())
         .groupBy(F.col(key).alias("_id"))
-        .agg(F.max(label).alias("_label"))
+        .agg(F.max(label).alias("_label")),
+        "labelled-keys",
     )
-    classes = known.agg(F.count_distinct("_label")).first()[0]
-    empty = pd.DataFrame({"label": [], "text": []})
-    if not classes:
-        return empty
-    if classes > FULL_CLASSES:
-        rows, chars = max(1, FULL_CLASSES * rows // classes), max(1, FULL_CLASSES * chars // classes)
-    chosen = sample_rows(known, rows, SEED, "_id", ["_label"])
+    stored = [known]
+    try:
+        classes = known.agg(F.count_distinct("_label")).first()[0]
+        if not classes:
+            return pd.DataFrame({"label": [], "text": []})
+        if classes > FULL_CLASSES:
+            rows, chars = max(1, FULL_CLASSES * rows // classes), max(1, FULL_CLASSES * chars // classes)
+        chosen = materialize(sample_rows(known, rows, SEED, "_id", ["_label"]), "chosen-keys")
+        stored.append(chosen)
+        return _texts_of(chosen, docs, key, text, chars)
+    finally:
+        release(*stored)
+
+
+def _texts_of(chosen: DataFrame, docs: DataFrame, key: str, text: str, chars: int) -> pd.DataFrame:
+    """Labels and texts of the ``chosen`` keys (_id, _label), as far as ``chars`` of each class reach."""
     texts = (
         docs.select(F.col(key).alias("_id"), F.col(text).alias("_text"))
         .filter("_text is not null")
@@ -73,7 +87,7 @@ def bounded_sample(
         if len(kept) == before:
             kept.append(int(part["_id"].iloc[part["n"].argmin()]))
     if not kept:
-        return empty
+        return pd.DataFrame({"label": [], "text": []})
     ids = docs.sparkSession.createDataFrame([(i,) for i in kept], "_id long")
     least = F.min(F.struct(F.char_length("_text").alias("n"), F.col("_text").alias("t")))["t"]
     found = texts.join(F.broadcast(ids), "_id").groupBy("_id", "_label").agg(least.alias("text"))

@@ -34,7 +34,7 @@ EPOCHS, UPDATES, BATCH, RATE, PATIENCE = 10, 300, 64, 0.4, 3  # at least so many
 CALIBRATION = 5
 STRETCH = 48  # words in a training stretch of a clean text, at most
 CHUNK = 500_000  # characters whose words are looked up together
-WORDS_AT_ONCE = 50_000  # words of the sample that are cut up together
+WORDS_AT_ONCE = 5_000  # words of the sample that are cut up together, on the driver
 KNOWN_WORDS = 300_000  # words whose sums a task remembers at once
 TRIM = ".,;:!?\"'()[]"
 
@@ -125,18 +125,24 @@ def fit(texts: list[str], labels: np.ndarray, share: float, seed: int = 7) -> Mo
     return Model((learnt.weights * slope).astype(np.float32), learnt.bias * slope + offset)
 
 
+def _features(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """As ``subwords``, in little memory: the numbers are kept small, and few words are cut up at a time."""
+    features, sizes = [np.zeros(0, np.int32)], [np.zeros(0, np.int64)]
+    for i in range(0, len(words), WORDS_AT_ONCE):
+        numbers, counts = subwords(words[i : i + WORDS_AT_ONCE])
+        features.append(numbers.astype(np.int32))
+        sizes.append(counts)
+    return np.concatenate(features), np.concatenate(sizes)
+
+
 def _embed(texts: list[str], labels: np.ndarray, seed: int) -> Model:
     """Embeddings and softmax trained together, both classes weighed alike."""
     index: dict[str, int] = {}
     bags = []
     for text in texts:
         bags.append(np.array([index.setdefault(w, len(index)) for w in words_of(text)], np.int32))
-    words = list(index)
+    features, sizes = _features(list(index))
     del index
-    parts = [subwords(words[i : i + WORDS_AT_ONCE]) for i in range(0, len(words), WORDS_AT_ONCE)]
-    features = np.concatenate([p[0].astype(np.int32) for p in parts]) if parts else np.zeros(0, np.int32)
-    sizes = np.concatenate([p[1] for p in parts]) if parts else np.zeros(0, np.int64)
-    del words, parts
     starts = np.cumsum(sizes) - sizes
     rng = np.random.default_rng(seed)
     vectors = rng.normal(0, 0.05, (BUCKETS, DIMENSIONS)).astype(np.float32)

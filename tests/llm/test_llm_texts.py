@@ -2,6 +2,7 @@
 
 import random
 import re
+import tracemalloc
 import zlib
 from collections import Counter
 
@@ -11,6 +12,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from checks.compare import compare, duck
+from lotlens import session
 from lotlens.llm import (
     common,
     decontamination,
@@ -60,6 +62,42 @@ def test_sample_of_documents_that_are_there_is_full(spark):
     assert got["label"].value_counts().to_dict() == {0: 1000, 1: 1000}
 
 
+def test_sample_reads_the_labels_once(spark):
+    """The work on the labels is neither planned nor done again for each job of the sample."""
+    docs = spark.range(60).select(F.col("id").alias("doc_id"), F.concat(F.lit("text "), F.col("id").cast("string")).alias("text"))
+    read = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for batch in batches:
+            read.add(len(batch))
+            yield batch
+
+    marks = docs.select("doc_id", (F.col("doc_id") % 2).alias("y")).mapInPandas(counted, "doc_id long, y long")
+    got = samples.bounded_sample(marks, docs, "doc_id", "text", "y", rows=20)
+    assert got["label"].value_counts().to_dict() == {0: 20, 1: 20}
+    assert read.value == 60
+
+
+def test_sample_leaves_no_tables(spark):
+    docs = spark.createDataFrame([(1, "a"), (2, None)], DOC)
+    before = set(session._written)
+    for marks in ([(1, 0)], [(2, 0)], [(1, None)], []):
+        samples.bounded_sample(spark.createDataFrame(marks, "doc_id long, y int"), docs, "doc_id", "text", "y")
+    assert set(session._written) == before
+
+
+def test_features_of_a_sample_take_little_memory():
+    """Beside the numbers themselves, less than twice as much."""
+    words = [f"w{i * 7919 % 1_000_003}x{i}" for i in range(60_000)]
+    tracemalloc.start()
+    numbers, sizes = toxicity._features(words)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 3 * (numbers.nbytes + sizes.nbytes)
+    whole, counts = toxicity.subwords(words)
+    assert numbers.tolist() == whole.tolist() and sizes.tolist() == counts.tolist()
+
+
 def test_no_class_is_dropped(spark):
     rows = [(f"c{i:03}", f"text {i} {j} ") for i in range(130) for j in range(3 if i else 200)]
     df = spark.createDataFrame([(n, *r) for n, r in enumerate(rows)], "doc_id long, c string, text string")
